@@ -1,0 +1,130 @@
+"""Crisis-score queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from pricelens.functions import q4
+from pricelens.operators.panel import panel_with_weather
+from pricelens.operators.scores import CRISIS_LEVEL_ORDER, crisis_scores
+from pricelens.plans.registry import register
+from pricelens.plans.sqlviews import q4 as sq4, with_views
+
+K = ("commodity", "district")
+CRISIS_OUT = ["date", "commodity", "district", "modal_price", "arrival", "price_change_pct",
+              "arrival_deviation_pct", "price_zscore", "arrival_zscore", "price_stress",
+              "supply_stress", "weather_stress", "anomaly_stress", "crisis_score", "crisis_level"]
+_DOUBLES = {"modal_price", "arrival", "price_change_pct", "arrival_deviation_pct", "price_zscore",
+            "arrival_zscore", "crisis_score"}
+
+
+def crisis_frame(spark, sf_dir, keys=K, order=("date",)):
+    return crisis_scores(panel_with_weather(spark, sf_dir), keys, order)
+
+
+def _out(df):
+    return df.select(*[q4(c).alias(c) if c in _DOUBLES else F.col(c) for c in CRISIS_OUT])
+
+
+def crisis_sql_ctes(partition="commodity, district", order="date"):
+    w = f"PARTITION BY {partition} ORDER BY {order}"
+    r30 = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+    f = f"""
+SELECT commodity, district, date, modal_price, arrival, max_temp, rainfall_mm, wind,
+  (modal_price / NULLIF(lag(modal_price, 1) OVER ({w}), 0) - 1) * 100 AS price_change_pct,
+  CASE WHEN count(arrival) OVER ({w} {r30}) >= 5 THEN avg(arrival) OVER ({w} {r30}) END AS am,
+  CASE WHEN count(arrival) OVER ({w} {r30}) >= 5 THEN stddev_samp(arrival) OVER ({w} {r30}) END AS asd,
+  CASE WHEN count(modal_price) OVER ({w} {r30}) >= 5 THEN avg(modal_price) OVER ({w} {r30}) END AS pm,
+  CASE WHEN count(modal_price) OVER ({w} {r30}) >= 5 THEN stddev_samp(modal_price) OVER ({w} {r30}) END AS psd
+FROM panel_wx"""
+    g = """
+SELECT *, ((arrival - am) * 100) / NULLIF(am, 0) AS arrival_deviation_pct,
+       (modal_price - pm) / NULLIF(psd, 0) AS price_zscore,
+       (arrival - am) / NULLIF(asd, 0) AS arrival_zscore
+FROM cf"""
+    s = """
+SELECT *,
+  CASE WHEN abs(price_change_pct) >= 30 THEN 3 WHEN abs(price_change_pct) >= 20 THEN 2
+       WHEN abs(price_change_pct) >= 10 THEN 1 ELSE 0 END AS price_stress,
+  CASE WHEN arrival_deviation_pct <= -50 THEN 3 WHEN arrival_deviation_pct <= -30 THEN 2
+       WHEN arrival_deviation_pct <= -15 THEN 1 ELSE 0 END AS supply_stress,
+  LEAST(CASE WHEN max_temp >= 40 THEN 2 WHEN max_temp >= 35 THEN 1 ELSE 0 END
+      + CASE WHEN rainfall_mm >= 100 THEN 2 WHEN rainfall_mm >= 50 THEN 1 ELSE 0 END
+      + CASE WHEN wind >= 30 THEN 1 ELSE 0 END, 3) AS weather_stress,
+  CASE WHEN abs(price_zscore) >= 2 OR abs(arrival_zscore) >= 2 THEN 3 ELSE 0 END AS anomaly_stress
+FROM cg"""
+    c = """
+SELECT *, LEAST(GREATEST((price_stress * 0.35::DOUBLE + supply_stress * 0.30::DOUBLE
+                          + weather_stress * 0.20::DOUBLE + anomaly_stress * 0.15::DOUBLE)
+                         / 3.0::DOUBLE * 100.0::DOUBLE, 0.0::DOUBLE), 100.0::DOUBLE) AS crisis_score
+FROM cs"""
+    lv = """
+SELECT *, CASE WHEN crisis_score >= 80 THEN 'Critical' WHEN crisis_score >= 60 THEN 'High'
+               WHEN crisis_score >= 30 THEN 'Moderate' ELSE 'Low' END AS crisis_level
+FROM cc"""
+    return [("cf", f), ("cg", g), ("cs", s), ("cc", c), ("crisis", lv)]
+
+
+def _crisis_select(src="crisis"):
+    cols = []
+    for c in CRISIS_OUT:
+        cols.append(f"{sq4(c)} AS {c}" if c in _DOUBLES else c)
+    return f"SELECT {', '.join(cols)} FROM {src}"
+
+
+def crisis_sql(body, partition="commodity, district", order="date", extra=()):
+    return with_views(["panel_wx"], body, crisis_sql_ctes(partition, order) + list(extra))
+
+
+@register("crisis_scores", "D1 D2 D3 D4 D5 W7 W9 W10 J1", sql=crisis_sql(_crisis_select()))
+def q_crisis_scores(spark, sf_dir):
+    return _out(crisis_frame(spark, sf_dir))
+
+
+@register("crisis_scores_commodity_windows", "D1-D5 compat (X11)",
+          sql=crisis_sql(_crisis_select(), "commodity", "date, district"))
+def q_crisis_scores_compat(spark, sf_dir):
+    return _out(crisis_frame(spark, sf_dir, ("commodity",), ("date", "district")))
+
+
+@register("crisis_level_distribution", "D6 A2 L3", sql=crisis_sql("""
+SELECT lv.crisis_level, lv.level_order, CAST(COALESCE(c.events, 0) AS BIGINT) AS events
+FROM (VALUES ('Low', 1), ('Moderate', 2), ('High', 3), ('Critical', 4)) lv(crisis_level, level_order)
+LEFT JOIN (SELECT crisis_level, COUNT(*) AS events FROM crisis GROUP BY 1) c
+  ON lv.crisis_level = c.crisis_level"""))
+def q_crisis_level_distribution(spark, sf_dir):
+    levels = spark.createDataFrame([(n, i + 1) for i, n in enumerate(CRISIS_LEVEL_ORDER)],
+                                   "crisis_level string, level_order int")
+    counts = crisis_frame(spark, sf_dir).groupBy("crisis_level").agg(F.count(F.lit(1)).alias("events"))
+    return (levels.join(counts, "crisis_level", "left")
+                  .select("crisis_level", "level_order",
+                          F.coalesce("events", F.lit(0)).cast("bigint").alias("events"))
+                  .orderBy("level_order"))
+
+
+@register("crisis_by_commodity", "D6 A1", sql=crisis_sql(f"""
+SELECT commodity, {sq4('AVG(crisis_score)')} AS avg_crisis_score,
+       CAST(COUNT(*) AS BIGINT) AS rows_scored,
+       CAST(COUNT(*) FILTER (WHERE crisis_level IN ('High', 'Critical')) AS BIGINT) AS high_or_critical
+FROM crisis GROUP BY commodity"""))
+def q_crisis_by_commodity(spark, sf_dir):
+    c = crisis_frame(spark, sf_dir)
+    return (c.groupBy("commodity")
+             .agg(q4(F.avg("crisis_score")).alias("avg_crisis_score"),
+                  F.count(F.lit(1)).alias("rows_scored"),
+                  F.count_if(F.col("crisis_level").isin("High", "Critical")).alias("high_or_critical"))
+             .orderBy(F.desc("avg_crisis_score")))
+
+
+@register("crisis_top20", "D6 L2", sql=crisis_sql(
+    _crisis_select() + " ORDER BY crisis_score DESC, date, commodity, district LIMIT 20"))
+def q_crisis_top20(spark, sf_dir):
+    return _out(crisis_frame(spark, sf_dir)).orderBy(
+        F.desc("crisis_score"), "date", "commodity", "district").limit(20)
+
+
+@register("crisis_early_warning", "D6 P17", sql=crisis_sql(
+    _crisis_select() + " WHERE crisis_level IN ('High', 'Critical')"))
+def q_crisis_early_warning(spark, sf_dir):
+    return _out(crisis_frame(spark, sf_dir)).filter(F.col("crisis_level").isin("High", "Critical"))
