@@ -119,15 +119,15 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return holiday_calendar(spark, li.select(F.to_date("l_shipdate").alias("date")))
 
 
-# Cultivation cost per commodity of the test-data mapping
-# (one literal per p_type), in price units.
+# Test-data cultivation cost per commodity (one literal per p_type, set near
+# the monthly price median so both sides of the below-cost test occur).
 COST_OF_CULTIVATION = [
-    ("ECONOMY", 1400.0),
-    ("LARGE", 1300.0),
-    ("MEDIUM", 2500.0),
-    ("PROMO", 1600.0),
-    ("SMALL", 2000.0),
-    ("STANDARD", 1500.0),
+    ("ECONOMY", 4500.0),
+    ("LARGE", 4000.0),
+    ("MEDIUM", 5000.0),
+    ("PROMO", 4200.0),
+    ("SMALL", 5500.0),
+    ("STANDARD", 3800.0),
 ]
 
 
