@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pricelens.functions import is_weekend, weekday0
 from pricelens.sources.adapter import calendar, daily_signal, price_panel
 
+NO_FESTIVAL = "No Festival"  # fill value of the calendar join (fixed value)
+
 
 def join_weather(panel: DataFrame, weather: DataFrame, on=("date", "district")) -> DataFrame:
     """Left join of the district weather.
@@ -39,7 +41,7 @@ def join_calendar(panel: DataFrame, cal: DataFrame, dedupe: bool = True) -> Data
     """
     c = calendar_one_per_date(cal) if dedupe else cal
     return (panel.join(F.broadcast(c), "date", "left")
-                 .withColumn("festival", F.coalesce("festival", F.lit("None")))
+                 .withColumn("festival", F.coalesce("festival", F.lit(NO_FESTIVAL)))
                  .withColumn("holiday", F.coalesce("holiday", F.lit(0))))
 
 

@@ -117,6 +117,22 @@ def minmax_normalise(df: DataFrame, x: str, out: str, keys=(), constant_value: f
              .drop("_mn", "_mx"))
 
 
+def minmax_normalise_many(df: DataFrame, mapping: dict, keys=(), constant_value: float = 50.0) -> DataFrame:
+    """A21 for several columns with a single aggregate + one broadcast join."""
+    keys = list(keys)
+    aggs = []
+    for i, src in enumerate(mapping):
+        aggs += [F.min(src).alias(f"_mn{i}"), F.max(src).alias(f"_mx{i}")]
+    j = attach(df, df.groupBy(*keys).agg(*aggs), keys)
+    outs = {}
+    for i, (src, out) in enumerate(mapping.items()):
+        mn, mx = F.col(f"_mn{i}"), F.col(f"_mx{i}")
+        v = safe_div((F.col(src) - mn) * F.lit(100.0), mx - mn)
+        outs[out] = F.when(mx == mn, F.lit(constant_value)).otherwise(v)
+    j = j.withColumns(outs)
+    return j.drop(*[f"_mn{i}" for i in range(len(mapping))], *[f"_mx{i}" for i in range(len(mapping))])
+
+
 def arg_extreme(value, by, tiebreak=None, largest: bool = False) -> Column:
     """``value`` at the min (or max) of ``by``; ties -> smallest ``tiebreak``."""
     key = F.struct(col(by), col(tiebreak)) if tiebreak is not None else col(by)
