@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.functions import safe_div
-from pricelens.sources.tables import read_table
+from pricelens.sources.tables import read_table, table_path
 
 PANEL_KEYS = ("commodity", "district")
 
@@ -61,7 +61,16 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(commodity, district, date, modal_price, arrival), unique on the key."""
+    """(commodity, district, date, modal_price, arrival), unique on the key.
+
+    Stored once per input snapshot (see ``sources.store``).
+    """
+    from pricelens.sources.store import materialized
+    ins = [table_path(sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "region")]
+    return materialized(spark, "price_panel", ins, lambda: build_price_panel(spark, sf_dir))
+
+
+def build_price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (price_rows(spark, sf_dir)
             .groupBy("commodity", "district", "date")
             .agg(F.avg("unit_price").alias("modal_price"),
@@ -70,6 +79,12 @@ def price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, district, rainfall_mm, max_temp, min_temp, wind), unique on (date, district)."""
+    from pricelens.sources.store import materialized
+    ins = [table_path(sf_dir, t) for t in ("orders", "customer", "nation", "region")]
+    return materialized(spark, "daily_signal", ins, lambda: build_daily_signal(spark, sf_dir))
+
+
+def build_daily_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     geo = region_of_nation(spark, sf_dir)
@@ -115,8 +130,8 @@ def holiday_calendar(spark: SparkSession, dates: DataFrame, date_col: str = "dat
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem", ["l_shipdate"])
-    return holiday_calendar(spark, li.select(F.to_date("l_shipdate").alias("date")))
+    """Holiday calendar spanning the years of the price panel."""
+    return holiday_calendar(spark, price_panel(spark, sf_dir).select("date"))
 
 
 # Test-data cultivation cost per commodity (one literal per p_type, set near
