@@ -52,3 +52,30 @@ def history_features(spark, sf_dir):
     f = f.withColumn("price_stress", price_stress(F.abs("price_change_pct")))
     return _q(f, {"modal_price", "lag_1", "lag_2", "lag_3", "rolling_7", "rolling_30",
                   "price_change", "price_change_pct"})
+
+
+# J12 ---------------------------------------------------------------------------------
+from pricelens.operators.asof import asof_features  # noqa: E402
+from pricelens.sources.adapter import price_requests  # noqa: E402
+
+_ASOF_SQL = with_views(["price_panel", "daily_signal"], f"""
+SELECT r.date, r.district, r.commodity, {sq4('h.lag_1')} AS lag_1, {sq4('h.lag_2')} AS lag_2, {sq4('h.lag_3')} AS lag_3,
+       {sq4('h.rolling_7')} AS rolling_7, {sq4('h.rolling_30')} AS rolling_30,
+       CAST(COALESCE(h.history_rows, 0) AS INTEGER) AS history_rows, COALESCE(h.history_rows, 0) >= 30 AS history_ok
+FROM req r ASOF LEFT JOIN hist h ON r.commodity = h.commodity AND r.district = h.district AND r.date > h.date""",
+    [("req", "SELECT d.date, d.district, k.commodity FROM daily_signal d JOIN (SELECT DISTINCT commodity, district FROM price_panel) k ON d.district = k.district"),
+     ("hist", """SELECT commodity, district, date, modal_price AS lag_1,
+        lag(modal_price, 1) OVER w AS lag_2, lag(modal_price, 2) OVER w AS lag_3,
+        CASE WHEN count(modal_price) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) >= 7
+             THEN avg(modal_price) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) END AS rolling_7,
+        CASE WHEN count(modal_price) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) >= 30
+             THEN avg(modal_price) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) END AS rolling_30,
+        row_number() OVER w AS history_rows
+      FROM price_panel WINDOW w AS (PARTITION BY commodity, district ORDER BY date)""")])
+
+
+@register("asof_history_features", "J12 M22 W1 W5", sql=_ASOF_SQL)
+def q_asof_history_features(spark, sf_dir):
+    req = price_requests(spark, sf_dir).select("date", "district", "commodity")
+    f = asof_features(req, price_panel(spark, sf_dir), K, "date", "modal_price", 30)
+    return _q(f, {"lag_1", "lag_2", "lag_3", "rolling_7", "rolling_30"})

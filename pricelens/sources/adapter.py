@@ -148,3 +148,19 @@ COST_OF_CULTIVATION = [
 
 def cost_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COST_OF_CULTIVATION, "commodity string, cost double")
+
+
+def price_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction requests: every commodity traded in a district, on every day
+    with a weather record for that district (date, district, commodity,
+    arrival, max_temp, min_temp, rainfall_mm, wind).
+
+    Equi-join of the (commodity, district) keys with the daily signal on
+    district: one request per key and weather day.
+    """
+    keys = price_panel(spark, sf_dir).select("commodity", "district").distinct()
+    ds = daily_signal(spark, sf_dir)
+    return (ds.join(F.broadcast(keys), "district")
+              .select("date", "district", "commodity",
+                      (F.col("wind") * F.lit(10.0)).alias("arrival"),
+                      "max_temp", "min_temp", "rainfall_mm", "wind"))
