@@ -1,0 +1,265 @@
+"""Model queries.
+
+Queries with a model in them have no SQL oracle (rows-only check); the split
+boundary, the naive-baseline metrics and the price categories do.
+Registered queries use the small model settings (``QUICK_SPECS``); the
+reference-scale settings are ``regress.MODEL_SPECS``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricelens.functions import q4
+from pricelens.ml import classify as CL
+from pricelens.ml import cluster as KM
+from pricelens.ml import data as D
+from pricelens.ml import iforest as IF
+from pricelens.ml import regress as R
+from pricelens.ml import seasonal as SE
+from pricelens.ml.forecast import recursive_forecast
+from pricelens.ml.metrics import confusion_matrix, regression_metrics
+from pricelens.operators import intelligence as I
+from pricelens.operators.panel import panel_with_weather
+from pricelens.operators.scores import event_type, shock_type
+from pricelens.plans.registry import register
+from pricelens.plans.sqlviews import q4 as sq4, with_views
+from pricelens.sources.adapter import price_panel, price_requests
+
+
+def _qall(df):
+    dbl = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
+    return df.select(*[q4(c).alias(c) if c in dbl else F.col(c) for c in df.columns])
+
+
+SPLIT_SQL = """SELECT (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i FROM (SELECT DISTINCT date FROM price_panel))
+        WHERE i = (SELECT floor(COUNT(DISTINCT date) * 0.8) FROM price_panel)) AS split_date"""
+
+
+@register("chrono_split_boundary", "M3 A11 U3", sql=with_views(["price_panel"], """
+SELECT s.split_date, CAST(COUNT(*) FILTER (WHERE p.date < s.split_date) AS BIGINT) AS train_rows,
+       CAST(COUNT(*) FILTER (WHERE p.date >= s.split_date) AS BIGINT) AS test_rows,
+       MAX(p.date) FILTER (WHERE p.date < s.split_date) AS last_train_date,
+       MIN(p.date) FILTER (WHERE p.date >= s.split_date) AS first_test_date,
+       MAX(p.date) FILTER (WHERE p.date < s.split_date) >= MIN(p.date) FILTER (WHERE p.date >= s.split_date) AS overlap
+FROM price_panel p, split s GROUP BY s.split_date""", [("split", SPLIT_SQL)]))
+def q_chrono_split_boundary(spark, sf_dir):
+    p = price_panel(spark, sf_dir)
+    sd = D.split_date_by_fraction(p)
+    from pricelens.operators.stats import attach
+    j = attach(p, sd)
+    lt = F.col("date") < F.col("split_date")
+    g = j.groupBy("split_date").agg(F.count_if(lt).alias("train_rows"), F.count_if(~lt).alias("test_rows"),
+                                    F.max(F.when(lt, F.col("date"))).alias("last_train_date"),
+                                    F.min(F.when(~lt, F.col("date"))).alias("first_test_date"))
+    return g.withColumn("overlap", F.col("last_train_date") >= F.col("first_test_date"))
+
+
+def _naive_sql():
+    base = """SELECT p.commodity, p.district, p.modal_price AS y, p.lag_1 AS yhat FROM (
+        SELECT *, lag(modal_price) OVER (PARTITION BY commodity, district ORDER BY date) AS lag_1 FROM price_panel) p, split s
+      WHERE p.date >= s.split_date AND p.lag_1 IS NOT NULL"""
+    def part(kind, key):
+        return f"""SELECT '{kind}' AS slice_type, {key} AS slice, CAST(COUNT(*) AS BIGINT) AS rows,
+          {sq4('AVG(abs(y - yhat))')} AS mae, {sq4('sqrt(AVG((y - yhat) * (y - yhat)))')} AS rmse,
+          {sq4('CASE WHEN COUNT(*) > 1 THEN 1 - SUM((y - yhat) * (y - yhat)) / NULLIF(COUNT(*) * var_pop(y), 0) END')} AS r2
+          FROM t GROUP BY {key if key != "'all'" else "1"} HAVING COUNT(*) >= 10"""
+    return with_views(["price_panel"], " UNION ALL ".join(
+        [part("overall", "'all'"), part("commodity", "commodity"), part("district", "district")]),
+        [("split", SPLIT_SQL), ("t", base)])
+
+
+@register("naive_baseline_metrics", "M8 M9 M3", sql=_naive_sql())
+def q_naive_baseline_metrics(spark, sf_dir):
+    from pricelens.operators.windows import lag, spec
+    p = price_panel(spark, sf_dir)
+    p = p.withColumn("prediction", lag("modal_price", 1, spec(["commodity", "district"], "date")))
+    _, test = D.chrono_split(p, "date_fraction")
+    test = test.filter(F.col("prediction").isNotNull())
+    parts = []
+    for kind, key in [("overall", None), ("commodity", "commodity"), ("district", "district")]:
+        keys = [key] if key else []
+        m = regression_metrics(test, "modal_price", "prediction", keys, min_rows=10)
+        parts.append(m.select(F.lit(kind).alias("slice_type"),
+                              (F.col(key) if key else F.lit("all")).alias("slice"), "rows", "mae", "rmse", "r2"))
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _qall(out)
+
+
+@register("price_category", "D16 A10", sql=with_views(["price_panel"], f"""
+SELECT p.commodity, p.district, p.date, {sq4('p.modal_price')} AS modal_price, {sq4('b.p33')} AS p33, {sq4('b.p66')} AS p66,
+  CASE WHEN p.modal_price <= b.p33 THEN 'Cheap' WHEN p.modal_price <= b.p66 THEN 'Normal' ELSE 'Expensive' END AS price_category
+FROM price_panel p JOIN (SELECT commodity, quantile_cont(modal_price, 0.33) AS p33, quantile_cont(modal_price, 0.66) AS p66
+                         FROM price_panel GROUP BY 1) b ON p.commodity = b.commodity"""))
+def q_price_category(spark, sf_dir):
+    c = CL.price_category(price_panel(spark, sf_dir))
+    return _qall(c.select("commodity", "district", "date", "modal_price", "p33", "p66", "price_category"))
+
+
+@register("price_category_counts", "D16 A2 L3", sql=with_views(["price_panel"], """
+SELECT p.commodity, CASE WHEN p.modal_price <= b.p33 THEN 'Cheap' WHEN p.modal_price <= b.p66 THEN 'Normal' ELSE 'Expensive' END AS price_category,
+       CAST(COUNT(*) AS BIGINT) AS n
+FROM price_panel p JOIN (SELECT commodity, quantile_cont(modal_price, 0.33) AS p33, quantile_cont(modal_price, 0.66) AS p66
+                         FROM price_panel GROUP BY 1) b ON p.commodity = b.commodity GROUP BY 1, 2"""))
+def q_price_category_counts(spark, sf_dir):
+    c = CL.price_category(price_panel(spark, sf_dir))
+    return c.groupBy("commodity", "price_category").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- regressors ------------------------------------------------------------------
+def _split(spark, sf_dir):
+    mp = D.model_panel(spark, sf_dir)
+    return D.chrono_split(mp, "date_fraction")
+
+
+@register("ml_model_comparison", "M4 M5 M8 M11 M25 M3 M1")
+def q_ml_model_comparison(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    train = train.cache()
+    df, _ = R.compare_models(train, test, R.QUICK_SPECS)
+    tr, te = train.count(), test.count()
+    return _qall(df.withColumns({"train_rows": F.lit(tr), "selected": F.col("model") == df.first().model}))
+
+
+def _selected_model(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    model = R.fit(train, R.QUICK_SPECS["boosted_trees"])
+    return model, train, test
+
+
+@register("ml_metrics_by_slice", "M9 S11 M23")
+def q_ml_metrics_by_slice(spark, sf_dir):
+    model, _, test = _selected_model(spark, sf_dir)
+    pred = R.predict(model, test)
+    c = regression_metrics(pred, keys=["commodity"], min_rows=10).withColumn("slice_type", F.lit("commodity")) \
+        .withColumnRenamed("commodity", "slice")
+    d = regression_metrics(pred, keys=["district"], min_rows=10).withColumn("slice_type", F.lit("district")) \
+        .withColumnRenamed("district", "slice")
+    return _qall(c.unionByName(d))
+
+
+@register("ml_feature_importance", "M12 L4 M13")
+def q_ml_feature_importance(spark, sf_dir):
+    model, _, _ = _selected_model(spark, sf_dir)
+    return _qall(R.feature_importance(model))
+
+
+def _model_forecast(spark, sf_dir, horizon=30):
+    mp = D.model_panel(spark, sf_dir)
+    model = R.fit(mp, R.QUICK_SPECS["boosted_trees"])
+    return recursive_forecast(model, mp, horizon=horizon)
+
+
+@register("ml_recursive_forecast", "M15 M14 X20 P20")
+def q_ml_recursive_forecast(spark, sf_dir):
+    return _qall(_model_forecast(spark, sf_dir))
+
+
+@register("ml_forecast_intelligence", "D7 D13 M15")
+def q_ml_forecast_intelligence(spark, sf_dir):
+    fc = _model_forecast(spark, sf_dir).cache()
+    s = I.forecast_summary(fc)
+    return _qall(s.join(I.best_forecast_district(fc), "commodity"))
+
+
+# -- clustering --------------------------------------------------------------------
+def _profile(spark, sf_dir):
+    from pricelens.plans.q_aggregates import district_profile
+    return district_profile(panel_with_weather(spark, sf_dir))
+
+
+@register("district_clusters", "M16 M17 A4")
+def q_district_clusters(spark, sf_dir):
+    return _qall(KM.cluster_districts(_profile(spark, sf_dir)))
+
+
+@register("cluster_k_search", "M16")
+def q_cluster_k_search(spark, sf_dir):
+    return _qall(KM.k_search(_profile(spark, sf_dir)))
+
+
+@register("cluster_summary", "D11 A25 J8 M16")
+def q_cluster_summary(spark, sf_dir):
+    from pricelens.plans.q_scores import crisis_frame
+    cl = KM.cluster_districts(_profile(spark, sf_dir), KM.WEATHER_MEASURES, k=2)
+    di = I.district_intelligence(crisis_frame(spark, sf_dir))
+    return _qall(KM.cluster_summary(cl, di))
+
+
+# -- classifier ----------------------------------------------------------------------
+def _classifier(spark, sf_dir):
+    mp = CL.price_category(D.model_panel(spark, sf_dir))
+    train, test = D.chrono_split(mp, "date_fraction")
+    train = CL.balanced_weights(train)
+    model = CL.classifier_pipeline(num_trees=30, max_depth=8).fit(train)
+    return model, model.transform(test.withColumn("weight", F.lit(1.0)))
+
+
+@register("price_category_classifier", "M7 M10 M24")
+def q_price_category_classifier(spark, sf_dir):
+    _, pred = _classifier(spark, sf_dir)
+    m = CL.classification_metrics(pred)
+    return spark.createDataFrame([(k, float(v)) for k, v in m.items()], "metric string, value double")
+
+
+@register("price_category_confusion", "M10 A17 L3")
+def q_price_category_confusion(spark, sf_dir):
+    model, pred = _classifier(spark, sf_dir)
+    p = CL.with_labels(pred, model)
+    return confusion_matrix(p, "price_category", "predicted_category", CL.CLASSES)
+
+
+# -- isolation forest ------------------------------------------------------------------
+OUTLIER_FEATURES = ["modal_price", "price_change_pct", "price_deviation", "arrival", "arrival_deviation"]
+
+
+def _outliers(spark, sf_dir, trees=200):
+    from pricelens.plans.q_scores import crisis_frame
+    c = crisis_frame(spark, sf_dir)
+    o = IF.isolation_forest(c, "commodity", OUTLIER_FEATURES, ["commodity", "district", "date"], trees=trees)
+    return o.withColumns({"event_type": event_type(F.col("outlier_flag") == -1),
+                          "shock_type": shock_type(F.col("outlier_flag") == -1,
+                                                   F.coalesce("price_zscore", F.lit(0.0)),
+                                                   F.coalesce("arrival_zscore", F.lit(0.0)))})
+
+
+@register("outlier_events", "M18 D15 W10")
+def q_outlier_events(spark, sf_dir):
+    o = _outliers(spark, sf_dir).filter(F.col("outlier_flag") == -1)
+    return _qall(o.select("date", "commodity", "district", "modal_price", "arrival", "price_change_pct",
+                          "price_zscore", "arrival_zscore", "anomaly_score", "decision", "outlier_flag",
+                          "event_type", "shock_type"))
+
+
+@register("outlier_summary", "M18 D15 A2 A14")
+def q_outlier_summary(spark, sf_dir):
+    o = _outliers(spark, sf_dir)
+    return _qall(o.groupBy("commodity").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("outlier_flag") == -1).alias("anomalies"),
+        (F.avg((F.col("outlier_flag") == -1).cast("double")) * 100).alias("anomaly_pct")))
+
+
+# -- seasonal ----------------------------------------------------------------------------
+@register("seasonal_forecast", "M19 M21 P15")
+def q_seasonal_forecast(spark, sf_dir):
+    return _qall(SE.seasonal_forecast(price_panel(spark, sf_dir)))
+
+
+@register("seasonal_evaluation", "M20 M3 M8")
+def q_seasonal_evaluation(spark, sf_dir):
+    p = price_panel(spark, sf_dir)
+    cut = D.split_date_by_fraction(p).first().split_date
+    fc = SE.seasonal_forecast(p, horizon=0, train_end=cut)
+    return _qall(SE.seasonal_evaluation(fc, cut))
+
+
+# -- request scoring -----------------------------------------------------------------------
+@register("batch_request_scoring", "M22 J12 J13 M2")
+def q_batch_request_scoring(spark, sf_dir):
+    from pricelens.ml.serve import score_requests
+    mp = D.model_panel(spark, sf_dir)
+    model = R.fit(mp, R.QUICK_SPECS["boosted_trees"])
+    req = price_requests(spark, sf_dir)
+    out = score_requests(req, price_panel(spark, sf_dir), model)
+    return _qall(out.select("date", "district", "commodity", "lag_1", "rolling_7", "rolling_30",
+                            "history_rows", "error", "predicted_price"))

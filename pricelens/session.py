@@ -64,3 +64,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pricelens`` importable in Python workers (pandas UDF code).
+
+    Zips the package once per SparkContext and registers it with
+    ``addPyFile`` so executors on any node can import it (the standard way to
+    ship Python code with a Spark job).
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = tempfile.mkdtemp(prefix="pricelens-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "pricelens"), "zip", root_dir=root, base_dir="pricelens")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
