@@ -89,3 +89,11 @@ def assert_no_overlap(train: DataFrame, test: DataFrame, date_col: str = "date")
     b = test.agg(F.min(date_col)).first()[0]
     if a is not None and b is not None and a >= b:
         raise ValueError(f"train/test dates overlap: {a} >= {b}")
+
+
+def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42, keys=("commodity", "district", "date")):
+    """M2: repeatable 80/20 split by a seeded hash of the row key (independent
+    of partitioning, unlike ``randomSplit`` on an unordered input)."""
+    u = (F.abs(F.xxhash64(*keys, F.lit(seed))) % F.lit(1000000)) / F.lit(1000000.0)
+    d = df.withColumn("_u", u)
+    return d.filter(F.col("_u") < frac).drop("_u"), d.filter(F.col("_u") >= frac).drop("_u")

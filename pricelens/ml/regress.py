@@ -98,3 +98,17 @@ def load_model(path: str) -> tuple[PipelineModel, dict]:
     s = SparkSession.getActiveSession()
     meta = json.loads(s.read.text(f"{path}/meta").first()[0])
     return PipelineModel.load(f"{path}/model"), meta
+
+
+def per_key_models(train: DataFrame, test: DataFrame, key: str, spec: dict, keys_list=None):
+    """M6: one model per value of ``key`` (few keys: filter + fit each; the key
+    list is a dimension, checked by ``distinct_values``).  Returns the test
+    predictions of all key models as one DataFrame."""
+    from pricelens.operators.aggregates import distinct_values
+    vals = keys_list if keys_list is not None else distinct_values(train, key)
+    preds = None
+    for v in vals:
+        m = fit(train.filter(F.col(key) == v), spec)
+        p = predict(m, test.filter(F.col(key) == v))
+        preds = p if preds is None else preds.unionByName(p)
+    return preds

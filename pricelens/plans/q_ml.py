@@ -263,3 +263,33 @@ def q_batch_request_scoring(spark, sf_dir):
     out = score_requests(req, price_panel(spark, sf_dir), model)
     return _qall(out.select("date", "district", "commodity", "lag_1", "rolling_7", "rolling_30",
                             "history_rows", "error", "predicted_price"))
+
+
+@register("ml_per_commodity_models", "M6 M9 M2")
+def q_ml_per_commodity_models(spark, sf_dir):
+    """One random-forest model per commodity on a seeded 80/20 random split."""
+    mp = D.model_panel(spark, sf_dir).cache()
+    train, test = D.random_split(mp)
+    preds = R.per_key_models(train, test, "commodity", R.QUICK_SPECS["random_forest"])
+    return _qall(regression_metrics(preds, keys=["commodity"]))
+
+
+@register("ml_side_by_side", "M23 S11")
+def q_ml_side_by_side(spark, sf_dir):
+    """Predictions of two models next to each other on the full panel."""
+    mp = D.model_panel(spark, sf_dir).cache()
+    train, _ = D.chrono_split(mp, "date_fraction")
+    rf = R.fit(train, R.QUICK_SPECS["random_forest"])
+    gb = R.fit(train, R.QUICK_SPECS["boosted_trees"])
+    k = ["commodity", "district", "date"]
+    a = rf.transform(mp).select(*k, "modal_price", F.col("prediction").alias("rf_prediction"))
+    b = gb.transform(mp).select(*k, F.col("prediction").alias("gbt_prediction"))
+    return _qall(a.join(b, k))
+
+
+@register("date_quantile_split", "A11 M3", sql=with_views(["price_panel"], """
+SELECT CAST(to_days(CAST(floor(quantile_cont(epoch_ms(date) / 86400000, 0.8)) AS INTEGER)) + DATE '1970-01-01' AS DATE) AS split_date
+FROM price_panel"""))
+def q_date_quantile_split(spark, sf_dir):
+    p = price_panel(spark, sf_dir)
+    return p.agg(F.date_from_unix_date(F.floor(F.percentile(F.unix_date("date"), F.lit(0.8))).cast("int")).alias("split_date"))

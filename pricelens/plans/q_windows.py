@@ -79,3 +79,70 @@ def q_asof_history_features(spark, sf_dir):
     req = price_requests(spark, sf_dir).select("date", "district", "commodity")
     f = asof_features(req, price_panel(spark, sf_dir), K, "date", "modal_price", 30)
     return _q(f, {"lag_1", "lag_2", "lag_3", "rolling_7", "rolling_30"})
+
+
+# W13 / W14 / M13 -------------------------------------------------------------------
+@register("row_rank_split", "W13 M3", sql=with_views(["price_panel"], """
+SELECT commodity, CAST(COUNT(*) FILTER (WHERE rn <= floor(0.8 * n)) AS BIGINT) AS train_rows,
+       CAST(COUNT(*) FILTER (WHERE rn > floor(0.8 * n)) AS BIGINT) AS test_rows,
+       MAX(date) FILTER (WHERE rn <= floor(0.8 * n)) AS last_train_date
+FROM (SELECT commodity, date, row_number() OVER (PARTITION BY commodity ORDER BY date, district) AS rn,
+             COUNT(*) OVER (PARTITION BY commodity) AS n FROM price_panel)
+GROUP BY 1"""))
+def q_row_rank_split(spark, sf_dir):
+    r = W.row_rank_split(price_panel(spark, sf_dir), ["commodity"], ["date", "district"], 0.8)
+    return r.groupBy("commodity").agg(F.count_if("is_train").alias("train_rows"),
+                                      F.count_if(~F.col("is_train")).alias("test_rows"),
+                                      F.max(F.when(F.col("is_train"), F.col("date"))).alias("last_train_date"))
+
+
+_CMP_FEATS = ["rolling_7", "rolling_30"]
+
+
+@register("feature_recheck", "W14 W5 W6", sql=with_views(["price_panel"], " UNION ALL ".join(f"""
+SELECT '{f}' AS feature, CAST(COUNT(*) AS BIGINT) AS rows,
+  CAST(COUNT(*) FILTER (WHERE (s IS NULL AND r IS NULL) OR coalesce(abs(s - r) <= 1e-8 + 1e-5 * abs(r), false)) AS BIGINT) AS n_close,
+  CAST(COUNT(*) FILTER (WHERE abs(s - r) < 0.01) AS BIGINT) AS n_within_tol,
+  {sq4('AVG(abs(s - r))')} AS mean_abs_diff, {sq4('MAX(abs(s - r))')} AS max_abs_diff
+FROM (SELECT {_roll_sql('modal_price', int(f.split('_')[1]), False, 1)} AS s,
+             {_roll_sql('modal_price', int(f.split('_')[1]), False, int(f.split('_')[1]))} AS r
+      FROM price_panel WINDOW w AS ({_WK}))""" for f in _CMP_FEATS)))
+def q_feature_recheck(spark, sf_dir):
+    """Stored stage features (rolling means with min_periods=1) against the
+    recomputed full-window features: agreement counts per feature."""
+    p = price_panel(spark, sf_dir)
+    a = W.add_history_features(p, lags=(), windows=(7, 30), include_current=False, min_periods=1, prefix="s_")
+    a = W.add_history_features(a, lags=(), windows=(7, 30), include_current=False, prefix="r_")
+    c = W.compare_features(a, {f: (f"s_{f}", f"r_{f}") for f in _CMP_FEATS})
+    return c.select("feature", "rows", "n_close", "n_within_tol", q4("mean_abs_diff").alias("mean_abs_diff"),
+                    q4("max_abs_diff").alias("max_abs_diff"))
+
+
+_LEAK = ["lag_1", "lag_2", "lag_3", "rolling_7", "rolling_30", "price_change"]
+
+
+def _corr_sql(a, b):
+    pa = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {a} END"
+    pb = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {b} END"
+    return f"(covar_samp({pa}, {pb}) / NULLIF(stddev_samp({pa}) * stddev_samp({pb}), 0))"
+
+
+_LF = f"""SELECT modal_price, lag(modal_price, 1) OVER w AS lag_1, lag(modal_price, 2) OVER w AS lag_2,
+  lag(modal_price, 3) OVER w AS lag_3, {_roll_sql('modal_price', 7, False, 7)} AS rolling_7,
+  {_roll_sql('modal_price', 30, False, 30)} AS rolling_30, modal_price - lag(modal_price, 1) OVER w AS price_change
+FROM price_panel WINDOW w AS ({_WK})"""
+
+
+@register("leakage_report", "M13 A7 W1 W6 W8", sql=with_views(["price_panel"], " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {sq4(_corr_sql(f, 'modal_price'))} AS correlation_with_target, "
+    f"{'true' if f == 'price_change' else 'false'} AS leaks_target FROM lf" for f in _LEAK), [("lf", _LF)]))
+def q_leakage_report(spark, sf_dir):
+    """Correlation of each history feature with the target; ``price_change``
+    is computed from the target itself and is dropped from model inputs."""
+    from pricelens.functions import safe_corr
+    p = price_panel(spark, sf_dir)
+    f = W.add_change_features(W.add_history_features(p))
+    agg = f.agg(*[safe_corr(c, "modal_price").alias(c) for c in _LEAK])
+    long = agg.unpivot([], _LEAK, "feature", "correlation_with_target")
+    return long.select("feature", q4("correlation_with_target").alias("correlation_with_target"),
+                       (F.col("feature") == "price_change").alias("leaks_target"))
