@@ -38,6 +38,7 @@ def _pipe(measures, k):
 def k_search(profile: DataFrame, measures=PROFILE_MEASURES, ks=range(2, 7)) -> DataFrame:
     """Inertia and silhouette per K (driver loop over a handful of K values)."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+    profile = profile.cache()  # one row per district: reused by every K
     n = profile.count()
     rows = []
     for k in ks:
