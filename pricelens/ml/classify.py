@@ -41,8 +41,8 @@ def balanced_weights(df: DataFrame, label: str = "price_category", keys=()) -> D
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys)) if keys else None
     nc = F.count(F.lit(1)).over(Window.partitionBy(*keys, label))
     if not keys:
-        tot = df.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_k"))
-        j = df.withColumn("_g", F.lit(0)).join(F.broadcast(tot.withColumn("_g", F.lit(0))), "_g").drop("_g")
+        from pricelens.operators.stats import attach
+        j = attach(df, df.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_k")))
         return j.withColumn("weight", F.col("_n") / (F.col("_k") * nc)).drop("_n", "_k")
     k = F.size(F.collect_set(label).over(Window.partitionBy(*keys)))
     return df.withColumn("weight", n / (k * nc))

@@ -34,13 +34,12 @@ def indexers(columns=CATEGORICAL, handle_invalid: str = "error"):
 
 def unseen_to_first(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
     """M1 policy 'first class': unseen values become the alphabetically first label."""
+    from pricelens.operators.stats import attach
     labels = train.select(column).distinct()
-    first = labels.agg(F.min(column).alias("_first"))
     known = labels.withColumn("_known", F.lit(True))
-    j = df.join(F.broadcast(known), column, "left").join(F.broadcast(first.withColumn("_g", F.lit(0))),
-                                                          F.lit(0) == F.col("_g"), "left")
+    j = attach(df.join(F.broadcast(known), column, "left"), labels.agg(F.min(column).alias("_first")))
     return (j.withColumn(column, F.when(F.col("_known"), F.col(column)).otherwise(F.col("_first")))
-             .drop("_known", "_first", "_g"))
+             .drop("_known", "_first"))
 
 
 def split_date_by_fraction(df: DataFrame, frac: float = 0.8, date_col: str = "date") -> DataFrame:
@@ -64,16 +63,15 @@ def chrono_split(df: DataFrame, kind: str = "date_fraction", frac: float = 0.8,
     """
     if kind == "fixed_date":
         return df.filter(F.col(date_col) < F.lit(date)), df.filter(F.col(date_col) >= F.lit(date))
+    from pricelens.operators.stats import attach
     if kind == "date_fraction":
-        sd = split_date_by_fraction(df, frac, date_col).withColumn("_g", F.lit(0))
-        j = df.withColumn("_g", F.lit(0)).join(F.broadcast(sd), "_g").drop("_g")
+        j = attach(df, split_date_by_fraction(df, frac, date_col))
         return (j.filter(F.col(date_col) < F.col("split_date")).drop("split_date"),
                 j.filter(F.col(date_col) >= F.col("split_date")).drop("split_date"))
     if kind == "date_quantile":
         q = df.agg(F.percentile(F.unix_date(date_col), F.lit(frac)).alias("_q"))
-        cut = q.select(F.date_from_unix_date(F.floor("_q").cast("int")).alias("split_date"),
-                       F.lit(0).alias("_g"))
-        j = df.withColumn("_g", F.lit(0)).join(F.broadcast(cut), "_g").drop("_g")
+        cut = q.select(F.date_from_unix_date(F.floor("_q").cast("int")).alias("split_date"))
+        j = attach(df, cut)
         return (j.filter(F.col(date_col) < F.col("split_date")).drop("split_date"),
                 j.filter(F.col(date_col) >= F.col("split_date")).drop("split_date"))
     if kind == "row_fraction_per_key":

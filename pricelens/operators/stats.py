@@ -19,14 +19,14 @@ from pricelens.functions import col, safe_corr, safe_div
 def attach(df: DataFrame, small: DataFrame, keys=()) -> DataFrame:
     """Join a per-group (or one-row global) aggregate back onto ``df``.
 
-    ``small`` has one row per key combination, so it is broadcast; with no
-    keys a constant join key stands in for the (single-row) global group.
+    ``small`` has one row per key combination, so it is broadcast.  With no
+    keys it is a one-row aggregate: its columns become uncorrelated scalar
+    subqueries (computed once, inlined as values; no join at all).
     """
     keys = list(keys)
     if keys:
         return df.join(F.broadcast(small), keys)
-    return (df.withColumn("_g", F.lit(0))
-              .join(F.broadcast(small.withColumn("_g", F.lit(0))), "_g").drop("_g"))
+    return df.withColumns({c: small.select(c).scalar() for c in small.columns})
 
 
 def quantiles(x, qs, approx: bool = False, accuracy: int = 10000) -> Column:
