@@ -145,3 +145,44 @@ def compare_features(df: DataFrame, pairs: dict, rtol: float = 1e-5, atol: float
         F.count_if(diff < F.lit(tol)).alias("n_within_tol"),
         F.avg(diff).alias("mean_abs_diff"),
         F.max(diff).alias("max_abs_diff"))
+
+
+def blocked_history_features(df: DataFrame, keys=("commodity", "district"), order="date",
+                             value="modal_price", lags=(1, 2, 3), windows=(7, 30),
+                             include_current: bool = False, min_periods: int | None = None,
+                             block_days: int = 365, prefix: str = "") -> DataFrame:
+    """``add_history_features`` for very long series: same result, more tasks.
+
+    A plain window puts a whole key in one task, so a key with a long history
+    (or a hot key) becomes a straggler.  Here each key is cut into time blocks
+    of ``block_days``; every row is also copied into the following blocks
+    for which it lies within the look-back L = max(lags, windows) rows of the
+    block start.  The window then runs per (key, block) and only the block's
+    own rows are kept.  Copies per block <= L rows, independent of data size.
+
+    Block bookkeeping uses only a small (key, block) count table; the list of
+    later blocks per key is collected per key (one entry per block).
+    """
+    keys = list(keys)
+    look = max(list(lags) + list(windows) + [1])
+    blk = F.floor(F.unix_date(F.col(order)) / F.lit(block_days)).cast("long")
+    d = df.withColumn("_blk", blk)
+    counts = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
+    cw = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(cw), F.lit(0)))
+    plan = counts.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_blk").alias("b"), F.col("_before").alias("c")))).alias("_blocks"))
+    own = Window.partitionBy(*keys, "_blk").orderBy(F.col(order).desc())
+    d = (d.join(counts, keys + ["_blk"]).join(plan, keys)
+          .withColumn("_e", F.row_number().over(own)))
+    # rows from this row to the start of block b (exclusive of b) must be <= look
+    targets = F.filter("_blocks", lambda x: (x["b"] > F.col("_blk")) &
+                       ((x["c"] - (F.col("_before") + F.col("_cnt")) + F.col("_e")) <= F.lit(look)))
+    base_cols = df.columns
+    home = d.select(*base_cols, F.col("_blk").alias("_part"), F.lit(False).alias("_copy"))
+    copies = d.select(*base_cols, F.explode(F.transform(targets, lambda x: x["b"])).alias("_part"),
+                      F.lit(True).alias("_copy"))
+    u = home.unionByName(copies)
+    out = add_history_features(u, keys + ["_part"], order, value, lags, windows, include_current,
+                               min_periods, prefix)
+    return out.filter(~F.col("_copy")).drop("_part", "_copy")

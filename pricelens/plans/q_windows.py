@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricelens.functions import q4
 from pricelens.operators import windows as W
 from pricelens.operators.scores import price_stress
-from pricelens.plans.registry import register
+from pricelens.plans.registry import QUERIES, register
 from pricelens.plans.sqlviews import q4 as sq4, with_views
 from pricelens.sources.adapter import price_panel
 
@@ -146,3 +146,19 @@ def q_leakage_report(spark, sf_dir):
     long = agg.unpivot([], _LEAK, "feature", "correlation_with_target")
     return long.select("feature", q4("correlation_with_target").alias("correlation_with_target"),
                        (F.col("feature") == "price_change").alias("leaks_target"))
+
+
+@register("history_features_blocked", "W1 W6 W8 W9 D1 (time-blocked windows)",
+          sql=QUERIES["history_features"].sql)
+def q_history_features_blocked(spark, sf_dir):
+    """Same result as ``history_features``; windows run per (key, 90-day block)
+    with a 30-row look-back copied in, so long series spread over many tasks."""
+    p = price_panel(spark, sf_dir).select(*K, "date", "modal_price")
+    f = W.blocked_history_features(p, K, "date", "modal_price", (1, 2, 3), (7, 30),
+                                   include_current=False, block_days=90)
+    from pricelens.functions import pct_change
+    f = f.withColumns({"price_change": F.col("modal_price") - F.col("lag_1"),
+                       "price_change_pct": pct_change("modal_price", "lag_1")})
+    f = f.withColumn("price_stress", price_stress(F.abs("price_change_pct")))
+    return _q(f, {"modal_price", "lag_1", "lag_2", "lag_3", "rolling_7", "rolling_30",
+                  "price_change", "price_change_pct"})

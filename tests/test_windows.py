@@ -67,3 +67,18 @@ def test_repartition_does_not_change_features(spark):
     a = W.add_history_features(df).orderBy("commodity", "date").toPandas()
     b = W.add_history_features(df.repartition(7).sortWithinPartitions("modal_price")).orderBy("commodity", "date").toPandas()
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_blocked_windows_equal_plain_windows(spark):
+    rng = np.random.RandomState(5)
+    base = dt.date(2024, 1, 1)
+    rows = []
+    for key in ["a", "b", "c"]:
+        days = sorted(rng.choice(400, 150, replace=False))  # gaps: some 7-day blocks hold 0-2 rows
+        rows += [(key, "d", base + dt.timedelta(int(x)), float(rng.uniform(1, 9))) for x in days]
+    df = spark.createDataFrame(rows, "commodity string, district string, date date, modal_price double")
+    plain = W.add_history_features(df, lags=(1, 2, 3), windows=(7, 30)).orderBy("commodity", "date").toPandas()
+    for bd in (7, 45):
+        blk = W.blocked_history_features(df, lags=(1, 2, 3), windows=(7, 30), block_days=bd)
+        got = blk.orderBy("commodity", "date").toPandas()[plain.columns]
+        pd.testing.assert_frame_equal(plain, got)
