@@ -27,7 +27,7 @@ def _qall(df):
 MONTHS_SQL = "['January','February','March','April','May','June','July','August','September','October','November','December']"
 
 
-@register("cheapest_dearest_month", "N1 A1 A22", sql=with_views(["price_panel"], f"""
+@register("cheapest_dearest_month", "N1 A1 A22 J3", sql=with_views(["price_panel"], f"""
 SELECT commodity,
   {MONTHS_SQL}[arg_min(month, (avg_price, month))] AS cheapest_month, {sq4('MIN(avg_price)')} AS cheapest_price,
   {MONTHS_SQL}[arg_min(month, (-avg_price, month))] AS dearest_month, {sq4('MAX(avg_price)')} AS dearest_price
@@ -152,7 +152,7 @@ FROM (SELECT commodity, CAST(date_trunc('month', date) AS DATE) AS month_start,
       FROM price_panel GROUP BY 1, 2) m LEFT JOIN cost_dim c ON m.commodity = c.commodity"""
 
 
-@register("below_cost_summary", "N8 J4 A14", sql=with_views(["price_panel", "cost_dim"], f"""
+@register("below_cost_summary", "N8 J4 A14 S9", sql=with_views(["price_panel", "cost_dim"], f"""
 SELECT commodity, total_months, months_below_cost, total_months - months_below_cost AS months_above_or_equal_cost,
   {sq4('(months_below_cost * 100.0::DOUBLE) / NULLIF(total_months, 0)')} AS below_cost_pct,
   commodity = (SELECT arg_min(commodity, (-months_below_cost, commodity)) FROM g) AS is_worst
@@ -214,7 +214,7 @@ def q_weather_price_correlation(spark, sf_dir):
     return _qall(N.weather_correlations(panel_with_weather(spark, sf_dir)))
 
 
-@register("festival_vs_normal_day", "N15 A18 J2 P12", sql=with_views(["panel_wx", "calendar"], f"""
+@register("festival_vs_normal_day", "N15 A18 J2 P12 S9", sql=with_views(["panel_wx", "calendar"], f"""
 SELECT commodity, {sq4('n')} AS normal_day_price, {sq4('f')} AS festival_holiday_price, {sq4('f - n')} AS price_difference,
        {sq4('((f - n) * 100) / NULLIF(n, 0)')} AS difference_pct
 FROM (SELECT commodity, AVG(modal_price) FILTER (WHERE NOT ev) AS n, AVG(modal_price) FILTER (WHERE ev) AS f

@@ -217,3 +217,24 @@ def q_missing_calendar_dates(spark, sf_dir):
     from pricelens.operators.joins import missing_dates
     from pricelens.sources.adapter import price_panel
     return missing_dates(price_panel(spark, sf_dir), ("commodity", "district"), "date")
+
+
+@register("csv_ingest_roundtrip", "S1 S2 S3 S4 S5 S6 P5-P8", sql=with_views(["price_panel"], f"""
+SELECT state, commodity_group, commodity, date, {sq4('arrival')} AS arrival, arrival_unit,
+       {sq4('modal_price')} AS modal_price, price_unit FROM clean""", CLEAN_CTES))
+def q_csv_ingest_roundtrip(spark, sf_dir):
+    """Land the raw extract as four CSV files (S6), read them back by glob
+    and by explicit file list with file lineage (S3) using the positional
+    all-string schema without header promotion (S4, S5), then clean."""
+    import uuid
+
+    from pricelens.session import checkpoint_dir
+    from pricelens.sources.raw import RAW_PRICE_SCHEMA, read_csv
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_landing/{uuid.uuid4().hex}"
+    raw_price_strings(spark, sf_dir).repartition(4).write.option("header", True).csv(path)
+    by_glob = read_csv(spark, f"{path}/*.csv", RAW_PRICE_SCHEMA, header=False)
+    files = [r.f for r in by_glob.select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
+    by_list = read_csv(spark, files, RAW_PRICE_SCHEMA, header=False, lineage=True)
+    if by_list.select("source_file").distinct().count() != len(files):  # lineage check (S3)
+        raise ValueError("file lineage lost")
+    return _qcols(C.clean_raw_prices(by_glob), {"arrival", "modal_price"})

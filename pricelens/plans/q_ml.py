@@ -293,3 +293,23 @@ FROM price_panel"""))
 def q_date_quantile_split(spark, sf_dir):
     p = price_panel(spark, sf_dir)
     return p.agg(F.date_from_unix_date(F.floor(F.percentile(F.unix_date("date"), F.lit(0.8))).cast("int")).alias("split_date"))
+
+
+@register("ml_model_persistence", "S10 M12")
+def q_ml_model_persistence(spark, sf_dir):
+    """Save the model + metadata to the shared folder, reload it and score:
+    one row per key with the largest prediction difference (expected 0)."""
+    import uuid
+
+    from pricelens.session import checkpoint_dir
+    mp = D.model_panel(spark, sf_dir)
+    model = R.fit(mp, R.QUICK_SPECS["random_forest"])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_models/{uuid.uuid4().hex}"
+    R.save_model(model, path, {"features": R.FEATURE_COLUMNS, "target": D.TARGET, "model": "random_forest"})
+    loaded, meta = R.load_model(path)
+    k = ["commodity", "district", "date"]
+    a = model.transform(mp).select(*k, F.col("prediction").alias("p1"))
+    b = loaded.transform(mp).select(*k, F.col("prediction").alias("p2"))
+    return (a.join(b, k).groupBy("commodity", "district")
+             .agg(F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"), F.count(F.lit(1)).alias("rows"))
+             .withColumn("model", F.lit(meta["model"])))

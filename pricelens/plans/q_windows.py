@@ -74,7 +74,7 @@ FROM req r ASOF LEFT JOIN hist h ON r.commodity = h.commodity AND r.district = h
       FROM price_panel WINDOW w AS (PARTITION BY commodity, district ORDER BY date)""")])
 
 
-@register("asof_history_features", "J12 M22 W1 W5", sql=_ASOF_SQL)
+@register("asof_history_features", "J12 M22 W1 W5 U2", sql=_ASOF_SQL)
 def q_asof_history_features(spark, sf_dir):
     req = price_requests(spark, sf_dir).select("date", "district", "commodity")
     f = asof_features(req, price_panel(spark, sf_dir), K, "date", "modal_price", 30)
@@ -162,3 +162,18 @@ def q_history_features_blocked(spark, sf_dir):
     f = f.withColumn("price_stress", price_stress(F.abs("price_change_pct")))
     return _q(f, {"modal_price", "lag_1", "lag_2", "lag_3", "rolling_7", "rolling_30",
                   "price_change", "price_change_pct"})
+
+
+@register("legacy_stage_features", "W4 W8 P13 J2", sql=with_views(["price_panel"], f"""
+SELECT commodity, district, date, {sq4('modal_price')} AS modal_price,
+  {sq4(_roll_sql('modal_price', 7, True, 7))} AS rolling_7,
+  {sq4(_roll_sql('modal_price', 30, True, 30))} AS rolling_30,
+  {sq4('modal_price - lag(modal_price, 1) OVER w')} AS price_change
+FROM price_panel WINDOW w AS ({_WK})"""))
+def q_legacy_stage_features(spark, sf_dir):
+    """Stage-3 features: trailing means *including* the current row, full
+    window required (NULL before 7 / 30 rows), and the first difference."""
+    p = price_panel(spark, sf_dir).select(*K, "date", "modal_price")
+    f = W.add_history_features(p, K, "date", "modal_price", (), (7, 30), include_current=True)
+    f = f.withColumn("price_change", F.col("modal_price") - W.lag("modal_price", 1, W.spec(K, "date")))
+    return _q(f, {"modal_price", "rolling_7", "rolling_30", "price_change"})
