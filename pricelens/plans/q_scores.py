@@ -19,8 +19,17 @@ _DOUBLES = {"modal_price", "arrival", "price_change_pct", "arrival_deviation_pct
             "arrival_zscore", "crisis_score"}
 
 
+PANEL_TABLES = ("lineitem", "part", "supplier", "nation", "region", "orders", "customer")
+
+
 def crisis_frame(spark, sf_dir, keys=K, order=("date",)):
-    return crisis_scores(panel_with_weather(spark, sf_dir), keys, order)
+    """Crisis rows, stored once per input snapshot as a stage table (the
+    reference's crisis-score output consumed by the scoring layer)."""
+    from pricelens.sources.store import materialized
+    from pricelens.sources.tables import table_path
+    name = "crisis_" + "_".join(keys) + "__" + "_".join(order)
+    return materialized(spark, name, [table_path(sf_dir, t) for t in PANEL_TABLES],
+                        lambda: crisis_scores(panel_with_weather(spark, sf_dir), keys, order))
 
 
 def _out(df):
@@ -218,7 +227,11 @@ def _qd(df):
 
 
 def _forecast(spark, sf_dir):
-    return I.drift_forecast(price_panel(spark, sf_dir))
+    """Baseline 30-day forecast table, stored once per input snapshot."""
+    from pricelens.sources.store import materialized
+    from pricelens.sources.tables import table_path
+    return materialized(spark, "baseline_forecast", [table_path(sf_dir, t) for t in PANEL_TABLES[:5]],
+                        lambda: I.drift_forecast(price_panel(spark, sf_dir)))
 
 
 def _crisis(spark, sf_dir):
