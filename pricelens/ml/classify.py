@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pricelens.ml.data import indexers
 from pricelens.operators.stats import quantiles
+from pricelens.operators.stats import broadcast_if_small
 
 CLASSES = ["Cheap", "Normal", "Expensive"]
 CLASSIFIER_FEATURES = ["district_code", "festival_code", "arrival", "max_temp", "min_temp", "rainfall_mm", "wind",
@@ -29,7 +30,7 @@ def price_category(df: DataFrame, keys=("commodity",), value: str = "modal_price
     keys = list(keys)
     b = df.groupBy(*keys).agg(quantiles(value, (0.33, 0.66)).alias("_q"))
     b = b.select(*keys, F.col("_q")[0].alias("p33"), F.col("_q")[1].alias("p66"))
-    j = df.join(F.broadcast(b), keys)
+    j = df.join(broadcast_if_small(b), keys)
     v = F.col(value)
     return j.withColumn("price_category", F.when(v <= F.col("p33"), "Cheap")
                         .when(v <= F.col("p66"), "Normal").otherwise("Expensive"))

@@ -17,6 +17,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pricelens.operators.stats import broadcast_if_small
 
 PROFILE_MEASURES = ["average_price", "price_volatility", "average_arrival", "average_max_temp",
                     "average_min_temp", "average_rainfall", "average_wind"]
@@ -67,7 +68,7 @@ def cluster_summary(clusters: DataFrame, district_intel: DataFrame | None = None
             F.array_join(F.array_sort(F.collect_list("district")), ", ").alias("district_list")]
     aggs += [F.avg(m).alias(m) for m in PROFILE_MEASURES if m in df.columns]
     if district_intel is not None:
-        df = df.join(F.broadcast(district_intel.select("district", "district_risk_score", "average_crisis_score")),
+        df = df.join(broadcast_if_small(district_intel.select("district", "district_risk_score", "average_crisis_score")),
                      "district", "left")
         aggs += [F.avg("district_risk_score").alias("avg_district_risk_score"),
                  F.avg("average_crisis_score").alias("avg_crisis_score")]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricelens.operators.panel import feature_panel
 from pricelens.operators.windows import add_history_features
+from pricelens.operators.stats import broadcast_if_small
 
 CATEGORICAL = ["commodity", "district", "festival"]
 NUMERIC = ["arrival", "max_temp", "min_temp", "rainfall_mm", "wind", "holiday", "month", "year", "day",
@@ -37,7 +38,7 @@ def unseen_to_first(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
     from pricelens.operators.stats import attach
     labels = train.select(column).distinct()
     known = labels.withColumn("_known", F.lit(True))
-    j = attach(df.join(F.broadcast(known), column, "left"), labels.agg(F.min(column).alias("_first")))
+    j = attach(df.join(broadcast_if_small(known), column, "left"), labels.agg(F.min(column).alias("_first")))
     return (j.withColumn(column, F.when(F.col("_known"), F.col(column)).otherwise(F.col("_first")))
              .drop("_known", "_first"))
 
@@ -51,8 +52,8 @@ def split_date_by_fraction(df: DataFrame, frac: float = 0.8, date_col: str = "da
     d = df.select(date_col).distinct()
     n = d.agg(F.count(F.lit(1)).alias("_n"))
     ranked = d.select(date_col, (F.row_number().over(Window.orderBy(date_col)) - 1).alias("_i"))
-    return (ranked.join(F.broadcast(n), F.col("_i") == F.floor(F.col("_n") * F.lit(frac)))
-                  .select(F.col(date_col).alias("split_date")))
+    idx = F.floor(n.select("_n").scalar() * F.lit(frac))
+    return ranked.filter(F.col("_i") == idx).select(F.col(date_col).alias("split_date"))
 
 
 def chrono_split(df: DataFrame, kind: str = "date_fraction", frac: float = 0.8, date=None,

@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pricelens.operators.stats import broadcast_if_small
 
 EULER = 0.5772156649
 NODE_SCHEMA = ("grp string, tree int, node int, feature int, threshold double, left int, right int, size int")
@@ -132,7 +133,7 @@ def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int =
     base = df.withColumn("grp", F.col(group).cast("string")).na.drop(subset=list(features))
     n = base.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols])
-    j = base.join(F.broadcast(n), "grp").withColumn("_p", F.least(F.lit(1.0), F.lit(3.0 * psi) / F.col("_n")))
+    j = base.join(broadcast_if_small(n), "grp").withColumn("_p", F.least(F.lit(1.0), F.lit(3.0 * psi) / F.col("_n")))
     tree_ids = F.sequence(F.lit(0), F.lit(trees - 1))
     hsh = lambda t: (F.abs(F.xxhash64(key, t, F.lit(seed))) % F.lit(1000003)) / F.lit(1000003.0)
     picked = j.select("grp", *features, key.alias("_key"), F.explode(F.filter(tree_ids, lambda t: hsh(t) < F.col("_p"))).alias("tree"))
@@ -151,6 +152,6 @@ def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int =
     schema = T.StructType(list(base.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
     scored = base.mapInPandas(_score_fn(fb, list(features), pb), schema)
     thr = scored.groupBy("grp").agg(F.percentile("anomaly_score", F.lit(1.0 - contamination)).alias("_thr"))
-    out = scored.join(F.broadcast(thr), "grp")
+    out = scored.join(broadcast_if_small(thr), "grp")
     out = out.withColumn("decision", F.col("_thr") - F.col("anomaly_score"))
     return out.withColumn("outlier_flag", F.when(F.col("decision") < 0, F.lit(-1)).otherwise(F.lit(1))).drop("_thr", "grp")

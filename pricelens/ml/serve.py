@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from pricelens.functions import is_weekend, weekday0
 from pricelens.operators.asof import asof_features
+from pricelens.operators.stats import broadcast_if_small
 
 
 def validate(requests: DataFrame, known: DataFrame) -> DataFrame:
     """Rule chain, first failure wins; ``known`` = (commodity, district) pairs seen in training."""
     k = known.select("commodity", "district", F.lit(True).alias("_known"))
-    r = requests.join(F.broadcast(k), ["commodity", "district"], "left")
+    r = requests.join(broadcast_if_small(k), ["commodity", "district"], "left")
     err = (F.when(F.col("arrival") < 0, "arrival must be >= 0")
             .when(F.col("rainfall_mm") < 0, "rainfall must be >= 0")
             .when(F.col("wind") < 0, "windspeed must be >= 0")
@@ -47,7 +48,7 @@ def score_requests(requests: DataFrame, history: DataFrame, model: PipelineModel
     out = scored.select(*cols).unionByName(f.filter(F.col("error").isNotNull())
                                             .withColumn("predicted_price", F.lit(None).cast("double")))
     if intel is not None:
-        out = out.join(F.broadcast(intel), ["commodity", "district"], "left")
+        out = out.join(broadcast_if_small(intel), ["commodity", "district"], "left")
     if forecast is not None:
         fl = (forecast.groupBy("commodity", "district")
                       .agg(F.array_sort(F.collect_list(F.struct("date", "predicted_price"))).alias("forecast_30d")))

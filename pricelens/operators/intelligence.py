@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions import clip, col, pct
-from pricelens.operators.stats import attach
 from pricelens.operators.windows import spec
+from pricelens.operators.stats import attach, broadcast_if_small
 
 # Fixed values -------------------------------------------------------------------
 HIGH_LEVELS = ("High", "Critical")
@@ -98,7 +98,7 @@ def risk_summary(crisis: DataFrame, outlier_events: DataFrame | None) -> DataFra
         o = crisis.sparkSession.createDataFrame([], "commodity string, abnormal_events long")
     else:
         o = outlier_events.groupBy("commodity").agg(F.count(F.lit(1)).alias("abnormal_events"))
-    r = c.join(F.broadcast(o), "commodity", "left").withColumn(
+    r = c.join(broadcast_if_small(o), "commodity", "left").withColumn(
         "abnormal_events", F.coalesce(F.col("abnormal_events").cast("double"), F.lit(0.0)))
     r = r.withColumn("high_critical_pct", pct(F.col("high_critical_events"), F.col("total_crisis_records")))
     return r.withColumns({c: r2(c) for c in ["average_crisis_score", "maximum_crisis_score",
@@ -165,7 +165,7 @@ def recommendations(pairs: DataFrame, intel: DataFrame, dintel: DataFrame) -> Da
     ``panel_completeness`` check), and it never invents pairs that do not trade.
     """
     d = dintel.select("district", "district_risk_score", "district_risk_level")
-    g = pairs.join(F.broadcast(intel), "commodity").join(F.broadcast(d), "district")
+    g = pairs.join(broadcast_if_small(intel), "commodity").join(broadcast_if_small(d), "district")
     rule = recommendation_rule("district_risk_level", "final_risk_level", "forecast_volatility_score",
                                "forecast_change_pct", "average_crisis_score")
     g = g.withColumn("rule_id", rule)
@@ -191,5 +191,5 @@ MASTER_COLUMNS = ["commodity", "forecast_average_price", "forecast_min_price", "
 
 # D14 -------------------------------------------------------------------------------
 def master_table(reco: DataFrame, best: DataFrame) -> DataFrame:
-    m = reco.join(F.broadcast(best), "commodity", "left")
+    m = reco.join(broadcast_if_small(best), "commodity", "left")
     return m.select(*MASTER_COLUMNS)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pricelens.operators.stats import broadcast_if_small
 
 
 def missing_dates(df: DataFrame, keys, date_col: str = "date") -> DataFrame:
@@ -51,5 +52,5 @@ def unseen_categories(train: DataFrame, test: DataFrame, column: str) -> DataFra
 def code_map(df: DataFrame, labels: DataFrame, column: str, code_col: str = "code",
              unseen: int = -1) -> DataFrame:
     """Category -> integer code by a dimension join; unseen -> ``unseen``."""
-    return (df.join(F.broadcast(labels), column, "left")
+    return (df.join(broadcast_if_small(labels), column, "left")
               .withColumn(code_col, F.coalesce(F.col(code_col), F.lit(unseen))))

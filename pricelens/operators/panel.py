@@ -40,6 +40,7 @@ def join_calendar(panel: DataFrame, cal: DataFrame, dedupe: bool = True) -> Data
     reduced to one row per date so the join never multiplies price rows.
     """
     c = calendar_one_per_date(cal) if dedupe else cal
+    # bound: one row per calendar date (a few per year)
     return (panel.join(F.broadcast(c), "date", "left")
                  .withColumn("festival", F.coalesce("festival", F.lit(NO_FESTIVAL)))
                  .withColumn("holiday", F.coalesce("holiday", F.lit(0))))

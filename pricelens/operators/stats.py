@@ -16,16 +16,44 @@ from pyspark.sql import functions as F
 from pricelens.functions import col, safe_corr, safe_div
 
 
+def _size_limit(spark) -> int:
+    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    mult = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suf in ("kb", "mb", "gb", "k", "m", "g", "b"):
+        if v.endswith(suf):
+            return int(float(v[: -len(suf)]) * mult[suf])
+    return int(v)
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint behind a size check, plain join beyond it.
+
+    For data-derived small sides (one row per commodity, district, pair...):
+    the optimizer's size estimate of the plan (an upper bound for aggregates)
+    must be under ``spark.sql.autoBroadcastJoinThreshold``; otherwise no hint
+    is given and Catalyst/AQE pick the join from runtime statistics.
+    """
+    limit = limit_bytes if limit_bytes is not None else _size_limit(df.sparkSession)
+    if limit <= 0:
+        return df
+    try:
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # no estimate available: leave it to AQE
+        return df
+    return F.broadcast(df) if est <= limit else df
+
+
 def attach(df: DataFrame, small: DataFrame, keys=()) -> DataFrame:
     """Join a per-group (or one-row global) aggregate back onto ``df``.
 
-    ``small`` has one row per key combination, so it is broadcast.  With no
+    ``small`` has one row per key combination; it is broadcast when its size
+    check passes (``broadcast_if_small``).  With no
     keys it is a one-row aggregate: its columns become uncorrelated scalar
     subqueries (computed once, inlined as values; no join at all).
     """
     keys = list(keys)
     if keys:
-        return df.join(F.broadcast(small), keys)
+        return df.join(broadcast_if_small(small), keys)
     return df.withColumns({c: small.select(c).scalar() for c in small.columns})
 
 

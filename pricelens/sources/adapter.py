@@ -158,9 +158,10 @@ def price_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     Equi-join of the (commodity, district) keys with the daily signal on
     district: one request per key and weather day.
     """
+    from pricelens.operators.stats import broadcast_if_small
     keys = price_panel(spark, sf_dir).select("commodity", "district").distinct()
     ds = daily_signal(spark, sf_dir)
-    return (ds.join(F.broadcast(keys), "district")
+    return (ds.join(broadcast_if_small(keys), "district")
               .select("date", "district", "commodity",
                       (F.col("wind") * F.lit(10.0)).alias("arrival"),
                       "max_temp", "min_temp", "rainfall_mm", "wind"))
