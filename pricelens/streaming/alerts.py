@@ -105,11 +105,23 @@ def land_price_rows(spark: SparkSession, sf_dir: str, path: str, chunks: int = 4
         r.filter((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi))).write.mode("overwrite").parquet(f"{path}/part={i}")
 
 
-def run_alerts(spark: SparkSession, landing: str, checkpoint: str, table: str) -> DataFrame:
-    """Drive the alert stream over everything landed (availableNow) into a memory table."""
-    src = (spark.readStream.schema(PRICE_ROW_SCHEMA).option("recursiveFileLookup", "true")
-                .option("maxFilesPerTrigger", 1).parquet(landing))
-    q = (price_shock_alerts(src).writeStream.format("memory").queryName(table).outputMode("append")
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+def run_alerts(spark: SparkSession, landing: str, checkpoint: str, table: str,
+               state_partitions: int | None = None) -> DataFrame:
+    """Drive the alert stream over everything landed (availableNow) into a memory table.
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    checkpoint (default: twice the cluster's default parallelism); it is
+    recorded in the checkpoint and reused on restart.
+    """
+    n = state_partitions or 2 * spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        src = (spark.readStream.schema(PRICE_ROW_SCHEMA).option("recursiveFileLookup", "true")
+                    .option("maxFilesPerTrigger", 1).parquet(landing))
+        q = (price_shock_alerts(src).writeStream.format("memory").queryName(table).outputMode("append")
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     return spark.table(table)
