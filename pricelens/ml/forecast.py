@@ -33,6 +33,8 @@ def _mean_last(arr, n: int):
 def initial_state(panel: DataFrame, keys=("commodity", "district"), min_history: int = HISTORY) -> DataFrame:
     """Latest row per key + last ``HISTORY`` prices; keys with fewer rows are skipped."""
     keys = list(keys)
+    if HISTORY < min_history:
+        raise ValueError("history array shorter than the required history")
     w = Window.partitionBy(*keys).orderBy("date")
     last = Window.partitionBy(*keys).orderBy(F.desc("date"))
     h = panel.select("*", F.collect_list("modal_price").over(w.rowsBetween(-(HISTORY - 1), 0)).alias("hist"),
@@ -43,25 +45,26 @@ def initial_state(panel: DataFrame, keys=("commodity", "district"), min_history:
              .withColumn("preds", F.array().cast("array<struct<date:date,predicted_price:double,predicted_raw:double>>")))
 
 
-def step_features(state: DataFrame) -> DataFrame:
+def step_features(state: DataFrame, lags=(1, 2, 3)) -> DataFrame:
     """Features of the next day from the history array and the next date."""
     d = F.date_add("date", 1)
-    return state.withColumns({
-        "date": d, "year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d),
-        "day_of_week": weekday0(d), "quarter": F.quarter(d), "weekend_int": is_weekend(d).cast("int"),
-        "lag_1": F.element_at("hist", -1), "lag_2": F.element_at("hist", -2), "lag_3": F.element_at("hist", -3),
-        "rolling_7": _mean_last(F.col("hist"), 7), "rolling_30": _mean_last(F.col("hist"), 30)})
+    cols = {"date": d, "year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d),
+            "day_of_week": weekday0(d), "quarter": F.quarter(d), "weekend_int": is_weekend(d).cast("int"),
+            "rolling_7": _mean_last(F.col("hist"), 7), "rolling_30": _mean_last(F.col("hist"), 30)}
+    cols.update({f"lag_{k}": F.element_at("hist", -k) for k in lags})
+    return state.withColumns(cols)
 
 
 def recursive_forecast(model: PipelineModel, panel: DataFrame, horizon: int = HORIZON,
-                       checkpoint_every: int = 10) -> DataFrame:
-    """Output: date, commodity, district, predicted_price (rounded 2), predicted_raw."""
+                       checkpoint_every: int = 10, keys=("commodity", "district"), lags=(1, 2, 3)) -> DataFrame:
+    """Output: date, <keys>, predicted_price (rounded 2), predicted_raw."""
     spark = panel.sparkSession
     checkpoint_dir(spark)
-    state = initial_state(panel)
+    keys = list(keys)
+    state = initial_state(panel, keys)
     keep = state.columns
     for h in range(1, horizon + 1):
-        nxt = step_features(state)
+        nxt = step_features(state, lags)
         scored = model.transform(nxt)
         p = F.greatest(F.col("prediction"), F.lit(0.0))
         state = scored.select(
@@ -73,8 +76,7 @@ def recursive_forecast(model: PipelineModel, panel: DataFrame, horizon: int = HO
         state = state.select(*keep)
         if h % checkpoint_every == 0 and h < horizon:
             state = state.checkpoint(eager=True)
-    return state.select("commodity", "district", F.inline("preds")).select(
-        "date", "commodity", "district", "predicted_price", "predicted_raw")
+    return state.select(*keys, F.inline("preds")).select("date", *keys, "predicted_price", "predicted_raw")
 
 
 def fit_forecast_model(train: DataFrame, spec: dict) -> PipelineModel:

@@ -313,3 +313,14 @@ def q_ml_model_persistence(spark, sf_dir):
     return (a.join(b, k).groupBy("commodity", "district")
              .agg(F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"), F.count(F.lit(1)).alias("rows"))
              .withColumn("model", F.lit(meta["model"])))
+
+
+@register("ml_commodity_forecast", "M14 M6 W13 M8")
+def q_ml_commodity_forecast(spark, sf_dir):
+    """Commodity-level recursive 30-day forecast with lags 1-30 and the test
+    metrics of its model appended per commodity."""
+    from pricelens.ml.commodity_forecast import fit_and_forecast
+    _, test_pred, fc = fit_and_forecast(price_panel(spark, sf_dir))
+    met = regression_metrics(test_pred, keys=["commodity"]).select(
+        "commodity", F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2"))
+    return _qall(fc.join(met, "commodity", "left"))
