@@ -324,3 +324,24 @@ def q_ml_commodity_forecast(spark, sf_dir):
     met = regression_metrics(test_pred, keys=["commodity"]).select(
         "commodity", F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2"))
     return _qall(fc.join(met, "commodity", "left"))
+
+
+@register("farmer_master_table_models", "D7-D14 M15 M16 M18 J8")
+def q_farmer_master_table_models(spark, sf_dir):
+    """The full scoring path of the reference: model forecast (recursive, M15),
+    isolation-forest abnormal events (M18) in the risk summary, KMeans
+    clusters (M16) on the district intelligence, then recommendations and
+    the master table with the cluster column."""
+    from pricelens.plans.q_scores import crisis_frame
+    crisis = crisis_frame(spark, sf_dir)
+    fc = _model_forecast(spark, sf_dir).cache()
+    outl = _outliers(spark, sf_dir, trees=100).filter(F.col("outlier_flag") == -1).select("commodity")
+    intel = I.farmer_intelligence(I.forecast_summary(fc), I.risk_summary(crisis, outl))
+    clusters = KM.cluster_districts(_profile(spark, sf_dir), KM.WEATHER_MEASURES, k=2).select("district", "cluster")
+    dintel = I.district_intelligence(crisis).join(clusters, "district", "left")
+    pairs = price_panel(spark, sf_dir).select("commodity", "district").distinct()
+    reco = I.recommendations(pairs, intel, dintel)
+    reco = reco.join(clusters, "district", "left")
+    m = reco.join(I.best_forecast_district(fc), "commodity", "left")
+    cols = I.MASTER_COLUMNS[:11] + ["cluster"] + I.MASTER_COLUMNS[11:]
+    return _qall(m.select(*cols).orderBy("commodity", "district"))
