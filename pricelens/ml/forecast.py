@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions import is_weekend, weekday0
-from pricelens.ml.data import NUMERIC
 from pricelens.session import checkpoint_dir
 
 HISTORY = 30
@@ -83,5 +82,3 @@ def fit_forecast_model(train: DataFrame, spec: dict) -> PipelineModel:
     from pricelens.ml.regress import fit
     return fit(train, spec)
 
-
-__all__ = ["recursive_forecast", "initial_state", "step_features", "NUMERIC"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions import col, pct
-from pricelens.operators.windows import add_rolling_zscore, lag, rolling, spec
+from pricelens.operators.windows import add_rolling_zscore, lag, spec
 from pricelens.functions import pct_change
 
 # Fixed values ---------------------------------------------------------------

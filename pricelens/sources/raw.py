@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelens.functions import safe_div
 from pricelens.sources.adapter import price_panel, price_rows
 
 # Positional names of the market price extract (fixed values).
