@@ -38,17 +38,26 @@ def _norm(df):
     return df.sort_values(list(df.columns), na_position="last").reset_index(drop=True)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", WITH_SQL)
 def test_query_matches_oracle(spark, duck, name):
     q = QUERIES[name]
-    s = _norm(q.build(spark, SF_SMALL).toPandas())
-    d = _norm(duck.sql(q.sql).df())
+    sdf = q.build(spark, SF_SMALL)
+    rel = duck.sql(q.sql)
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert stypes == dtypes
+    s = _norm(sdf.toPandas())
+    d = _norm(rel.df())
     assert list(s.columns) == list(d.columns)
     assert len(s) == len(d)
     for c in s.columns:
         try:
             a, b = pd.to_numeric(s[c]), pd.to_numeric(d[c])
-            ok = ((a - b).abs() <= 1e-9) | (a.isna() & b.isna())
+            ok = (a == b) | (a.isna() & b.isna())
         except (ValueError, TypeError):
             ok = s[c].astype(str) == d[c].astype(str)
         assert ok.all(), f"{name}.{c}: {int((~ok).sum())} differing rows"
