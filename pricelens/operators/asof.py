@@ -35,18 +35,45 @@ def history_state(history: DataFrame, keys, date_col="date", value="modal_price"
 
 
 def asof_features(requests: DataFrame, history: DataFrame, keys=("commodity", "district"),
-                  date_col="date", value="modal_price", min_history: int = 30) -> DataFrame:
+                  date_col="date", value="modal_price", min_history: int = 30,
+                  block_days: int | None = None) -> DataFrame:
+    """Features for every request; see the module docstring.
+
+    ``block_days`` spreads a key over (key, time block) partitions so a key
+    with very many requests is not one task: each block starts from the last
+    history state of the earlier blocks (a small (key, block) table with a
+    running ``last`` over blocks), then looks up within the block.
+    """
     keys = list(keys)
     st = history_state(history, keys, date_col, value)
-    rq = requests.select("*", F.lit(True).alias("_is_req"),
-                         F.lit(None).cast(st.schema["_state"].dataType).alias("_state"))
+    part = list(keys)
+    carry = None
+    if block_days:
+        blk = F.floor(F.unix_date(F.col(date_col)) / F.lit(block_days)).cast("long")
+        st = st.withColumn("_blk", blk)
+        requests_b = requests.withColumn("_blk", blk)
+        last = st.groupBy(*keys, "_blk").agg(F.max_by("_state", F.col(date_col)).alias("_last"))
+        blocks = (requests_b.select(*keys, "_blk").union(st.select(*keys, "_blk")).distinct()
+                  .join(last, keys + ["_blk"], "left"))
+        wb = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        carry = blocks.select(*keys, "_blk", F.last("_last", ignorenulls=True).over(wb).alias("_carry"))
+        part = keys + ["_blk"]
+        rq = requests_b
+    else:
+        rq = requests
+    rq = rq.select("*", F.lit(True).alias("_is_req"),
+                   F.lit(None).cast(st.schema["_state"].dataType).alias("_state"))
     hs = st.withColumn("_is_req", F.lit(False))
     u = rq.unionByName(hs, allowMissingColumns=True)
     # request rows first among equal dates -> only strictly earlier history precedes them
-    w = (Window.partitionBy(*keys).orderBy(F.col(date_col), (~F.col("_is_req")))
+    w = (Window.partitionBy(*part).orderBy(F.col(date_col), (~F.col("_is_req")))
          .rowsBetween(Window.unboundedPreceding, -1))
-    out = (u.select(*requests.columns, "_is_req", F.last("_state", ignorenulls=True).over(w).alias("_s"))
+    extra = ["_blk"] if block_days else []
+    out = (u.select(*requests.columns, *extra, "_is_req", F.last("_state", ignorenulls=True).over(w).alias("_s"))
             .filter("_is_req"))
+    if carry is not None:
+        out = (out.join(carry, keys + ["_blk"], "left")
+                  .withColumn("_s", F.coalesce("_s", "_carry")).drop("_carry", "_blk"))
     out = out.select(*requests.columns, *[F.col(f"_s.{f}").alias(f) for f in FEATURES])
     out = out.withColumn("history_rows", F.coalesce("history_rows", F.lit(0)))
     return out.withColumn("history_ok", F.col("history_rows") >= min_history)

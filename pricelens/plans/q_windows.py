@@ -77,7 +77,8 @@ FROM req r ASOF LEFT JOIN hist h ON r.commodity = h.commodity AND r.district = h
 @register("asof_history_features", "J12 M22 W1 W5 U2", sql=_ASOF_SQL)
 def q_asof_history_features(spark, sf_dir):
     req = price_requests(spark, sf_dir).select("date", "district", "commodity")
-    f = asof_features(req, price_panel(spark, sf_dir), K, "date", "modal_price", 30)
+    # requests spread over (key, 90-day block) partitions; history state carried across blocks
+    f = asof_features(req, price_panel(spark, sf_dir), K, "date", "modal_price", 30, block_days=90)
     return _q(f, {"lag_1", "lag_2", "lag_3", "rolling_7", "rolling_30"})
 
 

@@ -15,7 +15,12 @@ def test_asof_matches_brute_force(spark):
     req = [(k, "d", base + dt.timedelta(int(x))) for k in ["a", "b", "z"] for x in (0, 20, 45, 60, 79, 90)]
     h = spark.createDataFrame(hist, "commodity string, district string, date date, modal_price double")
     r = spark.createDataFrame(req, "commodity string, district string, date date")
-    got = {(x.commodity, x.date): x for x in asof_features(r, h, min_history=30).collect()}
+    for bd in (None, 5, 30):
+        got = {(x.commodity, x.date): x for x in asof_features(r, h, min_history=30, block_days=bd).collect()}
+        _check(got, hist, req)
+
+
+def _check(got, hist, req):
     for k, dd, day in req:
         prior = sorted((d, p) for c, _, d, p in hist if c == k and d < day)
         g = got[(k, day)]
