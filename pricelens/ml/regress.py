@@ -50,6 +50,12 @@ def make_pipeline(spec: dict, handle_invalid: str = "keep", label: str = TARGET)
 
 
 def fit(train: DataFrame, spec: dict) -> PipelineModel:
+    """Fit the pipeline.  A checkpoint directory is ensured first so that
+    boosting checkpoints its intermediate state every ``checkpointInterval``
+    iterations to shared storage (a lost executor does not replay all
+    iterations)."""
+    from pricelens.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
     return make_pipeline(spec).fit(train)
 
 
