@@ -51,3 +51,16 @@ def test_csv_sink_roundtrip(spark):
     df.write.mode("overwrite").option("header", True).csv(d + "/out")
     back = RW.read_csv(spark, d + "/out", df.schema).orderBy("commodity").collect()
     assert [(r.commodity, r.price) for r in back] == [("Onion", 1.5), ("Rice", 2.0)]
+
+
+def test_literal_dimensions(spark):
+    from pricelens.operators.panel import calendar_one_per_date
+    from pricelens.sources import dimensions as DM
+    cal = DM.event_calendar(spark)
+    assert cal.count() == 42
+    assert cal.filter("date = DATE'2025-10-02'").count() == 2
+    one = calendar_one_per_date(cal).filter("date = DATE'2025-10-02'").first()
+    assert one.festival == "Dussehra / Gandhi Jayanti"
+    assert DM.cultivation_cost(spark).count() == 5
+    p = DM.navratri_periods(spark).collect()
+    assert len(p) == 3 and (p[0].end - p[0].start).days == 8
