@@ -19,11 +19,22 @@ LEAKY = ["price_change", "price_change_pct"]   # M13: derived from the target it
 
 def model_panel(spark, sf_dir, min_periods: int | None = None) -> DataFrame:
     """Feature panel + history features (previous rows only; full windows by
-    default), rows with missing features dropped (P7)."""
-    p = feature_panel(spark, sf_dir)
-    p = add_history_features(p, include_current=False, min_periods=min_periods)
-    p = p.withColumn("weekend_int", F.col("weekend").cast("int"))
-    return p.na.drop(subset=NUMERIC + [TARGET])
+    default), rows with missing features dropped (P7).
+
+    Stored once per input snapshot as a stage table (the reference's final
+    dataset): every model query reads it instead of re-running joins and
+    windows, and iterative learners restart from it after an executor loss.
+    """
+    from pricelens.sources.store import materialized
+    from pricelens.sources.tables import table_path
+
+    def build():
+        p = feature_panel(spark, sf_dir)
+        p = add_history_features(p, include_current=False, min_periods=min_periods)
+        p = p.withColumn("weekend_int", F.col("weekend").cast("int"))
+        return p.na.drop(subset=NUMERIC + [TARGET])
+    tables = ("lineitem", "part", "supplier", "nation", "region", "orders", "customer")
+    return materialized(spark, f"model_panel_mp{min_periods or 0}", [table_path(sf_dir, t) for t in tables], build)
 
 
 def indexers(columns=CATEGORICAL, handle_invalid: str = "error"):
