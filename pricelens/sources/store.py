@@ -8,7 +8,8 @@ fact tables.  The written table also cuts lineage: a lost executor
 recomputes from it, not from the raw scans.
 
 The key of a stored table is the input paths plus their sizes and
-modification times, so a changed input is never served from a stale table.
+modification times and a hash of the package code, so a changed input or
+changed code is never served from a stale table.
 Set ``pricelens.materialize=false`` to plan everything from the raw scans.
 """
 
@@ -22,8 +23,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pricelens.session import checkpoint_dir
 
 
+_CODE_HASH: list = []
+
+
+def _code_hash() -> str:
+    """Hash of the package sources: a code change never reuses an old table."""
+    if not _CODE_HASH:
+        h = hashlib.sha1()
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        for d, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(d, f), "rb") as fh:
+                        h.update(fh.read())
+        _CODE_HASH.append(h.hexdigest())
+    return _CODE_HASH[0]
+
+
 def _fingerprint(paths) -> str:
-    h = hashlib.sha1()
+    h = hashlib.sha1(_code_hash().encode())
     for p in sorted(paths):
         h.update(p.encode())
         try:
