@@ -30,8 +30,8 @@ def test_request_validation_and_scoring(spark, tmp_path):
     out = {(r.district, r.arrival, r.date): r for r in score_requests(req, panel, model).collect()}
     ok = out[(key.district, 10.0, last + dt.timedelta(1))]
     assert ok.error is None and ok.predicted_price >= 0 and ok.history_rows >= 30
-    assert out[(key.district, -1.0, last + dt.timedelta(1))].error.startswith("arrival")
-    assert out[("ATLANTIS", 10.0, last + dt.timedelta(1))].error.startswith("unknown")
+    assert out[(key.district, -1.0, last + dt.timedelta(1))].error.startswith("Arrival")
+    assert out[("ATLANTIS", 10.0, last + dt.timedelta(1))].error.startswith("Unknown")
     short = out[(key.district, 10.0, first + dt.timedelta(1))]
     assert "history" in short.error and short.predicted_price is None
     write_predictions(R.predict(model, mp), str(tmp_path / "pred"))
@@ -39,6 +39,19 @@ def test_request_validation_and_scoring(spark, tmp_path):
     assert back.count() == mp.count() and "error" in back.columns
 
 
+def test_form_field_validation(spark):
+    from pricelens.ml.serve import MESSAGES, validate
+    known = spark.createDataFrame([("X", "D")], "commodity string, district string")
+    req = spark.createDataFrame([
+        ("X", "D", 1.0, 0.0, 1.0, 2024, 13, 1), ("X", "D", 1.0, 0.0, 1.0, 2024, 4, 31),
+        ("X", "D", 1.0, 0.0, 1.0, 2024, 4, 32), ("X", "D", 1.0, 0.0, -1.0, 2024, 4, 1),
+        ("X", "D", 1.0, 0.0, 1.0, 2024, 2, 29), ("Y", "D", 1.0, 0.0, 1.0, 2024, 2, 28)],
+        "commodity string, district string, arrival double, rainfall_mm double, wind double, year int, month int, day int")
+    got = [r.error for r in validate(req, known).orderBy("commodity", "month", "day", "wind").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [MESSAGES["wind"], MESSAGES["date"], MESSAGES["day"],
+                                                    MESSAGES["month"], None, MESSAGES["unknown"]]))
+
+
 def test_unseen_category_policies(spark):
     train = spark.createDataFrame([("b",), ("c",)], "district string")
     test = spark.createDataFrame([("a",), ("c",)], "district string")
