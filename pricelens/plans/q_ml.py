@@ -259,10 +259,15 @@ def q_batch_request_scoring(spark, sf_dir):
     from pricelens.ml.serve import score_requests
     mp = D.model_panel(spark, sf_dir)
     model = R.fit(mp, R.QUICK_SPECS["boosted_trees"])
+    from pricelens.plans.q_scores import _forecast, _reco
     req = price_requests(spark, sf_dir)
-    out = score_requests(req, price_panel(spark, sf_dir), model)
-    return _qall(out.select("date", "district", "commodity", "lag_1", "rolling_7", "rolling_30",
-                            "history_rows", "error", "predicted_price"))
+    intel = _reco(spark, sf_dir).select("commodity", "district", "farmer_intelligence_score", "final_risk_level",
+                                        "district_risk_level", "recommendation", "recommended_action")
+    out = score_requests(req, price_panel(spark, sf_dir), model, intel=intel, forecast=_forecast(spark, sf_dir))
+    return _qall(out.select("date", "district", "commodity", "lag_1", "rolling_7", "rolling_30", "history_rows",
+                            "error", "predicted_price", "farmer_intelligence_score", "final_risk_level",
+                            "district_risk_level", "recommended_action", F.size("forecast_30d").alias("forecast_days"),
+                            F.col("forecast_30d")[0]["predicted_price"].alias("forecast_next_day")))
 
 
 @register("ml_per_commodity_models", "M6 M9 M2")
