@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.functions import col, pct
+from pricelens.functions import col, pct, pct_change
 from pricelens.operators.windows import add_rolling_zscore, lag, spec
-from pricelens.functions import pct_change
 
 # Fixed values ---------------------------------------------------------------
 PRICE_STRESS_CUTS = (30.0, 20.0, 10.0)          # abs % change -> 3, 2, 1
