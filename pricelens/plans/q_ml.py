@@ -350,3 +350,20 @@ def q_farmer_master_table_models(spark, sf_dir):
     m = reco.join(I.best_forecast_district(fc), "commodity", "left")
     cols = I.MASTER_COLUMNS[:11] + ["cluster"] + I.MASTER_COLUMNS[11:]
     return _qall(m.select(*cols).orderBy("commodity", "district"))
+
+
+@register("price_category_report", "M10 M24")
+def q_price_category_report(spark, sf_dir):
+    """Per-class precision / recall / F1 / support of the category classifier."""
+    from pricelens.ml.metrics import classification_report
+    model, pred = _classifier(spark, sf_dir)
+    p = CL.with_labels(pred, model)
+    return _qall(classification_report(p, "price_category", "predicted_category"))
+
+
+@register("price_category_predictions", "M24 M7")
+def q_price_category_predictions(spark, sf_dir):
+    """Test rows with the predicted class and the class probabilities next to it."""
+    model, pred = _classifier(spark, sf_dir)
+    p = CL.with_labels(pred, model)
+    return p.select("commodity", "district", "date", "price_category", "predicted_category", "probabilities")
