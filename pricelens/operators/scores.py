@@ -61,6 +61,19 @@ def crisis_level(score) -> Column:
     return out.otherwise(F.lit("Low"))
 
 
+CRISIS_REQUIRED = ["date", "commodity", "modal_price", "arrival", "price_change", "max_temp", "min_temp",
+                   "rainfall_mm", "wind"]
+
+
+def crisis_input(panel_wx: DataFrame, keys=("commodity", "district"), order=("date",)) -> DataFrame:
+    """Scoring input: first difference of the price over the full series, then
+    rows missing any required column are dropped (P7) before the crisis
+    windows run, as the crisis engine's input contract requires."""
+    w = spec(keys, order)
+    x = panel_wx.withColumn("price_change", F.col("modal_price") - lag("modal_price", 1, w))
+    return x.na.drop(subset=CRISIS_REQUIRED)
+
+
 def crisis_scores(df: DataFrame, keys=("commodity", "district"), order=("date",)) -> DataFrame:
     """D1-D5 on a panel with weather columns.
 

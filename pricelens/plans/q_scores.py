@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions import q4
 from pricelens.operators.panel import panel_with_weather
-from pricelens.operators.scores import CRISIS_LEVEL_ORDER, crisis_scores
+from pricelens.operators.scores import CRISIS_LEVEL_ORDER, crisis_input, crisis_scores
 from pricelens.plans.registry import register
 from pricelens.plans.sqlviews import q4 as sq4, with_views
 
@@ -28,7 +28,8 @@ def crisis_frame(spark, sf_dir, keys=K, order=("date",)):
     from pricelens.sources.tables import table_path
     name = "crisis_" + "_".join(keys) + "__" + "_".join(order)
     return materialized(spark, name, [table_path(sf_dir, t) for t in PANEL_TABLES],
-                        lambda: crisis_scores(panel_with_weather(spark, sf_dir), keys, order))
+                        lambda: crisis_scores(crisis_input(panel_with_weather(spark, sf_dir), keys, order),
+                                              keys, order))
 
 
 def _out(df):
@@ -38,6 +39,11 @@ def _out(df):
 def crisis_sql_ctes(partition="commodity, district", order="date"):
     w = f"PARTITION BY {partition} ORDER BY {order}"
     r30 = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+    ci = f"""
+SELECT * FROM (SELECT p.*, modal_price - lag(modal_price, 1) OVER ({w}) AS price_change FROM panel_wx p)
+WHERE date IS NOT NULL AND commodity IS NOT NULL AND modal_price IS NOT NULL AND arrival IS NOT NULL
+  AND price_change IS NOT NULL AND max_temp IS NOT NULL AND min_temp IS NOT NULL AND rainfall_mm IS NOT NULL
+  AND wind IS NOT NULL"""
     f = f"""
 SELECT commodity, district, date, modal_price, arrival, max_temp, rainfall_mm, wind,
   (modal_price / NULLIF(lag(modal_price, 1) OVER ({w}), 0) - 1) * 100 AS price_change_pct,
@@ -45,7 +51,7 @@ SELECT commodity, district, date, modal_price, arrival, max_temp, rainfall_mm, w
   CASE WHEN count(arrival) OVER ({w} {r30}) >= 5 THEN stddev_samp(arrival) OVER ({w} {r30}) END AS asd,
   CASE WHEN count(modal_price) OVER ({w} {r30}) >= 5 THEN avg(modal_price) OVER ({w} {r30}) END AS pm,
   CASE WHEN count(modal_price) OVER ({w} {r30}) >= 5 THEN stddev_samp(modal_price) OVER ({w} {r30}) END AS psd
-FROM panel_wx"""
+FROM crisis_in"""
     g = """
 SELECT *, ((arrival - am) * 100) / NULLIF(am, 0) AS arrival_deviation_pct,
        (modal_price - pm) / NULLIF(psd, 0) AS price_zscore,
@@ -71,7 +77,7 @@ FROM cs"""
 SELECT *, CASE WHEN crisis_score >= 80 THEN 'Critical' WHEN crisis_score >= 60 THEN 'High'
                WHEN crisis_score >= 30 THEN 'Moderate' ELSE 'Low' END AS crisis_level
 FROM cc"""
-    return [("cf", f), ("cg", g), ("cs", s), ("cc", c), ("crisis", lv)]
+    return [("crisis_in", ci), ("cf", f), ("cg", g), ("cs", s), ("cc", c), ("crisis", lv)]
 
 
 def _crisis_select(src="crisis"):
