@@ -124,7 +124,7 @@ def _score_fn(forest_bc, features, psi_by_grp_bc):
 
 
 def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int = 200, psi: int = 256,
-                     contamination: float = 0.02, seed: int = 42) -> DataFrame:
+                     contamination: float = 0.02, seed: int = 42, max_nodes: int = 20_000_000) -> DataFrame:
     """Adds ``anomaly_score`` (higher = more isolated), ``decision`` (threshold
     minus score; < 0 flagged) and ``outlier_flag`` (-1 / 1) per row."""
     spark = df.sparkSession
@@ -140,7 +140,11 @@ def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int =
     picked = picked.withColumn("_h", F.xxhash64("_key", "tree", F.lit(seed + 1)))
     nodes = (picked.select("grp", "tree", "_h", *features)
                    .groupBy("grp", "tree").applyInPandas(_build_fn(list(features), psi, seed), NODE_SCHEMA))
-    pdf = nodes.toPandas()  # forest size: groups x trees x (< 2 psi) nodes, fixed by the parameters
+    # forest size: groups x trees x (< 2 psi) nodes; checked before it reaches the driver
+    n_nodes = nodes.count()
+    if n_nodes > max_nodes:
+        raise ValueError(f"isolation forest has {n_nodes} nodes (> {max_nodes}); use fewer trees or groups")
+    pdf = nodes.toPandas()
     forest = {}
     for (grp, _tree), t in pdf.sort_values(["grp", "tree", "node"]).groupby(["grp", "tree"]):
         forest.setdefault(grp, []).append((t["feature"].to_numpy(), t["threshold"].to_numpy(),
