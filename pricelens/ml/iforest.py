@@ -141,10 +141,12 @@ def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int =
     nodes = (picked.select("grp", "tree", "_h", *features)
                    .groupBy("grp", "tree").applyInPandas(_build_fn(list(features), psi, seed), NODE_SCHEMA))
     # forest size: groups x trees x (< 2 psi) nodes; checked before it reaches the driver
+    nodes = nodes.cache()  # built once, counted, then collected
     n_nodes = nodes.count()
     if n_nodes > max_nodes:
         raise ValueError(f"isolation forest has {n_nodes} nodes (> {max_nodes}); use fewer trees or groups")
     pdf = nodes.toPandas()
+    nodes.unpersist()
     forest = {}
     for (grp, _tree), t in pdf.sort_values(["grp", "tree", "node"]).groupby(["grp", "tree"]):
         forest.setdefault(grp, []).append((t["feature"].to_numpy(), t["threshold"].to_numpy(),
