@@ -1,14 +1,16 @@
-"""Crisis-score queries."""
+"""Crisis-score queries (D1-D6, L2, L3) and the scoring layer."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from pricelens.functions import q4
+from pricelens.operators import intelligence as I
 from pricelens.operators.panel import panel_with_weather
 from pricelens.operators.scores import CRISIS_LEVEL_ORDER, crisis_input, crisis_scores
 from pricelens.plans.registry import register
 from pricelens.plans.sqlviews import q4 as sq4, with_views
+from pricelens.sources.adapter import price_panel
 
 K = ("commodity", "district")
 CRISIS_OUT = ["date", "commodity", "district", "modal_price", "arrival", "price_change_pct",
@@ -147,8 +149,6 @@ def q_crisis_early_warning(spark, sf_dir):
 # ---------------------------------------------------------------------------------
 # Scoring layer D7-D14 (forecast = baseline drift forecast; outliers = z-score events)
 # ---------------------------------------------------------------------------------
-from pricelens.operators import intelligence as I  # noqa: E402
-from pricelens.sources.adapter import price_panel  # noqa: E402
 
 _REC_CASE_TEXT = "CASE rule_id " + " ".join(
     "WHEN {} THEN '{}'".format(i, t.replace("'", "''")) for i, t, _ in I.RECOMMENDATIONS) + " END"

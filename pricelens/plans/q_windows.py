@@ -1,4 +1,4 @@
-"""Window-feature queries (W1-W14) on the price panel."""
+"""Window-feature queries (W1-W14) and the as-of lookup (J12) on the price panel."""
 
 from __future__ import annotations
 
@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from pricelens.functions import q4
 from pricelens.operators import windows as W
+from pricelens.operators.asof import asof_features
 from pricelens.operators.scores import price_stress
 from pricelens.plans.registry import QUERIES, register
 from pricelens.plans.sqlviews import q4 as sq4, with_views
-from pricelens.sources.adapter import price_panel
+from pricelens.sources.adapter import price_panel, price_requests
 
 K = ("commodity", "district")
 
@@ -55,8 +56,6 @@ def history_features(spark, sf_dir):
 
 
 # J12 ---------------------------------------------------------------------------------
-from pricelens.operators.asof import asof_features  # noqa: E402
-from pricelens.sources.adapter import price_requests  # noqa: E402
 
 _ASOF_SQL = with_views(["price_panel", "daily_signal"], f"""
 SELECT r.date, r.district, r.commodity, {sq4('h.lag_1')} AS lag_1, {sq4('h.lag_2')} AS lag_2, {sq4('h.lag_3')} AS lag_3,
