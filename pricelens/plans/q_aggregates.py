@@ -94,18 +94,19 @@ def q_commodity_price_stats(spark, sf_dir):
                                       q4(F.stddev_samp("modal_price")).alias("std_price"))
 
 
-@register("price_arrival_correlation", "A7 N10", sql=with_views(["price_panel"], f"""
-SELECT commodity, {sq4(corr_sql('modal_price', 'arrival'))} AS correlation,
-  CASE WHEN {corr_sql('modal_price', 'arrival')} > 0.1 THEN 'Positive'
-       WHEN {corr_sql('modal_price', 'arrival')} < -0.1 THEN 'Negative' ELSE 'Weak/None' END AS relationship,
-  CAST(COUNT(*) AS BIGINT) AS n
-FROM price_panel GROUP BY 1"""))
+@register("price_arrival_correlation", "A7 N10 A22", sql=with_views(["price_panel"], f"""
+SELECT commodity, {sq4('c')} AS correlation,
+  CASE WHEN c > 0.1 THEN 'Positive' WHEN c < -0.1 THEN 'Negative' ELSE 'Weak/None' END AS relationship, n,
+  COALESCE(commodity = (SELECT arg_min(commodity, (-abs(c), commodity)) FILTER (WHERE c IS NOT NULL) FROM g), false) AS is_strongest
+FROM g""", [("g", f"SELECT commodity, {corr_sql('modal_price', 'arrival')} AS c, CAST(COUNT(*) AS BIGINT) AS n FROM price_panel GROUP BY 1")]))
 def q_price_arrival_correlation(spark, sf_dir):
+    from pricelens.operators.analyses import flag_strongest
     p = price_panel(spark, sf_dir)
     c = p.groupBy("commodity").agg(safe_corr("modal_price", "arrival").alias("_c"), F.count(F.lit(1)).alias("n"))
+    c = flag_strongest(c, "_c")
     return c.select("commodity", q4("_c").alias("correlation"),
                     F.when(F.col("_c") > 0.1, "Positive").when(F.col("_c") < -0.1, "Negative")
-                     .otherwise("Weak/None").alias("relationship"), "n")
+                     .otherwise("Weak/None").alias("relationship"), "n", "is_strongest")
 
 
 def _pairs(cols):

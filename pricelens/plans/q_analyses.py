@@ -205,26 +205,34 @@ def _rel(x):
             f"WHEN {x} > -0.2 THEN 'Weak Relationship' WHEN {x} > -0.5 THEN 'Moderate Negative' ELSE 'Strong Negative' END")
 
 
-@register("weather_price_correlation", "N13 N14 A7 A19", sql=with_views(["panel_wx"], f"""
-SELECT commodity, measure, {sq4('correlation')} AS correlation, {_rel('correlation')} AS relationship FROM (
+@register("weather_price_correlation", "N13 N14 A7 A19 A22", sql=with_views(["panel_wx"], f"""
+SELECT w.commodity, w.measure, {sq4('w.correlation')} AS correlation, {_rel('w.correlation')} AS relationship,
+       COALESCE(w.commodity = b.best, false) AS is_strongest
+FROM wc w LEFT JOIN (SELECT measure, arg_min(commodity, (-abs(correlation), commodity)) FILTER (WHERE correlation IS NOT NULL) AS best
+                     FROM wc GROUP BY 1) b ON w.measure = b.measure""", [("wc", f"""
   SELECT commodity, 'rainfall' AS measure, {corr_sql('rainfall_mm', 'modal_price')} AS correlation FROM panel_wx GROUP BY 1
   UNION ALL SELECT commodity, 'max_temperature', {corr_sql('max_temp', 'modal_price')} FROM panel_wx GROUP BY 1
-  UNION ALL SELECT commodity, 'min_temperature', {corr_sql('min_temp', 'modal_price')} FROM panel_wx GROUP BY 1)"""))
+  UNION ALL SELECT commodity, 'min_temperature', {corr_sql('min_temp', 'modal_price')} FROM panel_wx GROUP BY 1""")]))
 def q_weather_price_correlation(spark, sf_dir):
-    return _qall(N.weather_correlations(panel_with_weather(spark, sf_dir)))
+    """Per measure: correlation, 5-level label and the strongest commodity."""
+    wc = N.weather_correlations(panel_with_weather(spark, sf_dir))
+    return _qall(N.flag_strongest(wc, "correlation", within=["measure"]))
 
 
-@register("festival_vs_normal_day", "N15 A18 J2 P12 S9", sql=with_views(["panel_wx", "calendar"], f"""
+@register("festival_vs_normal_day", "N15 A18 J2 P12 S9 A22", sql=with_views(["panel_wx", "calendar"], f"""
 SELECT commodity, {sq4('n')} AS normal_day_price, {sq4('f')} AS festival_holiday_price, {sq4('f - n')} AS price_difference,
-       {sq4('((f - n) * 100) / NULLIF(n, 0)')} AS difference_pct
-FROM (SELECT commodity, AVG(modal_price) FILTER (WHERE NOT ev) AS n, AVG(modal_price) FILTER (WHERE ev) AS f
+       {sq4('dp')} AS difference_pct,
+       COALESCE(commodity = (SELECT arg_min(commodity, (-abs(dp), commodity)) FILTER (WHERE dp IS NOT NULL) FROM
+         (SELECT commodity, ((f - n) * 100) / NULLIF(n, 0) AS dp FROM fv)), false) AS is_strongest
+FROM (SELECT *, ((f - n) * 100) / NULLIF(n, 0) AS dp FROM fv)""", [("fv", """SELECT * FROM (SELECT commodity, AVG(modal_price) FILTER (WHERE NOT ev) AS n, AVG(modal_price) FILTER (WHERE ev) AS f
       FROM (SELECT p.commodity, p.modal_price,
               (trim(coalesce(c.festival, 'No Festival')) <> 'No Festival' OR coalesce(c.holiday, 0) = 1) AS ev
             FROM panel_wx p LEFT JOIN (SELECT date, string_agg(festival, ' / ' ORDER BY festival) AS festival, MAX(holiday) AS holiday
                                        FROM calendar GROUP BY 1) c ON p.date = c.date)
-      GROUP BY 1)"""))
+      GROUP BY 1)""")]))
 def q_festival_vs_normal_day(spark, sf_dir):
-    return _qall(N.event_day_prices(feature_panel(spark, sf_dir)))
+    e = N.event_day_prices(feature_panel(spark, sf_dir))
+    return _qall(N.flag_strongest(e, "difference_pct"))
 
 
 @register("district_price_extremes", "N16 A1 A22", sql=with_views(["price_panel"], f"""
