@@ -245,24 +245,30 @@ def q_district_price_extremes(spark, sf_dir):
     return _qall(N.district_extremes(price_panel(spark, sf_dir)))
 
 
-def _flyc_sql(value, zero_base=False):
+def _flyc_sql(value, zero_base=False, flag=False):
     pctx = f"((l - f) * 100) / NULLIF(f, 0)"
     if zero_base:
         pctx = f"CASE WHEN f = 0 THEN 0.0::DOUBLE ELSE {pctx} END"
-    return with_views(["price_panel"], f"""
+    flag_col = ""
+    if flag:
+        flag_col = (f", COALESCE(commodity = (SELECT arg_min(commodity, (-({pctx}), commodity)) FILTER (WHERE ({pctx}) IS NOT NULL) "
+                    f"FROM yc), false) AS is_highest_increase")
+    body = f"""
 SELECT commodity, first_year, last_year, {sq4('f')} AS first_year_value, {sq4('l')} AS last_year_value,
-       {sq4('l - f')} AS absolute_change, {sq4(pctx)} AS percentage_change
-FROM (SELECT y.commodity, b.first_year, b.last_year,
+       {sq4('l - f')} AS absolute_change, {sq4(pctx)} AS percentage_change{flag_col}
+FROM yc"""
+    return with_views(["price_panel"], body, [("yc", f"""SELECT * FROM (SELECT y.commodity, b.first_year, b.last_year,
         MAX(avg) FILTER (WHERE year = b.first_year) AS f, MAX(avg) FILTER (WHERE year = b.last_year) AS l
       FROM (SELECT commodity, CAST(year(date) AS INTEGER) AS year, AVG({value}) AS avg FROM price_panel GROUP BY 1, 2) y,
            (SELECT CAST(MIN(year(date)) AS INTEGER) AS first_year, CAST(MAX(year(date)) AS INTEGER) AS last_year FROM price_panel) b
       GROUP BY 1, 2, 3)
-WHERE f IS NOT NULL AND l IS NOT NULL""")
+WHERE f IS NOT NULL AND l IS NOT NULL""")])
 
 
-@register("yearly_price_change", "N17 J5 A17", sql=_flyc_sql("modal_price"))
+@register("yearly_price_change", "N17 J5 A17 A22", sql=_flyc_sql("modal_price", flag=True))
 def q_yearly_price_change(spark, sf_dir):
-    return _qall(N.first_last_year_change(price_panel(spark, sf_dir), "modal_price"))
+    y = N.first_last_year_change(price_panel(spark, sf_dir), "modal_price")
+    return _qall(N.flag_extreme(y, "percentage_change", "is_highest_increase"))
 
 
 @register("yearly_arrival_change", "N19 J5", sql=_flyc_sql("arrival", zero_base=True))
@@ -277,19 +283,23 @@ def q_yearly_price_table(spark, sf_dir):
     return p.groupBy("commodity", F.year("date").alias("year")).agg(q4(F.avg("modal_price")).alias("average_price"))
 
 
-@register("price_momentum", "N20 W11", sql=with_views(["price_panel"], f"""
+@register("price_momentum", "N20 W11 A22", sql=with_views(["price_panel"], f"""
 SELECT commodity, {sq4('f')} AS first_3_month_avg, {sq4('l')} AS last_3_month_avg, {sq4('l - f')} AS price_change,
-  {sq4('((l - f) * 100) / NULLIF(f, 0)')} AS change_pct,
-  CASE WHEN ((l - f) * 100) / NULLIF(f, 0) > 5 THEN 'Strong Upward' WHEN ((l - f) * 100) / NULLIF(f, 0) > 0 THEN 'Upward'
-       WHEN ((l - f) * 100) / NULLIF(f, 0) < -5 THEN 'Strong Downward' WHEN ((l - f) * 100) / NULLIF(f, 0) < 0 THEN 'Downward'
-       ELSE 'Stable' END AS trend
-FROM (SELECT commodity, AVG(price) FILTER (WHERE ra <= 3) AS f, AVG(price) FILTER (WHERE rd <= 3) AS l
+  {sq4('cp')} AS change_pct,
+  CASE WHEN cp > 5 THEN 'Strong Upward' WHEN cp > 0 THEN 'Upward' WHEN cp < -5 THEN 'Strong Downward'
+       WHEN cp < 0 THEN 'Downward' ELSE 'Stable' END AS trend,
+  COALESCE(commodity = (SELECT arg_min(commodity, (-cp, commodity)) FILTER (WHERE cp IS NOT NULL) FROM mo), false) AS is_strongest_upward,
+  COALESCE(commodity = (SELECT arg_min(commodity, (cp, commodity)) FILTER (WHERE cp IS NOT NULL) FROM mo), false) AS is_strongest_downward
+FROM mo""", [("mo", """SELECT *, ((l - f) * 100) / NULLIF(f, 0) AS cp FROM (
+      SELECT commodity, AVG(price) FILTER (WHERE ra <= 3) AS f, AVG(price) FILTER (WHERE rd <= 3) AS l
       FROM (SELECT commodity, price, row_number() OVER (PARTITION BY commodity ORDER BY m) AS ra,
                    row_number() OVER (PARTITION BY commodity ORDER BY m DESC) AS rd
             FROM (SELECT commodity, date_trunc('month', date) AS m, AVG(modal_price) AS price FROM price_panel GROUP BY 1, 2))
-      GROUP BY 1)"""))
+      GROUP BY 1)""")]))
 def q_price_momentum(spark, sf_dir):
-    return _qall(N.momentum(price_panel(spark, sf_dir)))
+    m = N.momentum(price_panel(spark, sf_dir))
+    m = N.flag_extreme(m, "change_pct", "is_strongest_upward", largest=True)
+    return _qall(N.flag_extreme(m, "change_pct", "is_strongest_downward", largest=False))
 
 
 SHOCK_ROWS = """
