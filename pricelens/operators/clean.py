@@ -30,7 +30,8 @@ def require_columns(df: DataFrame, required) -> DataFrame:
 def parse_number(c, strict: bool = False) -> Column:
     """P3: '1,234.50' -> 1234.5; coercing form gives NULL on junk."""
     s = F.regexp_replace(col(c).cast("string"), ",", "")
-    return s.cast("double") if strict else s.try_cast("double")
+    x = s.cast("double") if strict else s.try_cast("double")
+    return F.when(~F.isnan(x), x)  # a 'NaN' text is missing, never a NaN value (X5)
 
 
 def parse_date(c, fmt: str = "dd-MM-yyyy", strict: bool = False) -> Column:

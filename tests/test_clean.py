@@ -4,10 +4,12 @@ from pricelens.operators import clean as C
 
 
 def test_parse_number_and_date_coerce(spark):
-    df = spark.createDataFrame([("1,234.50", "01-02-2024"), ("NR", "31-02-2024"), (None, None)], "n string, d string")
+    df = spark.createDataFrame([("1,234.50", "01-02-2024"), ("NR", "31-02-2024"), (None, None), ("NaN", "x")],
+                               "n string, d string")
     out = df.select(C.parse_number("n").alias("n"), C.parse_date("d").alias("d")).collect()
     assert out[0].n == 1234.5 and str(out[0].d) == "2024-02-01"
     assert out[1].n is None and out[1].d is None and out[2].n is None
+    assert out[3].n is None  # NaN text -> NULL, so comparisons never see a NaN
 
 
 def test_header_rows_null_safe_and_footer(spark):
