@@ -2,8 +2,8 @@
 
 Category per commodity from its 33 % / 66 % price percentiles (inclusive
 upper bounds): Cheap <= p33 < Normal <= p66 < Expensive.  A random forest
-with balanced class weights (weight = n / (k * n_class), from window counts)
-predicts it; probabilities are exposed as an array column.
+with class weights balanced within each commodity (weight = n / (k * n_class),
+from window counts) predicts it; probabilities are exposed as an array column.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.ml.data import indexers
@@ -21,8 +21,9 @@ from pricelens.operators.stats import quantiles
 from pricelens.operators.stats import broadcast_if_small
 
 CLASSES = ["Cheap", "Normal", "Expensive"]
-CLASSIFIER_FEATURES = ["district_code", "festival_code", "arrival", "max_temp", "min_temp", "rainfall_mm", "wind",
-                       "holiday", "month", "year", "day", "weekend_int", "day_of_week", "quarter"]
+CLASSIFIER_FEATURES = ["commodity_code", "district_code", "festival_code", "arrival", "max_temp", "min_temp",
+                       "rainfall_mm", "wind", "holiday", "month", "year", "day", "weekend_int", "day_of_week",
+                       "quarter"]
 
 
 def price_category(df: DataFrame, keys=("commodity",), value: str = "modal_price") -> DataFrame:
@@ -37,16 +38,18 @@ def price_category(df: DataFrame, keys=("commodity",), value: str = "modal_price
 
 
 def balanced_weights(df: DataFrame, label: str = "price_category", keys=()) -> DataFrame:
-    """weight = n / (k * n_class) within each key group."""
+    """weight = n / (k * n_class) within each key group.
+
+    Counts come from grouped aggregates (map-side combined) joined back, not
+    from unbounded windows, so a hot group is never buffered in one task.
+    """
+    from pricelens.operators.stats import attach
     keys = list(keys)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys)) if keys else None
-    nc = F.count(F.lit(1)).over(Window.partitionBy(*keys, label))
-    if not keys:
-        from pricelens.operators.stats import attach
-        j = attach(df, df.agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_k")))
-        return j.withColumn("weight", F.col("_n") / (F.col("_k") * nc)).drop("_n", "_k")
-    k = F.size(F.collect_set(label).over(Window.partitionBy(*keys)))
-    return df.withColumn("weight", n / (k * nc))
+    per_class = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("_nc"))
+    per_key = per_class.groupBy(*keys).agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    j = attach(df, per_class, keys + [label])
+    j = attach(j, per_key, keys) if keys else attach(j, per_key)
+    return j.withColumn("weight", F.col("_n") / (F.col("_k") * F.col("_nc"))).drop("_nc", "_n", "_k")
 
 
 def classifier_pipeline(num_trees: int = 300, max_depth: int = 15) -> Pipeline:
@@ -54,7 +57,9 @@ def classifier_pipeline(num_trees: int = 300, max_depth: int = 15) -> Pipeline:
     asm = VectorAssembler(inputCols=CLASSIFIER_FEATURES, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight",
                                 numTrees=num_trees, maxDepth=max_depth, seed=42, maxBins=64)
-    return Pipeline(stages=indexers(["district", "festival"], "keep") + [lab, asm, rf])
+    # one forest for all commodities with the commodity as a feature (the
+    # per-commodity alternative of M6); class weights are balanced per commodity
+    return Pipeline(stages=indexers(["commodity", "district", "festival"], "keep") + [lab, asm, rf])
 
 
 def with_labels(pred: DataFrame, model) -> DataFrame:

@@ -190,7 +190,7 @@ def q_cluster_summary(spark, sf_dir):
 def _classifier(spark, sf_dir):
     mp = CL.price_category(D.model_panel(spark, sf_dir))
     train, test = D.chrono_split(mp, "date_fraction")
-    train = CL.balanced_weights(train)
+    train = CL.balanced_weights(train, keys=["commodity"])
     model = CL.classifier_pipeline(num_trees=30, max_depth=8).fit(train)
     return model, model.transform(test.withColumn("weight", F.lit(1.0)))
 
