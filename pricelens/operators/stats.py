@@ -57,15 +57,23 @@ def attach(df: DataFrame, small: DataFrame, keys=()) -> DataFrame:
     return df.withColumns({c: small.select(c).scalar() for c in small.columns})
 
 
+def _approx_default() -> bool:
+    """``pricelens.approxQuantiles=true`` switches every quantile to
+    ``percentile_approx`` (for groups too large for an exact merge)."""
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    return bool(s) and s.conf.get("pricelens.approxQuantiles", "false").lower() == "true"
+
+
 def quantiles(x, qs, approx: bool = False, accuracy: int = 10000) -> Column:
     """Array of quantiles of ``x``."""
-    if approx:
+    if approx or _approx_default():
         return F.percentile_approx(col(x), list(qs), accuracy)
     return F.percentile(col(x), F.array(*[F.lit(float(q)) for q in qs]))
 
 
 def quantile(x, q: float, approx: bool = False) -> Column:
-    if approx:
+    if approx or _approx_default():
         return F.percentile_approx(col(x), float(q), 10000)
     return F.percentile(col(x), F.lit(float(q)))
 
