@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,11 +60,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+_LOCKS: dict = {}
+_LOCKS_GUARD = threading.Lock()
+
+
 def materialized(spark: SparkSession, name: str, inputs, build) -> DataFrame:
-    """Return ``build()`` as a stored Parquet table (written on first use)."""
+    """Return ``build()`` as a stored Parquet table (written on first use).
+
+    Queries built from several driver threads share one build per table.
+    """
     if spark.conf.get("pricelens.materialize", "true").lower() != "true":
         return build()
     path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_tables/{name}_{_fingerprint(inputs)}"
     if not _exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+        with _LOCKS_GUARD:
+            lock = _LOCKS.setdefault(path, threading.Lock())
+        with lock:
+            if not _exists(spark, path):
+                build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
