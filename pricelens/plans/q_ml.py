@@ -117,8 +117,8 @@ def q_ml_model_comparison(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     train = train.cache()
     df, _ = R.compare_models(train, test, R.QUICK_SPECS)
-    tr, te = train.count(), test.count()
-    return _qall(df.withColumns({"train_rows": F.lit(tr), "selected": F.col("model") == df.first().model}))
+    best = df.first().model  # ordered by MAE, RMSE, -R2
+    return _qall(df.withColumns({"train_rows": F.lit(train.count()), "selected": F.col("model") == best}))
 
 
 def _selected_model(spark, sf_dir):
