@@ -41,14 +41,21 @@ def _code_hash() -> str:
     return _CODE_HASH[0]
 
 
-def _fingerprint(paths) -> str:
+def _fingerprint(spark: SparkSession, paths) -> str:
+    """Code hash + (path, size, modification time) of every input, read via the
+    Hadoop file system so local and remote stores are treated alike."""
     h = hashlib.sha1(_code_hash().encode())
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in sorted(paths):
         h.update(p.encode())
         try:
-            st = os.stat(p)
-            h.update(f"{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:  # remote path: identity by name only
+            jp = jvm.org.apache.hadoop.fs.Path(p)
+            fs = jp.getFileSystem(conf)
+            st = fs.getFileStatus(jp)
+            summary = fs.getContentSummary(jp)
+            h.update(f"{summary.getLength()}:{summary.getFileCount()}:{st.getModificationTime()}".encode())
+        except Exception:  # unreadable status: identity by name only
             pass
     return h.hexdigest()[:16]
 
@@ -71,7 +78,7 @@ def materialized(spark: SparkSession, name: str, inputs, build) -> DataFrame:
     """
     if spark.conf.get("pricelens.materialize", "true").lower() != "true":
         return build()
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_tables/{name}_{_fingerprint(inputs)}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_tables/{name}_{_fingerprint(spark, inputs)}"
     if not _exists(spark, path):
         with _LOCKS_GUARD:
             lock = _LOCKS.setdefault(path, threading.Lock())
