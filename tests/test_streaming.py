@@ -28,3 +28,24 @@ def test_stream_matches_batch_daily_changes(spark):
     # shock label agrees with the 20 % rule
     s = got.dropna(subset=["price_change_pct"])
     assert ((s.price_change_pct.abs() >= 20) == s.shock_type.notna()).all()
+
+
+def test_stream_late_rows_dropped_and_watermark_closes_days(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix="pricelens-stream-late-")
+    t = lambda d, h=12: dt.datetime(2024, 1, d, h)
+    batches = [
+        [("x", "d", t(1), 100.0, 1.0), ("x", "d", t(1, 13), 110.0, 1.0), ("x", "d", t(2), 150.0, 2.0)],
+        [("x", "d", t(1, 14), 999.0, 9.0),   # late: day 1 already closed -> dropped
+         ("x", "d", t(3), 150.0, 1.0), ("y", "d", t(9), 10.0, 1.0)],   # watermark passes days 2-3 of x
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "commodity string, district string, ts timestamp, unit_price double, quantity double") \
+             .coalesce(1).write.mode("overwrite").parquet(f"{base}/landing/part={i}")
+    got = run_alerts(spark, f"{base}/landing", f"{base}/ckpt", f"late_{uuid.uuid4().hex[:6]}",
+                     state_partitions=2).toPandas()
+    x = got[got.commodity == "x"].sort_values("day").reset_index(drop=True)
+    assert [str(d) for d in x.day] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert x.modal_price.tolist() == [105.0, 150.0, 150.0]          # late 999 not mixed into day 1
+    assert abs(x.price_change_pct[1] - (150.0 / 105.0 - 1) * 100) < 1e-9
+    assert x.shock_type[1] == "Price Spike" and x.price_stress[1] == 3
