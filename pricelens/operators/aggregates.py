@@ -65,6 +65,7 @@ def leadership_scores(df: DataFrame, keys=("commodity",), index="date", series="
 
 def completeness(df: DataFrame, a: str, b: str) -> DataFrame:
     """Distinct (a, b) pairs vs |distinct a| x |distinct b|."""
-    out = df.agg(F.count_distinct(a).alias(f"n_{a}"), F.count_distinct(b).alias(f"n_{b}"),
-                 F.count_distinct(a, b).alias("n_pairs"))
+    from pricelens.operators.stats import distinct_count
+    out = df.agg(distinct_count(a).alias(f"n_{a}"), distinct_count(b).alias(f"n_{b}"),
+                 distinct_count(a, b).alias("n_pairs"))
     return out.withColumn("complete", F.col("n_pairs") == F.col(f"n_{a}") * F.col(f"n_{b}"))

@@ -65,6 +65,17 @@ def _approx_default() -> bool:
     return bool(s) and s.conf.get("pricelens.approxQuantiles", "false").lower() == "true"
 
 
+def distinct_count(*cols) -> Column:
+    """Exact distinct count, or ``approx_count_distinct`` (HyperLogLog++,
+    ~1 % error) when ``pricelens.approxDistinct=true`` for very large inputs."""
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    if s and s.conf.get("pricelens.approxDistinct", "false").lower() == "true":
+        c = F.struct(*[col(x) for x in cols]) if len(cols) > 1 else col(cols[0])
+        return F.approx_count_distinct(c, 0.01)
+    return F.count_distinct(*[col(x) for x in cols])
+
+
 def quantiles(x, qs, approx: bool = False, accuracy: int = 10000) -> Column:
     """Array of quantiles of ``x``."""
     if approx or _approx_default():

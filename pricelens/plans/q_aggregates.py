@@ -161,8 +161,8 @@ SELECT CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT commodity) AS BIGIN
        MIN(date) AS first_date, MAX(date) AS last_date FROM price_panel"""))
 def q_dataset_overview(spark, sf_dir):
     p = price_panel(spark, sf_dir)
-    return p.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("commodity").alias("commodities"),
-                 F.count_distinct("district").alias("districts"), F.count_distinct("date").alias("dates"),
+    return p.agg(F.count(F.lit(1)).alias("rows"), S.distinct_count("commodity").alias("commodities"),
+                 S.distinct_count("district").alias("districts"), S.distinct_count("date").alias("dates"),
                  F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
