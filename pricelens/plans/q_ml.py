@@ -2,8 +2,9 @@
 
 Queries with a model in them have no SQL oracle (rows-only check); the split
 boundary, the naive-baseline metrics and the price categories do.
-Registered queries use the small model settings (``QUICK_SPECS``); the
-reference-scale settings are ``regress.MODEL_SPECS``.
+Registered queries use the small model settings (``QUICK_SPECS``);
+``pricelens.modelScale=reference`` switches them to the reference-scale
+settings of ``regress.MODEL_SPECS``.
 """
 
 from __future__ import annotations
@@ -27,6 +28,14 @@ from pricelens.plans.sqlviews import q4 as sq4, with_views
 from pricelens.sources.adapter import price_panel, price_requests
 
 
+def _specs(spark) -> dict:
+    """Model settings: the small ones by default, the reference's scale
+    (300 trees; 500/800 boosting rounds) with ``pricelens.modelScale=reference``."""
+    if spark.conf.get("pricelens.modelScale", "quick").lower() == "reference":
+        return {"random_forest": R.MODEL_SPECS["random_forest"], "boosted_trees": R.MODEL_SPECS["tuned_boosted_trees"]}
+    return R.QUICK_SPECS
+
+
 def _qall(df):
     dbl = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
     return df.select(*[q4(c).alias(c) if c in dbl else F.col(c) for c in df.columns])
@@ -116,14 +125,15 @@ def _split(spark, sf_dir):
 def q_ml_model_comparison(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     train = train.cache()
-    df, _ = R.compare_models(train, test, R.QUICK_SPECS)
+    reference = spark.conf.get("pricelens.modelScale", "quick").lower() == "reference"
+    df, _ = R.compare_models(train, test, R.MODEL_SPECS if reference else R.QUICK_SPECS)
     best = df.first().model  # ordered by MAE, RMSE, -R2
     return _qall(df.withColumns({"train_rows": F.lit(train.count()), "selected": F.col("model") == best}))
 
 
 def _selected_model(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = R.fit(train, R.QUICK_SPECS["boosted_trees"])
+    model = R.fit(train, _specs(spark)["boosted_trees"])
     return model, train, test
 
 
@@ -146,7 +156,7 @@ def q_ml_feature_importance(spark, sf_dir):
 
 def _model_forecast(spark, sf_dir, horizon=30):
     mp = D.model_panel(spark, sf_dir)
-    model = R.fit(mp, R.QUICK_SPECS["boosted_trees"])
+    model = R.fit(mp, _specs(spark)["boosted_trees"])
     return recursive_forecast(model, mp, horizon=horizon)
 
 
@@ -258,7 +268,7 @@ def q_seasonal_evaluation(spark, sf_dir):
 def q_batch_request_scoring(spark, sf_dir):
     from pricelens.ml.serve import score_requests
     mp = D.model_panel(spark, sf_dir)
-    model = R.fit(mp, R.QUICK_SPECS["boosted_trees"])
+    model = R.fit(mp, _specs(spark)["boosted_trees"])
     from pricelens.plans.q_scores import _forecast, _reco
     req = price_requests(spark, sf_dir)
     intel = _reco(spark, sf_dir).select("commodity", "district", "farmer_intelligence_score", "final_risk_level",
@@ -275,7 +285,7 @@ def q_ml_per_commodity_models(spark, sf_dir):
     """One random-forest model per commodity on a seeded 80/20 random split."""
     mp = D.model_panel(spark, sf_dir).cache()
     train, test = D.random_split(mp)
-    preds = R.per_key_models(train, test, "commodity", R.QUICK_SPECS["random_forest"])
+    preds = R.per_key_models(train, test, "commodity", _specs(spark)["random_forest"])
     return _qall(regression_metrics(preds, keys=["commodity"]))
 
 
@@ -284,8 +294,8 @@ def q_ml_side_by_side(spark, sf_dir):
     """Predictions of two models next to each other on the full panel."""
     mp = D.model_panel(spark, sf_dir).cache()
     train, _ = D.chrono_split(mp, "date_fraction")
-    rf = R.fit(train, R.QUICK_SPECS["random_forest"])
-    gb = R.fit(train, R.QUICK_SPECS["boosted_trees"])
+    rf = R.fit(train, _specs(spark)["random_forest"])
+    gb = R.fit(train, _specs(spark)["boosted_trees"])
     k = ["commodity", "district", "date"]
     a = rf.transform(mp).select(*k, "modal_price", F.col("prediction").alias("rf_prediction"))
     b = gb.transform(mp).select(*k, F.col("prediction").alias("gbt_prediction"))
@@ -308,7 +318,7 @@ def q_ml_model_persistence(spark, sf_dir):
 
     from pricelens.session import checkpoint_dir
     mp = D.model_panel(spark, sf_dir)
-    model = R.fit(mp, R.QUICK_SPECS["random_forest"])
+    model = R.fit(mp, _specs(spark)["random_forest"])
     path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_models/{uuid.uuid4().hex}"
     R.save_model(model, path, {"features": R.FEATURE_COLUMNS, "target": D.TARGET, "model": "random_forest"})
     loaded, meta = R.load_model(path)
