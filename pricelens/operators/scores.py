@@ -65,12 +65,19 @@ CRISIS_REQUIRED = ["date", "commodity", "modal_price", "arrival", "price_change"
                    "rainfall_mm", "wind"]
 
 
+WEATHER_COLUMNS = ["max_temp", "min_temp", "rainfall_mm", "wind"]
+
+
 def crisis_input(panel_wx: DataFrame, keys=("commodity", "district"), order=("date",)) -> DataFrame:
-    """Scoring input: first difference of the price over the full series, then
-    rows missing any required column are dropped (P7) before the crisis
-    windows run, as the crisis engine's input contract requires."""
+    """Scoring input, following the feature stage and the engine's contract:
+    weather gaps are back- then forward-filled within each series (P13, never
+    across keys), the first difference of the price is taken over the full
+    series, and rows still missing a required column are dropped (P7) before
+    the crisis windows run."""
+    from pricelens.operators.windows import fill_within_keys
     w = spec(keys, order)
-    x = panel_wx.withColumn("price_change", F.col("modal_price") - lag("modal_price", 1, w))
+    x = fill_within_keys(panel_wx, WEATHER_COLUMNS, keys, order)
+    x = x.withColumn("price_change", F.col("modal_price") - lag("modal_price", 1, w))
     return x.na.drop(subset=CRISIS_REQUIRED)
 
 

@@ -91,6 +91,8 @@ def add_rolling_zscore(df: DataFrame, value: str, keys=("commodity", "district")
 def fill_within_keys(df: DataFrame, columns, keys=("commodity", "district"), order="date") -> DataFrame:
     """Back-fill then forward-fill inside each key (P13), never across keys."""
     w = spec(keys, order)
+    if isinstance(order, (list, tuple)) and len(order) == 0:
+        raise ValueError("fill needs an order")
     ahead = w.rowsBetween(0, Window.unboundedFollowing)
     behind = w.rowsBetween(Window.unboundedPreceding, 0)
     repl = {c: F.coalesce(F.first(c, ignorenulls=True).over(ahead),

@@ -41,8 +41,13 @@ def _out(df):
 def crisis_sql_ctes(partition="commodity, district", order="date"):
     w = f"PARTITION BY {partition} ORDER BY {order}"
     r30 = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+    def fill(c):
+        return (f"coalesce(first_value({c} IGNORE NULLS) OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), "
+                f"last_value({c} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS {c}")
+    filled = ("SELECT commodity, district, date, modal_price, arrival, "
+              + ", ".join(fill(c) for c in ("max_temp", "min_temp", "rainfall_mm", "wind")) + " FROM panel_wx")
     ci = f"""
-SELECT * FROM (SELECT p.*, modal_price - lag(modal_price, 1) OVER ({w}) AS price_change FROM panel_wx p)
+SELECT * FROM (SELECT p.*, modal_price - lag(modal_price, 1) OVER ({w}) AS price_change FROM ({filled}) p)
 WHERE date IS NOT NULL AND commodity IS NOT NULL AND modal_price IS NOT NULL AND arrival IS NOT NULL
   AND price_change IS NOT NULL AND max_temp IS NOT NULL AND min_temp IS NOT NULL AND rainfall_mm IS NOT NULL
   AND wind IS NOT NULL"""
