@@ -18,8 +18,9 @@ LEAKY = ["price_change", "price_change_pct"]   # M13: derived from the target it
 
 
 def model_panel(spark, sf_dir, min_periods: int | None = None) -> DataFrame:
-    """Feature panel + history features (previous rows only; full windows by
-    default), rows with missing features dropped (P7).
+    """Feature panel with weather gaps filled within each series, history
+    features (previous rows only; full windows by default), rows with missing
+    features dropped (P7).
 
     Stored once per input snapshot as a stage table (the reference's final
     dataset): every model query reads it instead of re-running joins and
@@ -29,7 +30,9 @@ def model_panel(spark, sf_dir, min_periods: int | None = None) -> DataFrame:
     from pricelens.sources.tables import table_path
 
     def build():
-        p = feature_panel(spark, sf_dir)
+        from pricelens.operators.scores import WEATHER_COLUMNS
+        from pricelens.operators.windows import fill_within_keys
+        p = fill_within_keys(feature_panel(spark, sf_dir), WEATHER_COLUMNS)  # P13 within each series
         p = add_history_features(p, include_current=False, min_periods=min_periods)
         p = p.withColumn("weekend_int", F.col("weekend").cast("int"))
         return p.na.drop(subset=NUMERIC + [TARGET])
