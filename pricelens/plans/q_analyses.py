@@ -14,9 +14,10 @@ from pricelens.plans.registry import register
 from pricelens.plans.sqlviews import q4 as sq4, with_views
 from pricelens.sources.adapter import calendar, cost_dim, price_panel
 
-# Test-data event for the event study (N6): the reference studies one policy
-# announcement date; the same month/day inside the test-data years is used.
-EVENTS = [("policy_announcement", dt.date(1998, 12, 8))]
+# Test-data events for the event study (N6): the reference studies one policy
+# announcement date; the same month/day inside the test-data years is used,
+# plus a second event to exercise several windows at once.
+EVENTS = [("policy_announcement", dt.date(1998, 12, 8)), ("mid_year_review", dt.date(1997, 7, 1))]
 
 
 def _qall(df):
