@@ -64,3 +64,31 @@ def test_literal_dimensions(spark):
     assert DM.cultivation_cost(spark).count() == 5
     p = DM.navratri_periods(spark).collect()
     assert len(p) == 3 and (p[0].end - p[0].start).days == 8
+
+
+def test_market_pipeline_from_raw_files(spark):
+    from pricelens.sources import dimensions as DM
+    from pricelens.sources.market import market_panel, normalize_columns
+    d = tempfile.mkdtemp(prefix="pricelens-market-")
+    os.makedirs(f"{d}/prices"); os.makedirs(f"{d}/weather")
+    with open(f"{d}/prices/q1.csv", "w") as f:
+        f.write("\n".join([
+            "Daily report,,,,,,,",
+            "State/UT,Commodity Group,Commodity,Date,Arrival,Unit,Modal Price,Unit",
+            'Maharashtra,Vegetables,Onion,01-10-2025,"1,000.00",Tonnes,"2,000.00",Rs./Quintal',
+            'Maharashtra,Vegetables,Onion,02-10-2025,"1,100.00",Tonnes,"2,100.00",Rs./Quintal',
+            "Note: provisional,,,,,,,"]) + "\n")
+    for dist, temps in [("Pune", [30.0, None]), ("Nashik", [28.0, 29.0])]:
+        doc = {"district": dist, "daily": {"time": ["2025-10-01", "2025-10-02"], "temperature_2m_max": temps,
+                                           "temperature_2m_min": [15.0, 16.0], "precipitation_sum": [0.0, 1.0],
+                                           "rain_sum": [0.0, 1.0], "windspeed_10m_max": [5.0, 6.0]}}
+        with open(f"{d}/weather/{dist}.json", "w") as f:
+            json.dump(doc, f)
+    p = market_panel(spark, f"{d}/prices/*.csv", f"{d}/weather", DM.event_calendar(spark), banner="Daily report")
+    rows = {(r.district, str(r.date)): r for r in p.collect()}
+    assert len(rows) == 4  # 2 days x 2 districts (date-only join)
+    assert rows[("Pune", "2025-10-02")].max_temp == 30.0  # filled within the Pune series
+    assert rows[("Nashik", "2025-10-02")].festival == "Dussehra / Gandhi Jayanti"
+    assert rows[("Nashik", "2025-10-01")].festival == "No Festival" and rows[("Nashik", "2025-10-01")].holiday == 0
+    n = normalize_columns(spark.createDataFrame([("Onion", 1.0)], "Commodity string, Modal_Price double"))
+    assert n.columns == ["commodity", "modal_price"]
