@@ -89,14 +89,22 @@ def add_rolling_zscore(df: DataFrame, value: str, keys=("commodity", "district")
 
 
 def fill_within_keys(df: DataFrame, columns, keys=("commodity", "district"), order="date") -> DataFrame:
-    """Back-fill then forward-fill inside each key (P13), never across keys."""
-    w = spec(keys, order)
-    if isinstance(order, (list, tuple)) and len(order) == 0:
+    """Back-fill then forward-fill inside each key (P13), never across keys.
+
+    Both fills are running frames (O(n) per key): the back-fill is the last
+    non-NULL value of a frame that runs from the end of the series, i.e. a
+    descending-order running window, instead of an unbounded-following frame.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    if not order:
         raise ValueError("fill needs an order")
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
-    behind = w.rowsBetween(Window.unboundedPreceding, 0)
-    repl = {c: F.coalesce(F.first(c, ignorenulls=True).over(ahead),
-                          F.last(c, ignorenulls=True).over(behind)) for c in columns}
+    behind = Window.partitionBy(*keys).orderBy(*[F.col(o).asc() for o in order]) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order]) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    repl = {c: F.coalesce(F.last(c, ignorenulls=True).over(ahead), F.last(c, ignorenulls=True).over(behind))
+            for c in columns}
     return df.withColumns(repl)
 
 
