@@ -30,18 +30,26 @@ def _mean_last(arr, n: int):
 
 
 def initial_state(panel: DataFrame, keys=("commodity", "district"), min_history: int = HISTORY) -> DataFrame:
-    """Latest row per key + last ``HISTORY`` prices; keys with fewer rows are skipped."""
+    """Latest row per key + last ``HISTORY`` prices; keys with fewer rows are skipped.
+
+    Only the last ``HISTORY`` rows of each key are kept (a rank-limited window,
+    planned as a per-group limit), then one aggregate per key builds the
+    ordered price array and picks the latest row's covariates.
+    """
     keys = list(keys)
     if HISTORY < min_history:
         raise ValueError("history array shorter than the required history")
-    w = Window.partitionBy(*keys).orderBy("date")
     last = Window.partitionBy(*keys).orderBy(F.desc("date"))
-    h = panel.select("*", F.collect_list("modal_price").over(w.rowsBetween(-(HISTORY - 1), 0)).alias("hist"),
-                     F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_n"),
-                     F.row_number().over(last).alias("_rn"))
-    return (h.filter((F.col("_rn") == 1) & (F.col("_n") >= min_history))
-             .drop("_rn", "_n")
-             .withColumn("preds", F.array().cast("array<struct<date:date,predicted_price:double,predicted_raw:double>>")))
+    n = panel.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_history)
+    tail = panel.withColumn("_rn", F.row_number().over(last)).filter(F.col("_rn") <= HISTORY)
+    others = [c for c in panel.columns if c not in keys]
+    agg = tail.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("date", "modal_price"))),
+                    lambda x: x["modal_price"]).alias("hist"),
+        F.max_by(F.struct(*others), "date").alias("_latest"))
+    st = agg.join(n.select(*keys), keys).select(*keys, "_latest.*", "hist")
+    return st.withColumn(
+        "preds", F.array().cast("array<struct<date:date,predicted_price:double,predicted_raw:double>>"))
 
 
 def step_features(state: DataFrame, lags=(1, 2, 3)) -> DataFrame:
