@@ -128,7 +128,11 @@ def q_ml_model_comparison(spark, sf_dir):
     reference = spark.conf.get("pricelens.modelScale", "quick").lower() == "reference"
     df, _ = R.compare_models(train, test, R.MODEL_SPECS if reference else R.QUICK_SPECS)
     best = df.first().model  # ordered by MAE, RMSE, -R2
-    return _qall(df.withColumns({"train_rows": F.lit(train.count()), "selected": F.col("model") == best}))
+    out = df.withColumns({"train_rows": F.lit(train.count()), "selected": F.col("model") == best})
+    from pricelens.session import checkpoint_dir
+    from pricelens.sources.sinks import append_run_log
+    append_run_log(out, f"{checkpoint_dir(spark).rstrip('/')}/pricelens_runs/model_comparison")  # M25 run log
+    return _qall(out)
 
 
 def _selected_model(spark, sf_dir):

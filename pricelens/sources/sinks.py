@@ -26,3 +26,9 @@ def write_predictions(pred: DataFrame, path: str, keys=("commodity", "district",
     from pyspark.sql import functions as F
     out = pred.select(*keys, label, "prediction", (F.col(label) - F.col("prediction")).alias("error"))
     write_parquet(out, path, partition_by="commodity")
+
+
+def append_run_log(df: DataFrame, path: str) -> None:
+    """Append one summary row per model run to a run-log table."""
+    from pyspark.sql import functions as F
+    df.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
