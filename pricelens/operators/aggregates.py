@@ -30,8 +30,11 @@ def pivot_mean(df: DataFrame, keys, pivot_col: str, value: str, values=None) ->
     return df.groupBy(*keys).pivot(pivot_col, values).agg(F.avg(value))
 
 
+MAX_SERIES = 100  # pairs grow as n^2: 100 series = 4,950 correlation buffers per group
+
+
 def pair_correlations(df: DataFrame, keys, index: str, series: str, value: str,
-                      series_values=None) -> DataFrame:
+                      series_values=None, max_series: int = MAX_SERIES) -> DataFrame:
     """Correlation of every pair of series across a shared index.
 
     The table is pivoted to one column per series (index x series mean), then
@@ -40,7 +43,9 @@ def pair_correlations(df: DataFrame, keys, index: str, series: str, value: str,
     buffers (series count is a checked dimension size).
     """
     keys = list(keys)
-    names = series_values if series_values is not None else distinct_values(df, series)
+    names = series_values if series_values is not None else distinct_values(df, series, max_series)
+    if len(names) > max_series:
+        raise ValueError(f"{len(names)} series > {max_series}: pairwise correlation would not be bounded")
     wide = df.groupBy(*keys, index).pivot(series, names).agg(F.avg(value))
     pairs = list(combinations(names, 2))
     agg = wide.groupBy(*keys).agg(*[safe_corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"_c{i}")
