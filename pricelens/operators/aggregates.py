@@ -74,3 +74,14 @@ def completeness(df: DataFrame, a: str, b: str) -> DataFrame:
     out = df.agg(distinct_count(a).alias(f"n_{a}"), distinct_count(b).alias(f"n_{b}"),
                  distinct_count(a, b).alias("n_pairs"))
     return out.withColumn("complete", F.col("n_pairs") == F.col(f"n_{a}") * F.col(f"n_{b}"))
+
+
+def value_counts(df: DataFrame, columns, dropna: bool = True) -> DataFrame:
+    """A2: counts per value combination; ``dropna=False`` keeps the NULL bucket
+    (pandas ``value_counts(dropna=False)``)."""
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    g = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
+    if dropna:
+        for c in columns:
+            g = g.filter(F.col(c).isNotNull())
+    return g

@@ -233,3 +233,19 @@ def q_weekday_pivot(spark, sf_dir):
     names = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
     w = AG.pivot_mean(p, ["commodity"], "_wd", "modal_price", list(range(7)))
     return w.select("commodity", *[q4(F.col(str(i))).alias(n) for i, n in enumerate(names)])
+
+
+_BAND = ("CASE WHEN rainfall_mm IS NULL THEN NULL WHEN rainfall_mm >= 100 THEN 'heavy' "
+         "WHEN rainfall_mm >= 50 THEN 'moderate' ELSE 'light' END")
+
+
+@register("rain_band_counts", "A2 P21", sql=with_views(["panel_wx"], f"""
+SELECT district, {_BAND} AS rain_band, CAST(COUNT(*) AS BIGINT) AS count FROM panel_wx GROUP BY 1, 2"""))
+def q_rain_band_counts(spark, sf_dir):
+    """Value counts of (district, rainfall band) keeping the NULL bucket of
+    days without weather (dropna=False)."""
+    r = F.col("rainfall_mm")
+    band = F.when(r.isNull(), F.lit(None).cast("string")).when(r >= 100, "heavy").when(r >= 50, "moderate") \
+        .otherwise("light")
+    p = panel_with_weather(spark, sf_dir).select("district", band.alias("rain_band"))
+    return AG.value_counts(p, ["district", "rain_band"], dropna=False)
