@@ -22,3 +22,10 @@ def test_entry_contract(spark):
     assert all(callable(f) for f in q.values()) and all(isinstance(x, str) and x.strip() for x in s.values())
     bad = [n for n in q if not n.replace("_", "").isalnum() or n.lower() != n]
     assert not bad
+
+
+def test_cli_list(capsys):
+    from pricelens.__main__ import main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) >= 100 and out[0].count("\t") == 2
