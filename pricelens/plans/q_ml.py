@@ -201,26 +201,38 @@ def q_cluster_summary(spark, sf_dir):
 
 
 # -- classifier ----------------------------------------------------------------------
+_STAGE_TABLES = ("lineitem", "part", "supplier", "nation", "region", "orders", "customer")
+
+
+def _stage(spark, sf_dir, name, build):
+    from pricelens.sources.store import materialized
+    from pricelens.sources.tables import table_path
+    return materialized(spark, name, [table_path(sf_dir, t) for t in _STAGE_TABLES], build)
+
+
 def _classifier(spark, sf_dir):
-    mp = CL.price_category(D.model_panel(spark, sf_dir))
-    train, test = D.chrono_split(mp, "date_fraction")
-    train = CL.balanced_weights(train, keys=["commodity"])
-    model = CL.classifier_pipeline(num_trees=30, max_depth=8).fit(train)
-    return model, model.transform(test.withColumn("weight", F.lit(1.0)))
+    """Test-split predictions of the category classifier with class names and
+    probabilities, stored once as a stage table (shared by four queries)."""
+    def build():
+        mp = CL.price_category(D.model_panel(spark, sf_dir))
+        train, test = D.chrono_split(mp, "date_fraction")
+        train = CL.balanced_weights(train, keys=["commodity"])
+        model = CL.classifier_pipeline(num_trees=30, max_depth=8).fit(train)
+        pred = CL.with_labels(model.transform(test.withColumn("weight", F.lit(1.0))), model)
+        return pred.select("commodity", "district", "date", "price_category", "predicted_category",
+                           "probabilities", "label", "prediction", "probability")
+    return _stage(spark, sf_dir, "category_predictions", build)
 
 
 @register("price_category_classifier", "M7 M10 M24")
 def q_price_category_classifier(spark, sf_dir):
-    _, pred = _classifier(spark, sf_dir)
-    m = CL.classification_metrics(pred)
+    m = CL.classification_metrics(_classifier(spark, sf_dir))
     return spark.createDataFrame([(k, float(v)) for k, v in m.items()], "metric string, value double")
 
 
 @register("price_category_confusion", "M10 A17 L3")
 def q_price_category_confusion(spark, sf_dir):
-    model, pred = _classifier(spark, sf_dir)
-    p = CL.with_labels(pred, model)
-    return confusion_matrix(p, "price_category", "predicted_category", CL.CLASSES)
+    return confusion_matrix(_classifier(spark, sf_dir), "price_category", "predicted_category", CL.CLASSES)
 
 
 # -- isolation forest ------------------------------------------------------------------
@@ -228,13 +240,17 @@ OUTLIER_FEATURES = ["modal_price", "price_change_pct", "price_deviation", "arriv
 
 
 def _outliers(spark, sf_dir, trees=200):
+    """Crisis rows scored by the isolation forest, stored once as a stage table."""
     from pricelens.plans.q_scores import crisis_frame
-    c = crisis_frame(spark, sf_dir)
-    o = IF.isolation_forest(c, "commodity", OUTLIER_FEATURES, ["commodity", "district", "date"], trees=trees)
-    return o.withColumns({"event_type": event_type(F.col("outlier_flag") == -1),
-                          "shock_type": shock_type(F.col("outlier_flag") == -1,
-                                                   F.coalesce("price_zscore", F.lit(0.0)),
-                                                   F.coalesce("arrival_zscore", F.lit(0.0)))})
+
+    def build():
+        c = crisis_frame(spark, sf_dir)
+        o = IF.isolation_forest(c, "commodity", OUTLIER_FEATURES, ["commodity", "district", "date"], trees=trees)
+        return o.withColumns({"event_type": event_type(F.col("outlier_flag") == -1),
+                              "shock_type": shock_type(F.col("outlier_flag") == -1,
+                                                       F.coalesce("price_zscore", F.lit(0.0)),
+                                                       F.coalesce("arrival_zscore", F.lit(0.0)))})
+    return _stage(spark, sf_dir, f"outliers_t{trees}", build)
 
 
 @register("outlier_events", "M18 D15 W10")
@@ -370,14 +386,11 @@ def q_farmer_master_table_models(spark, sf_dir):
 def q_price_category_report(spark, sf_dir):
     """Per-class precision / recall / F1 / support of the category classifier."""
     from pricelens.ml.metrics import classification_report
-    model, pred = _classifier(spark, sf_dir)
-    p = CL.with_labels(pred, model)
-    return _qall(classification_report(p, "price_category", "predicted_category"))
+    return _qall(classification_report(_classifier(spark, sf_dir), "price_category", "predicted_category"))
 
 
 @register("price_category_predictions", "M24 M7")
 def q_price_category_predictions(spark, sf_dir):
     """Test rows with the predicted class and the class probabilities next to it."""
-    model, pred = _classifier(spark, sf_dir)
-    p = CL.with_labels(pred, model)
+    p = _classifier(spark, sf_dir)
     return p.select("commodity", "district", "date", "price_category", "predicted_category", "probabilities")
