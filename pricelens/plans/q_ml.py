@@ -159,9 +159,14 @@ def q_ml_feature_importance(spark, sf_dir):
 
 
 def _model_forecast(spark, sf_dir, horizon=30):
-    mp = D.model_panel(spark, sf_dir)
-    model = R.fit(mp, _specs(spark)["boosted_trees"])
-    return recursive_forecast(model, mp, horizon=horizon)
+    """Recursive model forecast for every key, stored once as a stage table
+    (the forecast output the scoring layer consumes)."""
+    def build():
+        mp = D.model_panel(spark, sf_dir)
+        model = R.fit(mp, _specs(spark)["boosted_trees"])
+        return recursive_forecast(model, mp, horizon=horizon)
+    scale = spark.conf.get("pricelens.modelScale", "quick").lower()
+    return _stage(spark, sf_dir, f"model_forecast_h{horizon}_{scale}", build)
 
 
 @register("ml_recursive_forecast", "M15 M14 X20 P20")
