@@ -99,3 +99,25 @@ def test_recommendation_rule_chain_all_rules(spark):
     assert all(g.r == g.exp for g in got)
     actions = {i: a for i, _, a in I.RECOMMENDATIONS}
     assert actions[1] == "AVOID DISTRESS SELLING" and actions[4] == "SELL GRADUALLY" and actions[5] == "CONSIDER HOLDING"
+
+
+def test_risk_summary_without_outlier_table(spark):
+    crisis = spark.createDataFrame([("a", 50.0, "Moderate"), ("a", 90.0, "Critical"), ("b", 10.0, "Low")],
+                                   "commodity string, crisis_score double, crisis_level string")
+    r = {x.commodity: x for x in I.risk_summary(crisis, None).collect()}
+    assert r["a"].abnormal_events == 0.0 and r["a"].high_critical_events == 1 and r["a"].high_critical_pct == 50.0
+    assert r["b"].average_crisis_score == 10.0 and r["b"].high_critical_pct == 0.0
+    out = spark.createDataFrame([("a",), ("a",)], "commodity string")
+    r2 = {x.commodity: x for x in I.risk_summary(crisis, out).collect()}
+    assert r2["a"].abnormal_events == 2.0 and r2["b"].abnormal_events == 0.0
+
+
+def test_drift_forecast_shape_and_clamp(spark):
+    import datetime as dt
+    base = dt.date(2024, 1, 1)
+    rows = [("c", "d", base + dt.timedelta(i), 100.0 - 3.0 * i, 1.0) for i in range(40)]   # falling to 0
+    rows += [("s", "d", base + dt.timedelta(i), 5.0, 1.0) for i in range(10)]              # too short: skipped
+    p = spark.createDataFrame(rows, "commodity string, district string, date date, modal_price double, arrival double")
+    f = I.drift_forecast(p).toPandas()
+    assert set(f.commodity) == {"c"} and len(f) == 30
+    assert (f.predicted_price >= 0).all() and f.predicted_price.min() == 0.0
