@@ -82,3 +82,16 @@ def test_blocked_windows_equal_plain_windows(spark):
         blk = W.blocked_history_features(df, lags=(1, 2, 3), windows=(7, 30), block_days=bd)
         got = blk.orderBy("commodity", "date").toPandas()[plain.columns]
         pd.testing.assert_frame_equal(plain, got)
+
+
+def test_top1_per_group_and_row_rank_split(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("a", "x", 5.0), ("a", "y", 7.0), ("a", "z", 7.0), ("b", "x", 1.0)],
+                               "commodity string, district string, v double")
+    top = {r.commodity: r.district for r in
+           W.top1_per_group(df, "commodity", [F.col("v").desc(), F.col("district").asc()]).collect()}
+    assert top == {"a": "y", "b": "x"}  # tie on 7.0 -> first district
+    base = dt.date(2024, 1, 1)
+    s = spark.createDataFrame([("a", base + dt.timedelta(i)) for i in range(10)], "commodity string, date date")
+    r = W.row_rank_split(s, ["commodity"], "date", 0.8).orderBy("date").toPandas()
+    assert r.is_train.tolist() == [True] * 8 + [False] * 2
