@@ -74,3 +74,17 @@ def test_isolation_forest_isolates_extreme_point(spark):
     o = IF.isolation_forest(df, "grp0", ["a", "b"], ["id"], trees=50, psi=128).toPandas()
     top = o.sort_values("anomaly_score", ascending=False).iloc[0]
     assert top.id == 999 and top.outlier_flag == -1
+
+
+def test_seasonal_forecast_invariants(spark):
+    from pricelens.ml import seasonal as SE
+    p = price_panel(spark, SF_SMALL)
+    fc = SE.seasonal_forecast(p, horizon=30).toPandas()
+    fut = fc[fc.is_forecast]
+    assert (fut.groupby("commodity").size() == 30).all()
+    assert (fc.yhat >= 0).all() and (fc.yhat_lower <= fc.yhat + 1e-9).all() and (fc.yhat <= fc.yhat_upper + 1e-9).all()
+    hist = fc[~fc.is_forecast]
+    assert hist.actual.notna().all() and fut.actual.isna().all()
+    # components add up to the fitted log-price
+    import numpy as np
+    assert np.allclose(np.expm1(fc.trend + fc.yearly + fc.weekly).clip(lower=0), fc.yhat, rtol=1e-6, atol=1e-6)
