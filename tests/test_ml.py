@@ -88,3 +88,18 @@ def test_seasonal_forecast_invariants(spark):
     # components add up to the fitted log-price
     import numpy as np
     assert np.allclose(np.expm1(fc.trend + fc.yearly + fc.weekly).clip(lower=0), fc.yhat, rtol=1e-6, atol=1e-6)
+
+
+def test_district_clusters_and_summary(spark):
+    from pricelens.ml import cluster as KM
+    from pricelens.operators.panel import panel_with_weather
+    from pricelens.plans.q_aggregates import district_profile
+    prof = district_profile(panel_with_weather(spark, SF_SMALL))
+    ks = KM.k_search(prof, ks=range(2, 4)).toPandas()
+    assert list(ks.k) == [2, 3] and (ks.inertia >= 0).all()
+    cl = KM.cluster_districts(prof, KM.WEATHER_MEASURES, k=2)
+    pdf = cl.select("district", "cluster").toPandas()
+    assert len(pdf) == prof.count() and set(pdf.cluster) <= {0, 1}
+    summ = KM.cluster_summary(cl).toPandas()
+    assert summ.districts.sum() == len(pdf)
+    assert KM.variation_check(prof).first()["average_price"] == len(pdf)
