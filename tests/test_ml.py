@@ -103,3 +103,23 @@ def test_district_clusters_and_summary(spark):
     summ = KM.cluster_summary(cl).toPandas()
     assert summ.districts.sum() == len(pdf)
     assert KM.variation_check(prof).first()["average_price"] == len(pdf)
+
+
+def test_classifier_metrics_and_confusion(spark):
+    from pyspark.sql import functions as F
+
+    from pricelens.ml import classify as CL
+    from pricelens.ml.metrics import classification_report, confusion_matrix
+    mp = CL.price_category(D.model_panel(spark, SF_SMALL))
+    train, test = D.chrono_split(mp, "date_fraction")
+    model = CL.classifier_pipeline(num_trees=5, max_depth=4).fit(CL.balanced_weights(train, keys=["commodity"]))
+    pred = CL.with_labels(model.transform(test.withColumn("weight", F.lit(1.0))), model)
+    m = CL.classification_metrics(pred)
+    acc = pred.select(F.avg((F.col("price_category") == F.col("predicted_category")).cast("double"))).first()[0]
+    assert abs(m["accuracy"] - acc) < 1e-9 and 0 <= m["weighted_auc_ovr"] <= 1
+    cm = confusion_matrix(pred, "price_category", "predicted_category", CL.CLASSES).toPandas()
+    assert int(cm[CL.CLASSES].to_numpy().sum()) == test.count()
+    rep = classification_report(pred, "price_category", "predicted_category").toPandas()
+    assert int(rep.support.sum()) == test.count()
+    probs = pred.select("probabilities").toPandas().probabilities
+    assert all(abs(sum(p) - 1.0) < 1e-6 for p in probs)
