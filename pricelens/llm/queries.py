@@ -45,3 +45,15 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     from pricelens.llm.fingerprints import fingerprint_documents
     return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_packing")
+def op5(spark, sf_dir):
+    from pricelens.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_files")
+def op10(spark, sf_dir):
+    from pricelens.llm.rans import token_files
+    return token_files(table(spark, sf_dir, "documents"))
