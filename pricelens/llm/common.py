@@ -15,9 +15,11 @@ NULL_ID = -(2**63)
 
 
 def prepare(spark: SparkSession) -> None:
-    """Ship the package to the executors; drop a query's shuffle files when it ends."""
+    """Ship the package to the executors; drop a query's shuffle files when it ends;
+    small Arrow batches, since a row may hold a long text."""
     ship_package(spark)
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
