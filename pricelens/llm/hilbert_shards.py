@@ -65,15 +65,16 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, dimensions: list[Column] |
     prepare(spark)
     dims = dimensions or metadata_dimensions(docs)
     blank = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = stored(docs.select("doc_id", *(d.alias(f"d{i}") for i, d in enumerate(dims)), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-                              F.crc32(F.encode(blank, "UTF-8")).alias("text_crc32"), F.xxhash64(blank).alias("text_hash")), "shard-rows")
-    cuts = base.agg(*(F.percentile_approx(f"d{i}", [k / STEPS for k in range(1, STEPS)], 1000).alias(f"c{i}") for i in range(3)))
+    base = docs.select("doc_id", *(d.alias(f"d{i}") for i, d in enumerate(dims)), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+                       F.crc32(F.encode(blank, "UTF-8")).alias("text_crc32"), F.xxhash64(blank).alias("text_hash"))
+    # approximate quantiles may differ from run to run: they are written once, and so are the cells
+    cuts = stored(base.agg(*(F.percentile_approx(f"d{i}", [k / STEPS for k in range(1, STEPS)], 1000).alias(f"c{i}") for i in range(3))), "shard-cuts")
     rows = base.join(F.broadcast(cuts), F.lit(True))
     step = [F.expr(f"size(filter(array_distinct(c{i}), c -> c < d{i}))") for i in range(3)]
     cell = step[0] * (STEPS * STEPS) + step[1] * STEPS + step[2]
     rows = rows.withColumn("cell", cell.cast("int")).join(F.broadcast(curve_table(spark)), "cell")
-    rows = rows.select("doc_id", "size", "text_crc32", "text_hash", "curve", F.pmod("text_hash", F.lit(TEXT_GROUPS)).cast("int").alias("g1"),
-                       F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(7)), F.lit(ID_GROUPS)).cast("int").alias("g2"))
+    rows = stored(rows.select("doc_id", "size", "text_crc32", "text_hash", "curve", F.pmod("text_hash", F.lit(TEXT_GROUPS)).cast("int").alias("g1"),
+                              F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(7)), F.lit(ID_GROUPS)).cast("int").alias("g2")), "shard-rows")
     # where each group starts: counts by cell (4,096 rows at most), then by group within its cell
     groups = stored(rows.groupBy("curve", "g1", "g2").agg(F.count(F.lit(1)).alias("n")), "shard-groups")
     cells = groups.groupBy("curve").agg(F.sum("n").alias("n"))
@@ -82,7 +83,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, dimensions: list[Column] |
     inner = Window.partitionBy("curve").orderBy("g1", "g2").rowsBetween(Window.unboundedPreceding, -1)
     groups = (groups.select("curve", "g1", "g2", F.coalesce(F.sum("n").over(inner), F.lit(0)).alias("group_start"))
               .join(F.broadcast(cells), "curve").select("curve", "g1", "g2", (F.col("cell_start") + F.col("group_start")).alias("begin")))
-    total = base.agg(F.count(F.lit(1)).alias("total"))
+    total = rows.agg(F.count(F.lit(1)).alias("total"))
     own = Window.partitionBy("curve", "g1", "g2").orderBy("text_hash", "doc_id", "size")
     ranked = rows.withColumn("k", F.row_number().over(own) - 1).join(groups, ["curve", "g1", "g2"]).join(F.broadcast(total), F.lit(True))
     place = F.col("begin") + F.col("k")
