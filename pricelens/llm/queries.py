@@ -132,3 +132,9 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.a = d.d
 def op1(spark, sf_dir):
     from pricelens.llm.ngram_join import ngram_components
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query("op2_sentencepiece")
+def op2(spark, sf_dir):
+    from pricelens.llm.sentencepiece_lattice import encode_documents
+    return encode_documents(table(spark, sf_dir, "documents"), keep_ids=False)
