@@ -131,3 +131,28 @@ def quality_rules(docs: DataFrame, host: str = "source", keep_text: bool = False
     # one row per host: the join is skew-safe, since Spark can split the documents' side
     return (stats.join(stored(verdicts, "hosts").withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")
             .withColumn("kept", ~F.col("base_failed") & F.col("host_kept")))
+
+
+def quality_documents(docs: DataFrame, host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The rows of ``docs`` (all columns) that the rules and their host's verdict keep."""
+    prepare(docs.sparkSession)
+    verdicts = stored(host_verdicts(stored(_failures(docs, host), "failures"), max_rate=max_host_rate), "hosts").filter("host_kept").select(F.col("host").alias("_llm_host"))
+    kept = _flagged(docs).filter(~F.col("_llm_failed")).drop("_llm_failed")
+    return kept.join(verdicts, kept[host].eqNullSafe(F.col("_llm_host")), "left_semi").select(*docs.columns)
+
+
+def _failures(docs: DataFrame, host: str) -> DataFrame:
+    """(host, base_failed) of every document."""
+    return _flagged(docs.select(F.col(host).alias("host"), "text")).select("host", F.col("_llm_failed").alias("base_failed"))
+
+
+def _flagged(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_llm_failed``, beside whatever columns there are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, _, _, _, repeated = (np.array(x) for x in _stats(b.column("text")))
+            failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(failed, pa.bool_())], names=[*b.schema.names, "_llm_failed"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_llm_failed boolean"])
+    return docs.mapInArrow(run, schema)
