@@ -76,15 +76,19 @@ def q_weather_payload_rows(spark, sf_dir):
     return rows.select("date", "district", *[q4(c).alias(c) for c in ["max_temp", "min_temp", "rainfall_mm", "rain_mm", "wind"]])
 
 
-@register("streaming_price_alerts", "2.11 D1 N21 (stream)")
+@register("streaming_price_alerts", "2.11 D1 N21 (stream)", sql=with_views(["price_panel"], f"""
+SELECT commodity, district, date AS day, {sq4('modal_price')} AS modal_price, {sq4('arrival')} AS arrival, {sq4('pc')} AS price_change_pct,
+  CASE WHEN abs(pc) >= 30 THEN 3 WHEN abs(pc) >= 20 THEN 2 WHEN abs(pc) >= 10 THEN 1 ELSE 0 END AS price_stress,
+  CASE WHEN pc >= 20 THEN 'Price Spike' WHEN pc <= -20 THEN 'Price Crash' END AS shock_type
+FROM (SELECT *, (modal_price / NULLIF(lag(modal_price) OVER (PARTITION BY commodity, district ORDER BY date), 0) - 1) * 100 AS pc FROM price_panel)"""))
 def q_streaming_price_alerts(spark, sf_dir):
-    """Lands the price rows as four files, runs the alert stream to completion
-    (availableNow) and returns the closed days it emitted."""
+    """Lands the price rows by date range, runs the alert stream to completion
+    (availableNow) and returns all trading days."""
     import uuid
 
     from pricelens.session import checkpoint_dir
     from pricelens.streaming.alerts import land_price_rows, run_alerts
     base = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_stream/{uuid.uuid4().hex}"
     land_price_rows(spark, sf_dir, f"{base}/landing")
-    name = f"price_alerts_{uuid.uuid4().hex[:8]}"
-    return run_alerts(spark, f"{base}/landing", f"{base}/checkpoint", name)
+    out = run_alerts(spark, f"{base}/landing", f"{base}/checkpoint", f"{base}/partials")
+    return out.select("commodity", "district", "day", *[q4(c).alias(c) for c in ("modal_price", "arrival", "price_change_pct")], "price_stress", "shock_type")

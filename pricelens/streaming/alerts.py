@@ -1,127 +1,72 @@
-"""Streaming price-shock alerts (re-aim of the reference's planned real-time
-alerts; D1/N21 over a stream of price rows).
+"""Price-shock alerts over a stream of price rows.
 
 Input stream rows: commodity, district, ts (event time), unit_price, quantity.
-Per (commodity, district) a stateful operator (``applyInPandasWithState``)
-keeps the open trading day's running sums and the last closed day's mean
-price.  When a later day arrives, or the watermark passes the open day (event
-time timeout), the day is closed and one row is emitted with its mean price,
-arrival, percent change against the previous closed day, the price stress
-level and a shock label (abs change >= 20 %).  State per key is a handful of
-numbers, independent of the stream length.  Rows older than the open day
-(already closed) are dropped as late.
+Every micro-batch is cut down to daily partial sums per (commodity, district)
+by built-in aggregation and written under its batch id, so that a replayed batch
+replaces its own files.  The alerts are the daily sums of all partials with the
+change against the key's previous trading day.  No row is late: a row for an
+older day only corrects that day, the last open day is reported with what has
+arrived, and any number of files per day range gives the same days.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from pricelens.functions import safe_div
 from pricelens.operators.analyses import SHOCK_THRESHOLD
-from pricelens.operators.scores import PRICE_STRESS_CUTS
+from pricelens.operators.scores import price_stress
+from pricelens.operators.windows import lag, spec
 
-OUTPUT_SCHEMA = ("commodity string, district string, day date, modal_price double, arrival double, "
-                 "price_change_pct double, price_stress int, shock_type string")
-STATE_SCHEMA = "open_day long, psum double, pcount long, qsum double, last_price double"
 PRICE_ROW_SCHEMA = "commodity string, district string, ts timestamp, unit_price double, quantity double"
+PARTIAL_SCHEMA = "commodity string, district string, day date, price_sum double, price_n long, arrival double"
+
+
+def daily_partials(rows: DataFrame) -> DataFrame:
+    """Sums of a batch of price rows per key and day."""
+    return (rows.groupBy("commodity", "district", F.to_date("ts").alias("day"))
+            .agg(F.sum("unit_price").alias("price_sum"), F.count("unit_price").alias("price_n"), F.sum("quantity").alias("arrival")))
+
+
+def price_alerts(partials: DataFrame) -> DataFrame:
+    """Trading days with mean price, arrival, change against the previous day, stress and shock label."""
+    d = partials.groupBy("commodity", "district", "day").agg(F.sum("price_sum").alias("s"), F.sum("price_n").alias("n"), F.sum("arrival").alias("arrival"))
+    d = d.select("commodity", "district", "day", safe_div("s", "n").alias("modal_price"), "arrival")
+    w = spec(["commodity", "district"], "day")
+    d = d.withColumn("price_change_pct", (safe_div("modal_price", lag("modal_price", 1, w)) - 1) * 100)
+    shock = F.when(F.abs("price_change_pct") >= SHOCK_THRESHOLD, F.when(F.col("price_change_pct") > 0, "Price Spike").otherwise("Price Crash"))
+    return d.withColumns({"price_stress": price_stress(F.abs("price_change_pct")), "shock_type": shock})
+
 
+def land_price_rows(spark: SparkSession, sf_dir: str, path: str, ranges: int = 4, files: int | None = None) -> None:
+    """Write the price rows of ``sf_dir`` as landings, one folder per range of ship dates.
 
-def _stress(p):
-    if p is None:
-        return 0
-    a = abs(p)
-    c3, c2, c1 = PRICE_STRESS_CUTS
-    return 3 if a >= c3 else 2 if a >= c2 else 1 if a >= c1 else 0
-
-
-def _close(key, st):
-    open_day, psum, pcount, qsum, last = st
-    price = psum / pcount if pcount else None
-    chg = None
-    if price is not None and last is not None and last != 0:
-        chg = (price / last - 1.0) * 100.0
-    shock = None
-    if chg is not None and abs(chg) >= SHOCK_THRESHOLD:
-        shock = "Price Spike" if chg > 0 else "Price Crash"
-    row = (key[0], key[1], dt.date.fromordinal(int(open_day)), price, qsum, chg, _stress(chg), shock)
-    return row, price
-
-
-def _update(key, batches, state):
-    out = []
-    if state.hasTimedOut:
-        if state.exists:
-            row, _ = _close(key, state.get)
-            out.append(row)
-            state.remove()
-        return iter([pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])] if out else [])
-    st = list(state.get) if state.exists else [None, 0.0, 0, 0.0, None]
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values("ts")
-    for ts, price, qty in zip(pdf["ts"], pdf["unit_price"], pdf["quantity"]):
-        day = pd.Timestamp(ts).date().toordinal()
-        if st[0] is None:
-            st = [day, 0.0, 0, 0.0, st[4]]
-        if day > st[0]:
-            row, closed = _close(key, st)
-            out.append(row)
-            st = [day, 0.0, 0, 0.0, closed]
-        if day < st[0]:
-            continue  # late row for a closed day
-        if price is not None and price == price:
-            st[1] += float(price)
-            st[2] += 1
-        st[3] += float(qty) if qty is not None and qty == qty else 0.0
-    state.update(tuple(st))
-    # close the open day once the watermark passes its end (+1 day)
-    end_ms = int(dt.datetime.combine(dt.date.fromordinal(st[0] + 1), dt.time()).replace(
-        tzinfo=dt.timezone.utc).timestamp() * 1000)
-    state.setTimeoutTimestamp(end_ms)
-    cols = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
-    return iter([pd.DataFrame(out, columns=cols)] if out else [])
-
-
-def price_shock_alerts(stream: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Streaming DataFrame of closed trading days per key (append mode)."""
-    from pricelens.session import ship_package
-    ship_package(stream.sparkSession)
-    ev = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    return ev.groupBy("commodity", "district").applyInPandasWithState(
-        _update, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def land_price_rows(spark: SparkSession, sf_dir: str, path: str, chunks: int = 4) -> None:
-    """Write the price rows of ``sf_dir`` as ``chunks`` parquet landings (by ship date)."""
+    ``files`` splits every landing into that many files; by default Spark's own
+    partitioning does.
+    """
     from pricelens.sources.adapter import price_rows
-    r = price_rows(spark, sf_dir).select("commodity", "district", F.col("date").cast("timestamp").alias("ts"),
-                                         "unit_price", "quantity")
-    b = r.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    span = (b.b - b.a) / chunks
-    for i in range(chunks):
-        lo, hi = b.a + span * i, (b.a + span * (i + 1)) if i < chunks - 1 else b.b + dt.timedelta(days=1)
-        r.filter((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi))).write.mode("overwrite").parquet(f"{path}/part={i}")
-
-
-def run_alerts(spark: SparkSession, landing: str, checkpoint: str, table: str,
-               state_partitions: int | None = None) -> DataFrame:
-    """Drive the alert stream over everything landed (availableNow) into a memory table.
-
-    ``state_partitions`` fixes the number of state-store partitions of a new
-    checkpoint (default: twice the cluster's default parallelism); it is
-    recorded in the checkpoint and reused on restart.
+    r = price_rows(spark, sf_dir).select("commodity", "district", F.col("date").cast("timestamp").alias("ts"), "unit_price", "quantity")
+    b = r.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    lo, hi = (b.select(F.unix_seconds(c).alias(c)).scalar() for c in ("a", "b"))
+    part = F.floor(safe_div((F.unix_seconds("ts") - lo).cast("double") * F.lit(float(ranges)), (hi - lo + 1).cast("double"))).cast("int")
+    r = r.withColumn("part", part)
+    (r.repartition(files) if files else r).write.partitionBy("part").parquet(path)
+
+
+def run_alerts(spark: SparkSession, landing: str, checkpoint: str, sink: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Run the stream over everything landed (availableNow) into ``sink`` and return the alerts.
+
+    Restarting with the same checkpoint takes up new landings only; the alerts
+    are those of all partials so far.
     """
-    n = state_partitions or 2 * spark.sparkContext.defaultParallelism
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        src = (spark.readStream.schema(PRICE_ROW_SCHEMA).option("recursiveFileLookup", "true")
-                    .option("maxFilesPerTrigger", 1).parquet(landing))
-        q = (price_shock_alerts(src).writeStream.format("memory").queryName(table).outputMode("append")
-                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    return spark.table(table)
+    src = spark.readStream.schema(PRICE_ROW_SCHEMA).option("recursiveFileLookup", "true")
+    if files_per_trigger:
+        src = src.option("maxFilesPerTrigger", files_per_trigger)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        daily_partials(batch).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    q = src.parquet(landing).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return price_alerts(spark.read.schema(PARTIAL_SCHEMA).option("recursiveFileLookup", "true").parquet(sink))
