@@ -7,9 +7,10 @@ every later query reads the small Parquet table instead of re-joining the
 fact tables.  The written table also cuts lineage: a lost executor
 recomputes from it, not from the raw scans.
 
-The key of a stored table is the input paths plus their sizes and
-modification times and a hash of the package code, so a changed input or
-changed code is never served from a stale table.
+The key of a stored table is the path, size and modification time of every
+input file and a hash of the package code, so a changed input or changed code
+is never served from a stale table.  A table is written under a unique name and
+published by a rename, so readers and other writers never see half of one.
 Set ``pricelens.materialize=false`` to plan everything from the raw scans.
 """
 
@@ -18,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,39 +35,63 @@ def _code_hash() -> str:
     if not _CODE_HASH:
         h = hashlib.sha1()
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        for d, _, files in sorted(os.walk(root)):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    with open(os.path.join(d, f), "rb") as fh:
-                        h.update(fh.read())
+        outer = os.path.dirname(root)
+        if os.path.isdir(root):
+            for d, _, files in sorted(os.walk(root)):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        with open(os.path.join(d, f), "rb") as fh:
+                            h.update(fh.read())
+        elif zipfile.is_zipfile(outer):  # the package runs from an archive
+            with zipfile.ZipFile(outer) as z:
+                for f in sorted(n for n in z.namelist() if n.endswith(".py")):
+                    h.update(z.read(f))
+        else:
+            raise OSError(f"the package sources are neither a folder nor an archive: {root}")
         _CODE_HASH.append(h.hexdigest())
     return _CODE_HASH[0]
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, Hadoop path): local and remote stores are treated alike."""
+    jp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jp
+
+
 def _fingerprint(spark: SparkSession, paths) -> str:
-    """Code hash + (path, size, modification time) of every input, read via the
-    Hadoop file system so local and remote stores are treated alike."""
+    """Code hash + (path, size, modification time) of every input file.
+
+    An input whose status cannot be read raises: nothing is served by name alone.
+    """
     h = hashlib.sha1(_code_hash().encode())
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in sorted(paths):
-        h.update(p.encode())
-        try:
-            jp = jvm.org.apache.hadoop.fs.Path(p)
-            fs = jp.getFileSystem(conf)
-            st = fs.getFileStatus(jp)
-            summary = fs.getContentSummary(jp)
-            h.update(f"{summary.getLength()}:{summary.getFileCount()}:{st.getModificationTime()}".encode())
-        except Exception:  # unreadable status: identity by name only
-            pass
+        fs, jp = _fs(spark, p)
+        files = fs.listFiles(jp, True)
+        seen = []
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+        h.update("\n".join([p, *sorted(seen)]).encode())
     return h.hexdigest()[:16]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    fs, jp = _fs(spark, path + "/_SUCCESS")
+    return fs.exists(jp)
+
+
+def _publish(spark: SparkSession, built: str, path: str) -> None:
+    """Move a finished table to its place; a table that another job published first stays."""
+    fs, src = _fs(spark, built)
+    _, dst = _fs(spark, path)
+    if not _exists(spark, path) and not fs.rename(src, dst) and not _exists(spark, path):
+        raise OSError(f"cannot publish {built} as {path}")
+    if fs.exists(src):
+        fs.delete(src, True)
+    # a rename onto a folder that appeared meanwhile puts the table inside it
+    _, inner = _fs(spark, f"{path}/{built.rsplit('/', 1)[-1]}")
+    if fs.exists(inner):
+        fs.delete(inner, True)
 
 
 _LOCKS: dict = {}
@@ -84,5 +111,7 @@ def materialized(spark: SparkSession, name: str, inputs, build) -> DataFrame:
             lock = _LOCKS.setdefault(path, threading.Lock())
         with lock:
             if not _exists(spark, path):
-                build().write.mode("overwrite").parquet(path)
+                built = f"{path}.{uuid.uuid4().hex}"
+                build().write.parquet(built)
+                _publish(spark, built, path)
     return spark.read.parquet(path)
