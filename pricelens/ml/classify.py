@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.ml.data import indexers
-from pricelens.operators.stats import quantiles
+from pricelens.operators.stats import quantile_columns
 from pricelens.operators.stats import broadcast_if_small
 
 CLASSES = ["Cheap", "Normal", "Expensive"]
@@ -29,8 +29,7 @@ CLASSIFIER_FEATURES = ["commodity_code", "district_code", "festival_code", "arri
 def price_category(df: DataFrame, keys=("commodity",), value: str = "modal_price") -> DataFrame:
     """Per-key percentile bounds (one aggregate, broadcast back)."""
     keys = list(keys)
-    b = df.groupBy(*keys).agg(quantiles(value, (0.33, 0.66)).alias("_q"))
-    b = b.select(*keys, F.col("_q")[0].alias("p33"), F.col("_q")[1].alias("p66"))
+    b = quantile_columns(df, value, {"p33": 0.33, "p66": 0.66}, keys)
     j = df.join(broadcast_if_small(b), keys)
     v = F.col(value)
     return j.withColumn("price_category", F.when(v <= F.col("p33"), "Cheap")

@@ -2,15 +2,15 @@
 correlation matrices, normalisers, arg-min/max.
 
 Quantiles use ``percentile`` (exact, linear interpolation = pandas
-``quantile`` / DuckDB ``quantile_cont``); ``approx=True`` switches to
-``percentile_approx`` for very large groups, at the documented accuracy.
+``quantile`` / DuckDB ``quantile_cont``).  Its buffer holds a count per distinct
+value of a group; ``exact_quantiles`` needs no such buffer.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions import col, safe_corr, safe_div
@@ -48,55 +48,75 @@ def attach(df: DataFrame, small: DataFrame, keys=()) -> DataFrame:
 
     ``small`` has one row per key combination; it is broadcast when its size
     check passes (``broadcast_if_small``).  With no
-    keys it is a one-row aggregate: its columns become uncorrelated scalar
-    subqueries (computed once, inlined as values; no join at all).
+    keys it is a one-row aggregate: its row is one uncorrelated scalar subquery
+    (a struct, computed once and inlined as a value; no join at all).
     """
     keys = list(keys)
     if keys:
         return df.join(broadcast_if_small(small), keys)
-    return df.withColumns({c: small.select(c).scalar() for c in small.columns})
-
-
-def _approx_default() -> bool:
-    """``pricelens.approxQuantiles=true`` switches every quantile to
-    ``percentile_approx`` (for groups too large for an exact merge)."""
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    return bool(s) and s.conf.get("pricelens.approxQuantiles", "false").lower() == "true"
+    row = small.select(F.struct(*small.columns).alias("_row")).scalar()
+    return df.withColumns({c: row[c] for c in small.columns})
 
 
 def distinct_count(*cols) -> Column:
-    """Exact distinct count, or ``approx_count_distinct`` (HyperLogLog++,
-    ~1 % error) when ``pricelens.approxDistinct=true`` for very large inputs."""
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    if s and s.conf.get("pricelens.approxDistinct", "false").lower() == "true":
-        c = F.struct(*[col(x) for x in cols]) if len(cols) > 1 else col(cols[0])
-        return F.approx_count_distinct(c, 0.01)
+    """Exact distinct count."""
     return F.count_distinct(*[col(x) for x in cols])
 
 
-def quantiles(x, qs, approx: bool = False, accuracy: int = 10000) -> Column:
+def quantiles(x, qs) -> Column:
     """Array of quantiles of ``x``."""
-    if approx or _approx_default():
-        return F.percentile_approx(col(x), list(qs), accuracy)
     return F.percentile(col(x), F.array(*[F.lit(float(q)) for q in qs]))
 
 
-def quantile(x, q: float, approx: bool = False) -> Column:
-    if approx or _approx_default():
-        return F.percentile_approx(col(x), float(q), 10000)
+def quantile(x, q: float) -> Column:
     return F.percentile(col(x), F.lit(float(q)))
 
 
-def five_numbers(df: DataFrame, keys, x: str, approx: bool = False) -> DataFrame:
+def five_numbers(df: DataFrame, keys, x: str) -> DataFrame:
     """Min, q1, median, q3, max per group (box plot)."""
-    qs = quantiles(x, (0.0, 0.25, 0.5, 0.75, 1.0), approx)
+    qs = quantiles(x, (0.0, 0.25, 0.5, 0.75, 1.0))
     out = df.groupBy(*keys).agg(qs.alias("_q"), F.count(col(x)).alias("n"))
     names = ["min", "q1", "median", "q3", "max"]
     return out.select(*keys, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
+def exact_quantiles(df: DataFrame, x: str, qs, keys=(), buckets: int = 1024) -> DataFrame:
+    """(keys, q, value): exact linear-interpolated quantiles without a per-group value map.
+
+    Two passes: counts per equal-width bucket of a group's range tell in which
+    bucket each wanted rank lies; only those buckets' values are counted and
+    ranked.  A bucket's distinct values are ranked by a window over (group,
+    bucket), which a further split of the range narrows where a group is huge.
+    """
+    keys = list(keys)
+    v = df.filter(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias("_v"))
+    rng = v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    slot = F.least(F.floor(F.coalesce(safe_div((F.col("_v") - F.col("_lo")) * F.lit(float(buckets)), F.col("_hi") - F.col("_lo")), F.lit(0.0))), F.lit(buckets - 1))
+    v = attach(v, rng, keys).withColumn("_b", slot.cast("int"))
+    counts = v.groupBy(*keys, "_b", "_v", "_n").agg(F.count(F.lit(1)).alias("_c"))
+    per = counts.groupBy(*keys, "_b", "_n").agg(F.sum("_c").alias("_bc"))
+    upto = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_before", F.coalesce(F.sum("_bc").over(upto), F.lit(0)))
+    wanted = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.lit(float(q)).alias("_q")) for q in qs])
+    ranks = per.select(*keys, "_b", "_before", "_bc", "_n", F.explode(wanted).alias("_w"))
+    place = F.col("_w.q") * (F.col("_n") - 1)
+    ends = F.array_distinct(F.array(F.floor(place), F.ceil(place)))
+    ranks = ranks.select(*keys, "_b", "_before", "_bc", F.col("_w.q").alias("q"), place.alias("_place"), F.explode(ends).alias("_rank"))
+    ranks = ranks.filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_bc")))
+    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_upto", F.coalesce(F.sum("_c").over(within), F.lit(0)))
+    hit = counts.drop("_n").join(ranks, [*keys, "_b"]).filter((F.col("_rank") >= F.col("_before") + F.col("_upto")) & (F.col("_rank") < F.col("_before") + F.col("_upto") + F.col("_c")))
+    part = F.col("_place") - F.floor("_place")
+    g = hit.groupBy(*keys, "q", "_place").agg(F.min_by("_v", "_rank").alias("_a"), F.max_by("_v", "_rank").alias("_z"))
+    return g.select(*keys, "q", (F.col("_a") + (F.col("_z") - F.col("_a")) * part).alias("value"))
+
+
+def quantile_columns(df: DataFrame, x: str, names: dict, keys=()) -> DataFrame:
+    """One row per group with the exact quantiles ``{column name: q}`` of ``x``."""
+    q = exact_quantiles(df, x, sorted(set(names.values())), keys)
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == F.lit(float(v)), F.col("value"))).alias(n) for n, v in names.items()])
+
+
 def describe(df: DataFrame, columns) -> DataFrame:
     """Count, mean, std, min, 25/50/75 %, max per column as long rows."""
     parts = []
@@ -182,12 +202,8 @@ def minmax_normalise_many(df: DataFrame, mapping: dict, keys=(), constant_value:
 
 def arg_extreme(value, by, tiebreak=None, largest: bool = False) -> Column:
     """``value`` at the min (or max) of ``by``; ties -> smallest ``tiebreak``."""
-    key = F.struct(col(by), col(tiebreak)) if tiebreak is not None else col(by)
-    if largest:
-        # max_by with tie-break on the smallest tiebreak: negate the tiebreak order
-        key = F.struct(col(by), -col(tiebreak)) if tiebreak is not None else col(by)
-        return F.max_by(col(value), key)
-    return F.min_by(col(value), key)
+    first = -col(by) if largest else col(by)
+    return F.min_by(col(value), F.struct(first, col(tiebreak)) if tiebreak is not None else first)
 
 
 def cv_pct(x) -> Column:

@@ -141,9 +141,9 @@ SELECT commodity, {sq4('quantile_cont(modal_price, 0.33)')} AS p33, {sq4('quanti
 FROM price_panel GROUP BY 1"""))
 def q_price_quantiles(spark, sf_dir):
     p = price_panel(spark, sf_dir)
-    qs = S.quantiles("modal_price", (0.33, 0.66, 0.5, 0.9))
-    g = p.groupBy("commodity").agg(qs.alias("_q"))
-    return g.select("commodity", *[q4(F.col("_q")[i]).alias(n) for i, n in enumerate(["p33", "p66", "p50", "p90"])])
+    names = {"p33": 0.33, "p66": 0.66, "p50": 0.5, "p90": 0.9}
+    g = S.quantile_columns(p, "modal_price", names, ["commodity"])
+    return g.select("commodity", *[q4(n).alias(n) for n in names])
 
 
 @register("describe_panel", "A13", sql=with_views(["panel_wx"], " UNION ALL ".join(f"""

@@ -52,9 +52,9 @@ SELECT {sq4('threshold')} AS threshold, {sq4(corr_sql('rainfall_lag_18', 'modal_
   {sq4('AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm >= threshold)')} AS heavy_avg_change,
   {sq4('AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm < threshold)')} AS normal_avg_change,
   CASE WHEN AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm >= threshold) > AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm < threshold)
-    THEN printf('Heavy rainfall is associated with a higher average price change 18 days later. Heavy-rain observations showed an average change of %.2f%%, compared with %.2f%% after normal rainfall.',
+    THEN printf('Average change 18 days after heavy rain: %.2f%%, above the %.2f%% after ordinary days.',
       AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm >= threshold), AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm < threshold))
-    ELSE printf('Heavy rainfall did not produce a higher average price change 18 days later in this dataset. Heavy-rain observations showed %.2f%% average change compared with %.2f%% after normal rainfall.',
+    ELSE printf('Average change 18 days after heavy rain: %.2f%%, not above the %.2f%% after ordinary days.',
       AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm >= threshold), AVG(price_change_18d) FILTER (WHERE v AND rainfall_mm < threshold)) END AS conclusion
 FROM (SELECT r.*, t.threshold, (r.rainfall_mm IS NOT NULL AND r.price_change_18d IS NOT NULL) AS v FROM rain_rows r, thr t)
 GROUP BY threshold""", [("rain_rows", RAIN_ROWS), ("thr", RAIN_THR)]))
