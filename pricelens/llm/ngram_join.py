@@ -14,8 +14,9 @@ representatives:
    position.  Two blocks meet only if their sizes and positions allow a link and
    they are not of one component; other blocks are skipped whole.
 5. Answer-level skipping: with x and y compared with a common leader p, the
-   overlap of x and y lies between |x^p| + |y^p| - |p| and
-   min(|x^p| + |y| - |y^p|, |y^p| + |x| - |x^p|).  Pairs the bounds decide are
+   overlap of x and y lies between |x^p| + |y^p| - |p| and the smaller of
+   |x^p| + |y| - |y^p| - own(y) and |y^p| + |x| - |x^p| - own(x), where own()
+   counts the shingles that no other set has.  Pairs the bounds decide are
    answered from the leader's answers; only the others are compared.
 """
 
@@ -217,10 +218,10 @@ def _open_blocks(lists: DataFrame, leaders: DataFrame, compared: DataFrame, part
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
     place = F.floor(F.col("pos") / STEP).cast("int")
     salt = F.pmod(F.xxhash64("component"), F.greatest(F.lit(1), F.floor(F.col("members") / BLOCK)))
-    member = F.struct("sid", "n", "pos", "component", "o", F.pmod(F.xxhash64("sid"), F.greatest(F.lit(1), F.floor(F.col("members") / BLOCK))).alias("part"))
-    return (rows.groupBy("token", size.alias("size"), place.alias("place"), salt.alias("salt"), member["part"].alias("part"), "leader", "leader_n")
+    part = F.pmod(F.xxhash64("sid"), F.greatest(F.lit(1), F.floor(F.col("members") / BLOCK)))
+    return (rows.groupBy("token", size.alias("size"), place.alias("place"), salt.alias("salt"), part.alias("part"), "leader", "leader_n")
             .agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("pos0"), F.min("component").alias("c0"), F.max("component").alias("c1"),
-                 F.collect_list(F.struct("sid", "n", "pos", "component", "o")).alias("members")))
+                 F.collect_list(F.struct("sid", "n", "pos", "component", "o", "own")).alias("members")))
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
@@ -240,7 +241,7 @@ def _block_pairs(blocks: DataFrame) -> DataFrame:
     both = left.join(right, "token").filter(meets).select("leader_n", "x_members", "y_members")
 
     def columns(members) -> list[np.ndarray]:
-        return [np.array([m[k] for m in members], np.int64) for k in ("sid", "n", "pos", "component", "o")]
+        return [np.array([m[k] for m in members], np.int64) for k in ("sid", "n", "pos", "component", "o", "own")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -249,7 +250,7 @@ def _block_pairs(blocks: DataFrame) -> DataFrame:
                 total = x[1] + y[1]
                 ok = (x[3] != y[3]) & (9 * (x[2] + y[2]) <= total) & (5 * x[1] >= 4 * y[1]) & (5 * y[1] >= 4 * x[1])
                 known = (x[4] >= 0) & (y[4] >= 0)
-                most = np.minimum(x[4] + y[1] - y[4], y[4] + x[1] - x[4])
+                most = np.minimum(x[4] + y[1] - y[4] - y[5], y[4] + x[1] - x[4] - x[5])
                 ok &= ~known | (9 * most >= 4 * total)
                 i, j = np.nonzero(ok)
                 if len(i):
