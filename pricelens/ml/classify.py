@@ -51,11 +51,11 @@ def balanced_weights(df: DataFrame, label: str = "price_category", keys=()) -> D
     return j.withColumn("weight", F.col("_n") / (F.col("_k") * F.col("_nc"))).drop("_nc", "_n", "_k")
 
 
-def classifier_pipeline(num_trees: int = 300, max_depth: int = 15) -> Pipeline:
+def classifier_pipeline(num_trees: int = 300, max_depth: int = 15, bins: int = 64) -> Pipeline:
     lab = StringIndexer(inputCol="price_category", outputCol="label", stringOrderType="alphabetAsc")
     asm = VectorAssembler(inputCols=CLASSIFIER_FEATURES, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight",
-                                numTrees=num_trees, maxDepth=max_depth, seed=42, maxBins=64)
+                                numTrees=num_trees, maxDepth=max_depth, seed=42, maxBins=bins)
     # one forest for all commodities with the commodity as a feature (the
     # per-commodity alternative of M6); class weights are balanced per commodity
     return Pipeline(stages=indexers(["commodity", "district", "festival"], "keep") + [lab, asm, rf])

@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.ml.regress import max_bins
 from pricelens.functions import is_weekend, weekday0
 from pricelens.ml.forecast import recursive_forecast
 from pricelens.operators.windows import lag, rolling, row_rank_split, spec
@@ -38,13 +39,13 @@ def commodity_features(daily: DataFrame) -> DataFrame:
     return f.na.drop(subset=[c for c in FEATURES if c != "commodity_code"])
 
 
-def commodity_pipeline(max_iter: int = 20, max_depth: int = 5, step: float = 0.1) -> Pipeline:
+def commodity_pipeline(max_iter: int = 20, max_depth: int = 5, step: float = 0.1, bins: int = 32) -> Pipeline:
     return Pipeline(stages=[
         StringIndexer(inputCol="commodity", outputCol="commodity_code", stringOrderType="alphabetAsc",
                       handleInvalid="keep"),
         VectorAssembler(inputCols=FEATURES, outputCol="features"),
         GBTRegressor(labelCol="modal_price", featuresCol="features", seed=42, maxIter=max_iter,
-                     maxDepth=max_depth, stepSize=step)])
+                     maxDepth=max_depth, stepSize=step, maxBins=bins)])
 
 
 def fit_and_forecast(panel: DataFrame, horizon: int = 30) -> tuple[PipelineModel, DataFrame, DataFrame]:
@@ -52,7 +53,7 @@ def fit_and_forecast(panel: DataFrame, horizon: int = 30) -> tuple[PipelineModel
     daily = commodity_daily(panel)
     feats = commodity_features(daily)
     split = row_rank_split(feats, ["commodity"], "date", 0.8)
-    model = commodity_pipeline().fit(split.filter("is_train"))
+    model = commodity_pipeline(bins=max_bins(feats, ["commodity"])).fit(split.filter("is_train"))
     test_pred = model.transform(split.filter("NOT is_train"))
     fc = recursive_forecast(model, daily, horizon=horizon, keys=("commodity",), lags=LAGS)
     return model, test_pred, fc

@@ -91,40 +91,34 @@ def _build_fn(features, psi, seed):
     return build
 
 
-def _score_fn(forest_bc, features, psi_by_grp_bc):
-    def score(batches):
-        forest = forest_bc.value
-        psi_map = psi_by_grp_bc.value
-        for pdf in batches:
-            out = np.zeros(len(pdf))
-            x_all = pdf[features].to_numpy(dtype="float64")
-            for grp, idx in pdf.groupby("grp").indices.items():
-                trees = forest.get(grp)
-                if not trees:
-                    out[idx] = np.nan
-                    continue
-                x = x_all[idx]
-                total = np.zeros(len(idx))
-                for (feat, thr, left, right, size) in trees:
-                    node = np.zeros(len(idx), dtype=np.int64)
-                    depth = np.zeros(len(idx))
-                    active = feat[node] >= 0
-                    while active.any():
-                        a = np.flatnonzero(active)
-                        f = feat[node[a]]
-                        go_left = x[a, f] < thr[node[a]]
-                        node[a] = np.where(go_left, left[node[a]], right[node[a]])
-                        depth[a] += 1
-                        active = feat[node] >= 0
-                    total += depth + c_factor(size[node])
-                mean_path = total / len(trees)
-                out[idx] = 2.0 ** (-mean_path / c_factor(psi_map[grp]))
-            yield pdf.assign(anomaly_score=out)
+def _score_fn(features, psi, columns):
+    def score(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        x = rows[features].to_numpy(dtype="float64")
+        total, trees = np.zeros(len(x)), 0
+        for _, t in nodes.sort_values(["tree", "node"]).groupby("tree"):
+            feat, thr, left, right, size = (t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size"))
+            node, depth = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+            active = feat[node] >= 0
+            while active.any():
+                a = np.flatnonzero(active)
+                node[a] = np.where(x[a, feat[node[a]]] < thr[node[a]], left[node[a]], right[node[a]])
+                depth[a] += 1
+                active = feat[node] >= 0
+            total += depth + c_factor(size[node])
+            trees += 1
+        if not len(rows):
+            return pd.DataFrame([], columns=[*columns, "anomaly_score"])
+        n = min(psi, int(rows["_n"].iloc[0]))
+        return rows[columns].assign(anomaly_score=2.0 ** (-total / trees / c_factor(n)) if trees else np.nan)
     return score
 
 
+#: Rows of a group that are scored in one task.
+CHUNK = 50_000
+
+
 def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int = 200, psi: int = 256,
-                     contamination: float = 0.02, seed: int = 42, max_nodes: int = 20_000_000) -> DataFrame:
+                     contamination: float = 0.02, seed: int = 42) -> DataFrame:
     """Adds ``anomaly_score`` (higher = more isolated), ``decision`` (threshold
     minus score; < 0 flagged) and ``outlier_flag`` (-1 / 1) per row."""
     spark = df.sparkSession
@@ -135,28 +129,23 @@ def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int =
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols])
     j = base.join(broadcast_if_small(n), "grp").withColumn("_p", F.least(F.lit(1.0), F.lit(3.0 * psi) / F.col("_n")))
     tree_ids = F.sequence(F.lit(0), F.lit(trees - 1))
-    hsh = lambda t: (F.abs(F.xxhash64(key, t, F.lit(seed))) % F.lit(1000003)) / F.lit(1000003.0)
+    # a coarse number refined by a second hash, so that the share of a group of any size can be as small as it must
+    coarse = lambda t: F.abs(F.xxhash64(key, t, F.lit(seed))) % F.lit(1000003)
+    fine = lambda t: F.xxhash64(key, t, F.lit(seed + 2)).cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    hsh = lambda t: (coarse(t) + fine(t)) / F.lit(1000003.0)
     picked = j.select("grp", *features, key.alias("_key"), F.explode(F.filter(tree_ids, lambda t: hsh(t) < F.col("_p"))).alias("tree"))
     picked = picked.withColumn("_h", F.xxhash64("_key", "tree", F.lit(seed + 1)))
     nodes = (picked.select("grp", "tree", "_h", *features)
                    .groupBy("grp", "tree").applyInPandas(_build_fn(list(features), psi, seed), NODE_SCHEMA))
-    # forest size: groups x trees x (< 2 psi) nodes; checked before it reaches the driver
-    nodes = nodes.cache()  # built once, counted, then collected
-    n_nodes = nodes.count()
-    if n_nodes > max_nodes:
-        raise ValueError(f"isolation forest has {n_nodes} nodes (> {max_nodes}); use fewer trees or groups")
-    pdf = nodes.toPandas()
-    nodes.unpersist()
-    forest = {}
-    for (grp, _tree), t in pdf.sort_values(["grp", "tree", "node"]).groupby(["grp", "tree"]):
-        forest.setdefault(grp, []).append((t["feature"].to_numpy(), t["threshold"].to_numpy(),
-                                           t["left"].to_numpy(), t["right"].to_numpy(), t["size"].to_numpy()))
-    psi_map = {r.grp: min(psi, r._n) for r in n.collect()}  # one row per group
-    sc = spark.sparkContext
-    fb, pb = sc.broadcast(forest), sc.broadcast(psi_map)
     from pyspark.sql import types as T
+    columns = [f.name for f in base.schema.fields]
     schema = T.StructType(list(base.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-    scored = base.mapInPandas(_score_fn(fb, list(features), pb), schema)
+    # a group's trees (a bounded number of nodes) meet its rows chunk by chunk
+    chunks = F.ceil(F.col("_n") / F.lit(CHUNK))
+    rows = base.join(broadcast_if_small(n), "grp").withColumn("_chunk", F.pmod(F.xxhash64(key), chunks))
+    copies = nodes.join(broadcast_if_small(n), "grp").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))).drop("_n")
+    scored = (rows.groupBy("grp", "_chunk").cogroup(copies.groupBy("grp", "_chunk"))
+              .applyInPandas(_score_fn(list(features), psi, columns), schema))
     thr = scored.groupBy("grp").agg(F.percentile("anomaly_score", F.lit(1.0 - contamination)).alias("_thr"))
     out = scored.join(broadcast_if_small(thr), "grp")
     out = out.withColumn("decision", F.col("_thr") - F.col("anomaly_score"))

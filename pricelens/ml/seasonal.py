@@ -3,9 +3,8 @@
 Re-aimed additive model: log1p(daily mean price) = piecewise-linear trend
 (hinges at changepoints spread over the first 80 % of the history) + yearly
 Fourier terms (order 10) + weekly Fourier terms (order 3), fitted by ridge
-least squares.  One commodity's daily series (one row per day) is fitted in
-one task with ``groupBy(commodity).applyInPandas``; the forecast adds
-``horizon`` days, an interval of +-z * residual std, ``expm1`` and a clamp at
+least squares.  The normal equations are summed over the days by Spark and
+solved per commodity; the forecast adds ``horizon`` days, an interval of +-z * residual std, ``expm1`` and a clamp at
 0.  Components are the partial sums of the fitted terms.
 """
 
@@ -34,39 +33,55 @@ def _design(t_days, dow, doy, cps, yearly_order=10, weekly_order=3):
     return np.column_stack(cols), ntrend, ny
 
 
-def _fit_fn(horizon, n_changepoints, ridge, z, train_end):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        dates = pd.to_datetime(pdf["date"])
-        y = np.log1p(pdf["price"].to_numpy(dtype="float64"))
-        fit_mask = np.ones(len(pdf), dtype=bool) if train_end is None else (dates < pd.Timestamp(train_end)).to_numpy()
-        t0 = dates.min()
-        span = max((dates[fit_mask].max() - t0).days, 1) if fit_mask.any() else 1
-        t = (dates - t0).dt.days.to_numpy(dtype="float64") / span
-        cps = np.linspace(0, 0.8, n_changepoints + 2)[1:-1]
-        fut = pd.date_range(dates.max() + pd.Timedelta(days=1), periods=horizon, freq="D")
-        all_dates = pd.DatetimeIndex(list(dates) + list(fut))
-        ta = (all_dates - t0).days.to_numpy(dtype="float64") / span
-        X, ntr, ny = _design(ta, all_dates.dayofweek.to_numpy(dtype="float64"),
-                             all_dates.dayofyear.to_numpy(dtype="float64"), cps)
-        Xf = X[: len(pdf)][fit_mask]
-        yf = y[fit_mask]
-        pen = ridge * np.eye(X.shape[1])
+def _days(dates: pd.Series, origin: pd.Series, span: pd.Series, n_changepoints: int):
+    d = pd.to_datetime(dates)
+    t = (d - pd.to_datetime(origin)).dt.days.to_numpy(dtype="float64") / span.to_numpy(dtype="float64")
+    return _design(t, d.dt.dayofweek.to_numpy(dtype="float64"), d.dt.dayofyear.to_numpy(dtype="float64"), np.linspace(0, 0.8, n_changepoints + 2)[1:-1])
+
+
+def _sums(daily: DataFrame, n_changepoints: int) -> DataFrame:
+    """(commodity, i, v): the entries of [X y]'[X y], summed over the days in Spark."""
+    def run(batches):
+        for pdf in batches:
+            x, _, _ = _days(pdf["date"], pdf["origin"], pdf["span"], n_changepoints)
+            z = np.column_stack([x, np.log1p(pdf["price"].to_numpy(dtype="float64"))])
+            for name, at in pdf.groupby("commodity").indices.items():
+                g = (z[at].T @ z[at]).ravel()
+                yield pd.DataFrame({"commodity": name, "i": np.arange(len(g)), "v": g})
+
+    parts = daily.select("commodity", "date", "price", "origin", "span").mapInPandas(run, "commodity string, i int, v double")
+    return parts.groupBy("commodity", "i").agg(F.sum("v").alias("v"))
+
+
+def _solve_fn(ridge):
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        g = pdf.sort_values("i")["v"].to_numpy()
+        k = int(round(len(g) ** 0.5))
+        g = g.reshape(k, k)
+        xx, xy, yy, n = g[:-1, :-1], g[:-1, -1], g[-1, -1], g[0, 0]
+        pen = ridge * np.eye(k - 1)
         pen[0, 0] = 0.0
-        beta = np.linalg.solve(Xf.T @ Xf + pen, Xf.T @ yf) if len(yf) else np.zeros(X.shape[1])
-        yhat = X @ beta
-        sd = float(np.std(yf - Xf @ beta, ddof=1)) if len(yf) > 2 else 0.0
-        trend = X[:, :ntr] @ beta[:ntr]
-        yearly = X[:, ntr:ntr + ny] @ beta[ntr:ntr + ny]
-        weekly = X[:, ntr + ny:] @ beta[ntr + ny:]
-        n_act = len(pdf)
-        actual = np.concatenate([pdf["price"].to_numpy(dtype="float64"), np.full(horizon, np.nan)])
-        return pd.DataFrame({
-            "commodity": pdf["commodity"].iloc[0], "date": all_dates.date, "actual": actual,
-            "yhat": np.maximum(np.expm1(yhat), 0.0), "yhat_lower": np.maximum(np.expm1(yhat - z * sd), 0.0),
-            "yhat_upper": np.maximum(np.expm1(yhat + z * sd), 0.0), "trend": trend, "yearly": yearly,
-            "weekly": weekly, "is_forecast": np.arange(len(all_dates)) >= n_act})
-    return fit
+        beta = np.linalg.solve(xx + pen, xy)
+        # residual sum and sum of squares from the same sums; column 0 is 1
+        e1, e2 = xy[0] - xx[0] @ beta, yy - 2 * beta @ xy + beta @ xx @ beta
+        sd = max((e2 - e1 * e1 / n) / (n - 1), 0.0) ** 0.5 if n > 2 else 0.0
+        return pd.DataFrame({"commodity": [pdf["commodity"].iloc[0]], "beta": [beta.tolist()], "sd": [sd]})
+    return solve
+
+
+def _score_fn(z, n_changepoints):
+    def score(batches):
+        for pdf in batches:
+            x, ntr, ny = _days(pdf["date"], pdf["origin"], pdf["span"], n_changepoints)
+            b = np.array([v if v is not None else np.zeros(x.shape[1]) for v in pdf["beta"]], dtype="float64").reshape(len(pdf), x.shape[1])
+            part = x * b
+            yhat, sd = part.sum(axis=1), pdf["sd"].fillna(0.0).to_numpy()
+            yield pd.DataFrame({
+                "commodity": pdf["commodity"], "date": pdf["date"], "actual": pdf["price"],
+                "yhat": np.maximum(np.expm1(yhat), 0.0), "yhat_lower": np.maximum(np.expm1(yhat - z * sd), 0.0),
+                "yhat_upper": np.maximum(np.expm1(yhat + z * sd), 0.0), "trend": part[:, :ntr].sum(axis=1),
+                "yearly": part[:, ntr:ntr + ny].sum(axis=1), "weekly": part[:, ntr + ny:].sum(axis=1), "is_forecast": pdf["is_forecast"]})
+    return score
 
 
 def seasonal_forecast(panel: DataFrame, horizon: int = 30, n_changepoints: int = 25, ridge: float = 1.0,
@@ -74,13 +89,26 @@ def seasonal_forecast(panel: DataFrame, horizon: int = 30, n_changepoints: int =
     """History fit + ``horizon`` future days per commodity (positive prices only, P15).
 
     ``z`` = 1.2816 gives an 80 % interval.  ``train_end`` fits only on dates
-    before it (M20 out-of-sample evaluation).
+    before it (M20 out-of-sample evaluation).  The normal equations are sums over
+    the days, so a task never holds a whole series; only the solution of one
+    commodity's fixed-size system runs in one place.
     """
+    from pricelens.operators.stats import broadcast_if_small
     from pricelens.session import ship_package
     ship_package(panel.sparkSession)
     daily = (panel.filter(F.col("modal_price") > 0)
                   .groupBy("commodity", "date").agg(F.avg("modal_price").alias("price")))
-    return daily.groupBy("commodity").applyInPandas(_fit_fn(horizon, n_changepoints, ridge, z, train_end), OUT_SCHEMA)
+    fits = F.lit(True) if train_end is None else F.col("date") < F.lit(train_end)
+    known = daily.groupBy("commodity").agg(F.min("date").alias("origin"), F.max("date").alias("last"), F.max(F.when(fits, F.col("date"))).alias("fit_last"))
+    known = known.select("commodity", "origin", "last", F.greatest(F.coalesce(F.datediff("fit_last", "origin"), F.lit(1)), F.lit(1)).alias("span"))
+    rows = daily.join(broadcast_if_small(known.drop("last")), "commodity")
+    beta = _sums(rows.filter(fits), n_changepoints).groupBy("commodity").applyInPandas(_solve_fn(ridge), "commodity string, beta array<double>, sd double")
+    rows = rows.withColumn("is_forecast", F.lit(False))
+    if horizon:
+        ahead = known.select("commodity", F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", horizon))).alias("date"), F.lit(None).cast("double").alias("price"), "origin", "span", F.lit(True).alias("is_forecast"))
+        rows = rows.select(*ahead.columns).unionByName(ahead)
+    rows = rows.join(broadcast_if_small(beta), "commodity", "left")
+    return rows.select("commodity", "date", "price", "origin", "span", "is_forecast", "beta", "sd").mapInPandas(_score_fn(z, n_changepoints), OUT_SCHEMA)
 
 
 def seasonal_evaluation(fc: DataFrame, train_end) -> DataFrame:

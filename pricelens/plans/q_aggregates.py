@@ -75,7 +75,7 @@ def district_profile(df):
         F.avg("wind").alias("average_wind"))
 
 
-@register("district_profile", "A4 A25", sql=with_views(["panel_wx"], "SELECT district, " + ", ".join(
+@register("district_profile", "A4", sql=with_views(["panel_wx"], "SELECT district, " + ", ".join(
     f"{sq4(e)} AS {n}" for n, e in PROFILE) + " FROM panel_wx GROUP BY 1"))
 def q_district_profile(spark, sf_dir):
     d = district_profile(panel_with_weather(spark, sf_dir))
@@ -130,8 +130,7 @@ SELECT a.commodity, a.district, {sq4('AVG(c)')} AS leadership_score FROM (
 GROUP BY 1, 2"""))
 def q_district_leadership(spark, sf_dir):
     p = price_panel(spark, sf_dir)
-    districts = AG.distinct_values(p, "district")
-    ls = AG.leadership_scores(p, ("commodity",), "date", "district", "modal_price", districts)
+    ls = AG.leadership_scores(p, ("commodity",), "date", "district", "modal_price")
     return ls.select("commodity", "district", q4("leadership_score").alias("leadership_score"))
 
 

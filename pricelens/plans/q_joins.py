@@ -102,11 +102,13 @@ def q_column_identity_check(spark, sf_dir):
                  F.bool_and(F.col("arrival").eqNullSafe(F.col("a2"))).alias("arrival_identical"))
 
 
-@register("seeded_sample", "P22 (sampling operator)")
+@register("seeded_sample", "P22 (sampling operator)", sql=with_views(["price_panel"], f"""
+SELECT commodity, district, date, {sq4('modal_price')} AS modal_price, {sq4('arrival')} AS arrival FROM price_panel
+ORDER BY md5(commodity || '|' || district || '|' || strftime(date, '%Y-%m-%d') || '|42'), commodity, district, date LIMIT 500"""))
 def q_seeded_sample(spark, sf_dir, n: int = 500, seed: int = 42):
     """Repeatable sample of n (price, arrival) points for a scatter plot:
     order by a seeded hash of the key, keep n (the limit is the feature)."""
     p = price_panel(spark, sf_dir)
-    h = F.xxhash64("commodity", "district", "date", F.lit(seed))
+    key = F.concat_ws("|", "commodity", "district", F.date_format("date", "yyyy-MM-dd"), F.lit(str(seed)))
     return p.select("commodity", "district", "date", q4("modal_price").alias("modal_price"),
-                    q4("arrival").alias("arrival")).orderBy(h).limit(n)
+                    q4("arrival").alias("arrival")).orderBy(F.md5(F.encode(key, "UTF-8")), "commodity", "district", "date").limit(n)

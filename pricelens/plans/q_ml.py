@@ -2,9 +2,9 @@
 
 Queries with a model in them have no SQL oracle (rows-only check); the split
 boundary, the naive-baseline metrics and the price categories do.
-Registered queries use the small model settings (``QUICK_SPECS``);
-``pricelens.modelScale=reference`` switches them to the reference-scale
-settings of ``regress.MODEL_SPECS``.
+Registered queries fit ``regress.REGISTERED_SPECS``, each model once per input
+snapshot (``store.materialized_model``); ``regress.MODEL_SPECS`` are the
+reference's settings for ``regress.fit``.
 """
 
 from __future__ import annotations
@@ -28,14 +28,6 @@ from pricelens.plans.sqlviews import q4 as sq4, with_views
 from pricelens.sources.adapter import price_panel, price_requests
 
 
-def _specs(spark) -> dict:
-    """Model settings: the small ones by default, the reference's scale
-    (300 trees; 500/800 boosting rounds) with ``pricelens.modelScale=reference``."""
-    if spark.conf.get("pricelens.modelScale", "quick").lower() == "reference":
-        return {"random_forest": R.MODEL_SPECS["random_forest"], "boosted_trees": R.MODEL_SPECS["tuned_boosted_trees"]}
-    return R.QUICK_SPECS
-
-
 def _qall(df):
     dbl = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
     return df.select(*[q4(c).alias(c) if c in dbl else F.col(c) for c in df.columns])
@@ -105,7 +97,7 @@ def q_price_category(spark, sf_dir):
     return _qall(c.select("commodity", "district", "date", "modal_price", "p33", "p66", "price_category"))
 
 
-@register("price_category_counts", "D16 A2 L3", sql=with_views(["price_panel"], """
+@register("price_category_counts", "D16 A2", sql=with_views(["price_panel"], """
 SELECT p.commodity, CASE WHEN p.modal_price <= b.p33 THEN 'Cheap' WHEN p.modal_price <= b.p66 THEN 'Normal' ELSE 'Expensive' END AS price_category,
        CAST(COUNT(*) AS BIGINT) AS n
 FROM price_panel p JOIN (SELECT commodity, quantile_cont(modal_price, 0.33) AS p33, quantile_cont(modal_price, 0.66) AS p66
@@ -121,27 +113,45 @@ def _split(spark, sf_dir):
     return D.chrono_split(mp, "date_fraction")
 
 
-@register("ml_model_comparison", "M4 M5 M8 M11 M25 M3 M1")
+def _model(spark, sf_dir, name, on="train"):
+    """A registered model fitted on the training split or on the whole panel, stored once."""
+    from pricelens.sources.store import materialized_model
+    from pricelens.sources.tables import table_path
+
+    def fit():
+        rows = _split(spark, sf_dir)[0] if on == "train" else D.model_panel(spark, sf_dir)
+        return R.fit(rows, R.REGISTERED_SPECS[name])
+    return materialized_model(spark, f"{name}_{on}", [table_path(sf_dir, t) for t in _STAGE_TABLES], fit)
+
+
+@register("ml_model_comparison", "M4 M5 M8 M11 M3 M1")
 def q_ml_model_comparison(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    train = train.cache()
-    reference = spark.conf.get("pricelens.modelScale", "quick").lower() == "reference"
-    df, _ = R.compare_models(train, test, R.MODEL_SPECS if reference else R.QUICK_SPECS)
-    best = df.first().model  # ordered by MAE, RMSE, -R2
-    out = df.withColumns({"train_rows": F.lit(train.count()), "selected": F.col("model") == best})
+    df, _ = R.compare_models(train, test, R.REGISTERED_SPECS, lambda name: _model(spark, sf_dir, name))
+    best = {rule: R.select_model(df, rule) for rule in R.SELECTION_RULES}
+    out = df.withColumns({"train_rows": F.lit(train.count()), "selected": F.col("model") == best["mae_rmse_r2"],
+                          "selected_by_r2": F.col("model") == best["higher_r2"], "selected_by_mae": F.col("model") == best["lower_mae"]})
+    return _qall(out)
+
+
+@register("ml_run_log", "M25")
+def q_ml_run_log(spark, sf_dir):
+    """The run summary rows written to a run-log table and read back."""
+    import uuid
+
     from pricelens.session import checkpoint_dir
     from pricelens.sources.sinks import append_run_log
-    append_run_log(out, f"{checkpoint_dir(spark).rstrip('/')}/pricelens_runs/model_comparison")  # M25 run log
-    return _qall(out)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_runs/{uuid.uuid4().hex}"
+    append_run_log(q_ml_model_comparison(spark, sf_dir).select("model", "mae", "rmse", "r2", "train_rows", "test_rows"), path)
+    return spark.read.parquet(path).drop("logged_at")
 
 
 def _selected_model(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = R.fit(train, _specs(spark)["boosted_trees"])
-    return model, train, test
+    return _model(spark, sf_dir, "boosted_trees"), train, test
 
 
-@register("ml_metrics_by_slice", "M9 S11 M23")
+@register("ml_metrics_by_slice", "M9 M23")
 def q_ml_metrics_by_slice(spark, sf_dir):
     model, _, test = _selected_model(spark, sf_dir)
     pred = R.predict(model, test)
@@ -152,7 +162,13 @@ def q_ml_metrics_by_slice(spark, sf_dir):
     return _qall(c.unionByName(d))
 
 
-@register("ml_feature_importance", "M12 L4 M13")
+@register("ml_top_importances", "L4 M12")
+def q_ml_top_importances(spark, sf_dir):
+    """The ten most important features (the limit is the feature)."""
+    return q_ml_feature_importance(spark, sf_dir).orderBy(F.desc("importance"), "feature").limit(10)
+
+
+@register("ml_feature_importance", "M12 M13")
 def q_ml_feature_importance(spark, sf_dir):
     model, _, _ = _selected_model(spark, sf_dir)
     return _qall(R.feature_importance(model))
@@ -162,11 +178,8 @@ def _model_forecast(spark, sf_dir, horizon=30):
     """Recursive model forecast for every key, stored once as a stage table
     (the forecast output the scoring layer consumes)."""
     def build():
-        mp = D.model_panel(spark, sf_dir)
-        model = R.fit(mp, _specs(spark)["boosted_trees"])
-        return recursive_forecast(model, mp, horizon=horizon)
-    scale = spark.conf.get("pricelens.modelScale", "quick").lower()
-    return _stage(spark, sf_dir, f"model_forecast_h{horizon}_{scale}", build)
+        return recursive_forecast(_model(spark, sf_dir, "boosted_trees", "panel"), D.model_panel(spark, sf_dir), horizon=horizon)
+    return _stage(spark, sf_dir, f"model_forecast_h{horizon}", build)
 
 
 @register("ml_recursive_forecast", "M15 M14 X20 P20")
@@ -176,7 +189,7 @@ def q_ml_recursive_forecast(spark, sf_dir):
 
 @register("ml_forecast_intelligence", "D7 D13 M15")
 def q_ml_forecast_intelligence(spark, sf_dir):
-    fc = _model_forecast(spark, sf_dir).cache()
+    fc = _model_forecast(spark, sf_dir)
     s = I.forecast_summary(fc)
     return _qall(s.join(I.best_forecast_district(fc), "commodity"))
 
@@ -187,7 +200,7 @@ def _profile(spark, sf_dir):
     return district_profile(panel_with_weather(spark, sf_dir))
 
 
-@register("district_clusters", "M16 M17 A4")
+@register("district_clusters", "M16 A4")
 def q_district_clusters(spark, sf_dir):
     return _qall(KM.cluster_districts(_profile(spark, sf_dir)))
 
@@ -222,7 +235,8 @@ def _classifier(spark, sf_dir):
         mp = CL.price_category(D.model_panel(spark, sf_dir))
         train, test = D.chrono_split(mp, "date_fraction")
         train = CL.balanced_weights(train, keys=["commodity"])
-        model = CL.classifier_pipeline(num_trees=30, max_depth=8).fit(train)
+        bins = R.max_bins(mp, ["commodity", "district", "festival"])
+        model = CL.classifier_pipeline(num_trees=30, max_depth=8, bins=bins).fit(train)
         pred = CL.with_labels(model.transform(test.withColumn("weight", F.lit(1.0))), model)
         return pred.select("commodity", "district", "date", "price_category", "predicted_category",
                            "probabilities", "label", "prediction", "probability")
@@ -289,11 +303,10 @@ def q_seasonal_evaluation(spark, sf_dir):
 
 
 # -- request scoring -----------------------------------------------------------------------
-@register("batch_request_scoring", "M22 J12 J13 M2")
+@register("batch_request_scoring", "M22 J12 J13")
 def q_batch_request_scoring(spark, sf_dir):
     from pricelens.ml.serve import score_requests
-    mp = D.model_panel(spark, sf_dir)
-    model = R.fit(mp, _specs(spark)["boosted_trees"])
+    model = _model(spark, sf_dir, "boosted_trees", "panel")
     from pricelens.plans.q_scores import _forecast, _reco
     req = price_requests(spark, sf_dir)
     intel = _reco(spark, sf_dir).select("commodity", "district", "farmer_intelligence_score", "final_risk_level",
@@ -308,19 +321,16 @@ def q_batch_request_scoring(spark, sf_dir):
 @register("ml_per_commodity_models", "M6 M9 M2")
 def q_ml_per_commodity_models(spark, sf_dir):
     """One random-forest model per commodity on a seeded 80/20 random split."""
-    mp = D.model_panel(spark, sf_dir).cache()
-    train, test = D.random_split(mp)
-    preds = R.per_key_models(train, test, "commodity", _specs(spark)["random_forest"])
+    train, test = D.random_split(D.model_panel(spark, sf_dir))
+    preds = R.per_key_models(train, test, "commodity", R.REGISTERED_SPECS["random_forest"])
     return _qall(regression_metrics(preds, keys=["commodity"]))
 
 
-@register("ml_side_by_side", "M23 S11")
+@register("ml_side_by_side", "M23")
 def q_ml_side_by_side(spark, sf_dir):
     """Predictions of two models next to each other on the full panel."""
-    mp = D.model_panel(spark, sf_dir).cache()
-    train, _ = D.chrono_split(mp, "date_fraction")
-    rf = R.fit(train, _specs(spark)["random_forest"])
-    gb = R.fit(train, _specs(spark)["boosted_trees"])
+    mp = D.model_panel(spark, sf_dir)
+    rf, gb = (_model(spark, sf_dir, name) for name in ("random_forest", "boosted_trees"))
     k = ["commodity", "district", "date"]
     a = rf.transform(mp).select(*k, "modal_price", F.col("prediction").alias("rf_prediction"))
     b = gb.transform(mp).select(*k, F.col("prediction").alias("gbt_prediction"))
@@ -343,7 +353,7 @@ def q_ml_model_persistence(spark, sf_dir):
 
     from pricelens.session import checkpoint_dir
     mp = D.model_panel(spark, sf_dir)
-    model = R.fit(mp, _specs(spark)["random_forest"])
+    model = _model(spark, sf_dir, "random_forest")
     path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_models/{uuid.uuid4().hex}"
     R.save_model(model, path, {"features": R.FEATURE_COLUMNS, "target": D.TARGET, "model": "random_forest"})
     loaded, meta = R.load_model(path)
@@ -374,8 +384,8 @@ def q_farmer_master_table_models(spark, sf_dir):
     the master table with the cluster column."""
     from pricelens.plans.q_scores import crisis_frame
     crisis = crisis_frame(spark, sf_dir)
-    fc = _model_forecast(spark, sf_dir).cache()
-    outl = _outliers(spark, sf_dir, trees=100).filter(F.col("outlier_flag") == -1).select("commodity")
+    fc = _model_forecast(spark, sf_dir)
+    outl = _outliers(spark, sf_dir).filter(F.col("outlier_flag") == -1).select("commodity")
     intel = I.farmer_intelligence(I.forecast_summary(fc), I.risk_summary(crisis, outl))
     clusters = KM.cluster_districts(_profile(spark, sf_dir), KM.WEATHER_MEASURES, k=2).select("district", "cluster")
     dintel = I.district_intelligence(crisis).join(clusters, "district", "left")

@@ -31,6 +31,6 @@ def register(name: str, inventory: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
     from pricelens.plans import (  # noqa: F401
-        q_aggregates, q_analyses, q_clean, q_joins, q_ml, q_scores, q_sources, q_windows,
+        q_aggregates, q_analyses, q_checks, q_clean, q_joins, q_ml, q_scores, q_sources, q_windows,
     )
     return QUERIES

@@ -36,14 +36,16 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 def market_panel(spark: SparkSession, price_paths, weather_paths, calendar: DataFrame | None = None,
                  banner: str | None = None) -> DataFrame:
-    """Panel (commodity, district, date, modal_price, arrival, weather, calendar parts)."""
+    """Panel (commodity, district, date, modal_price, arrival, weather, calendar parts).
+
+    A price on a day without weather stays, with a null district and weather.
+    """
     raw = read_csv(spark, price_paths, RAW_PRICE_SCHEMA, header=False)
     if banner:
         raw = drop_header_rows(raw, {"State": banner})
     prices = clean_raw_prices(raw)
     weather = read_weather_payloads(spark, weather_paths).drop("rain_mm")
     panel = join_weather(prices.select("commodity", "date", "modal_price", "arrival"), weather, on=("date",))
-    panel = panel.filter(F.col("district").isNotNull())
     if calendar is not None:
         panel = join_calendar(panel, calendar.select("date", "festival", "holiday"))
     panel = fill_within_keys(panel, ["max_temp", "min_temp", "rainfall_mm", "wind"])

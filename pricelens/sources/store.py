@@ -75,16 +75,16 @@ def _fingerprint(spark: SparkSession, paths) -> str:
     return h.hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jp = _fs(spark, path + "/_SUCCESS")
+def _exists(spark: SparkSession, path: str, mark: str = "_SUCCESS") -> bool:
+    fs, jp = _fs(spark, f"{path}/{mark}")
     return fs.exists(jp)
 
 
-def _publish(spark: SparkSession, built: str, path: str) -> None:
+def _publish(spark: SparkSession, built: str, path: str, mark: str = "_SUCCESS") -> None:
     """Move a finished table to its place; a table that another job published first stays."""
     fs, src = _fs(spark, built)
     _, dst = _fs(spark, path)
-    if not _exists(spark, path) and not fs.rename(src, dst) and not _exists(spark, path):
+    if not _exists(spark, path, mark) and not fs.rename(src, dst) and not _exists(spark, path, mark):
         raise OSError(f"cannot publish {built} as {path}")
     if fs.exists(src):
         fs.delete(src, True)
@@ -115,3 +115,21 @@ def materialized(spark: SparkSession, name: str, inputs, build) -> DataFrame:
                 build().write.parquet(built)
                 _publish(spark, built, path)
     return spark.read.parquet(path)
+
+
+def materialized_model(spark: SparkSession, name: str, inputs, fit):
+    """``fit()``'s pipeline model, fitted once per input snapshot and loaded by every query."""
+    from pyspark.ml import PipelineModel
+    if spark.conf.get("pricelens.materialize", "true").lower() != "true":
+        return fit()
+    mark = "metadata/_SUCCESS"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_models/{name}_{_fingerprint(spark, inputs)}"
+    if not _exists(spark, path, mark):
+        with _LOCKS_GUARD:
+            lock = _LOCKS.setdefault(path, threading.Lock())
+        with lock:
+            if not _exists(spark, path, mark):
+                built = f"{path}.{uuid.uuid4().hex}"
+                fit().write().save(built)
+                _publish(spark, built, path, mark)
+    return PipelineModel.load(path)
