@@ -73,17 +73,17 @@ def predict(model: PipelineModel, df: DataFrame, clamp: bool = True) -> DataFram
     return out.withColumn("error", F.col(TARGET) - F.col("prediction"))
 
 
-#: The order of each selection rule, best first.
+#: The order of each selection rule, best first; a minus is descending.
 SELECTION_RULES = {
-    "mae_rmse_r2": ["mae", "rmse", F.desc("r2")],
-    "higher_r2": [F.desc("r2"), "model"],
+    "mae_rmse_r2": ["mae", "rmse", "-r2"],
+    "higher_r2": ["-r2", "model"],
     "lower_mae": ["mae", "model"],
 }
 
 
 def select_model(metrics: DataFrame, rule: str = "mae_rmse_r2") -> str:
     """Name of the best model under a rule."""
-    return metrics.orderBy(*SELECTION_RULES[rule]).first().model
+    return metrics.orderBy(*[F.desc(c[1:]) if c[0] == "-" else F.asc(c) for c in SELECTION_RULES[rule]]).first().model
 
 
 def compare_models(train: DataFrame, test: DataFrame, specs: dict, fit_one=None) -> tuple[DataFrame, dict]:
