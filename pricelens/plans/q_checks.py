@@ -13,7 +13,7 @@ from pricelens.ml import seasonal as SE
 from pricelens.ml.serve import MESSAGES, validate
 from pricelens.operators.joins import code_map
 from pricelens.operators.windows import lag, spec
-from pricelens.plans import q_ml
+from pricelens.plans import q_ml, q_scores  # noqa: F401  (its SQL is nested below)
 from pricelens.plans.q_aggregates import district_profile
 from pricelens.plans.registry import QUERIES, register
 from pricelens.plans.sqlviews import q4 as sq4, with_views
@@ -109,11 +109,102 @@ def q_ml_forecast_shape(spark, sf_dir):
                                                   F.bool_and(F.col("predicted_price") >= 0).alias("not_negative"))
 
 
-@register("ml_model_invariants", "M12 S10 M24 M23", sql=with_views(["price_panel"], """
+@register("ml_model_invariants", "M12 L4 S10 M23", sql=with_views(["price_panel"], """
 SELECT 'importances' AS what, CAST(20 AS BIGINT) AS n, true AS holds FROM (SELECT 1 FROM price_panel LIMIT 1)
+UNION ALL SELECT 'top ten', CAST(10 AS BIGINT), true FROM (SELECT 1 FROM price_panel LIMIT 1)
 UNION ALL SELECT 'reload', COUNT(DISTINCT (commodity, district)), true FROM price_panel"""))
 def q_ml_model_invariants(spark, sf_dir):
     """Importances sum to one; a reloaded model predicts the same for every key."""
     imp = q_ml.q_ml_feature_importance(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), (F.abs(F.sum("importance") - 1) < 0.01).alias("holds"))
     same = q_ml.q_ml_model_persistence(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), (F.max("max_abs_diff") == 0).alias("holds"))
-    return imp.select(F.lit("importances").alias("what"), "n", "holds").unionByName(same.select(F.lit("reload").alias("what"), "n", "holds"))
+    least = q_ml.q_ml_feature_importance(spark, sf_dir).select(F.element_at(F.sort_array(F.collect_list("importance"), False), 10)).scalar()
+    top = q_ml.q_ml_top_importances(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), (F.min("importance") >= least).alias("holds"))
+    return imp.select(F.lit("importances").alias("what"), "n", "holds").unionByName(top.select(F.lit("top ten").alias("what"), "n", "holds")).unionByName(same.select(F.lit("reload").alias("what"), "n", "holds"))
+
+
+# Rows of the model panel: 30 earlier prices of the key and a full weather record (see ml.data.model_panel).
+_MODEL_ROWS = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY commodity, district ORDER BY date) AS rn FROM panel_wx) WHERE rn > 30"""
+_MODEL_SPLIT = """SELECT date AS split_date FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i FROM (SELECT DISTINCT date FROM mp))
+  WHERE i = (SELECT floor(COUNT(DISTINCT date) * 0.8) FROM mp)"""
+_MODEL_CTES = [("mp", _MODEL_ROWS), ("msplit", _MODEL_SPLIT)]
+
+
+@register("ml_run_invariants", "M4 M5 M11 M25 M2", sql=with_views(["panel_wx"], """
+SELECT m.model, CAST(COUNT(*) FILTER (WHERE date < split_date) AS BIGINT) AS train_rows, CAST(COUNT(*) FILTER (WHERE date >= split_date) AS BIGINT) AS test_rows,
+       true AS one_selected, true AS split_whole
+FROM mp, msplit, (VALUES ('random_forest'), ('boosted_trees')) m(model) GROUP BY 1""", _MODEL_CTES))
+def q_ml_run_invariants(spark, sf_dir):
+    """The run log's rows; each rule selects one model; the random split keeps every row once."""
+    log = q_ml.q_ml_run_log(spark, sf_dir).select("model", "train_rows", "test_rows")
+    flags = ["selected", "selected_by_r2", "selected_by_mae"]
+    one = q_ml.q_ml_model_comparison(spark, sf_dir).agg(*[F.sum(F.col(c).cast("int")).alias(c) for c in flags])
+    one = one.select((F.least(*flags) == 1).alias("a"), (F.greatest(*flags) == 1).alias("b"))
+    mp = D.model_panel(spark, sf_dir)
+    a, b = D.random_split(mp)
+    keys = ["commodity", "district", "date"]
+    both = a.select(*keys).unionByName(b.select(*keys)).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*keys).alias("d"))
+    whole = both.join(mp.agg(F.count(F.lit(1)).alias("all")), F.col("n") == F.col("all")).select((F.col("n") == F.col("d")).alias("split_whole"))
+    return (log.withColumns({"one_selected": one.select(F.col("a") & F.col("b")).scalar(), "split_whole": F.coalesce(whole.scalar(), F.lit(False))}))
+
+
+@register("classifier_invariants", "M7 M10 M24 D16", sql=with_views(["panel_wx"], """
+SELECT commodity, CASE WHEN modal_price <= p33 THEN 'Cheap' WHEN modal_price <= p66 THEN 'Normal' ELSE 'Expensive' END AS price_category,
+       CAST(COUNT(*) AS BIGINT) AS test_rows, true AS probabilities_sum, true AS accuracy_agrees
+FROM (SELECT m.*, b.p33, b.p66 FROM mp m JOIN (SELECT commodity, quantile_cont(modal_price, 0.33) AS p33, quantile_cont(modal_price, 0.66) AS p66 FROM mp GROUP BY 1) b USING (commodity)), msplit
+WHERE date >= split_date GROUP BY 1, 2""", _MODEL_CTES))
+def q_classifier_invariants(spark, sf_dir):
+    """Test rows per actual class; probabilities sum to one; accuracy equals the confusion's diagonal."""
+    p = q_ml._classifier(spark, sf_dir)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    own = p.agg(F.avg((F.col("price_category") == F.col("predicted_category")).cast("double")).alias("a"))
+    told = q_ml.q_price_category_classifier(spark, sf_dir).filter("metric = 'accuracy'").select("value")
+    g = p.groupBy("commodity", "price_category").agg(F.count(F.lit(1)).alias("test_rows"), F.bool_and(F.abs(total - 1) < 1e-9).alias("probabilities_sum"))
+    return g.withColumn("accuracy_agrees", F.abs(own.scalar() - told.scalar()) < 1e-9)
+
+
+@register("outlier_invariants", "M18 D15", sql=f"""
+SELECT commodity, CAST(COUNT(*) AS BIGINT) AS rows, true AS share_kept, true AS labels_agree
+FROM (SELECT *, row_number() OVER (PARTITION BY commodity, district ORDER BY date) AS rn FROM ({QUERIES['crisis_scores'].sql}) t) WHERE rn > 4 GROUP BY 1""")
+def q_outlier_invariants(spark, sf_dir):
+    """Every crisis row with full rolling features (from a key's fifth day) scored; at most 2 % flagged, by the sign of the decision; labels follow the flag."""
+    o = q_ml._outliers(spark, sf_dir)
+    out = F.col("outlier_flag") == -1
+    ok = (out == (F.col("decision") < 0)) & (out == (F.col("event_type") == F.lit("Abnormal Event")))
+    return o.groupBy("commodity").agg(F.count(F.lit(1)).alias("rows"), (F.count_if(out) <= F.ceil(F.count(F.lit(1)) * 0.02)).alias("share_kept"), F.bool_and(ok).alias("labels_agree"))
+
+
+@register("cluster_invariants", "M16 D11 A25", sql=with_views(["price_panel"], """
+SELECT CAST(COUNT(DISTINCT district) AS BIGINT) AS districts, true AS once, true AS summary_agrees FROM price_panel"""))
+def q_cluster_invariants(spark, sf_dir):
+    """Every district in one cluster; the summary counts them all."""
+    c = q_ml.q_district_clusters(spark, sf_dir).agg(F.count(F.lit(1)).alias("districts"), F.count_distinct("district").alias("d"))
+    s = q_ml.q_cluster_summary(spark, sf_dir).agg(F.sum("districts").alias("s"))
+    return c.select("districts", (F.col("districts") == F.col("d")).alias("once"), (s.scalar() == F.col("districts")).alias("summary_agrees"))
+
+
+@register("request_scoring_invariants", "M22 J13", sql=with_views(["price_panel", "daily_signal"], """
+SELECT commodity, district, CAST(COUNT(*) AS BIGINT) AS requests, true AS answered FROM
+  (SELECT DISTINCT commodity, district FROM price_panel) JOIN daily_signal USING (district) GROUP BY 1, 2"""))
+def q_request_scoring_invariants(spark, sf_dir):
+    """Each request has either an error or a price, scores of its key and 30 forecast days."""
+    r = q_ml.q_batch_request_scoring(spark, sf_dir)
+    ok = F.col("error").isNotNull() | (F.col("predicted_price").isNotNull() & F.col("farmer_intelligence_score").isNotNull() & (F.col("forecast_days") == 30))
+    return r.groupBy("commodity", "district").agg(F.count(F.lit(1)).alias("requests"), F.bool_and(ok).alias("answered"))
+
+
+@register("commodity_forecast_invariants", "M14 M6", sql=with_views(["price_panel"], """
+SELECT commodity, CAST(30 AS BIGINT) AS days, MAX(date) + 1 AS first_date, true AS not_negative FROM price_panel GROUP BY 1"""))
+def q_commodity_forecast_invariants(spark, sf_dir):
+    """Thirty days after the commodity's last day; the per-commodity models cover every commodity."""
+    f = q_ml.q_ml_commodity_forecast(spark, sf_dir)
+    g = f.groupBy("commodity").agg(F.count(F.lit(1)).alias("days"), F.min("date").alias("first_date"), F.bool_and(F.col("predicted_price") >= 0).alias("not_negative"))
+    return g.join(q_ml.q_ml_per_commodity_models(spark, sf_dir).select("commodity"), "commodity")
+
+
+@register("seasonal_evaluation_invariants", "M20", sql=with_views(["price_panel"], """
+SELECT commodity, CASE WHEN date < split_date THEN 'in_sample' ELSE 'out_of_sample' END AS sample, CAST(COUNT(*) AS BIGINT) AS rows, true AS errors_ordered
+FROM (SELECT DISTINCT commodity, date FROM price_panel WHERE modal_price > 0), split GROUP BY 1, 2""", [("split", q_ml.SPLIT_SQL)]))
+def q_seasonal_evaluation_invariants(spark, sf_dir):
+    """Days before and after the cut; a mean error never exceeds the root mean square error."""
+    e = q_ml.q_seasonal_evaluation(spark, sf_dir)
+    return e.select("commodity", "sample", "rows", (F.col("mae") <= F.col("rmse") + 1e-6).alias("errors_ordered"))

@@ -21,3 +21,5 @@ def test_survey_inventory_covered():
     ids = set(re.findall(r"^\| ([A-Z]\d+) \|", sec, re.M))
     covered = set().union(*[_ids(q.inventory) for q in load_all().values()])
     assert ids and not (ids - covered), sorted(ids - covered)
+    with_sql = set().union(*[_ids(q.inventory) for q in load_all().values() if q.sql])
+    assert not (ids - with_sql), sorted(ids - with_sql)
