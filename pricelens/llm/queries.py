@@ -34,11 +34,33 @@ def op7(spark, sf_dir):
     return hilbert_shards(table(spark, sf_dir, "documents"))
 
 
-@query("op8_quality_rules")
+OP8_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
+words AS (SELECT r, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs),
+windows AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM words)),
+twice AS (SELECT r, i FROM windows JOIN (SELECT r, g FROM windows GROUP BY r, g HAVING count(*) > 1) USING (r, g)),
+inside AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r),
+lines AS (SELECT r, l FROM (SELECT r, unnest(string_split(text, chr(10))) AS l FROM docs) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+dups AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY r),
+stats AS (
+  SELECT r, doc_id, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dups.n, 0) AS n_dup_lines, coalesce(inside.n, 0) AS n_repeat_words
+  FROM docs JOIN words USING (r) LEFT JOIN dups USING (r) LEFT JOIN inside USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM stats),
+hosts AS (SELECT source, count(*)::DOUBLE AS d, count(*) FILTER (base_failed)::DOUBLE AS f FROM judged GROUP BY source),
+corpus AS (SELECT sum(f) / sum(d) AS m, sum(d) AS d, count(*)::DOUBLE AS k, sum(f * f / d) / sum(d) AS s2 FROM hosts),
+prior AS (SELECT m, greatest(m * (1 - m) / greatest(s2 - m * m - m * (1 - m) * k / d, 1e-6) - 1, 1.0) AS strength FROM corpus),
+verdicts AS (SELECT source, (f + m * strength) / (hosts.d + strength) <= 0.6 AS host_kept FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_kept AS kept
+FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
+"""
+
+
+@query("op8_quality_rules", OP8_SQL)
 def op8(spark, sf_dir):
     from pricelens.llm.quality import quality_rules
     out = quality_rules(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 6).alias("host_rate"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @query("op9_fingerprints")
