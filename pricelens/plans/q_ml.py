@@ -129,7 +129,7 @@ def q_ml_model_comparison(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     df, _ = R.compare_models(train, test, R.REGISTERED_SPECS, lambda name: _model(spark, sf_dir, name))
     best = {rule: R.select_model(df, rule) for rule in R.SELECTION_RULES}
-    out = df.withColumns({"train_rows": F.lit(train.count()), "selected": F.col("model") == best["mae_rmse_r2"],
+    out = df.withColumns({"train_rows": F.lit(train.count()).cast("long"), "selected": F.col("model") == best["mae_rmse_r2"],
                           "selected_by_r2": F.col("model") == best["higher_r2"], "selected_by_mae": F.col("model") == best["lower_mae"]})
     return _qall(out)
 
