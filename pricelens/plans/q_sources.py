@@ -87,8 +87,10 @@ def q_streaming_price_alerts(spark, sf_dir):
     import uuid
 
     from pricelens.session import checkpoint_dir
+    from pricelens.sources.store import remove
     from pricelens.streaming.alerts import land_price_rows, run_alerts
     base = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_stream/{uuid.uuid4().hex}"
     land_price_rows(spark, sf_dir, f"{base}/landing")
     out = run_alerts(spark, f"{base}/landing", f"{base}/checkpoint", f"{base}/partials")
+    remove(spark, f"{base}/landing")  # the daily partial sums are what is read from here on
     return out.select("commodity", "district", "day", *[q4(c).alias(c) for c in ("modal_price", "arrival", "price_change_pct")], "price_stress", "shock_type")

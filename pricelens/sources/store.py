@@ -75,6 +75,12 @@ def _fingerprint(spark: SparkSession, paths) -> str:
     return h.hexdigest()[:16]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing will read again (a consumed landing)."""
+    fs, jp = _fs(spark, path)
+    fs.delete(jp, True)
+
+
 def _exists(spark: SparkSession, path: str, mark: str = "_SUCCESS") -> bool:
     fs, jp = _fs(spark, f"{path}/{mark}")
     return fs.exists(jp)
