@@ -284,5 +284,7 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     more = overlaps(pairs.filter(~F.col("sure")).select("a", "b"), sets).filter(LINKED).select("a", "b")
     parts = components(stars.unionByName(more).unionByName(pairs.filter("sure").select("a", "b")))
     classes = reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    out = digests.join(stored(classes, "class-components"), "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    # empty sets have no class: joining them would bring their null keys together
+    full = digests.filter("n_shingles > 0").join(stored(classes, "class-components"), "digest").select("doc_id", "n_shingles", "component_id")
+    out = full.unionByName(digests.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.select(real_id(F.col("doc_id")).alias("doc_id"), "n_shingles", real_id(F.col("component_id")).alias("component_id"))

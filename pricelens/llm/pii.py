@@ -202,7 +202,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    found = stored(find_base(docs, ["doc_id"]).withColumn("row", F.when(F.size("contexts") > 0, F.xxhash64("doc_id", "base", "contexts"))), "pii")
+    found = stored(find_base(docs, ["doc_id"]).withColumn("row", F.xxhash64("doc_id", "base", "contexts")), "pii")
     bad = stored(disclosing_terms(found, docs), "pii-terms")
     near = (found.filter(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c"))
             .select("row", "c.entity", F.explode("c.terms").alias("t")).select("row", "entity", "t.term", "t.a", "t.b"))

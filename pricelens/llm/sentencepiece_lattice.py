@@ -30,7 +30,13 @@ from pricelens.llm.words import mixed, run_hashes, running, slices
 SPACE = "▁"
 #: Longer units (junk without spaces) are folded in Python, since the fold's state is a 64-bit mask.
 LONGEST = 60
-BATCH_BYTES, BUCKET_BYTES = 16_000_000, 16_000_000
+BATCH_BYTES, BUCKET_BYTES = 4_000_000, 16_000_000
+#: Text whose distinct units one task folds, about.
+FOLD_BYTES = 4_000_000
+#: Text whose units are found at once.
+SLICE = 500_000
+#: Units whose edges a task gathers in memory before Spark sorts them instead.
+GATHERED = 50_000
 UNIGRAM, BPE = 1, 2
 #: What the library takes off the smallest score for a character without a piece.
 UNKNOWN_PENALTY = 10.0
@@ -147,6 +153,12 @@ class Model:
             out += [i] if i >= 0 else [self.byte_ids[b] for b in s.encode()] if self.byte_ids else [self.unk]
         return out
 
+    @functools.cached_property
+    def bytes_of(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The decoded bytes of all ids, and where each one's begin and how many they are."""
+        num = np.array([len(x) for x in self.decoded], np.int64)
+        return np.frombuffer(b"".join(self.decoded), np.uint8), np.concatenate([[0], np.cumsum(num)[:-1]]), num
+
     @functools.cached_property
     def table(self) -> dict[str, tuple[int, float]]:
         return {p: (i, s) for p, i, s in self.pieces}
@@ -184,71 +196,68 @@ class Units:
         self.hash = run_hashes(running(_char_hash()[cp]), self.start, self.end) if len(cp) else np.empty(0, np.uint64)
         self.first = np.searchsorted(self.start, self.bounds)
 
-    def distinct(self) -> tuple[np.ndarray, list[str]]:
+    def fresh(self, seen: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        """Distinct units whose hashes are not in ``seen``."""
         h, i = np.unique(self.hash, return_index=True)
-        return h, [self.text[a:b] for a, b in zip(self.start[i].tolist(), self.end[i].tolist(), strict=True)]
+        new = ~np.isin(h, seen, assume_unique=True)
+        i = i[new]
+        return h[new], [self.text[a:b] for a, b in zip(self.start[i].tolist(), self.end[i].tolist(), strict=True)]
 
 
-def distinct_units(docs: DataFrame, raw: bytes) -> DataFrame:
-    """(key, unit): the distinct units of all texts."""
+def distinct_units(docs: DataFrame, raw: bytes, parts: int) -> DataFrame:
+    """(key, unit): the distinct units of all texts, dealt to ``parts`` tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, seen = model(raw), np.empty(0, np.uint64)
         for b in batches:
-            for _, _, buf, offs in slices(b.column("text")):
-                h, units = Units(m, buf, offs).distinct()
-                fresh = ~np.isin(h, seen, assume_unique=True)
+            for _, _, buf, offs in slices(b.column("text"), SLICE):
+                h, units = Units(m, buf, offs).fresh(seen)
                 # a task's own units are told once; the memory of them is bounded
-                seen = np.concatenate([seen, h[fresh]]) if len(seen) < 2_000_000 else h
-                yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array([u for u, f in zip(units, fresh.tolist(), strict=True) if f], pa.string())], names=["key", "unit"])
+                seen = np.concatenate([seen, h]) if len(seen) < 1_000_000 else h
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(units, pa.string())], names=["key", "unit"])
 
-    return docs.select("text").mapInArrow(run, "key long, unit string").distinct()
+    return docs.select("text").mapInArrow(run, "key long, unit string").repartition(parts, "key", "unit").distinct()
 
 
-#: Segments (s, e) of a unit as a mask of their bounds: merge the best edge that joins two segments, while there is one.
+#: The bounds of segments are the bits of b; an edge has its two ends and the bounds inside as masks.
+#: Merge the best edge that joins two segments, while there is one.
 _MERGE = """
-aggregate(sequence(1, greatest(n - 1, 1)), shiftleft(2L, n) - 1, (b, i) -> transform(
-    array(get(filter(edges, x -> x.e - x.s > 1 AND (shiftright(b, x.s) & 1) = 1 AND (shiftright(b, x.e) & 1) = 1
-        AND bit_count(shiftright(b, x.s + 1) & (shiftleft(1L, x.e - x.s - 1) - 1)) = 1), 0)),
-    x -> if(x IS NULL, b, b & ~shiftleft(shiftleft(1L, x.e - x.s - 1) - 1, x.s + 1)))[0])
+aggregate(sequence(1, greatest(least(n - 1, size(edges) - n), 1)), shiftleft(2L, n) - 1, (b, i) -> transform(
+    array(get(filter(edges, x -> (b & x.ends) = x.ends AND bit_count(b & x.inner) = 1), 0)), x -> if(x IS NULL, b, b & ~x.inner))[0])
 """
 #: Best score up to each place with where its last piece began; the bounds are then read back from the end.
 _VITERBI = """
-transform(array(aggregate(sequence(1, n), array(struct(0.0D AS score, 0 AS s)), (best, p) -> concat(best, array(transform(
-    array(array_max(transform(filter(edges, x -> x.e = p), x -> struct(best[x.s].score + x.score AS score, -x.s AS s)))),
-    x -> if(x IS NULL OR (NOT exists(edges, y -> y.e = p AND y.s = p - 1) AND best[p - 1].score + unknown > x.score),
-            struct(best[p - 1].score + unknown AS score, p - 1 AS s), struct(x.score AS score, -x.s AS s)))[0])))),
+transform(array(aggregate(sequence(1, n), array(struct(0.0D AS score, 0 AS s)), (best, p) -> concat(best, array(
+    array_max(transform(filter(edges, x -> x.e = p), x -> struct(best[x.s].score - x.cost AS score, -x.s AS s))))))),
   best -> aggregate(sequence(n, 1), struct(shiftleft(1L, n) AS b, n AS p), (a, i) ->
-    if(i = a.p, struct(a.b | shiftleft(1L, best[i].s) AS b, best[i].s AS p), a)).b)[0]
+    if(i = a.p, struct(a.b | shiftleft(1L, -best[i].s) AS b, -best[i].s AS p), a)).b)[0]
 """
+#: The edges between neighbouring bounds, from left to right; an id of -1 is a character without a piece.
 _IDS = """
-flatten(transform(transform(filter(sequence(0, n - 1), i -> (shiftright(bounds, i) & 1) = 1), i -> struct(i AS s, array_min(filter(sequence(i + 1, n), j -> (shiftright(bounds, j) & 1) = 1)) AS e)),
-  seg -> coalesce(transform(filter(edges, x -> x.s = seg.s AND x.e = seg.e), x -> x.id), array())))
+flatten(transform(array_sort(transform(filter(edges, x -> (bounds & x.ends) = x.ends AND (bounds & x.inner) = 0), x -> struct(x.s AS s, x.id AS id))),
+  x -> if(x.id >= 0, array(x.id), UNKNOWN)))
+"""
+_BYTES = """
+transform(sequence(1, octet_length(substring(unit, x.s + 1, 1))),
+  k -> byte_ids[int(conv(substring(hex(encode(substring(unit, x.s + 1, 1), 'UTF-8')), 2 * k - 1, 2), 16, 10))])
 """
 
 
 def unit_ids(units: DataFrame, raw: bytes) -> DataFrame:
     """(key, ids): the lattice of each unit, folded."""
     spark, m = units.sparkSession, model(raw)
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GATHERED))
     # the vocabulary: its size is that of the model file
     table = spark.createDataFrame(m.pieces, "piece string, id int, score double")
     units = units.withColumn("n", F.char_length("unit"))
-    short = units.filter(F.col("n") <= LONGEST)
-    subs = F.expr(f"""flatten(transform(sequence(0, n - 1), s -> transform(sequence(s + 1, least(n, s + {m.longest})),
-                      e -> struct(s AS s, e AS e, substring(unit, s + 1, e - s) AS piece))))""")
-    edges = short.select("key", "unit", "n", F.explode(subs).alias("x")).select("key", "unit", "n", "x.*")
-    edges = edges.join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR e = s + 1")
+    edges = units.filter(F.col("n") <= LONGEST).withColumn("s", F.explode(F.expr("sequence(0, n - 1)")))
+    edges = edges.withColumn("e", F.explode(F.expr(f"sequence(s + 1, least(n, s + {m.longest}))")))
+    edges = edges.withColumn("piece", F.expr("substring(unit, s + 1, e - s)")).join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR e = s + 1")
+    edge = F.struct(F.coalesce(-F.col("score"), F.lit(UNKNOWN_PENALTY - m.least)).alias("cost"), "s", "e", F.coalesce("id", F.lit(-1)).alias("id"),
+                    F.expr("shiftleft(1L, s) | shiftleft(1L, e)").alias("ends"), F.expr("shiftleft(shiftleft(1L, e - s - 1) - 1, s + 1)").alias("inner"))
     # no shuffle here: the rows still lie by (key, unit) from the distinct step
-    found = F.when(F.col("id").isNotNull(), F.struct((-F.col("score")).alias("cost"), "s", "e", "id", "score"))
-    lattice = edges.groupBy("key", "unit").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(found)).alias("edges"))
-    fold = lattice.withColumn("unknown", F.lit(m.least - UNKNOWN_PENALTY)).withColumn("bounds", F.expr(_VITERBI if m.type == UNIGRAM else _MERGE))
-    # a segment without a piece is one character: its bytes, or the unknown id
-    if m.byte_ids:
-        other = "transform(sequence(1, octet_length(substring(unit, seg.s + 1, 1))), k -> byte_ids[int(conv(substring(hex(encode(substring(unit, seg.s + 1, 1), 'UTF-8')), 2 * k - 1, 2), 16, 10))])"
-    else:
-        other = f"array({m.unk})"
-    ids = _IDS.replace("coalesce(transform(filter(edges, x -> x.s = seg.s AND x.e = seg.e), x -> x.id), array())",
-                       f"if(exists(edges, x -> x.s = seg.s AND x.e = seg.e), transform(filter(edges, x -> x.s = seg.s AND x.e = seg.e), x -> x.id), {other})")
-    short_ids = fold.withColumn("byte_ids", F.array(*map(F.lit, m.byte_ids or [m.unk]))).select("key", F.expr(ids).alias("ids"))
+    lattice = edges.groupBy("key", "unit", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    fold = lattice.withColumn("bounds", F.expr(_VITERBI if m.type == UNIGRAM else _MERGE)).withColumn("byte_ids", F.array(*map(F.lit, m.byte_ids or [m.unk])))
+    short_ids = fold.select("key", F.expr(_IDS.replace("UNKNOWN", _BYTES if m.byte_ids else f"array({m.unk})")).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -303,7 +312,8 @@ def _unpacked(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def decode(ids: np.ndarray, m: Model) -> str:
     """The text of ids: pieces and byte pieces joined, without the space put before the text."""
-    out = b"".join([m.decoded[i] for i in ids.tolist()])
+    flat, begin, num = m.bytes_of
+    out = _gather(flat, begin[ids], num[ids]).tobytes()
     return (out[1:] if m.prefix and out[:1] == b" " else out).decode("utf-8", "replace")
 
 
@@ -311,9 +321,14 @@ def _ordered(t: pa.Table) -> pa.Table:
     return t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def _keys(t: pa.Table, m: Model) -> np.ndarray:
-    found = [np.unique(Units(m, buf, offs).hash) for _, _, buf, offs in slices(t.column("text"))]
-    return np.unique(np.concatenate(found or [np.empty(0, np.uint64)]))
+def _found(t: pa.Table, m: Model) -> list[tuple[list[str], np.ndarray, np.ndarray]]:
+    """(texts, unit hashes, document bounds in units) over slices of a batch."""
+    units = (Units(m, buf, offs) for _, _, buf, offs in slices(t.column("text"), SLICE))
+    return [(u.texts, u.hash, u.first) for u in units]
+
+
+def _keys(found: list[tuple[list[str], np.ndarray, np.ndarray]]) -> np.ndarray:
+    return np.unique(np.concatenate([np.unique(h) for _, h, _ in found] or [np.empty(0, np.uint64)]))
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, raw: bytes | None = None, keep_ids: bool = True) -> DataFrame:
@@ -335,11 +350,11 @@ def encode_documents(docs: DataFrame, path: str | None = None, raw: bytes | None
     docs = id_text(docs)
     size = text_bytes(docs)
     n, buckets = pieces(size, BATCH_BYTES), pieces(0.15 * size, BUCKET_BYTES)
-    ids = stored(unit_ids(distinct_units(docs, raw), raw), "unit-ids")
+    ids = stored(unit_ids(distinct_units(docs, raw, pieces(size, FOLD_BYTES)), raw), "unit-ids")
     docs = with_batch(docs, n).groupBy("batch")
 
     def ask(t: pa.Table) -> pa.Table:
-        keys = _keys(t, model(raw))
+        keys = _keys(_found(t, model(raw)))
         return pa.Table.from_pylist(list(asks(t.column("batch")[0].as_py(), keys, np.zeros(len(keys), "S0"), buckets)), ASKS)
 
     questions = stored(docs.applyInArrow(ask, ASKS_DDL), "unit-asks")
@@ -353,18 +368,20 @@ def encode_documents(docs: DataFrame, path: str | None = None, raw: bytes | None
         if t.num_rows:
             m = model(raw)
             t = _ordered(t)
-            keys = _keys(t, m)
-            found = dict(zip(a.column("bucket").to_pylist(), a.column("answer").to_pylist(), strict=True))
-            parts = [_unpacked(found[k], z - x) for k, x, z in bucket_runs(keys, buckets)]
+            found = _found(t, m)
+            keys = _keys(found)
+            told = dict(zip(a.column("bucket").to_pylist(), a.column("answer").to_pylist(), strict=True))
+            parts = [_unpacked(told[k], z - x) for k, x, z in bucket_runs(keys, buckets)]
             values, num = (np.concatenate([p[k] for p in parts] or [np.empty(0, np.int64)]) for k in (0, 1))
             begin = np.concatenate([[0], np.cumsum(num)])[:-1]
-            for x, _, buf, offs in slices(t.column("text")):
-                u = Units(m, buf, offs)
-                at = np.searchsorted(keys, u.hash)
+            done = 0
+            for texts, h, first in found:
+                at = np.searchsorted(keys, h)
                 got = _gather(values, begin[at], num[at]) if len(at) else np.empty(0, np.uint32)
-                bound = np.concatenate([[0], np.cumsum(num[at])])[u.first] if len(at) else np.zeros(len(offs), np.int64)
-                names = t.column("doc_id").slice(x, len(offs) - 1).to_pylist()
-                for i, text, f, z in zip(names, u.texts, bound[:-1].tolist(), bound[1:].tolist(), strict=True):
+                bound = np.concatenate([[0], np.cumsum(num[at])])[first] if len(at) else np.zeros(len(first), np.int64)
+                names = t.column("doc_id").slice(done, len(texts)).to_pylist()
+                done += len(texts)
+                for i, text, f, z in zip(names, texts, bound[:-1].tolist(), bound[1:].tolist(), strict=True):
                     own = got[f:z].astype("<u4")
                     back = decode(own, m)
                     for c, v in zip(out, (i, z - f, own.tolist() if keep_ids else None, zlib.crc32(own.tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text), strict=True):
