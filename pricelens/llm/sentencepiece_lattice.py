@@ -281,7 +281,7 @@ def _gather(values: np.ndarray, start: np.ndarray, num: np.ndarray) -> np.ndarra
 
 
 def _answers(spark: SparkSession, questions: DataFrame, ids: DataFrame, buckets: int) -> DataFrame:
-    """For each batch and bucket, the lengths (uint32) and ids (uint32) of its keys."""
+    """For each batch and bucket, the packed lengths and ids of its keys."""
     ids = ids.withColumn("bucket", F.expr(f"int(shiftrightunsigned(shiftrightunsigned(key, 32) * {buckets}L, 32))"))
 
     def run(q: pa.Table, d: pa.Table) -> pa.Table:
@@ -291,23 +291,27 @@ def _answers(spark: SparkSession, questions: DataFrame, ids: DataFrame, buckets:
         values, num = _lists(d.column("ids"))
         order = np.argsort(keys)
         begin = np.concatenate([[0], np.cumsum(num)])[:-1][order]
-        keys, num, values = keys[order], num[order], values.astype(np.uint16 if values.max(initial=0) < 65536 else np.uint32)
+        keys, num, values = keys[order], num[order], values.astype("<u4")
         out = []
         for x in q.column("keys"):
             at = np.searchsorted(keys, np.frombuffer(x.as_py(), np.uint64))
-            got = _gather(values, begin[at], num[at])
-            out.append(bytes([values.itemsize]) + num[at].astype("<u2").tobytes() + got.tobytes() if num[at].max() < 65536 else b"\0" + num[at].astype("<u4").tobytes() + got.astype("<u4").tobytes())
+            out.append(_packed(_gather(values, begin[at], num[at]), num[at]))
         return pa.table([q.column("batch"), q.column("bucket"), pa.array(out, pa.binary())], schema=ANSWERS)
 
     return questions.groupBy("bucket").cogroup(ids.groupBy("bucket")).applyInArrow(run, ANSWERS_DDL)
 
 
-def _unpacked(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _packed(ids: np.ndarray, num: np.ndarray) -> bytes:
+    """Lengths and ids by byte planes, compressed: the shuffle and the table of answers stay small."""
+    raw = num.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() + ids.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, lengths) of an answer about n keys."""
-    wide = raw[0] == 0
-    num = np.frombuffer(raw, "<u4" if wide else "<u2", n, 1).astype(np.int64)
-    at = 1 + (4 if wide else 2) * n
-    return np.frombuffer(raw, np.uint32 if wide or raw[0] == 4 else np.uint16, -1, at).astype(np.uint32), num
+    raw = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True), np.uint8)
+    num, ids = (np.ascontiguousarray(x.reshape(4, -1).T).view("<u4")[:, 0] if len(x) else np.empty(0, np.uint32) for x in (raw[: 4 * n], raw[4 * n :]))
+    return ids, num.astype(np.int64)
 
 
 def decode(ids: np.ndarray, m: Model) -> str:
