@@ -1,11 +1,11 @@
 """Operator 6: personal data by patterns, and terms that give it away.
 
-The patterns find the protected entities (email, ip, card, phone).  Around each
-mention the context words are kept; over the distinct contexts of the whole
-corpus, pointwise mutual information estimates how much of an entity's
-information a term discloses.  Terms above the threshold are reported as spans
-of kind ``term`` where they stand near the entity, and generalised or removed
-with it.
+The patterns find the protected entities (email, ip, card, phone).  Over the
+distinct texts of the corpus, pointwise mutual information between an entity and
+every other word of the texts that hold it estimates how much of the entity's
+information the term discloses.  Terms above the threshold are reported as spans
+of kind ``term`` wherever a text that holds the entity has them, and generalised
+or removed with it.
 """
 
 from __future__ import annotations
@@ -20,18 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import prepare, stored
-from pricelens.llm.words import Words, slices
+from pricelens.llm.words import _BYTE, Words, run_hashes, running, slices
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
-#: Words on either side of a mention that make its context.
-CONTEXT = 8
-#: An entity and a term must meet in this many distinct contexts before they are judged.
+#: An entity and a term must meet in this many distinct texts before they are judged.
 MIN_CONTEXTS = 3
 #: A term is disclosing when PMI(entity, term) is at least this share of the entity's information.
 DISCLOSURE = 0.8
-#: and the entity's contexts hold it at least this often (share of them).
+#: and the entity's texts hold it at least this often (share of them).
 MIN_SHARE = 0.5
+#: Distinct terms whose counts a task holds before it writes them.
+HELD_TERMS = 500_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -40,7 +40,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_PUNCTUATION = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8))
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -93,130 +93,199 @@ def _key(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _contexts(text: str, spans: list[tuple[int, int, int]]) -> Iterator[dict]:
-    """Per mention: the entity, a hash of its context, and its context's terms."""
-    for a, k, b in spans:
-        left, right = [], []
-        lo = a
-        while len(left) < CONTEXT and lo > 0:
-            lo = max(0, lo - 400)
-            left = [(lo + m.start(), lo + m.end()) for m in _WORD.finditer(text[lo:a])]
-            left = left[(lo > 0):]
-        left = left[-CONTEXT:]
-        hi = b
-        while len(right) < CONTEXT and hi < len(text):
-            hi = min(len(text), hi + 400)
-            right = [(b + m.start(), b + m.end()) for m in _WORD.finditer(text[b:hi])]
-            right = right[: len(right) - (hi < len(text))]
-        terms = []
-        for s, e in left + right[:CONTEXT]:
-            if not any(s < y and x < e for x, _, y in spans):
-                terms.append({"term": text[s:e], "a": s, "b": e})
-        if terms:
-            yield {"entity": _key(f"{k}:{text[a:b].lower()}"), "context": _key(" ".join(t["term"] for t in terms)), "terms": terms}
-
-
-def _hash_terms(contexts: list[list[dict]]) -> None:
-    """Puts the hash that ``Words`` gives the lower-cased word in a term's place."""
-    terms = [t for doc in contexts for c in doc for t in c["terms"]]
-    if terms:
-        buf = np.frombuffer(b" ".join(t["term"].encode("utf-8", "surrogatepass") for t in terms), np.uint8)
-        for t, h in zip(terms, Words(buf, np.array([0, len(buf)]), lower=True).hash.view(np.int64).tolist(), strict=True):
-            t["term"] = h
-
-
-_TERM = pa.struct([("term", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-_CONTEXT_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("terms", pa.list_(_TERM))]))
-_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base string, contexts array<struct<entity: bigint, context: bigint, terms: array<struct<term: bigint, a: bigint, b: bigint>>>>, n_words long"
-
-
-def _find(column: pa.Array) -> list[pa.Array]:
-    counts: list[list[int]] = [[], [], [], []]
-    base, contexts, words = [], [], []
-    for text in column.to_pylist():
-        text = text or ""
-        spans = base_spans(text)
-        for k in range(4):
-            counts[k].append(sum(x[1] == k for x in spans))
-        base.append(joined(spans))
-        contexts.append(list(_contexts(text, spans)) if spans else [])
-    _hash_terms(contexts)
-    for _, _, buf, offs in slices(column):
-        words += Words(buf, offs).counts.tolist()
-    return [*(pa.array(x, pa.int64()) for x in counts), pa.array(base, pa.string()), pa.array(contexts, _CONTEXT_TYPE), pa.array(words, pa.int64())]
-
-
-def find_base(docs: DataFrame, rest: list[str], text: str = "text") -> DataFrame:
-    """``rest`` columns with the pattern matches, their contexts and the word count."""
+def _punctuation(buf: np.ndarray) -> np.ndarray:
+    """Whether each byte is punctuation: ASCII, Latin-1 signs, general (U+2000-206F) or CJK (U+3000-303F)."""
+    out = _PUNCTUATION[buf]
+    if buf.max(initial=0) < 0x80:
+        return out
+    x, y = buf[:-1], buf[1:]
+    # not the letters that stand among the Latin-1 signs
+    two = np.flatnonzero((x == 0xC2) & ~np.isin(y, (0xAA, 0xB5, 0xBA)))
+    out[two] = out[two + 1] = True
+    x, y, z = buf[:-2], buf[1:-1], buf[2:]
+    three = np.flatnonzero(((x == 0xE2) & ((y == 0x80) | ((y == 0x81) & (z < 0xB0)))) | ((x == 0xE3) & (y == 0x80)))
+    out[three] = out[three + 1] = out[three + 2] = True
+    return out
+
+
+def terms_of(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, document, start, end) of the words, lower-cased, without the punctuation around them; bytes."""
+    w = Words(buf, offs, lower=True)
+    n = len(buf)
+    solid, at = ~(w.sep | _punctuation(buf)), np.arange(n)
+    start = np.minimum.accumulate(np.where(solid, at, n)[::-1])[::-1][w.start]
+    end = np.maximum.accumulate(np.where(solid, at, -1))[w.end - 1] + 1
+    word = start < w.end
+    start, end = start[word], end[word]
+    return run_hashes(running(_BYTE[w.buf]), start, end), np.repeat(np.arange(len(w)), w.counts)[word], start, end
+
+
+def _blank(buf: np.ndarray, spans: list[tuple[int, int, int]]) -> None:
+    """Cuts the entities out of a text's bytes: a space for each byte."""
+    place = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+    for a, _, b in spans:
+        buf[place[a] : place[b]] = 0x20
+
+
+def term_spans(text: str, spans: list[tuple[int, int, int]], hashes: list[int]) -> list[tuple[int, int, int]]:
+    """(start, kind index, end) of every place of the given terms; code points."""
+    buf = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8).copy()
+    first = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
+    _blank(buf, spans)
+    h, _, start, end = terms_of(buf, np.array([0, len(buf)]))
+    hit = np.isin(h.view(np.int64), np.array(hashes, np.int64))
+    return [(a, 4, b) for a, b in zip(first[start[hit]].tolist(), first[end[hit]].tolist(), strict=True)]
+
+
+_ENTITY = pa.struct([("kind", pa.int32()), ("entity", pa.int64())])
+_SCHEMA = pa.schema([("digest", pa.binary()), ("n_email", pa.int64()), ("n_ip", pa.int64()), ("n_card", pa.int64()), ("n_phone", pa.int64()), ("base", pa.string()), ("filled", pa.bool_()),
+                     ("entities", pa.list_(_ENTITY)), ("terms", pa.list_(pa.int64())), ("text", pa.string()), ("counted", pa.binary()), ("counts", pa.binary())])
+_FOUND = ("digest binary, n_email long, n_ip long, n_card long, n_phone long, base string, filled boolean, "
+          "entities array<struct<kind: int, entity: bigint>>, terms array<bigint>, text string, counted binary, counts binary")
+
+
+def _find(digests: pa.Array, column: pa.Array) -> tuple[list[dict], list[tuple[np.ndarray, np.ndarray]]]:
+    """Rows of the texts, and per slice its terms and the number of texts that hold each."""
+    out, counts = [], []
+    texts = [t or "" for t in column.to_pylist()]
+    spans = [base_spans(t) for t in texts]
+    for a, z, buf, offs in slices(column):
+        buf = buf.copy()
+        for k in range(a, z):
+            if spans[k]:
+                _blank(buf[offs[k - a] : offs[k - a + 1]], spans[k])
+        h, doc, _, _ = terms_of(buf, offs)
+        order = np.lexsort((doc, h))
+        hs, ds = h[order], doc[order]
+        new = np.ones(len(hs), bool)
+        new[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
+        counts.append(np.unique(hs[new], return_counts=True))
+        bounds = np.searchsorted(doc, np.arange(z - a + 1))
+        for k in range(a, z):
+            own = spans[k]
+            n = [sum(x[1] == i for x in own) for i in range(4)]
+            row = dict(zip(_SCHEMA.names, (digests[k].as_py(), *n, joined(own), bool(texts[k].strip(" \t\n\v\f\r"))), strict=False))
+            if own:
+                row["entities"] = [{"kind": i, "entity": e} for i, e in sorted({(i, _key(f"{i}:{texts[k][x:y].lower()}")) for x, i, y in own})]
+                row["terms"] = np.unique(h[bounds[k - a] : bounds[k - a + 1]]).view(np.int64).tolist()
+                row["text"] = texts[k]
+            out.append(row)
+    return out, counts
+
+
+def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    terms, at = np.unique(np.concatenate([h for h, _ in counts]), return_inverse=True)
+    n = np.zeros(len(terms), np.int64)
+    np.add.at(n, at, np.concatenate([c for _, c in counts]))
+    return terms, n
+
+
+def find_base(texts: DataFrame) -> DataFrame:
+    """A row per distinct text (digest, text) with its pattern matches; for a text that
+    holds entities also these, its other terms and itself.  Rows without a digest hold
+    packed counts: terms, and how many of a task's texts hold each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.strip().split(" ")[0] for x in ("n_email", "n_ip", "n_card", "n_phone", "base", "contexts", "n_words")]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"counted": held[0][0].tobytes(), "counts": held[0][1].tobytes()}], _SCHEMA)
+
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 c = b.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([c.column(x) for x in rest] + _find(c.column(text)), names=[*rest, *names])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in rest)
-    return docs.mapInArrow(run, f"{schema}, {_FOUND}" if schema else _FOUND)
-
-
-def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n_term): occurrences of the given terms over all words of all texts."""
+                rows, counts = _find(c.column("digest"), c.column("text"))
+                yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
+                held += counts
+                if sum(len(h) for h, _ in held) > HELD_TERMS:
+                    held = [_summed(held)]
+                    if len(held[0][0]) > HELD_TERMS // 2:
+                        yield packed()
+                        held = []
+        if held:
+            held = [_summed(held)]
+            yield packed()
+
+    return texts.select("digest", "text").mapInArrow(run, _FOUND)
+
+
+def _term_counts(found: DataFrame) -> DataFrame:
+    """(term, n_term): distinct texts that hold the term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, _, buf, offs in slices(b.column("text")):
-                h, n = np.unique(Words(buf, offs, lower=True).hash, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["term", "n"])
+            for h, n in zip(b.column("counted").to_pylist(), b.column("counts").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(n, np.int64))], names=["term", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "term long, n long")
-    return counts.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
+    counts = found.filter(F.col("counted").isNotNull()).select("counted", "counts").mapInArrow(run, "term long, n long")
+    return counts.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, pmi): the pairs above the disclosure threshold.
+def disclosing_terms(found: DataFrame) -> DataFrame:
+    """(digest, terms): the terms of each text that disclose an entity of it.
 
-    Copies of one context count once, so that copied documents prove nothing.
-    With p(x) = n(x) / words of the corpus, PMI = log2(p(e,t) / (p(e) p(t))) and
-    an entity's information is -log2 p(e); a term found only beside the entity
-    reaches it, a common one stays near zero.
+    Every count is one of distinct texts, so that copies prove nothing.  With
+    p(x) = n(x) / distinct texts, PMI = log2(p(e,t) / (p(e) p(t))) and an entity's
+    information is -log2 p(e); a term found only beside the entity reaches it, a
+    common one stays near zero.  Entities of one kind that the same texts hold
+    have the same figures and are judged as one group.
     """
-    c = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.context", "c.terms")
-    c = c.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
-    n_entity = c.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= MIN_CONTEXTS)
-    pairs = c.select("entity", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= MIN_CONTEXTS)
-    pairs = stored(pairs.join(n_entity, "entity").filter(F.col("n_both") >= MIN_SHARE * F.col("n_entity")), "pii-pairs")
-    total = found.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n"))
-    scored = pairs.join(_term_counts(docs, pairs), "term").join(F.broadcast(total), F.lit(True))
+    e = found.filter(F.size("entities") > 0)
+    occurs = e.select("digest", F.explode("entities").alias("e")).select("digest", "e.kind", "e.entity")
+    seen = occurs.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n_entity"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("y"))
+    seen = seen.select("kind", "entity", "n_entity", F.xxhash64("kind", "n_entity", "x", "y").alias("group"))
+    groups = occurs.join(seen, ["kind", "entity"]).select("digest", "group", "kind", "n_entity").distinct()
+    groups = stored(groups.groupBy("digest").agg(F.collect_list(F.struct("group", "kind", "n_entity")).alias("groups")), "pii-groups")
+    held = (e.select("digest", "terms").join(groups, "digest").select("digest", "terms", F.explode("groups").alias("g"))
+            .select("digest", "g.*", F.explode("terms").alias("term")))
+    pairs = held.groupBy("group", "kind", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    pairs = pairs.filter((F.col("n_both") >= MIN_CONTEXTS) & (F.col("n_both") >= MIN_SHARE * F.col("n_entity")))
+    total = found.agg(F.count_if("filled").alias("n"))
+    scored = pairs.join(_term_counts(found), "term").join(F.broadcast(total), F.lit(True))
     n = F.col("n").cast("double")
-    pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.greatest("n_term", "n_both")))
+    pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     info = F.log2(n / F.col("n_entity"))
-    return scored.select("entity", "term", pmi.alias("pmi"), info.alias("info")).filter(F.col("pmi") >= DISCLOSURE * F.col("info"))
+    # an entity of every text has no information to disclose
+    bad = scored.select("group", "term", pmi.alias("pmi"), info.alias("info")).filter((F.col("pmi") > 0) & (F.col("pmi") >= DISCLOSURE * F.col("info")))
+    # one row per (group, term) on the other side, so a hot entity can be split
+    hits = held.select("digest", "group", "term").join(stored(bad.select("group", "term"), "pii-terms"), ["group", "term"], "left_semi")
+    return hits.groupBy("digest").agg(F.collect_set("term").alias("hashes"))
+
+
+def _digest() -> F.Column:
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
+def text_spans(docs: DataFrame) -> DataFrame:
+    """digest, n_email, n_ip, n_card, n_phone, base, spans, n_term per distinct text."""
+    prepare(docs.sparkSession)
+    texts = docs.select(_digest().alias("digest"), F.col("text").cast("string").alias("text")).groupBy("digest").agg(F.first("text").alias("text"))
+    found = stored(find_base(texts), "pii", compression="zstd")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans, n = [], []
+            for text, hashes in zip(b.column("text").to_pylist(), b.column("hashes").to_pylist(), strict=True):
+                base = base_spans(text)
+                terms = term_spans(text, base, hashes)
+                spans.append(joined(sorted(base + terms)))
+                n.append(len(terms))
+            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(spans, pa.string()), pa.array(n, pa.int64())], names=["digest", "more", "n_term"])
+
+    more = found.filter(F.size("entities") > 0).select("digest", "text").join(disclosing_terms(found), "digest")
+    more = stored(more.mapInArrow(run, "digest binary, more string, n_term long"), "pii-spans")
+    return (found.filter(F.col("digest").isNotNull()).select("digest", "n_email", "n_ip", "n_card", "n_phone", "base").join(more, "digest", "left")
+            .select("digest", "n_email", "n_ip", "n_card", "n_phone", "base", F.coalesce("more", "base").alias("spans"), F.coalesce("n_term", F.lit(0)).cast("long").alias("n_term")))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, and term_spans.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term.
 
     One row per input row, in which ``spans`` holds the pattern matches and the
     disclosing terms by start, then kind.  A null text is empty; null or
     repeated ids are kept as they are; an empty table gives an empty result.
     """
-    prepare(docs.sparkSession)
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    found = stored(find_base(docs, ["doc_id"]).withColumn("row", F.xxhash64("doc_id", "base", "contexts")), "pii")
-    bad = stored(disclosing_terms(found, docs), "pii-terms")
-    near = (found.filter(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c"))
-            .select("row", "c.entity", F.explode("c.terms").alias("t")).select("row", "entity", "t.term", "t.a", "t.b"))
-    # one row per (entity, term) on the other side, so a hot entity can be split
-    terms = (near.join(bad.select("entity", "term"), ["entity", "term"])
-             .groupBy("row").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("terms")))
-    spans = F.expr("""transform(filter(split(base, ','), x -> x != ''),
-        x -> named_struct('a', bigint(split(x, ':')[1]), 'k', array_position(array('email', 'ip', 'card', 'phone', 'term'), split(x, ':')[0]), 'b', bigint(split(x, ':')[2])))""")
-    more = F.expr("transform(coalesce(terms, array()), x -> named_struct('a', x.a, 'k', bigint(5), 'b', x.b))")
-    text = F.expr("concat_ws(',', transform(array_sort(all), x -> concat(element_at(array('email', 'ip', 'card', 'phone', 'term'), int(x.k)), ':', x.a, ':', x.b)))")
-    return (found.drop("contexts", "n_words").join(terms, "row", "left")
-            .withColumn("all", F.concat(spans, more))
-            .select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base"), 256).alias("base_sha256"), text.alias("spans"),
-                    F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term")))
+    found = text_spans(docs).withColumn("base_sha256", F.sha2(F.col("base"), 256))
+    return (docs.select("doc_id", _digest().alias("digest")).join(found, "digest")
+            .select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term"))
 
 
 def parse(spans: str) -> list[tuple[int, int, str]]:
@@ -242,23 +311,14 @@ def sanitised(text: str | None, spans: str | None) -> str | None:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` (all its columns) with personal data and disclosing terms generalised in the text."""
-    prepare(docs.sparkSession)
-    spans = (find_personal_data(docs).filter(F.col("spans") != "")
-             .groupBy("doc_id").agg(F.collect_set("base_sha256").alias("_n"), F.collect_set(F.struct("base_sha256", "spans")).alias("_llm_found")).drop("_n"))
-    spans = stored(spans.withColumnRenamed("doc_id", "_llm_id"), "pii-spans")
+    spans = text_spans(docs).filter(F.col("spans") != "").select(F.col("digest").alias("_llm_digest"), F.col("spans").alias("_llm_spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
-            for text, found in zip(b.column("text").to_pylist(), b.column("_llm_found").to_pylist(), strict=True):
-                if found:
-                    # rows that share an id: the spans of the row with these matches
-                    own = hashlib.sha256(joined(base_spans(text or "")).encode()).hexdigest() if len(found) > 1 else found[0]["base_sha256"]
-                    text = sanitised(text, next((f["spans"] for f in found if f["base_sha256"] == own), ""))
-                texts.append(text)
+            texts = [sanitised(t, s) for t, s in zip(b.column("text").to_pylist(), b.column("_llm_spans").to_pylist(), strict=True)]
             at = b.schema.get_field_index("text")
             cols = [pa.array(texts, b.schema.field(at).type) if k == at else b.column(k) for k in range(b.num_columns)]
             yield pa.RecordBatch.from_arrays(cols[:-1], names=b.schema.names[:-1])
 
-    both = docs.join(spans, docs["doc_id"].eqNullSafe(spans["_llm_id"]), "left").drop("_llm_id")
+    both = docs.join(stored(spans, "pii-found"), _digest() == F.col("_llm_digest"), "left").drop("_llm_digest")
     return both.mapInArrow(run, docs.schema)

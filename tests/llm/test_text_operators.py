@@ -238,3 +238,18 @@ def test_windows_hash_by_content():
     w = Words(np.frombuffer(a, np.uint8), np.array([0, len(a)]))
     h, whole = w.windows(5)
     assert h[0] == h[5] and list(whole) == [True] * 6 + [False] * 4 and len(set(h[:6].tolist())) == 5
+
+
+def terms_by_text(docs):
+    """Reported terms (lower-cased) per id."""
+    from pricelens.llm.pii import find_personal_data, parse
+    text = {r.doc_id: r.text for r in docs.collect()}
+    return {r.doc_id: {text[r.doc_id][a:b].lower() for a, b, k in parse(r.spans) if k == "term"} for r in find_personal_data(docs).collect()}
+
+
+def test_copies_do_not_hide_a_disclosing_term(spark):
+    filler = [f"f{i}" for i in range(20)]
+    rows = [(100 * g + k, f"{' '.join(filler)} g{g} zorblax writes jo@x.example.com now") for g in range(3) for k in range(30)]
+    rows += [(1000 + k, f"{' '.join(filler)} writes now {k}") for k in range(60)]
+    got = terms_by_text(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all("zorblax" in got[i] and not got[i] & {"writes", "now", "f3"} for i, _ in rows[:90])
