@@ -24,12 +24,10 @@ from pricelens.llm.words import _BYTE, Words, run_hashes, running, slices
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
-#: An entity and a term must meet in this many distinct texts before they are judged.
-MIN_CONTEXTS = 3
 #: A term is disclosing when PMI(entity, term) is at least this share of the entity's information.
 DISCLOSURE = 0.8
-#: and the entity's texts hold it at least this often (share of them).
-MIN_SHARE = 0.5
+#: Texts of the entity's kind, as they are on average, that are added to the entity's own.
+PRIOR = 1.0
 #: Distinct terms whose counts a task holds before it writes them.
 HELD_TERMS = 500_000
 
@@ -220,13 +218,16 @@ def _term_counts(found: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(found: DataFrame) -> DataFrame:
-    """(digest, terms): the terms of each text that disclose an entity of it.
+    """(digest, hashes): the terms of each text that disclose an entity of it.
 
     Every count is one of distinct texts, so that copies prove nothing.  With
-    p(x) = n(x) / distinct texts, PMI = log2(p(e,t) / (p(e) p(t))) and an entity's
+    p(x) = n(x) / distinct texts, PMI = log2(p(t|e) / p(t)) and an entity's
     information is -log2 p(e); a term found only beside the entity reaches it, a
-    common one stays near zero.  Entities of one kind that the same texts hold
-    have the same figures and are judged as one group.
+    common one stays near zero.  Every pair that meets in a text is judged: p(t|e)
+    backs off to the entity's kind, (n(e,t) + PRIOR p(t|kind)) / (n(e) + PRIOR),
+    which weighs with an entity of one text and hardly with one of many.
+    Entities of one kind that the same texts hold have the same figures and are
+    judged as one group.
     """
     e = found.filter(F.size("entities") > 0)
     occurs = e.select("digest", F.explode("entities").alias("e")).select("digest", "e.kind", "e.entity")
@@ -237,11 +238,16 @@ def disclosing_terms(found: DataFrame) -> DataFrame:
     held = (e.select("digest", "terms").join(groups, "digest").select("digest", "terms", F.explode("groups").alias("g"))
             .select("digest", "g.*", F.explode("terms").alias("term")))
     pairs = held.groupBy("group", "kind", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    pairs = pairs.filter((F.col("n_both") >= MIN_CONTEXTS) & (F.col("n_both") >= MIN_SHARE * F.col("n_entity")))
     total = found.agg(F.count_if("filled").alias("n"))
-    scored = pairs.join(_term_counts(found), "term").join(F.broadcast(total), F.lit(True))
+    kinds = e.select(F.array_distinct(F.transform("entities", lambda x: x["kind"])).alias("kinds"), "terms").select(F.explode("kinds").alias("kind"), "terms")
+    of_kind = kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n_kind"))
+    known = (kinds.select("kind", F.explode("terms").alias("term")).groupBy("kind", "term").agg(F.count(F.lit(1)).alias("n_kind_both"))
+             .join(_term_counts(found), "term").join(F.broadcast(of_kind), "kind")
+             .select("kind", "term", "n_term", (F.col("n_kind_both") / F.col("n_kind")).alias("p_kind")))
+    scored = pairs.join(known, ["kind", "term"]).join(F.broadcast(total), F.lit(True))
     n = F.col("n").cast("double")
-    pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
+    beside = (F.col("n_both") + PRIOR * F.col("p_kind")) / (F.col("n_entity") + PRIOR)
+    pmi = F.log2(beside * n / F.col("n_term"))
     info = F.log2(n / F.col("n_entity"))
     # an entity of every text has no information to disclose
     bad = scored.select("group", "term", pmi.alias("pmi"), info.alias("info")).filter((F.col("pmi") > 0) & (F.col("pmi") >= DISCLOSURE * F.col("info")))

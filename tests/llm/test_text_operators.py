@@ -253,3 +253,12 @@ def test_copies_do_not_hide_a_disclosing_term(spark):
     rows += [(1000 + k, f"{' '.join(filler)} writes now {k}") for k in range(60)]
     got = terms_by_text(spark.createDataFrame(rows, "doc_id long, text string"))
     assert all("zorblax" in got[i] and not got[i] & {"writes", "now", "f3"} for i, _ in rows[:90])
+
+
+def test_rare_entities_and_small_shares_are_judged(spark):
+    filler = " ".join(f"f{i}" for i in range(20))
+    rows = [(0, f"{filler} zorblax writes jo@x.example.com now")]
+    rows += [(1 + k, f"{filler} {'quimby' if k < 4 else ''} writes al@x.example.com now") for k in range(10)]
+    rows += [(100 + k, f"{filler} writes now {k}") for k in range(300)]
+    got = terms_by_text(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {i: t for i, t in got.items() if t} == {0: {"zorblax"}, **{1 + k: {"quimby"} for k in range(4)}}
