@@ -262,3 +262,15 @@ def test_rare_entities_and_small_shares_are_judged(spark):
     rows += [(100 + k, f"{filler} writes now {k}") for k in range(300)]
     got = terms_by_text(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {i: t for i, t in got.items() if t} == {0: {"zorblax"}, **{1 + k: {"quimby"} for k in range(4)}}
+
+
+def test_terms_far_from_the_entity_and_glued_to_it(spark):
+    filler = " ".join(f"f{i}" for i in range(30))
+    rows = [(k, f"“Zorblax” starts. {filler} é {filler} zorblax, again; quimby<jo@x.example.com>") for k in range(3)]
+    rows += [(100 + k, f"starts. {filler} é again; {k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = terms_by_text(docs)
+    assert {i: t for i, t in got.items() if t} == {k: {"zorblax", "quimby"} for k in range(3)}
+    from pricelens.llm.pii import sanitise
+    clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    assert clean[0] == f"“[TERM]” starts. {filler} é {filler} [TERM], again; [TERM]<[EMAIL]>" and clean[100] == rows[3][1]
