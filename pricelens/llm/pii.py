@@ -278,8 +278,10 @@ def text_spans(docs: DataFrame) -> DataFrame:
 
     more = found.filter(F.size("entities") > 0).select("digest", "text").join(disclosing_terms(found), "digest")
     more = stored(more.mapInArrow(run, "digest binary, more string, n_term long"), "pii-spans")
-    return (found.filter(F.col("digest").isNotNull()).select("digest", "n_email", "n_ip", "n_card", "n_phone", "base").join(more, "digest", "left")
-            .select("digest", "n_email", "n_ip", "n_card", "n_phone", "base", F.coalesce("more", "base").alias("spans"), F.coalesce("n_term", F.lit(0)).cast("long").alias("n_term")))
+    out = (found.filter(F.col("digest").isNotNull()).select("digest", "n_email", "n_ip", "n_card", "n_phone", "base").join(more, "digest", "left")
+           .select("digest", "n_email", "n_ip", "n_card", "n_phone", "base", F.coalesce("more", "base").alias("spans"), F.coalesce("n_term", F.lit(0)).cast("long").alias("n_term")))
+    # a table of its own, so that a join with it can split the rows of a text that is often copied
+    return stored(out, "pii-found")
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -326,5 +328,5 @@ def sanitise(docs: DataFrame) -> DataFrame:
             cols = [pa.array(texts, b.schema.field(at).type) if k == at else b.column(k) for k in range(b.num_columns)]
             yield pa.RecordBatch.from_arrays(cols[:-1], names=b.schema.names[:-1])
 
-    both = docs.join(stored(spans, "pii-found"), _digest() == F.col("_llm_digest"), "left").drop("_llm_digest")
+    both = docs.join(spans, _digest() == F.col("_llm_digest"), "left").drop("_llm_digest")
     return both.mapInArrow(run, docs.schema)
