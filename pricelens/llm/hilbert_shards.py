@@ -1,6 +1,7 @@
 """Operator 7: sharding along a Hilbert curve [native: DataFrame functions only].
 
-Three metadata dimensions are cut into 16 steps each at their quantiles; the
+Three metadata dimensions are cut into 16 steps each, numbers at their quantiles
+and strings by the rank of the whole value among all rows; the
 4,096 cells are ordered by a Hilbert curve, so rows near each other on it are
 near in every dimension, and equal runs of the order make the shards, whose
 files then prune by any of the dimensions.
@@ -42,14 +43,27 @@ def curve_table(spark: SparkSession) -> DataFrame:
     return t.select("cell", F.expr(_CURVE.replace("k div 3", "int(k div 3)")).cast("int").alias("curve"))
 
 
-def _prefix_number(c: Column) -> Column:
-    """The first four bytes of a string as a number: keeps the order of strings."""
-    return F.conv(F.rpad(F.substring(F.hex(F.encode(F.coalesce(c, F.lit("")), "UTF-8")), 1, 8), 8, "0"), 16, 10).cast("double")
+def metadata_dimensions(docs: DataFrame) -> list[Column]:
+    """Source, language (whole strings) and size; a null is the smallest value."""
+    return [*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang")), F.coalesce(F.octet_length("text"), F.lit(0)).cast("double")]
 
 
-def metadata_dimensions(docs: DataFrame) -> list[Column]:
-    """Source, language and size as numbers; a null is the smallest value."""
-    return [_prefix_number(F.col("source").cast("string")), _prefix_number(F.col("lang").cast("string")), F.coalesce(F.octet_length("text"), F.lit(0)).cast("double")]
+def value_steps(values: DataFrame) -> DataFrame:
+    """(value, step): floor(16 * rows with a smaller value / all rows) per distinct string.
+
+    The values are sorted in ranges, so the running count of many of them is no
+    task's work alone.
+    """
+    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).repartitionByRange("value").withColumn("part", F.spark_partition_id())
+    # the ranges may differ from run to run: they are written once
+    counts = stored(counts, "shard-values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.groupBy("part").agg(F.sum("n").alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
+    smaller = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("k", F.coalesce(F.sum("n").over(smaller), F.lit(0))).join(F.broadcast(parts), "part")
+    total = counts.agg(F.sum("n").alias("total"))
+    return ranked.join(F.broadcast(total), F.lit(True)).select("value", F.floor(STEPS * (F.col("part_start") + F.col("k")) / F.col("total")).cast("int").alias("step"))
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 8, dimensions: list[Column] | None = None) -> DataFrame:
@@ -67,10 +81,18 @@ def hilbert_shards(docs: DataFrame, shards: int = 8, dimensions: list[Column] |
     blank = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select("doc_id", *(d.alias(f"d{i}") for i, d in enumerate(dims)), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
                        F.crc32(F.encode(blank, "UTF-8")).alias("text_crc32"), F.xxhash64(blank).alias("text_hash"))
-    # approximate quantiles may differ from run to run: they are written once, and so are the cells
-    cuts = stored(base.agg(*(F.percentile_approx(f"d{i}", [k / STEPS for k in range(1, STEPS)], 1000).alias(f"c{i}") for i in range(3))), "shard-cuts")
-    rows = base.join(F.broadcast(cuts), F.lit(True))
-    step = [F.expr(f"size(filter(array_distinct(c{i}), c -> c < d{i}))") for i in range(3)]
+    kinds = dict(base.dtypes)
+    words = [i for i in range(3) if kinds[f"d{i}"] == "string"]
+    numbers = [i for i in range(3) if i not in words]
+    rows = base
+    for i in words:
+        steps = stored(value_steps(docs.select(dims[i].alias("value"))), "shard-steps").select(F.col("value").alias(f"d{i}"), F.col("step").alias(f"s{i}"))
+        rows = rows.join(steps, f"d{i}")
+    if numbers:
+        # approximate quantiles may differ from run to run: they are written once, and so are the cells
+        cuts = stored(base.agg(*(F.percentile_approx(f"d{i}", [k / STEPS for k in range(1, STEPS)], 1000).alias(f"c{i}") for i in numbers)), "shard-cuts")
+        rows = rows.join(F.broadcast(cuts), F.lit(True))
+    step = [F.col(f"s{i}") if i in words else F.expr(f"size(filter(array_distinct(c{i}), c -> c < d{i}))") for i in range(3)]
     cell = step[0] * (STEPS * STEPS) + step[1] * STEPS + step[2]
     rows = rows.withColumn("cell", cell.cast("int")).join(F.broadcast(curve_table(spark)), "cell")
     rows = stored(rows.select("doc_id", "size", "text_crc32", "text_hash", "curve", F.pmod("text_hash", F.lit(TEXT_GROUPS)).cast("int").alias("g1"),

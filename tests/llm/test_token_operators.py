@@ -232,6 +232,24 @@ def test_shards(docs, rows, nothing, spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 5
 
 
+def test_sources_with_one_prefix_lie_apart(spark):
+    from pricelens.llm.hilbert_shards import hilbert_shards
+    rows = [(100 * i + k, "same size", "en", f"https://host{i:02d}") for i in range(16) for k in range(10)]
+    got = hilbert_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 4).collect()
+    curve = collections.defaultdict(set)
+    for r in got:
+        curve[r.doc_id // 100].add(r.curve)
+    assert len(got) == 160 and all(len(c) == 1 for c in curve.values()) and len(set.union(*curve.values())) == 16
+
+
+def test_steps_of_strings(spark):
+    from pricelens.llm.hilbert_shards import value_steps
+    rng = random.Random(4)
+    values = [f"src1{rng.choice('abcdefgh') * rng.randint(1, 9)}" for _ in range(700)] + ["", "é"]
+    got = {r.value: r.step for r in value_steps(spark.createDataFrame([(v,) for v in values], "value string")).collect()}
+    assert got == {v: 16 * sum(x.encode() < v.encode() for x in values) // len(values) for v in values}
+
+
 def test_components_of_chains_and_stars(spark):
     from pricelens.llm.components import components
     rng = random.Random(8)
