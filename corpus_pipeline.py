@@ -7,7 +7,7 @@ it back, so a lost executor costs one stage at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import NULL_ID, prepare, stored
@@ -25,24 +25,33 @@ def keep_quality(spark: SparkSession, docs: Frame, sf_dir: str) -> Frame:
     return quality_documents(docs)
 
 
+def _key() -> Column:
+    """Names a document: its id and its text, so null and repeated ids are told apart."""
+    return F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def drop_near_copies(spark: SparkSession, docs: Frame, sf_dir: str) -> Frame:
     """One document of each group of near copies: that with the smallest id.
 
-    Documents without words are in no group and stay.  Rows that repeat one id
-    are one document, of which one row stays.
+    Documents without words are in no group and stay.  Rows that agree in id and
+    text are one document, of which one row stays; rows that share an id, or have
+    none, but differ in text are documents of their own.
     """
     prepare(spark)
-    parts = ngram_components(docs)
-    whole = F.coalesce("doc_id", F.lit(NULL_ID))
-    chosen = parts.filter((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(whole.alias("_llm_id")).distinct()
-    kept = docs.join(stored(chosen, "chosen"), F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == F.col("_llm_id"), "left_semi")
-    # only ids that repeat need their rows compared
-    repeated = docs.groupBy(whole.alias("_llm_id")).agg(F.count(F.lit(1)).alias("_llm_n")).filter("_llm_n > 1").select("_llm_id")
-    if repeated.isEmpty():
-        return kept
-    again = stored(repeated, "repeated")
-    key = F.coalesce(kept["doc_id"], F.lit(NULL_ID)) == F.col("_llm_id")
-    return kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(["doc_id"]))
+    parts = ngram_components(docs.select(_key().alias("doc_id"), "text"))
+    parts = stored(parts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_llm_key"), "n_shingles", F.coalesce("component_id", F.lit(NULL_ID)).alias("_llm_component")).distinct(), "near-copies")
+    ids = docs.select(_key().alias("_llm_key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_llm_id")).distinct()
+    grouped = parts.filter("n_shingles > 0").join(ids, "_llm_key").groupBy("_llm_component").agg(F.min(F.struct("_llm_id", "_llm_key")).alias("least"))
+    chosen = grouped.select("least._llm_key").unionByName(parts.filter("n_shingles = 0").select("_llm_key"))
+    kept = docs.withColumn("_llm_own", _key())
+    kept = kept.join(stored(chosen, "chosen"), F.col("_llm_own") == F.col("_llm_key"), "left_semi")
+    # only documents that repeat need their rows compared
+    repeated = docs.groupBy(_key().alias("_llm_key")).agg(F.count(F.lit(1)).alias("_llm_n")).filter("_llm_n > 1").select("_llm_key")
+    if not repeated.isEmpty():
+        again = stored(repeated, "repeated")
+        same = F.col("_llm_own") == F.col("_llm_key")
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["_llm_own"]))
+    return kept.drop("_llm_own")
 
 
 def drop_passages(spark: SparkSession, docs: Frame, sf_dir: str) -> Frame:
@@ -50,9 +59,11 @@ def drop_passages(spark: SparkSession, docs: Frame, sf_dir: str) -> Frame:
 
     A text that loses nothing keeps its own bytes; n_chars follows the text.
     """
-    cut = dedup_passages(docs).filter("n_removed > 0").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_llm_id"), F.col("kept").alias("_llm_kept"), F.col("n_words").alias("_llm_words"))
-    cut = stored(cut.dropDuplicates(["_llm_id"]), "cut-passages")
-    both = docs.join(cut, F.coalesce(docs["doc_id"], F.lit(NULL_ID)) == cut["_llm_id"], "left")
+    cut = dedup_passages(docs, keep_source=True).filter("n_removed > 0").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_llm_id"), F.col("source_digest").alias("_llm_digest"), F.col("kept").alias("_llm_kept"))
+    # rows that share an id lose what their own text lost
+    cut = stored(cut.dropDuplicates(["_llm_id", "_llm_digest"]), "cut-passages")
+    own = (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col("_llm_id")) & (F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))) == F.col("_llm_digest"))
+    both = docs.join(cut, own, "left")
     both = both.filter(F.col("_llm_kept").isNull() | (F.col("_llm_kept") != "")).withColumn("text", F.coalesce("_llm_kept", "text"))
     return _like(both, docs)
 

@@ -155,11 +155,12 @@ def _cover(t: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple[np.nd
         yield ids, w, np.cumsum(cover[:-1]) > 0
 
 
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string())])
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string()), ("source_digest", pa.binary())])
 
 
-def dedup_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (unless not wanted), kept_sha256 per row.
+def dedup_passages(docs: DataFrame, keep_text: bool = True, keep_source: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (unless not wanted), kept_sha256 per row, and the
+    input text's md5 as source_digest if wanted.
 
     Removes every word inside a window of 50 words whose words also start a
     window in a document with a smaller id, judged on the input.  A null text
@@ -173,7 +174,7 @@ def dedup_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     buckets = plan.buckets
 
     def run(t: pa.Table, a: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         if t.num_rows:
             t = _ordered(t)
             for ids, w, gone in _cover(t, a, buckets):
@@ -185,10 +186,12 @@ def dedup_passages(docs: DataFrame, keep_text: bool = True) -> DataFrame:
                     if removed:
                         words = [x for x, g in zip(words, gone[f:z].tolist(), strict=True) if not g]
                     kept = b" ".join(words)
-                    for c, v in zip(out, (i, z - f, removed, kept.decode() if keep_text else None, hashlib.sha256(kept).hexdigest()), strict=True):
+                    for c, v in zip(out, (i, z - f, removed, kept.decode() if keep_text else None, hashlib.sha256(kept).hexdigest(),
+                                         hashlib.md5(raw[w.offs[k] : w.offs[k + 1]]).digest() if keep_source else None), strict=True):
                         c.append(v)
         return pa.table([pa.array(c, f.type) for c, f in zip(out, RESULT, strict=True)], schema=RESULT)
 
-    out = plan.docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
+    out = plan.docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, source_digest binary")
     out = out if keep_text else out.drop("kept")
+    out = out if keep_source else out.drop("source_digest")
     return out.withColumn("doc_id", real_id(F.col("doc_id")))

@@ -54,6 +54,23 @@ def test_stages(docs, rows, spark):
     assert len(whole) == len(clean) and all(r.n == r.t for r in whole)
 
 
+def test_null_and_repeated_ids_are_told_apart_by_text(spark):
+    """Distinct texts without an id, or with one id, all stay; their near copies go."""
+    def text(name, n=80):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (7, text("c")), (7, text("d")), (7, text("d")),
+            (8, text("a", 79)), (9, text("b", 79)), (10, text("c", 79)), (11, text("e")), (12, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    near = C.drop_near_copies(spark, docs, "")
+    want = collections.Counter([(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (11, text("e")), (12, ""), (None, "")])
+    assert collections.Counter(as_rows(near)) == want
+
+    rows = [(1, text("p")), (7, text("q") + " " + text("p")), (7, text("r")), (7, text("r"))]
+    got = as_rows(C.drop_passages(spark, spark.createDataFrame(rows, "doc_id long, text string"), ""))
+    assert collections.Counter(got) == collections.Counter([(1, text("p")), (7, text("q")), (7, text("r")), (7, text("r"))])
+
+
 def test_empty_table(nothing, spark):
     docs = nothing
     for _, stage in C.STAGES:
