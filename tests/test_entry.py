@@ -29,3 +29,20 @@ def test_cli_list(capsys):
     assert main(["list"]) == 0
     out = capsys.readouterr().out.splitlines()
     assert len(out) >= 100 and out[0].count("\t") == 2
+
+
+def test_a_broken_optional_module_leaves_the_rest(monkeypatch, capsys):
+    import importlib
+
+    import __spark_entry__ as entry
+    real = importlib.import_module
+
+    def broken(name, *a):
+        if name == "pricelens.llm.queries":
+            raise SyntaxError("broken")
+        return real(name, *a)
+    monkeypatch.setattr(entry.importlib, "import_module", broken)
+    names = entry.queries()
+    assert "crisis_scores" in names and not any(n.startswith("op") and n[2:3].isdigit() for n in names)
+    assert "cannot be imported" in capsys.readouterr().err
+    assert "crisis_scores" in entry.oracle_sql()

@@ -3,7 +3,7 @@ import tempfile
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pricelens.ml import data as D
 from pricelens.ml import iforest as IF
 from pricelens.ml import regress as R

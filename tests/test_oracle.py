@@ -11,7 +11,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pricelens.plans.registry import load_all
 from pricelens.sources.tables import TABLES
 

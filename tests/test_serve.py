@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pricelens.ml import data as D
 from pricelens.ml import regress as R
 from pricelens.ml.serve import score_requests

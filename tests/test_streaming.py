@@ -4,7 +4,7 @@ import tempfile
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pricelens.operators.windows import add_change_features
 from pricelens.sources.adapter import price_panel
 from pricelens.streaming.alerts import PRICE_ROW_SCHEMA, land_price_rows, run_alerts
