@@ -160,3 +160,70 @@ def op1(spark, sf_dir):
 def op2(spark, sf_dir):
     from pricelens.llm.sentencepiece_lattice import encode_documents
     return encode_documents(table(spark, sf_dir, "documents"), keep_ids=False)
+
+
+def _crc32(s: str) -> str:
+    """DuckDB SQL of the CRC-32 of an ASCII string expression."""
+    return f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, length({s}) + 1), lambda i: ord(({s})[i:i])::UBIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), lambda r, k: xor(r >> 1, 3988292384::UBIGINT * (r & 1)))), 4294967295::UBIGINT)"""
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE filled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+damaged AS (
+  SELECT coalesce(conv_id, -9223372036854775808) AS c, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM filled, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) u(x)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+marked AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS seen, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS kept, left(role, 1) AS r FROM numbered),
+faults AS (
+  SELECT *, CASE WHEN kept = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN right(kept, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(r) OVER (PARTITION BY c ORDER BY i) AS before FROM marked),
+steps AS (
+  SELECT * FROM (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')) v(q, gives, after)),
+sizes AS (SELECT c, count(*) AS n FROM faults GROUP BY c),
+moves AS (
+  SELECT '' AS q, 'u' AS after, 'I' AS letters, 3 AS cost UNION ALL SELECT 's', 'u', 'I', 3 UNION ALL SELECT 'u', 'a', 'I', 3 UNION ALL SELECT 'a', 'u', 'I', 3
+  UNION ALL SELECT '', 'a', 'II', 6 UNION ALL SELECT 's', 'a', 'II', 6
+  UNION ALL SELECT q, q, '', 0 FROM (VALUES ('',), ('s',), ('u',), ('a',)) v(q)),
+best(c, i, q, b) AS (
+  SELECT c, 0::BIGINT, after, {{'cost': cost, 'audit': letters}} FROM sizes, moves WHERE q = ''
+  UNION ALL
+  SELECT c, i, q, min(b) FROM (
+    SELECT t.c, t.i, m.after AS q, {{'cost': t.b.cost + m.cost, 'audit': t.b.audit || m.letters}} AS b
+    FROM (
+      SELECT f.c, f.i, e.after AS q, min({{'cost': best.b.cost + e.cost, 'audit': best.b.audit || e.letter}}) AS b
+      FROM best JOIN faults f ON f.c = best.c AND f.i = best.i + 1,
+        LATERAL (
+          SELECT best.q AS after, 4 AS cost, 'D' AS letter
+          UNION ALL SELECT s.after, CASE f.fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K' FROM steps s WHERE s.q = best.q AND s.gives = f.r AND f.fault NOT IN ('blank', 'duplicate')
+          UNION ALL SELECT s.after, CASE f.fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R' FROM steps s WHERE s.q = best.q AND s.gives <> 's' AND f.fault NOT IN ('blank', 'duplicate')) e
+      GROUP BY f.c, f.i, e.after) t JOIN moves m ON m.q = t.q)
+  GROUP BY c, i, q),
+chosen AS (SELECT c, min(b) AS b FROM best JOIN sizes USING (c) WHERE i = n AND q IN ('', 'a') GROUP BY c),
+letters AS (SELECT c, p, b.audit[p:p] AS e FROM chosen, unnest(range(1, length(b.audit) + 1)) u(p)),
+placed AS (
+  SELECT c, p, e, count(*) FILTER (e <> 'I') OVER (PARTITION BY c ORDER BY p) AS i, count(*) FILTER (e <> 'D') OVER (PARTITION BY c ORDER BY p) AS k FROM letters),
+given AS (
+  SELECT placed.c, p, CASE e WHEN 'K' THEN role WHEN 'D' THEN NULL ELSE CASE WHEN (k - CASE WHEN first_is_s THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END END AS role,
+    CASE e WHEN 'I' THEN '' ELSE text END AS text
+  FROM placed JOIN (
+    SELECT x.c, coalesce(bool_or(k = 1 AND e = 'K' AND r = 's'), false) AS first_is_s FROM placed x LEFT JOIN faults f ON f.c = x.c AND f.i = x.i GROUP BY x.c) USING (c)
+  LEFT JOIN faults f ON f.c = placed.c AND f.i = placed.i AND e <> 'I' WHERE e <> 'D'),
+texts AS (SELECT c, string_agg(role || ':' || text, chr(10) ORDER BY p) AS t FROM given GROUP BY c),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY c)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(b.cost, 0) AS BIGINT) AS cost, coalesce(b.audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id, -9223372036854775808) AS c FROM conversations) ids
+LEFT JOIN counts USING (c) LEFT JOIN chosen USING (c) LEFT JOIN texts USING (c)
+"""
+
+
+@query("op11_conversation_repair", OP11_SQL)
+def op11(spark, sf_dir):
+    from pricelens.llm.conversation_repair import damage, repair_digests
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_digests(damage(conversations), conversations)
