@@ -227,3 +227,47 @@ def op11(spark, sf_dir):
     from pricelens.llm.conversation_repair import damage, repair_digests
     conversations = table(spark, sf_dir, "conversations")
     return repair_digests(damage(conversations), conversations)
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE coded AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce('=' || lang, '') AS g,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered, {_crc32("doc_id::VARCHAR")} % 3 AS m FROM documents),
+leaves AS (
+  SELECT r, doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN m = 0 AND text IS NOT NULL THEN sha256(head || strlen(lowered) || ':' || lowered) ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS changed FROM coded),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+trees(g, lvl, k, n, h) AS (
+  SELECT g, 0, k, n, leaf FROM ranked
+  UNION ALL
+  SELECT g, lvl + 1, k // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY k)) FROM trees WHERE n > 1 GROUP BY g, lvl, k // 8, n),
+subroots AS (SELECT g, h, lvl, row_number() OVER (ORDER BY g) - 1 AS k, count(*) OVER () AS n FROM trees WHERE n = 1),
+top(lvl, k, n, h) AS (
+  SELECT 0, k, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, k // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY k)) FROM top WHERE n > 1 GROUP BY lvl, k // 8, n),
+nodes AS (
+  SELECT g AS tree, lvl, k, n, h FROM trees UNION ALL SELECT NULL, lvl, k, n, h FROM top),
+places AS (
+  SELECT r.r, t.lvl::BIGINT AS step, r.g AS tree, t.lvl, r.k // (8 ** t.lvl)::BIGINT AS k FROM ranked r JOIN (SELECT DISTINCT g, lvl FROM trees WHERE n > 1) t ON t.g = r.g
+  UNION ALL
+  SELECT r.r, s.lvl + t.lvl, NULL, t.lvl, s.k // (8 ** t.lvl)::BIGINT FROM ranked r JOIN subroots s ON s.g = r.g, (SELECT DISTINCT lvl FROM top WHERE n > 1) t),
+runs AS (
+  SELECT p.r, p.step, p.k AS mine, n.k, n.h FROM places p JOIN nodes n ON n.tree IS NOT DISTINCT FROM p.tree AND n.lvl = p.lvl AND n.k // 8 = p.k // 8),
+proofs AS (SELECT r, sha256(string_agg(h, '' ORDER BY step, k)) AS proof FROM runs WHERE k <> mine GROUP BY r),
+folds(r, step, h) AS (
+  SELECT r, 0::BIGINT, changed FROM ranked
+  UNION ALL
+  SELECT f.r, f.step + 1, sha256(string_agg(CASE WHEN u.k = u.mine THEN f.h ELSE u.h END, '' ORDER BY u.k)) FROM folds f JOIN runs u ON u.r = f.r AND u.step = f.step GROUP BY f.r, f.step),
+ends AS (SELECT r, arg_max(h, step) AS folded FROM folds GROUP BY r)
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded AS folded_root, folded = t.h AS verified
+FROM ranked JOIN subroots s USING (g) JOIN ends USING (r) LEFT JOIN proofs USING (r), (SELECT h FROM top WHERE n = 1) t
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark, sf_dir):
+    from pricelens.llm.merkle_manifest import verify_documents
+    return verify_documents(table(spark, sf_dir, "documents"))
