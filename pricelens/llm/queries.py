@@ -271,3 +271,49 @@ FROM ranked JOIN subroots s USING (g) JOIN ends USING (r) LEFT JOIN proofs USING
 def op12(spark, sf_dir):
     from pricelens.llm.merkle_manifest import verify_documents
     return verify_documents(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql() -> str:
+    from pricelens.llm.secret_scan import ACCESS, ASSIGNED, HEX, KINDS, PATTERNS, REACH, WEAK_ASSIGNED
+    sql = {k: p.replace("'", "''") for k, p in PATTERNS.items()}
+    lists = ",\n  ".join(f"list_transform(regexp_extract_all(text, '{sql[k]}', 0), lambda x: length(x)) AS len_{k}, list_transform(regexp_split_to_array(text, '{sql[k]}'), lambda x: length(x)) AS gap_{k}"
+                         for k in KINDS)
+    values = f"regexp_extract_all(text, '{sql['assign']}', 2) AS assigned, regexp_extract_all(text, '{sql['bare']}', 0) AS bares"
+    rows = "\n  UNION ALL ".join(
+        f"SELECT r, {i} AS kind, unnest(list_transform(range(1, len(len_{k}) + 1), lambda j: {{'end': list_sum(gap_{k}[1:j]) + list_sum(len_{k}[1:j]), 'len': len_{k}[j], "
+        f"'value': {'length(assigned[j])' if k == 'assign' else '1'}, 'mixed': {'regexp_matches(bares[j], ' + chr(39) + '[0-9]' + chr(39) + ') AND regexp_matches(bares[j], ' + chr(39) + '[A-Z]' + chr(39) + ') AND regexp_matches(bares[j], ' + chr(39) + '[a-z]' + chr(39) + ')' if k == 'bare' else 'true'}}})) AS m FROM texts"
+        for i, k in enumerate(KINDS))
+    names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, {values},
+  {lists} FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+matched AS (
+  {rows}),
+parts AS (
+  SELECT r, kind, m."end" - m.len AS a, m."end" AS z, CASE WHEN kind = 0 THEN m.value >= {ASSIGNED} ELSE m.mixed END AS good, kind = 0 AND m.value < {WEAK_ASSIGNED} AS nothing FROM matched),
+strong AS (SELECT r, kind, a, z FROM parts WHERE kind < 3 AND good),
+ids AS (SELECT r, kind, a, z FROM parts WHERE kind = 3 UNION ALL SELECT * FROM strong WHERE kind = 1),
+weak AS (SELECT r, CASE kind WHEN 0 THEN 4 ELSE kind END AS kind, a, z FROM parts WHERE kind = 4 OR (kind = 5 AND good) OR (kind = 0 AND NOT good AND NOT nothing)),
+secrets AS (SELECT *, true AS weak FROM weak UNION ALL SELECT *, false FROM strong WHERE kind <> 1),
+meet AS (SELECT i.r, i.kind AS ik, i.a AS ia, i.z AS iz, s.kind, s.a, s.z, s.weak FROM ids i JOIN secrets s ON s.r = i.r AND s.a <= i.z + {REACH} AND s.z >= i.a - {REACH}),
+linked AS (
+  SELECT r, ik AS kind, ia AS a, iz AS z FROM meet WHERE ik = 3
+  UNION SELECT r, kind, a, z FROM meet WHERE weak
+  UNION SELECT p.r, p.kind, p.a, p.z FROM meet i JOIN parts p ON p.kind = 6 AND p.r = i.r AND p.a <= i.iz + {REACH} AND p.z >= i.ia - {REACH}),
+named AS (
+  SELECT r, kind, a, z, true AS base, {names}[kind + 1] || ':' || a || ':' || z AS s FROM strong
+  UNION ALL SELECT r, kind, a, z, false, {names}[kind + 1] || ':' || a || ':' || z FROM linked),
+joined AS (
+  SELECT r, count(*) FILTER (base AND kind = 0) AS n_assign, count(*) FILTER (base AND kind = 1) AS n_access, count(*) FILTER (base AND kind = 2) AS n_hex,
+    string_agg(s, ',' ORDER BY a, kind, z) FILTER (base) AS b, string_agg(s, ',' ORDER BY a, kind, z) AS spans, count(*) FILTER (NOT base) AS n_linked FROM named GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_linked, 0) AS n_linked
+FROM texts LEFT JOIN joined USING (r)
+"""
+
+
+@query("op13_secret_scan", _op13_sql())
+def op13(spark, sf_dir):
+    from pricelens.llm.secret_scan import find_secrets
+    return find_secrets(table(spark, sf_dir, "documents"))
