@@ -222,7 +222,9 @@ def manifest(rows: DataFrame, levels: int = LEVELS) -> DataFrame:
     changed digest where there is one, else of the leaf.  No rows, no result.
     """
     prepare(rows.sparkSession)
-    own = stored(ranked(rows.withColumnRenamed("leaf", "node"), ["key", "node"], "merkle-leaves"), "merkle-ranked")
+    # the ranges are cut from a sample of the stored digests, so the texts are read and hashed once
+    own = stored(rows.withColumnRenamed("leaf", "node"), "merkle-digests")
+    own = stored(ranked(own, ["key", "node"], "merkle-leaves"), "merkle-ranked")
     up = passes(own, "merkle-up", levels)
     subroots = up[-1].select(F.lit("").alias("grp"), F.col("grp").alias("of"), "node")
     tops = stored(ranked(subroots, ["of"], "merkle-subroots"), "merkle-tops")
