@@ -103,18 +103,30 @@ def allowed(spec: TreeSpec, key: str, tree: int, nodes: np.ndarray, n: int) -> n
 
 
 # -- histograms and splits ---------------------------------------------------------------
-def cells_of(rank: np.ndarray, base: np.ndarray, stats: np.ndarray, m: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+def dense_sums(rank: np.ndarray, columns: np.ndarray, stats: np.ndarray, m: int, bins: int) -> np.ndarray:
+    """[statistic, node, feature, bin]: sums of the rows' statistics; ``columns`` holds a row of bins per feature."""
+    out, ones = np.empty((stats.shape[1], m, len(columns), bins)), stats.shape[1] == 2 and bool((stats[:, 0] == 1).all())
+    weights = [None if ones and k == 0 else np.ascontiguousarray(s, float) for k, s in enumerate(stats.T)]
+    base = rank * bins
+    for f, column in enumerate(columns):
+        at = base + column
+        for k, w in enumerate(weights):
+            out[k, :, f, :] = np.bincount(at, w, m * bins).reshape(m, bins)
+    return out
+
+
+def cells_of(rank: np.ndarray, columns: np.ndarray, stats: np.ndarray, m: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
     """Non-empty (node, feature, bin) cells, ascending, and the sums of the rows' statistics in each."""
-    flat = (base + (rank * width)[:, None]).ravel()
-    f = base.shape[1]
-    if m * width <= 4 * flat.size:
-        sums = [np.bincount(flat, np.repeat(s, f), m * width) for s in stats.T]
-        cells = np.flatnonzero(np.any([s != 0 for s in sums], axis=0) if len(sums) != 2 else sums[0])
-        return cells, np.stack([s[cells] for s in sums], 1).astype(np.int64)
+    n, width = columns.shape[1], len(columns) * bins
+    if m * width <= 4 * n * len(columns):
+        sums = dense_sums(rank, columns, stats, m, bins).reshape(stats.shape[1], -1)
+        cells = np.flatnonzero(sums[0] if stats.shape[1] == 2 else sums.any(0))
+        return cells, sums[:, cells].T.astype(np.int64)
+    flat = (columns + (np.arange(len(columns)) * bins)[:, None] + rank * width).ravel()
     order = np.argsort(flat)
     flat = flat[order]
-    start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.empty(0, np.int64)
-    return flat[start], np.add.reduceat(stats[order // f], start, axis=0) if len(start) else np.empty((0, stats.shape[1]), np.int64)
+    start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    return flat[start], np.add.reduceat(stats[order % n], start, axis=0)
 
 
 def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,40 +139,58 @@ def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
 
 
 def score(stats: np.ndarray, spec: TreeSpec, weights: np.ndarray | None) -> np.ndarray:
-    """What a node explains: of squared error (weight, sum), or of Gini impurity (weighted class counts)."""
+    """What nodes explain, by [statistic, ...]: of squared error (weight, sum), or of Gini impurity (class counts)."""
     if weights is None:
-        return stats[:, 1].astype(float) ** 2 / np.maximum(stats[:, 0] + spec.l2, 1e-300)
-    w = stats * weights
-    return (w * w).sum(1) / np.maximum(w.sum(1), 1e-300)
+        return stats[1].astype(float) ** 2 / np.maximum(stats[0] + spec.l2, 1e-300)
+    w = stats * weights.reshape(-1, *[1] * (stats.ndim - 1))
+    return (w * w).sum(0) / np.maximum(w.sum(0), 1e-300)
 
 
 def count(stats: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
-    return stats[:, 0] if weights is None else stats.sum(1)
+    return stats[0] if weights is None else stats.sum(0)
 
 
-def best_splits(cells: np.ndarray, stats: np.ndarray, n: int, spec: TreeSpec, weights: np.ndarray | None, may: np.ndarray | None) -> tuple[np.ndarray, ...]:
+def _gains(left: np.ndarray, total: np.ndarray, spec: TreeSpec, weights: np.ndarray | None) -> np.ndarray:
+    """Gain of each cut that leaves ``left`` of ``total`` on the left; -inf where it is not one."""
+    right, whole = total - left, score(total, spec, weights)
+    gain = score(left, spec, weights) + score(right, spec, weights) - whole
+    least = max(spec.min_leaf, 1)
+    ok = (count(left, weights) >= least) & (count(right, weights) >= least) & (gain > np.maximum(spec.min_gain, 1e-9 * whole))
+    return np.where(ok, gain, -np.inf)
+
+
+Splits = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def dense_splits(sums: np.ndarray, spec: TreeSpec, weights: np.ndarray | None, may: np.ndarray | None) -> Splits:
     """(node, feature, bin, gain) of the nodes that split; ties take the first feature, then the first bin."""
-    if not len(cells):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0),)
+    _, m, n, bins = sums.shape
+    left = np.cumsum(sums, axis=3)
+    gain = _gains(left, left[..., -1:], spec, weights)
+    if may is not None:
+        gain[~may] = -np.inf
+    gain = gain.reshape(m, n * bins)
+    at = gain.argmax(1)
+    best = gain[np.arange(m), at]
+    node = np.flatnonzero(best > -np.inf)
+    return node, at[node] // bins, at[node] % bins, best[node]
+
+
+def best_splits(cells: np.ndarray, stats: np.ndarray, n: int, spec: TreeSpec, weights: np.ndarray | None, may: np.ndarray | None) -> Splits:
+    """The same from non-empty cells alone."""
     group = cells // spec.bins
     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     size = np.diff(np.r_[start, len(cells)])
     upto = np.cumsum(stats, axis=0)
     before = np.repeat(upto[start] - stats[start], size, axis=0)
-    left = upto - before
-    total = np.repeat(upto[start + size - 1] - before[start], size, axis=0)
-    right = total - left
-    whole = score(total, spec, weights)
-    gain = score(left, spec, weights) + score(right, spec, weights) - whole
-    ok = (count(left, weights) >= spec.min_leaf) & (count(right, weights) >= spec.min_leaf) & (count(right, weights) > 0)
-    ok &= gain > np.maximum(spec.min_gain, 1e-9 * whole)
+    total = np.repeat(upto[start + size - 1], size, axis=0) - before
+    gain = _gains((upto - before).T, total.T, spec, weights)
     node = group // n
     if may is not None:
-        ok &= may[node, group % n]
-    gain = np.where(ok, gain, -np.inf)
+        gain[~may[node, group % n]] = -np.inf
     first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
     best = np.maximum.reduceat(gain, first)
-    hit = np.flatnonzero((gain == np.repeat(best, np.diff(np.r_[first, len(cells)]))) & ok)
+    hit = np.flatnonzero((gain == np.repeat(best, np.diff(np.r_[first, len(cells)]))) & (gain > -np.inf))
     _, at = np.unique(node[hit], return_index=True)
     at = hit[at]
     return node[at], group[at] % n, cells[at] % spec.bins, gain[at]
@@ -170,34 +200,60 @@ def _depth(node: int) -> int:
     return int(node).bit_length() - 1
 
 
-def grow(bins: np.ndarray, stats: np.ndarray, root: int, key: str, tree: int, spec: TreeSpec, weights: np.ndarray | None) -> tuple[dict, np.ndarray]:
+def columns_of(bins: np.ndarray) -> np.ndarray:
+    """A row of bins per feature."""
+    return np.ascontiguousarray(bins.T, np.int64)
+
+
+def _sums_of_level(rank: np.ndarray, rows: np.ndarray, columns: np.ndarray, stats: np.ndarray, m: int, bins: int, parents: np.ndarray | None) -> np.ndarray:
+    """Dense sums of all nodes of a level; of two siblings the smaller is counted, the other is its parent less it."""
+    if parents is None:
+        return dense_sums(rank, columns if len(rows) == columns.shape[1] else columns[:, rows], stats[rows], m, bins)
+    size = np.bincount(rank, minlength=m)
+    second = size[1::2] < size[0::2]
+    few = (rank & 1) == second[rank >> 1]
+    small = dense_sums(rank[few] >> 1, columns[:, rows[few]], stats[rows[few]], m // 2, bins)
+    large = parents - small
+    out = np.empty((parents.shape[0], m, *parents.shape[2:]))
+    turned = second[None, :, None, None]
+    out[:, 0::2], out[:, 1::2] = np.where(turned, large, small), np.where(turned, small, large)
+    return out
+
+
+def grow(columns: np.ndarray, stats: np.ndarray, root: int, key: str, tree: int, spec: TreeSpec, weights: np.ndarray | None) -> tuple[dict, np.ndarray]:
     """The subtree below ``root`` of rows that are all in this task, level by level: nodes, and each row's leaf."""
-    n, width = bins.shape[1], bins.shape[1] * spec.bins
-    base = bins.astype(np.int64) + np.arange(n) * spec.bins
-    rank, ids = np.zeros(len(bins), np.int64), np.array([root], np.int64)
-    rows, leaf = np.arange(len(bins)), np.full(len(bins), root, np.int64)
+    n, size = columns.shape
+    rank, ids = np.zeros(size, np.int64), np.array([root], np.int64)
+    rows, leaf = np.arange(size), np.full(size, root, np.int64)
     out = {"node": [], "feature": [], "bin": [], "gain": [], "stats": []}
-    depth = _depth(root)
+    depth, parents = _depth(root), None  # dense sums of the split nodes one level up
     while len(ids):
         m = len(ids)
-        total = np.stack([np.bincount(rank, s[rows], m) for s in stats.T], 1).astype(np.int64)
+        total = np.stack([np.bincount(rank, s[rows], m) for s in stats.T]).astype(np.int64)
         feature, cut, gain = np.full(m, -1), np.full(m, -1), np.zeros(m)
-        if depth < spec.depth:
-            open_ = count(total, weights) >= max(2, 2 * spec.min_leaf)
-            if weights is not None:
-                open_ &= (total > 0).sum(1) > 1
-            to = np.cumsum(open_) - 1
-            live = open_[rank]
-            cells, sums = cells_of(to[rank[live]], base[rows[live]], stats[rows[live]], int(open_.sum()), width)
-            at, f, b, g = best_splits(cells, sums, n, spec, weights, allowed(spec, key, tree, ids[open_], n))
-            at = np.flatnonzero(open_)[at]
+        open_ = count(total, weights) >= max(2, 2 * spec.min_leaf)
+        if weights is not None:
+            open_ &= (total > 0).sum(0) > 1
+        if depth < spec.depth and open_.any():
+            m_open = int(open_.sum())
+            may = allowed(spec, key, tree, ids[open_], n)
+            if m * spec.bins <= 4 * len(rows):
+                sums = _sums_of_level(rank, rows, columns, stats, m, spec.bins, parents)
+                at, f, b, g = dense_splits(sums if m_open == m else sums[:, open_], spec, weights, may)
+                at = np.flatnonzero(open_)[at]
+                parents = sums[:, at]
+            else:
+                live = rows[open_[rank]]
+                to = (np.cumsum(open_) - 1)[rank[open_[rank]]]
+                at, f, b, g = best_splits(*cells_of(to, columns[:, live], stats[live], m_open, spec.bins), n, spec, weights, may)
+                at, parents = np.flatnonzero(open_)[at], None
             feature[at], cut[at], gain[at] = f, b, g
-        for k, v in (("node", ids), ("feature", feature), ("bin", cut), ("gain", gain), ("stats", total)):
+        for k, v in (("node", ids), ("feature", feature), ("bin", cut), ("gain", gain), ("stats", total.T)):
             out[k].append(v)
         split = feature >= 0
         go = split[rank]
         rows, rank = rows[go], rank[go]
-        right = bins[rows, feature[rank]] > cut[rank]
+        right = columns[feature[rank], rows] > cut[rank]
         leaf[rows] = 2 * ids[rank] + right
         place = 2 * (np.cumsum(split) - 1)
         ids = np.stack([2 * ids[split], 2 * ids[split] + 1], 1).ravel()
@@ -294,7 +350,7 @@ NODES_DDL = "key string, tree int, node long, feature int, bin int, gain double,
 def _node_table(key: str, tree: int, nodes: dict, weights: np.ndarray | None) -> pa.Table:
     m = len(nodes["node"])
     stats = nodes["stats"]
-    return pa.table([pa.array([key] * m, pa.string()), np.full(m, tree, np.int32), nodes["node"], nodes["feature"].astype(np.int32), nodes["bin"].astype(np.int32), nodes["gain"].astype(float), count(stats, weights).astype(np.int64),
+    return pa.table([pa.array([key] * m, pa.string()), np.full(m, tree, np.int32), nodes["node"], nodes["feature"].astype(np.int32), nodes["bin"].astype(np.int32), nodes["gain"].astype(float), count(stats.T, weights).astype(np.int64),
                      pa.ListArray.from_arrays(np.arange(0, stats.size + 1, stats.shape[1], dtype=np.int32), pa.array(stats.ravel()))], schema=NODES)
 
 
@@ -343,11 +399,11 @@ def grow_forest(data: Binned, spec: TreeSpec, first: int = 0) -> DataFrame:
     def finish(t: pa.Table) -> pa.Table:
         key, tree, last, node = (t.column(c)[0].as_py() for c in ("key", "tree", "last", "node"))
         hashes, bins, y = _unpacked(t, n)
-        weights, out = class_weights(t.column("classes")[0].as_py()), []
+        weights, out, columns = class_weights(t.column("classes")[0].as_py()), [], columns_of(bins)
         for k in range(tree, last):
             w = row_weights(hashes, spec, key, k)
             seen = w > 0
-            out.append(_node_table(key, k, grow(bins[seen], _stats(w[seen], y[seen], classes), node, key, k, spec, weights)[0], weights))
+            out.append(_node_table(key, k, grow(columns[:, seen], _stats(w[seen], y[seen], classes), node, key, k, spec, weights)[0], weights))
         return pa.concat_tables(out)
 
     packets = packets.join(broadcast_if_small(data.keys.select("key", "classes")), "key")
@@ -386,7 +442,7 @@ def _level(data: Binned, large: DataFrame, known: DataFrame, spec: TreeSpec, fir
         key, group = t.column("key")[0].as_py(), t.column("tree")[0].as_py()
         hashes, bins, y = _unpacked(t, n)
         splits, out = _splits_of(k), []
-        base = bins.astype(np.int64) + np.arange(n) * spec.bins
+        columns = columns_of(bins)
         for tree in range(group, min(group + TREES, first + spec.trees)):
             w = row_weights(hashes, spec, key, tree)
             node = _routed(bins, splits.get(tree, {}), depth)
@@ -394,7 +450,7 @@ def _level(data: Binned, large: DataFrame, known: DataFrame, spec: TreeSpec, fir
             if not len(live):
                 continue
             ids, rank = np.unique(node[live], return_inverse=True)
-            cells, sums = cells_of(rank, base[live], _stats(w[live], y[live], classes), len(ids), width)
+            cells, sums = cells_of(rank, columns[:, live], _stats(w[live], y[live], classes), len(ids), spec.bins)
             cut = np.searchsorted(cells, np.arange(len(ids) + 1) * width)
             for i, (a, z) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
                 out.append({"key": key, "tree": tree, "node": int(ids[i]), "cells": (cells[a:z] - i * width).tobytes(), "sums": sums[a:z].tobytes()})
@@ -406,7 +462,7 @@ def _level(data: Binned, large: DataFrame, known: DataFrame, spec: TreeSpec, fir
         weights, ids = class_weights(t.column("classes")[0].as_py()), np.array([node], np.int64)
         total = sums[cells < spec.bins].sum(0)[None, :]  # the first feature's cells hold every row once
         f, b, g = -2, -1, 0.0
-        if count(total, weights)[0] > spec.local_rows:
+        if count(total.T, weights)[0] > spec.local_rows:
             _, fs, bs, gs = best_splits(cells, sums, n, spec, weights, allowed(spec, key, tree, ids, n))
             f, b, g = (int(fs[0]), int(bs[0]), float(gs[0])) if len(fs) else (-1, -1, 0.0)
         return _node_table(key, tree, {"node": ids, "feature": np.array([f]), "bin": np.array([b]), "gain": np.array([g]), "stats": total}, weights)
@@ -469,11 +525,11 @@ def boost(data: Binned, spec: TreeSpec) -> DataFrame:
     def alone(t: pa.Table) -> pa.Table:
         key = t.column("key")[0].as_py()
         hashes, bins, y = _unpacked(t, n)
-        out = [_node_table(key, -1, _start(len(y), int(y.sum())), None)]
+        out, columns = [_node_table(key, -1, _start(len(y), int(y.sum())), None)], columns_of(bins)
         now = np.full(len(y), int(y.sum()) / len(y))
         for k in range(spec.trees):
             w = row_weights(hashes, spec, key, k)
-            nodes, leaf = grow(bins, _stats(w, np.rint(y - now).astype(np.int64), 0), 1, key, k, spec, None)
+            nodes, leaf = grow(columns, _stats(w, np.rint(y - now).astype(np.int64), 0), 1, key, k, spec, None)
             now = now + _leaf_values(leaf, nodes["node"], _added_value(nodes["stats"], spec))
             out.append(_node_table(key, k, nodes, None))
         return pa.concat_tables(out)
