@@ -1,29 +1,29 @@
-"""Price-category classifier.
+"""Price-category classifiers.
 
 Category per commodity from its 33 % / 66 % price percentiles (inclusive
-upper bounds): Cheap <= p33 < Normal <= p66 < Expensive.  A random forest
-with class weights balanced within each commodity (weight = n / (k * n_class),
-from window counts) predicts it; probabilities are exposed as an array column.
+upper bounds): Cheap <= p33 < Normal <= p66 < Expensive.  A random forest for
+every commodity, with its classes weighted to count alike (rows / (classes *
+rows of the class)), predicts it; the class shares stand in an array column.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.ml.data import indexers
-from pricelens.operators.stats import quantile_columns
-from pricelens.operators.stats import broadcast_if_small
+from pricelens.ml.grouped_trees import TreeModel, TreeSpec, fit_trees
+from pricelens.operators.stats import broadcast_if_small, quantile_columns
 
 CLASSES = ["Cheap", "Normal", "Expensive"]
-CLASSIFIER_FEATURES = ["commodity_code", "district_code", "festival_code", "arrival", "max_temp", "min_temp",
+CLASSIFIER_FEATURES = ["district_code", "festival_code", "arrival", "max_temp", "min_temp",
                        "rainfall_mm", "wind", "holiday", "month", "year", "day", "weekend_int", "day_of_week",
                        "quarter"]
+#: The classifier's settings.
+CLASSIFIER = TreeSpec(trees=300, depth=15, min_leaf=2, min_split=5, features="sqrt")
 
 
 def price_category(df: DataFrame, keys=("commodity",), value: str = "modal_price") -> DataFrame:
@@ -51,22 +51,19 @@ def balanced_weights(df: DataFrame, label: str = "price_category", keys=()) -> D
     return j.withColumn("weight", F.col("_n") / (F.col("_k") * F.col("_nc"))).drop("_nc", "_n", "_k")
 
 
-def classifier_pipeline(num_trees: int = 300, max_depth: int = 15, bins: int = 64) -> Pipeline:
-    lab = StringIndexer(inputCol="price_category", outputCol="label", stringOrderType="alphabetAsc")
-    asm = VectorAssembler(inputCols=CLASSIFIER_FEATURES, outputCol="features", handleInvalid="keep")
-    rf = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight",
-                                numTrees=num_trees, maxDepth=max_depth, seed=42, maxBins=bins)
-    # one forest for all commodities with the commodity as a feature (the
-    # per-commodity alternative of M6); class weights are balanced per commodity
-    return Pipeline(stages=indexers(["commodity", "district", "festival"], "keep") + [lab, asm, rf])
+def fit_classifiers(train: DataFrame, spec: TreeSpec = CLASSIFIER, key: str | None = "commodity") -> TreeModel:
+    """One balanced forest per commodity, all grown in the same jobs."""
+    encoder = Pipeline(stages=indexers(["district", "festival"], "keep")).fit(train)
+    return fit_trees(encoder.transform(train), CLASSIFIER_FEATURES, "price_category", ["commodity", "district", "date"], spec, key=key, labels=CLASSES, encoder=encoder)
 
 
-def with_labels(pred: DataFrame, model) -> DataFrame:
-    """Predicted class name and class probabilities as an array."""
-    labels = model.stages[len(model.stages) - 3].labels
-    m = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])
-    return pred.withColumns({"predicted_category": F.element_at(m, F.col("prediction")),
-                             "probabilities": vector_to_array("probability")})
+def classified(model: TreeModel, rows: DataFrame) -> DataFrame:
+    """Predicted class, class shares (in the order of CLASSES) and their numeric forms for the evaluators;
+    rows whose commodity has no classifier are left out."""
+    def code(c):
+        return (F.array_position(F.array(*map(F.lit, CLASSES)), F.col(c)) - 1).cast("double")
+    out = model.transform(rows).filter(F.col("predicted_category").isNotNull())
+    return out.withColumns({"label": code("price_category"), "prediction": code("predicted_category"), "probability": array_to_vector("probabilities")})
 
 
 def classification_metrics(pred: DataFrame) -> dict:

@@ -1,27 +1,31 @@
-"""Recursive multi-day forecast for every (commodity, district) in parallel.
+"""Recursive multi-day forecast for every series in one pass.
 
 State: one row per key with the frozen covariates of its latest row and the
-last 30 prices as ``array<double>`` (bounded).  Each horizon step derives
-lag/rolling features from the array with array expressions, runs
-``model.transform`` over all keys at once, appends the *unrounded* prediction
-to the history and stores the rounded one (X20).  The horizon loop is on the
-driver but each step is one distributed job over all keys; lineage is cut
-with a reliable ``checkpoint()`` into ``spark.checkpoint.dir`` every
-``checkpoint_every`` steps, so a lost executor recomputes at most that many
-steps.
+last 30 prices.  The fitted trees are a table of one packed row per tree; each
+chunk of series meets the trees of its model once, and its task takes all steps
+over the price arrays: the features of the next day come from the array and the
+date, the *unrounded* prediction joins the history, the rounded one is reported
+(X20).  One job, whatever the horizon; a lost executor costs its chunks.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions import is_weekend, weekday0
-from pricelens.session import checkpoint_dir
+from pricelens.ml.grouped_trees import TreeModel, _scored, features_matrix, replace_frames, unpacked_trees
+from pricelens.operators.stats import broadcast_if_small
+from pricelens.session import ship_package
 
 HISTORY = 30
 HORIZON = 30
+#: Series whose steps a task takes at once, and bytes of trees that it may hold.
+SERIES = 2_000
+MODEL_BYTES = 2_000_000_000
 
 
 def _mean_last(arr, n: int):
@@ -47,9 +51,7 @@ def initial_state(panel: DataFrame, keys=("commodity", "district"), min_history:
         F.transform(F.array_sort(F.collect_list(F.struct("date", "modal_price"))),
                     lambda x: x["modal_price"]).alias("hist"),
         F.max_by(F.struct(*others), "date").alias("_latest"))
-    st = agg.join(n.select(*keys), keys).select(*keys, "_latest.*", "hist")
-    return st.withColumn(
-        "preds", F.array().cast("array<struct<date:date,predicted_price:double,predicted_raw:double>>"))
+    return agg.join(n.select(*keys), keys).select(*keys, "_latest.*", "hist")
 
 
 def step_features(state: DataFrame, lags=(1, 2, 3)) -> DataFrame:
@@ -62,31 +64,48 @@ def step_features(state: DataFrame, lags=(1, 2, 3)) -> DataFrame:
     return state.withColumns(cols)
 
 
-def recursive_forecast(model: PipelineModel, panel: DataFrame, horizon: int = HORIZON,
-                       checkpoint_every: int = 10, keys=("commodity", "district"), lags=(1, 2, 3)) -> DataFrame:
-    """Output: date, <keys>, predicted_price (rounded 2), predicted_raw."""
-    spark = panel.sparkSession
-    checkpoint_dir(spark)
-    keys = list(keys)
-    state = initial_state(panel, keys)
-    keep = state.columns
-    for h in range(1, horizon + 1):
-        nxt = step_features(state, lags)
-        scored = model.transform(nxt)
-        p = F.greatest(F.col("prediction"), F.lit(0.0))
-        state = scored.select(
-            *[F.col(c) for c in keep if c not in ("hist", "preds")],
-            F.slice(F.concat("hist", F.array(p)), -HISTORY, HISTORY).alias("hist"),
-            F.concat("preds", F.array(F.struct(F.col("date").alias("date"),
-                                               F.bround(p, 2).alias("predicted_price"),
-                                               p.alias("predicted_raw")))).alias("preds"))
-        state = state.select(*keep)
-        if h % checkpoint_every == 0 and h < horizon:
-            state = state.checkpoint(eager=True)
-    return state.select(*keys, F.inline("preds")).select("date", *keys, "predicted_price", "predicted_raw")
-
-
-def fit_forecast_model(train: DataFrame, spec: dict) -> PipelineModel:
-    from pricelens.ml.regress import fit
-    return fit(train, spec)
+def _day_features(days: np.ndarray, hist: np.ndarray, lags) -> dict[str, np.ndarray]:
+    """The same for many series at once: days since 1970 and [series, HISTORY] prices."""
+    at = pd.DatetimeIndex(days.astype("datetime64[D]"))
+    out = {"year": at.year, "month": at.month, "day": at.day, "day_of_week": at.dayofweek, "quarter": at.quarter, "weekend_int": at.dayofweek >= 5}
+    out |= {f"rolling_{k}": np.cumsum(hist[:, -k:], axis=1)[:, -1] / k for k in (7, 30)}
+    return out | {f"lag_{k}": hist[:, -k] for k in lags}
+
 
+def recursive_forecast(model: TreeModel, panel: DataFrame, horizon: int = HORIZON,
+                       keys=("commodity", "district"), lags=(1, 2, 3)) -> DataFrame:
+    """Output: date, <keys>, predicted_price (rounded 2), predicted_raw.  A key without a model has no forecast."""
+    ship_package(panel.sparkSession)
+    keys = list(keys)
+    most = model.packed.groupBy("key").agg(F.sum(F.octet_length("ids") * 4).alias("b")).agg(F.max("b")).first()[0] or 0
+    if most > MODEL_BYTES:
+        raise ValueError(f"a model of {most} bytes does not fit a task")
+    state = model.encoded(step_features(initial_state(panel, keys), lags)).withColumn("_key", model.key_column())
+    counts = state.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / SERIES).alias("_chunks"))
+    state = state.join(broadcast_if_small(counts), "_key").withColumn("_chunk", F.pmod(F.xxhash64(*keys), F.col("_chunks")))
+    trees = model.packed.join(broadcast_if_small(counts.withColumnRenamed("_key", "key")), "key").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1))).withColumnRenamed("key", "_key")
+    features, width, own = model.features, model.width, replace_frames(model)
+    out_schema = pa.schema([("date", pa.date32()), *((k, pa.string()) for k in keys), ("predicted_raw", pa.float64())])
+
+    def steps(t: pa.Table, k: pa.Table) -> pa.Table:
+        if not len(t) or not len(k):
+            return out_schema.empty_table()
+        nodes, x = unpacked_trees(k, width), features_matrix(t, features)
+        hist = np.array(t.column("hist").to_pylist(), float)
+        day = t.column("date").cast(pa.int32()).to_numpy().astype(np.int64)
+        days, prices = [], []
+        for h in range(horizon):
+            for name, v in _day_features(day + h, hist, lags).items():
+                if name in features:
+                    x[:, features.index(name)] = v
+            p = np.maximum(own.combine(_scored(x, nodes, width), len(nodes))[:, 0], 0.0)
+            hist = np.concatenate([hist[:, 1:], p[:, None]], axis=1)
+            days.append(day + h)
+            prices.append(p)
+        names = [pa.array(t.column(c).to_pylist() * horizon, pa.string()) for c in keys]
+        return pa.table([pa.array(np.concatenate(days).astype(np.int32), pa.int32()).cast(pa.date32()), *names, np.concatenate(prices)], schema=out_schema)
+
+    state = state.select(*(F.col(k).cast("string").alias(k) for k in keys), *(c for c in features if c not in keys), "date", "hist", "_key", "_chunk")
+    ddl = "date date, " + ", ".join(f"{k} string" for k in keys) + ", predicted_raw double"
+    raw = state.groupBy("_key", "_chunk").cogroup(trees.groupBy("_key", "_chunk")).applyInArrow(steps, ddl)
+    return raw.select("date", *keys, F.bround("predicted_raw", 2).alias("predicted_price"), "predicted_raw")

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import math
+import threading
 import uuid
 import zlib
 from dataclasses import asdict, dataclass, replace
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 
 from pricelens.operators.stats import broadcast_if_small
 from pricelens.session import checkpoint_dir, ship_package
+from pricelens.sources.store import remove
 
 #: Rows in a block of binned rows, and in a chunk that is scored at once.
 BLOCK = 50_000
@@ -46,12 +48,14 @@ class TreeSpec:
     trees: int = 100
     depth: int = 8
     min_leaf: int = 1
+    min_split: int = 2
     features: float | str = 1.0  # share (or "sqrt") of the features tried: per node of a forest, per boosted tree
     step: float = 0.1  # boost: share of each tree's prediction that is added
     subsample: float = 1.0  # boost: share of the rows a tree sees; a forest draws with replacement
     bootstrap: bool = True
+    l1: float = 0.0  # penalties of a node's value, in the target's unit
     l2: float = 0.0
-    min_gain: float = 0.0
+    min_gain: float = 0.0  # squared error (or weighted Gini impurity) that a split must explain
     bins: int = 64
     seed: int = 42
     local_rows: int = 8_192  # a node with at most so many rows is grown by one task
@@ -61,6 +65,11 @@ class TreeSpec:
         return max(1, int(math.sqrt(n)) if self.features == "sqrt" else int(round(n * float(self.features))))
 
 
+    def scaled(self, scale: float) -> TreeSpec:
+        """The settings in the fixed-point unit of a target."""
+        return replace(self, l1=self.l1 * scale, min_gain=self.min_gain * scale**2)
+
+
 # -- numbers that depend on content alone ------------------------------------------------
 _U = np.uint64
 
@@ -141,7 +150,8 @@ def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
 def score(stats: np.ndarray, spec: TreeSpec, weights: np.ndarray | None) -> np.ndarray:
     """What nodes explain, by [statistic, ...]: of squared error (weight, sum), or of Gini impurity (class counts)."""
     if weights is None:
-        return stats[1].astype(float) ** 2 / np.maximum(stats[0] + spec.l2, 1e-300)
+        s = np.maximum(np.abs(stats[1].astype(float)) - spec.l1, 0.0) if spec.l1 else stats[1].astype(float)
+        return s**2 / np.maximum(stats[0] + spec.l2, 1e-300)
     w = stats * weights.reshape(-1, *[1] * (stats.ndim - 1))
     return (w * w).sum(0) / np.maximum(w.sum(0), 1e-300)
 
@@ -231,7 +241,7 @@ def grow(columns: np.ndarray, stats: np.ndarray, root: int, key: str, tree: int,
         m = len(ids)
         total = np.stack([np.bincount(rank, s[rows], m) for s in stats.T]).astype(np.int64)
         feature, cut, gain = np.full(m, -1), np.full(m, -1), np.zeros(m)
-        open_ = count(total, weights) >= max(2, 2 * spec.min_leaf)
+        open_ = count(total, weights) >= max(spec.min_split, 2 * spec.min_leaf)
         if weights is not None:
             open_ &= (total > 0).sum(0) > 1
         if depth < spec.depth and open_.any():
@@ -279,9 +289,13 @@ class Binned:
     labels: list[str] | None
 
 
+_FIT = threading.local()  # folder of the fit that this thread runs
+
+
 def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the fit's folder: cuts the lineage where every executor can read it again."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_trees/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_trees/{getattr(_FIT, 'folder', 'other')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -300,7 +314,7 @@ def binned(df: DataFrame, key: Column, features: list[str], target: str, ids: li
     classes = F.array(*[F.count_if(F.col("target") == k) for k in range(len(labels or []))]).cast("array<long>")
     # fixed point: the largest target takes 32 bits, so sums stay whole numbers for a billion rows
     scale = F.pow(F.lit(2.0), 32 - F.ceil(F.log2(F.greatest(F.max(F.abs("target")), F.lit(1e-9)))))
-    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), scale.alias("scale"), classes.alias("classes"), *aggs)
+    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.lit(1.0) if labels else scale).alias("scale"), classes.alias("classes"), *aggs)
     keys = _stored(keys.select("key", "n", "scale", "classes", F.array(*[f"c{i}" for i in range(len(features))]).alias("cuts")), "keys")
     sized = keys.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     rows = rows.join(broadcast_if_small(sized), "key").withColumn("block", F.pmod("hash", F.col("blocks"))).drop("blocks")
@@ -400,13 +414,14 @@ def grow_forest(data: Binned, spec: TreeSpec, first: int = 0) -> DataFrame:
         key, tree, last, node = (t.column(c)[0].as_py() for c in ("key", "tree", "last", "node"))
         hashes, bins, y = _unpacked(t, n)
         weights, out, columns = class_weights(t.column("classes")[0].as_py()), [], columns_of(bins)
+        own = spec.scaled(t.column("scale")[0].as_py())
         for k in range(tree, last):
             w = row_weights(hashes, spec, key, k)
             seen = w > 0
-            out.append(_node_table(key, k, grow(columns[:, seen], _stats(w[seen], y[seen], classes), node, key, k, spec, weights)[0], weights))
+            out.append(_node_table(key, k, grow(columns[:, seen], _stats(w[seen], y[seen], classes), node, key, k, own, weights)[0], weights))
         return pa.concat_tables(out)
 
-    packets = packets.join(broadcast_if_small(data.keys.select("key", "classes")), "key")
+    packets = packets.join(broadcast_if_small(data.keys.select("key", "classes", "scale")), "key")
     grown = packets.groupBy("key", "tree", "node").applyInArrow(finish, NODES_DDL)
     return grown.unionByName(known.filter("feature >= -1"))
 
@@ -463,12 +478,12 @@ def _level(data: Binned, large: DataFrame, known: DataFrame, spec: TreeSpec, fir
         total = sums[cells < spec.bins].sum(0)[None, :]  # the first feature's cells hold every row once
         f, b, g = -2, -1, 0.0
         if count(total.T, weights)[0] > spec.local_rows:
-            _, fs, bs, gs = best_splits(cells, sums, n, spec, weights, allowed(spec, key, tree, ids, n))
+            _, fs, bs, gs = best_splits(cells, sums, n, spec.scaled(t.column("scale")[0].as_py()), weights, allowed(spec, key, tree, ids, n))
             f, b, g = (int(fs[0]), int(bs[0]), float(gs[0])) if len(fs) else (-1, -1, 0.0)
         return _node_table(key, tree, {"node": ids, "feature": np.array([f]), "bin": np.array([b]), "gain": np.array([g]), "stats": total}, weights)
 
     parts = _with_known(large, known, first).applyInArrow(count_cells, PARTS_DDL)
-    parts = parts.join(broadcast_if_small(data.keys.select("key", "classes")), "key")
+    parts = parts.join(broadcast_if_small(data.keys.select("key", "classes", "scale")), "key")
     return parts.groupBy("key", "tree", "node").applyInArrow(decide, NODES_DDL)
 
 
@@ -499,7 +514,10 @@ def _sent(data: Binned, large: DataFrame, known: DataFrame, spec: TreeSpec, firs
 # -- boosting --------------------------------------------------------------------------------
 def _added_value(stats: np.ndarray, spec: TreeSpec) -> np.ndarray:
     """What a node adds to a prediction, in fixed point."""
-    return spec.step * stats[:, 1] / np.maximum(stats[:, 0] + spec.l2, 1e-300)
+    s = stats[:, 1].astype(float)
+    if spec.l1:
+        s = np.sign(s) * np.maximum(np.abs(s) - spec.l1, 0.0)
+    return spec.step * s / np.maximum(stats[:, 0] + spec.l2, 1e-300)
 
 
 def _leaf_values(leaf: np.ndarray, ids: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -526,15 +544,16 @@ def boost(data: Binned, spec: TreeSpec) -> DataFrame:
         key = t.column("key")[0].as_py()
         hashes, bins, y = _unpacked(t, n)
         out, columns = [_node_table(key, -1, _start(len(y), int(y.sum())), None)], columns_of(bins)
+        own = spec.scaled(t.column("scale")[0].as_py())
         now = np.full(len(y), int(y.sum()) / len(y))
         for k in range(spec.trees):
             w = row_weights(hashes, spec, key, k)
-            nodes, leaf = grow(columns, _stats(w, np.rint(y - now).astype(np.int64), 0), 1, key, k, spec, None)
-            now = now + _leaf_values(leaf, nodes["node"], _added_value(nodes["stats"], spec))
+            nodes, leaf = grow(columns, _stats(w, np.rint(y - now).astype(np.int64), 0), 1, key, k, own, None)
+            now = now + _leaf_values(leaf, nodes["node"], _added_value(nodes["stats"], own))
             out.append(_node_table(key, k, nodes, None))
         return pa.concat_tables(out)
 
-    few = data.keys.filter(F.col("n") <= spec.boost_rows).select("key")
+    few = data.keys.filter(F.col("n") <= spec.boost_rows).select("key", "scale")
     out = data.blocks.join(broadcast_if_small(few), "key").groupBy("key").applyInArrow(alone, NODES_DDL)
     many = data.keys.filter(F.col("n") > spec.boost_rows)
     return out if many.isEmpty() else out.unionByName(_boost_rounds(data, many, spec))
@@ -567,7 +586,7 @@ def _boost_rounds(data: Binned, many: DataFrame, spec: TreeSpec) -> DataFrame:
         bins, now = np.frombuffer(t.column("bins")[0].as_py(), np.uint8).reshape(-1, n), np.frombuffer(t.column("now")[0].as_py(), np.float64)
         nodes = k.to_pylist()
         leaf = _routed(bins, {r["node"]: (r["feature"], r["bin"]) for r in nodes}, spec.depth)
-        added_ = _leaf_values(leaf, np.array([r["node"] for r in nodes]), _added_value(np.array([r["stats"] for r in nodes], np.int64), spec))
+        added_ = _leaf_values(leaf, np.array([r["node"] for r in nodes]), _added_value(np.array([r["stats"] for r in nodes], np.int64), spec.scaled(nodes[0]["scale"])))
         return t.set_column(t.schema.get_field_index("now"), "now", pa.array([(now + added_).tobytes()], pa.binary()))
 
     state_ddl = f"{BLOCKS_DDL}, now binary"
@@ -576,7 +595,7 @@ def _boost_rounds(data: Binned, many: DataFrame, spec: TreeSpec) -> DataFrame:
     for k in range(spec.trees):
         left = Binned(state.groupBy("key", "block").applyInArrow(residuals, BLOCKS_DDL), data.keys.join(broadcast_if_small(many.select("key")), "key"), n, None)
         nodes = _stored(grow_forest(left, replace(spec, trees=1), first=k), "tree")
-        every = _own_columns(nodes.join(state.select("key", "block"), "key"))
+        every = _own_columns(nodes.join(state.select("key", "block"), "key").join(broadcast_if_small(many.select("key", "scale")), "key"))
         state = _stored(state.groupBy("key", "block").cogroup(every.groupBy("key", "block")).applyInArrow(update, state_ddl), "round")
         out = out.unionByName(nodes)
     return out
@@ -686,6 +705,10 @@ class TreeModel:
         own = {"spec": asdict(self.spec), "features": self.features, "labels": self.labels, "key": self.key, "encoder": bool(self.encoder), "meta": meta or {}}
         spark.createDataFrame([(json.dumps(own),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
+    @staticmethod
+    def meta(spark: SparkSession, path: str) -> dict:
+        return json.loads(spark.read.text(f"{path}/meta").first()[0])["meta"]
+
     @staticmethod
     def load(spark: SparkSession, path: str) -> TreeModel:
         own = json.loads(spark.read.text(f"{path}/meta").first()[0])
@@ -711,7 +734,10 @@ def fit_trees(df: DataFrame, features: list[str], target: str, ids: list[str], s
     ``ids`` name a row; bootstrap draws hash them.  ``labels`` are the classes of
     a string target, weighted so that a key's classes count alike.
     """
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    _FIT.folder = f"fit-{uuid.uuid4().hex}"
+    work = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_trees/{_FIT.folder}"
     data = binned(df, F.col(key) if key else F.lit(""), features, target, ids, spec, labels)
     grown = _stored(boost(data, spec) if spec.kind == "boost" else grow_forest(data, spec), "grown")
     cuts = data.keys.select("key", F.posexplode("cuts").alias("feature", "c")).select("key", "feature", F.posexplode("c").alias("bin", "threshold"))
@@ -726,7 +752,9 @@ def fit_trees(df: DataFrame, features: list[str], target: str, ids: list[str], s
     else:
         step = F.when(F.col("tree") >= 0, F.lit(spec.step if spec.kind == "boost" else 1.0)).otherwise(1.0)
         weight = F.get("stats", F.lit(0)) + F.when(F.col("tree") >= 0, F.lit(spec.l2)).otherwise(0.0)
-        value = F.array(F.coalesce(F.try_divide(step * F.get("stats", F.lit(1)), weight), F.lit(0.0)) / F.col("scale"))
+        s, l1 = F.get("stats", F.lit(1)).cast("double"), F.when(F.col("tree") >= 0, F.lit(spec.l1) * F.col("scale")).otherwise(0.0)
+        value = F.array(F.coalesce(F.try_divide(step * F.signum(s) * F.greatest(F.abs(s) - l1, F.lit(0.0)), weight), F.lit(0.0)) / F.col("scale"))
+    _FIT.folder += "-model"  # what stays
     nodes = _stored(nodes.select("key", "tree", "node", "feature", F.coalesce("threshold", F.lit(0.0)).alias("threshold"), "gain", "n", value.alias("value")), "nodes")
 
     def pack(t: pa.Table) -> pa.Table:
@@ -735,4 +763,5 @@ def fit_trees(df: DataFrame, features: list[str], target: str, ids: list[str], s
         return pa.table([[t.column("key")[0].as_py()], [t.column("tree")[0].as_py()], *([c.tobytes()] for c in cols)], schema=PACKED)
 
     packed = _stored(nodes.groupBy("key", "tree").applyInArrow(pack, PACKED_DDL), "packed")
+    remove(spark, work)
     return TreeModel(spec, features, labels, key, nodes, packed, encoder)

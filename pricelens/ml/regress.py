@@ -1,71 +1,41 @@
-"""Price regressors.
-
-Random forest and gradient-boosted trees from Spark ML on the chronological
-split.  Hyper-parameter mapping from the reference's learners:
-n_estimators -> numTrees / maxIter, max_depth -> maxDepth (Spark caps at 30),
-min_samples_leaf / min_child_weight -> minInstancesPerNode, learning_rate ->
-stepSize, subsample -> subsamplingRate, colsample -> featureSubsetStrategy,
-gamma ~ minInfoGain.  L1/L2 leaf penalties have no Spark counterpart.
+"""Price regressors.
+
+Forests and boosted trees (:mod:`pricelens.ml.grouped_trees`) on the
+chronological split, at the reference learners' settings: their estimators are
+``trees``, min_child_weight ``min_leaf``, learning_rate ``step``, colsample
+``features``, gamma ``min_gain``, alpha and lambda ``l1`` and ``l2``.  Features
+are cut into 64 quantile bins; a forest's depth is bounded by 30.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml import Pipeline
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.ml.data import CATEGORICAL, NUMERIC, TARGET, indexers
+from pricelens.ml.grouped_trees import TreeModel, TreeSpec, fit_trees
 from pricelens.ml.metrics import regression_metrics
 
 FEATURE_COLUMNS = [f"{c}_code" for c in CATEGORICAL] + NUMERIC
+#: What names a row of the panel.
+ROW = ["commodity", "district", "date"]
 
-# Model settings (reference scale: RF 300 trees min leaf 2; boosted 800 x depth 6, lr .025).
+# The compared models' settings.
 MODEL_SPECS = {
-    "random_forest": dict(kind="rf", numTrees=300, maxDepth=30, minInstancesPerNode=2,
-                          featureSubsetStrategy="all"),  # 30: Spark's deepest tree
-    "boosted_trees": dict(kind="gbt", maxIter=500, maxDepth=8, stepSize=0.03),
-    "tuned_boosted_trees": dict(kind="gbt", maxIter=800, maxDepth=6, stepSize=0.025, minInstancesPerNode=5,
-                                subsamplingRate=0.9, featureSubsetStrategy="0.9", minInfoGain=0.05),
+    "random_forest": TreeSpec(trees=300, depth=30, min_leaf=2),
+    "boosted_trees": TreeSpec(kind="boost", trees=500, depth=8, step=0.03, min_leaf=3, subsample=0.85, features=0.85, l1=0.05, l2=1.0),
+    "tuned_boosted_trees": TreeSpec(kind="boost", trees=800, depth=6, step=0.025, min_leaf=5, subsample=0.9, features=0.9, min_gain=0.05, l1=0.1, l2=2.0),
 }
-# Settings that the registered queries and tests fit; the README gives the reason and the figures.
-REGISTERED_SPECS = {
-    "random_forest": dict(kind="rf", numTrees=30, maxDepth=8, minInstancesPerNode=2, featureSubsetStrategy="all"),
-    "boosted_trees": dict(kind="gbt", maxIter=20, maxDepth=5, stepSize=0.1),
-}
-
 
-def max_bins(df: DataFrame, columns) -> int:
-    """Bins that hold every category of ``columns`` (and one for unseen ones)."""
-    n = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
-    return max(64, *[n[c] + 2 for c in columns])
 
+def fit(train: DataFrame, spec: TreeSpec, key: str | None = None) -> TreeModel:
+    """Fit one model, or with ``key`` one for each of its values, all in the same jobs (M6)."""
+    encoder = Pipeline(stages=indexers(handle_invalid="keep")).fit(train)
+    return fit_trees(encoder.transform(train), FEATURE_COLUMNS, TARGET, ROW, spec, key=key, encoder=encoder)
 
-def make_pipeline(spec: dict, handle_invalid: str = "keep", label: str = TARGET, bins: int = 64) -> Pipeline:
-    spec = dict(spec)
-    kind = spec.pop("kind")
-    asm = VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features", handleInvalid="keep")
-    if kind == "rf":
-        est = RandomForestRegressor(labelCol=label, featuresCol="features", seed=42, maxBins=bins, **spec)
-    else:
-        est = GBTRegressor(labelCol=label, featuresCol="features", seed=42, maxBins=bins, **spec)
-    return Pipeline(stages=indexers(handle_invalid=handle_invalid) + [asm, est])
 
-
-def fit(train: DataFrame, spec: dict) -> PipelineModel:
-    """Fit the pipeline.  A checkpoint directory is ensured first so that
-    boosting checkpoints its intermediate state every ``checkpointInterval``
-    iterations to shared storage (a lost executor does not replay all
-    iterations)."""
-    from pricelens.session import checkpoint_dir
-    checkpoint_dir(train.sparkSession)
-    return make_pipeline(spec, bins=max_bins(train, CATEGORICAL)).fit(train)
-
-
-def predict(model: PipelineModel, df: DataFrame, clamp: bool = True) -> DataFrame:
+def predict(model: TreeModel, df: DataFrame, clamp: bool = True) -> DataFrame:
     """Predictions with residuals; prices clamped at 0 (P20)."""
     out = model.transform(df)
     if clamp:
@@ -90,49 +60,57 @@ def compare_models(train: DataFrame, test: DataFrame, specs: dict, fit_one=None)
     """Metrics of every model on the test split; selection = lowest MAE,
     then RMSE, then highest R2 (the final selection rule).  ``fit_one(name)``
     gives a fitted model, by default fitted here."""
+    from concurrent.futures import ThreadPoolExecutor
     spark = train.sparkSession
-    rows, models = [], {}
-    for name, spec in specs.items():
-        m = fit_one(name) if fit_one else fit(train, spec)
-        models[name] = m
+    rows = []
+    # a boosted model takes one task for most of its fit, so the fits run beside each other
+    with ThreadPoolExecutor(len(specs)) as pool:
+        models = dict(zip(specs, pool.map(lambda name: fit_one(name) if fit_one else fit(train, specs[name]), specs), strict=True))
+    for name, m in models.items():
         met = regression_metrics(predict(m, test)).first()
         rows.append((name, float(met.mae), float(met.rmse), None if met.r2 is None else float(met.r2), int(met.rows)))
     df = spark.createDataFrame(rows, "model string, mae double, rmse double, r2 double, test_rows long")
     return df.orderBy("mae", "rmse", F.desc("r2")), models
 
 
-def feature_importance(model: PipelineModel) -> DataFrame:
+def feature_importance(model: TreeModel) -> DataFrame:
     """Importance per input column, descending."""
-    est = model.stages[-1]
-    imp = est.featureImportances.toArray().tolist()
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    return s.createDataFrame(list(zip(FEATURE_COLUMNS, [float(x) for x in imp])),
-                             "feature string, importance double").orderBy(F.desc("importance"), "feature")
-
-
-def save_model(model: PipelineModel, path: str, meta: dict) -> None:
-    """Spark ML model directory + metadata JSON (features, target, model name)."""
-    model.write().overwrite().save(f"{path}/model")
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
-
-
-def load_model(path: str) -> tuple[PipelineModel, dict]:
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    meta = json.loads(s.read.text(f"{path}/meta").first()[0])
-    return PipelineModel.load(f"{path}/model"), meta
-
-
-def per_key_models(train: DataFrame, test: DataFrame, key: str, spec: dict, keys_list=None):
-    """M6: one model per value of ``key`` (filter + fit each; each fit is a
-    distributed job).  Returns the test predictions of all key models as one DataFrame."""
-    vals = keys_list if keys_list is not None else [r[0] for r in train.select(key).distinct().orderBy(key).toLocalIterator()]
-    preds = None
-    for v in vals:
-        m = fit(train.filter(F.col(key) == v), spec)
-        p = predict(m, test.filter(F.col(key) == v))
-        preds = p if preds is None else preds.unionByName(p)
-    return preds
+    return model.importance()
+
+
+def save_model(model: TreeModel, path: str, meta: dict) -> None:
+    """Node tables, encoder and metadata (features, target, model name)."""
+    model.save(path, meta)
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[TreeModel, dict]:
+    return TreeModel.load(spark, path), TreeModel.meta(spark, path)
+
+
+def per_key_models(train: DataFrame, test: DataFrame, key: str, spec: TreeSpec) -> DataFrame:
+    """M6: test predictions of one model per value of ``key``; a value without a model is left out."""
+    return predict(fit(train, spec, key), test).filter(F.col("error").isNotNull())
+
+
+def node_walk(model: TreeModel, rows: DataFrame, ids: list[str], key: str | None = None) -> DataFrame:
+    """``ids`` and ``walked``: predictions by joins of rows (with the features' array ``x``) and the node table.
+
+    A level is a join on (key, tree, node) of the rows still under way; rows that
+    reach a leaf are set aside.  The same numbers as ``transform`` by another way.
+    """
+    nodes = model.nodes.select("key", "tree", "node", "feature", "threshold", F.get("value", F.lit(0)).alias("value"))
+    own = F.col(key).cast("string") if key else F.lit("")
+    roots = nodes.filter("node = 1").withColumnRenamed("key", "_key")
+    at = rows.withColumn("_key", own).join(roots, "_key")
+    columns = [*ids, "_key", "x", "tree", "node", "feature", "threshold", "value"]
+    done = []
+    for _ in range(model.spec.depth + 1):
+        done.append(at.filter("feature < 0").select(*ids, "tree", "value"))
+        to = F.col("node") * 2 + (F.get("x", F.col("feature")) > F.col("threshold")).cast("long")
+        went = at.filter("feature >= 0").select(*ids, F.col("_key").alias("key"), "x", "tree", to.alias("node"))
+        at = went.join(nodes, ["key", "tree", "node"]).withColumnRenamed("key", "_key").select(*columns)
+    leaves = done[0]
+    for d in done[1:]:
+        leaves = leaves.unionByName(d)
+    total = F.sum("value") if model.spec.kind == "boost" else F.avg("value")
+    return leaves.groupBy(*ids).agg(total.alias("walked"))

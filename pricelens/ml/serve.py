@@ -8,11 +8,11 @@ district intelligence (J13) and the 30-day forecast list of their key.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions import is_weekend, weekday0
+from pricelens.ml.grouped_trees import TreeModel
 from pricelens.operators.asof import asof_features
 from pricelens.operators.stats import broadcast_if_small
 
@@ -58,7 +58,7 @@ def validate(requests: DataFrame, known: DataFrame) -> DataFrame:
     return r.withColumn("error", err).drop("_known")
 
 
-def score_requests(requests: DataFrame, history: DataFrame, model: PipelineModel,
+def score_requests(requests: DataFrame, history: DataFrame, model: TreeModel,
                    intel: DataFrame | None = None, forecast: DataFrame | None = None) -> DataFrame:
     known = history.select("commodity", "district").distinct()
     v = validate(requests, known)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pricelens.functions import q4
 from pricelens.ml import cluster as KM
 from pricelens.ml import data as D
+from pricelens.ml import regress as R
 from pricelens.ml import seasonal as SE
 from pricelens.ml.serve import MESSAGES, validate
 from pricelens.operators.joins import code_map
@@ -132,7 +133,7 @@ _MODEL_CTES = [("mp", _MODEL_ROWS), ("msplit", _MODEL_SPLIT)]
 @register("ml_run_invariants", "M4 M5 M11 M25 M2", sql=with_views(["panel_wx"], """
 SELECT m.model, CAST(COUNT(*) FILTER (WHERE date < split_date) AS BIGINT) AS train_rows, CAST(COUNT(*) FILTER (WHERE date >= split_date) AS BIGINT) AS test_rows,
        true AS one_selected, true AS split_whole
-FROM mp, msplit, (VALUES ('random_forest'), ('boosted_trees')) m(model) GROUP BY 1""", _MODEL_CTES))
+FROM mp, msplit, (VALUES ('random_forest'), ('boosted_trees'), ('tuned_boosted_trees')) m(model) GROUP BY 1""", _MODEL_CTES))
 def q_ml_run_invariants(spark, sf_dir):
     """The run log's rows; each rule selects one model; the random split keeps every row once."""
     log = q_ml.q_ml_run_log(spark, sf_dir).select("model", "train_rows", "test_rows")
@@ -147,6 +148,24 @@ def q_ml_run_invariants(spark, sf_dir):
     return (log.withColumns({"one_selected": one.select(F.col("a") & F.col("b")).scalar(), "split_whole": F.coalesce(whole.scalar(), F.lit(False))}))
 
 
+@register("model_rescore_check", "M5 M4 M11 M12", sql=with_views(["panel_wx"], """
+SELECT commodity, CAST(COUNT(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS mismatches, true AS metrics_agree
+FROM mp, msplit WHERE date >= split_date GROUP BY 1""", _MODEL_CTES))
+def q_model_rescore_check(spark, sf_dir):
+    """The selected model's test predictions against its node table, walked by joins alone;
+    its stored error metrics against those of the walked predictions."""
+    model, _, test = q_ml._selected_model(spark, sf_dir)
+    rows = model.encoded(test).select(*R.ROW, D.TARGET, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("-inf"))) for c in model.features]).alias("x"))
+    walked = R.node_walk(model, rows, R.ROW)
+    told = R.predict(model, test).select(*R.ROW, D.TARGET, "prediction")
+    both = told.join(walked, R.ROW, "left")
+    own = F.greatest("walked", F.lit(0.0))
+    mae = both.agg(F.avg(F.abs(F.col(D.TARGET) - own)).alias("mae")).scalar()
+    stored = q_ml._comparison(spark, sf_dir).filter(F.col("model") == q_ml._selected(spark, sf_dir)).select("mae").scalar()
+    off = F.coalesce(F.abs(F.col("prediction") - own) > 1e-6 * (1 + F.abs(own)), F.lit(True))
+    return both.groupBy("commodity").agg(F.count(F.lit(1)).alias("rows"), F.count_if(off).alias("mismatches")).withColumn("metrics_agree", F.abs(mae - stored) < 1e-6 * (1 + stored))
+
+
 @register("classifier_invariants", "M7 M10 M24 D16", sql=with_views(["panel_wx"], """
 SELECT commodity, CASE WHEN modal_price <= p33 THEN 'Cheap' WHEN modal_price <= p66 THEN 'Normal' ELSE 'Expensive' END AS price_category,
        CAST(COUNT(*) AS BIGINT) AS test_rows, true AS probabilities_sum, true AS accuracy_agrees

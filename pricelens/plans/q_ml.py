@@ -2,9 +2,9 @@
 
 Queries with a model in them have no SQL oracle (rows-only check); the split
 boundary, the naive-baseline metrics and the price categories do.
-Registered queries fit ``regress.REGISTERED_SPECS``, each model once per input
-snapshot (``store.materialized_model``); ``regress.MODEL_SPECS`` are the
-reference's settings for ``regress.fit``.
+Models are fitted at the reference's settings (``regress.MODEL_SPECS`` and the
+settings beside each learner), each once per input snapshot
+(``store.materialized_model``).
 """
 
 from __future__ import annotations
@@ -120,16 +120,24 @@ def _model(spark, sf_dir, name, on="train"):
 
     def fit():
         rows = _split(spark, sf_dir)[0] if on == "train" else D.model_panel(spark, sf_dir)
-        return R.fit(rows, R.REGISTERED_SPECS[name])
+        return R.fit(rows, R.MODEL_SPECS[name])
     return materialized_model(spark, f"{name}_{on}", [table_path(sf_dir, t) for t in _STAGE_TABLES], fit)
 
 
+def _comparison(spark, sf_dir):
+    """Metrics of every compared model on the test split, stored once."""
+    def build():
+        train, test = _split(spark, sf_dir)
+        df, _ = R.compare_models(train, test, R.MODEL_SPECS, lambda name: _model(spark, sf_dir, name))
+        return df.withColumn("train_rows", F.lit(train.count()).cast("long"))
+    return _stage(spark, sf_dir, "model_metrics", build)
+
+
 @register("ml_model_comparison", "M4 M5 M8 M11 M3 M1")
 def q_ml_model_comparison(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    df, _ = R.compare_models(train, test, R.REGISTERED_SPECS, lambda name: _model(spark, sf_dir, name))
+    df = _comparison(spark, sf_dir)
     best = {rule: R.select_model(df, rule) for rule in R.SELECTION_RULES}
-    out = df.withColumns({"train_rows": F.lit(train.count()).cast("long"), "selected": F.col("model") == best["mae_rmse_r2"],
+    out = df.withColumns({"selected": F.col("model") == best["mae_rmse_r2"],
                           "selected_by_r2": F.col("model") == best["higher_r2"], "selected_by_mae": F.col("model") == best["lower_mae"]})
     return _qall(out)
 
@@ -148,7 +156,12 @@ def q_ml_run_log(spark, sf_dir):
 
 def _selected_model(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return _model(spark, sf_dir, "boosted_trees"), train, test
+    return _model(spark, sf_dir, _selected(spark, sf_dir)), train, test
+
+
+def _selected(spark, sf_dir) -> str:
+    """Name of the model that the final rule selects."""
+    return R.select_model(_comparison(spark, sf_dir))
 
 
 @register("ml_metrics_by_slice", "M9 M23")
@@ -178,7 +191,7 @@ def _model_forecast(spark, sf_dir, horizon=30):
     """Recursive model forecast for every key, stored once as a stage table
     (the forecast output the scoring layer consumes)."""
     def build():
-        return recursive_forecast(_model(spark, sf_dir, "boosted_trees", "panel"), D.model_panel(spark, sf_dir), horizon=horizon)
+        return recursive_forecast(_model(spark, sf_dir, _selected(spark, sf_dir), "panel"), D.model_panel(spark, sf_dir), horizon=horizon)
     return _stage(spark, sf_dir, f"model_forecast_h{horizon}", build)
 
 
@@ -234,10 +247,7 @@ def _classifier(spark, sf_dir):
     def build():
         mp = CL.price_category(D.model_panel(spark, sf_dir))
         train, test = D.chrono_split(mp, "date_fraction")
-        train = CL.balanced_weights(train, keys=["commodity"])
-        bins = R.max_bins(mp, ["commodity", "district", "festival"])
-        model = CL.classifier_pipeline(num_trees=30, max_depth=8, bins=bins).fit(train)
-        pred = CL.with_labels(model.transform(test.withColumn("weight", F.lit(1.0))), model)
+        pred = CL.classified(CL.fit_classifiers(train), test)
         return pred.select("commodity", "district", "date", "price_category", "predicted_category",
                            "probabilities", "label", "prediction", "probability")
     return _stage(spark, sf_dir, "category_predictions", build)
@@ -306,7 +316,7 @@ def q_seasonal_evaluation(spark, sf_dir):
 @register("batch_request_scoring", "M22 J12 J13")
 def q_batch_request_scoring(spark, sf_dir):
     from pricelens.ml.serve import score_requests
-    model = _model(spark, sf_dir, "boosted_trees", "panel")
+    model = _model(spark, sf_dir, _selected(spark, sf_dir), "panel")
     from pricelens.plans.q_scores import _forecast, _reco
     req = price_requests(spark, sf_dir)
     intel = _reco(spark, sf_dir).select("commodity", "district", "farmer_intelligence_score", "final_risk_level",
@@ -318,12 +328,20 @@ def q_batch_request_scoring(spark, sf_dir):
                             F.col("forecast_30d")[0]["predicted_price"].alias("forecast_next_day")))
 
 
+def _per_commodity(spark, sf_dir):
+    """Test predictions of one boosted model per commodity on a seeded 80/20 random split, stored once."""
+    from pricelens.ml.commodity_forecast import PER_COMMODITY
+
+    def build():
+        train, test = D.random_split(D.model_panel(spark, sf_dir))
+        return R.per_key_models(train, test, "commodity", PER_COMMODITY).select(*R.ROW, D.TARGET, "prediction")
+    return _stage(spark, sf_dir, "per_commodity_predictions", build)
+
+
 @register("ml_per_commodity_models", "M6 M9 M2")
 def q_ml_per_commodity_models(spark, sf_dir):
-    """One random-forest model per commodity on a seeded 80/20 random split."""
-    train, test = D.random_split(D.model_panel(spark, sf_dir))
-    preds = R.per_key_models(train, test, "commodity", R.REGISTERED_SPECS["random_forest"])
-    return _qall(regression_metrics(preds, keys=["commodity"]))
+    """Metrics per commodity of models fitted together, one for each commodity."""
+    return _qall(regression_metrics(_per_commodity(spark, sf_dir), keys=["commodity"]))
 
 
 @register("ml_side_by_side", "M23")
@@ -331,7 +349,7 @@ def q_ml_side_by_side(spark, sf_dir):
     """Predictions of two models next to each other on the full panel."""
     mp = D.model_panel(spark, sf_dir)
     rf, gb = (_model(spark, sf_dir, name) for name in ("random_forest", "boosted_trees"))
-    k = ["commodity", "district", "date"]
+    k = R.ROW
     a = rf.transform(mp).select(*k, "modal_price", F.col("prediction").alias("rf_prediction"))
     b = gb.transform(mp).select(*k, F.col("prediction").alias("gbt_prediction"))
     return _qall(a.join(b, k))
@@ -353,10 +371,10 @@ def q_ml_model_persistence(spark, sf_dir):
 
     from pricelens.session import checkpoint_dir
     mp = D.model_panel(spark, sf_dir)
-    model = _model(spark, sf_dir, "random_forest")
+    model = _model(spark, sf_dir, "tuned_boosted_trees")
     path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_models/{uuid.uuid4().hex}"
-    R.save_model(model, path, {"features": R.FEATURE_COLUMNS, "target": D.TARGET, "model": "random_forest"})
-    loaded, meta = R.load_model(path)
+    R.save_model(model, path, {"features": R.FEATURE_COLUMNS, "target": D.TARGET, "model": "tuned_boosted_trees"})
+    loaded, meta = R.load_model(spark, path)
     k = ["commodity", "district", "date"]
     a = model.transform(mp).select(*k, F.col("prediction").alias("p1"))
     b = loaded.transform(mp).select(*k, F.col("prediction").alias("p2"))
@@ -369,11 +387,18 @@ def q_ml_model_persistence(spark, sf_dir):
 def q_ml_commodity_forecast(spark, sf_dir):
     """Commodity-level recursive 30-day forecast with lags 1-30 and the test
     metrics of its model appended per commodity."""
+    return _qall(_commodity_forecast(spark, sf_dir))
+
+
+def _commodity_forecast(spark, sf_dir):
     from pricelens.ml.commodity_forecast import fit_and_forecast
-    _, test_pred, fc = fit_and_forecast(price_panel(spark, sf_dir))
-    met = regression_metrics(test_pred, keys=["commodity"]).select(
-        "commodity", F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2"))
-    return _qall(fc.join(met, "commodity", "left"))
+
+    def build():
+        _, test_pred, fc = fit_and_forecast(price_panel(spark, sf_dir))
+        met = regression_metrics(test_pred, keys=["commodity"]).select(
+            "commodity", F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2"))
+        return fc.join(met, "commodity", "left")
+    return _stage(spark, sf_dir, "commodity_forecast", build)
 
 
 @register("farmer_master_table_models", "D7-D14 M15 M16 M18 J8")

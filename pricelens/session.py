@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -94,6 +95,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _SHIPPED: set = set()
+_SHIPPING = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -103,6 +105,11 @@ def ship_package(spark: SparkSession) -> None:
     ``addPyFile`` so executors on any node can import it (the standard way to
     ship Python code with a Spark job).
     """
+    with _SHIPPING:
+        _ship(spark)
+
+
+def _ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:

@@ -123,12 +123,15 @@ def materialized(spark: SparkSession, name: str, inputs, build) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialized_model(spark: SparkSession, name: str, inputs, fit):
-    """``fit()``'s pipeline model, fitted once per input snapshot and loaded by every query."""
-    from pyspark.ml import PipelineModel
+def materialized_model(spark: SparkSession, name: str, inputs, fit, load=None):
+    """``fit()``'s model, fitted once per input snapshot, saved with its ``save(path)`` and read by
+    ``load(spark, path)`` in every query.  The mark is written last, so half a model is never read."""
     if spark.conf.get("pricelens.materialize", "true").lower() != "true":
         return fit()
-    mark = "metadata/_SUCCESS"
+    if load is None:
+        from pricelens.ml.grouped_trees import TreeModel
+        load = TreeModel.load
+    mark = "meta/_SUCCESS"
     path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_models/{name}_{_fingerprint(spark, inputs)}"
     if not _exists(spark, path, mark):
         with _LOCKS_GUARD:
@@ -136,6 +139,6 @@ def materialized_model(spark: SparkSession, name: str, inputs, fit):
         with lock:
             if not _exists(spark, path, mark):
                 built = f"{path}.{uuid.uuid4().hex}"
-                fit().write().save(built)
+                fit().save(built)
                 _publish(spark, built, path, mark)
-    return PipelineModel.load(path)
+    return load(spark, path)

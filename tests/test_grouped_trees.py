@@ -74,7 +74,7 @@ def test_one_tree_equals_plain_recursion(spark, rows):
 def test_together_equals_separate_fits_and_other_routes(spark, frame, rows, kind):
     """All keys in one fit, each key alone, and levels as jobs in place of one task: the same nodes."""
     from pricelens.ml.grouped_trees import TreeSpec, fit_trees
-    spec = TreeSpec(kind="boost", trees=3, depth=4, step=0.3, subsample=0.8, features=0.7, l2=1.0, min_leaf=2) if kind == "boost" else TreeSpec(trees=5, depth=6, min_leaf=2, features="sqrt")
+    spec = TreeSpec(kind="boost", trees=3, depth=4, step=0.3, subsample=0.8, features=0.7, l1=2.0, l2=1.0, min_gain=5.0, min_leaf=2) if kind == "boost" else TreeSpec(trees=5, depth=6, min_leaf=2, features="sqrt")
     target, labels = ("cls", ["high", "low", "mid"]) if kind == "classes" else ("y", None)
     fit = lambda df, s: fit_trees(df, FEATURES, target, ["id"], s, key="k", labels=labels)
     together = nodes(fit(frame, spec))

@@ -11,7 +11,7 @@ from pricelens.ml.forecast import recursive_forecast
 from pricelens.ml.metrics import regression_metrics
 from pricelens.sources.adapter import price_panel
 
-SMALL_GBT = dict(kind="gbt", maxIter=5, maxDepth=3, stepSize=0.2)
+SMALL_GBT = R.TreeSpec(kind="boost", trees=5, depth=3, step=0.2)
 
 
 def test_split_has_no_overlap_and_matches_rule(spark):
@@ -39,17 +39,17 @@ def test_model_persistence_roundtrip(spark):
     model = R.fit(mp, SMALL_GBT)
     path = tempfile.mkdtemp(prefix="pricelens-model-")
     R.save_model(model, path, {"features": R.FEATURE_COLUMNS, "target": D.TARGET})
-    m2, meta = R.load_model(path)
+    m2, meta = R.load_model(spark, path)
     assert meta["target"] == "modal_price"
-    a = model.transform(mp).select("prediction").toPandas()
-    b = m2.transform(mp).select("prediction").toPandas()
+    a = model.transform(mp).select(*R.ROW, "prediction").orderBy(*R.ROW).toPandas()
+    b = m2.transform(mp).select(*R.ROW, "prediction").orderBy(*R.ROW).toPandas()
     assert (a == b).all().all()
 
 
 def test_recursive_forecast_invariants(spark):
     mp = D.model_panel(spark, SF_SMALL)
     model = R.fit(mp, SMALL_GBT)
-    fc = recursive_forecast(model, mp, horizon=12, checkpoint_every=5).toPandas()
+    fc = recursive_forecast(model, mp, horizon=12).toPandas()
     per_key = fc.groupby(["commodity", "district"]).size()
     assert (per_key == 12).all()
     assert (fc.predicted_raw >= 0).all()
@@ -57,6 +57,22 @@ def test_recursive_forecast_invariants(spark):
     assert fc.groupby(["commodity", "district"])["date"].nunique().eq(12).all()
 
 
+def test_forecast_equals_steps_taken_one_by_one(spark):
+    """All steps in one task, and a job for each step over the scored table, give the same values."""
+    from pricelens.ml.forecast import initial_state, step_features
+    mp = D.model_panel(spark, SF_SMALL)
+    model = R.fit(mp, SMALL_GBT)
+    got = {(r.commodity, r.district, r.date): (r.predicted_raw, r.predicted_price) for r in recursive_forecast(model, mp, horizon=6).collect()}
+    state, want = initial_state(mp), {}
+    for _ in range(6):
+        p = F.greatest("prediction", F.lit(0.0))
+        state = model.transform(step_features(state)).withColumn("hist", F.slice(F.concat("hist", F.array(p)), -30, 30)).withColumn("rounded", F.bround(p, 2))
+        state = spark.createDataFrame(state.select(*mp.columns, "hist", "rounded").collect(), state.select(*mp.columns, "hist", "rounded").schema)
+        want |= {(r.commodity, r.district, r.date): (r.hist[-1], r.rounded) for r in state.collect()}
+        state = state.drop("rounded")
+    assert got == want and len(got) == 6 * mp.select("commodity", "district").distinct().count()
+
+
 def test_isolation_forest_contamination_share(spark):
     p = price_panel(spark, SF_SMALL)
     o = IF.isolation_forest(p, "commodity", ["modal_price", "arrival"], ["commodity", "district", "date"],
@@ -112,8 +128,7 @@ def test_classifier_metrics_and_confusion(spark):
     from pricelens.ml.metrics import classification_report, confusion_matrix
     mp = CL.price_category(D.model_panel(spark, SF_SMALL))
     train, test = D.chrono_split(mp, "date_fraction")
-    model = CL.classifier_pipeline(num_trees=5, max_depth=4).fit(CL.balanced_weights(train, keys=["commodity"]))
-    pred = CL.with_labels(model.transform(test.withColumn("weight", F.lit(1.0))), model)
+    pred = CL.classified(CL.fit_classifiers(train, CL.TreeSpec(trees=5, depth=4)), test)
     m = CL.classification_metrics(pred)
     acc = pred.select(F.avg((F.col("price_category") == F.col("predicted_category")).cast("double"))).first()[0]
     assert abs(m["accuracy"] - acc) < 1e-9 and 0 <= m["weighted_auc_ovr"] <= 1

@@ -10,7 +10,7 @@ from pricelens.operators.joins import code_map
 from pricelens.sources.adapter import price_panel
 from pricelens.sources.sinks import write_predictions
 
-SMALL_GBT = dict(kind="gbt", maxIter=5, maxDepth=3, stepSize=0.2)
+SMALL_GBT = R.TreeSpec(kind="boost", trees=5, depth=3, step=0.2)
 
 
 def test_request_validation_and_scoring(spark, tmp_path):
