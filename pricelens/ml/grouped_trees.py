@@ -138,6 +138,17 @@ def cells_of(rank: np.ndarray, columns: np.ndarray, stats: np.ndarray, m: int, b
     return flat[start], np.add.reduceat(stats[order % n], start, axis=0)
 
 
+def tried_cells(rank: np.ndarray, columns: np.ndarray, stats: np.ndarray, bins: int, tried: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same cells, of the features alone that each node tries ([node, feature] true)."""
+    n = len(columns)
+    f = np.argsort(~tried, axis=1, kind="stable")[:, : int(tried[0].sum())][rank]
+    flat = ((rank[:, None] * n + f) * bins + columns[f, np.arange(len(rank))[:, None]]).ravel()
+    order = np.argsort(flat)
+    flat = flat[order]
+    start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    return flat[start], np.add.reduceat(stats[order // f.shape[1]], start, axis=0)
+
+
 def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """The cells of several blocks together."""
     cells = np.concatenate([c for c, _ in parts])
@@ -247,7 +258,8 @@ def grow(columns: np.ndarray, stats: np.ndarray, root: int, key: str, tree: int,
         if depth < spec.depth and open_.any():
             m_open = int(open_.sum())
             may = allowed(spec, key, tree, ids[open_], n)
-            if m * spec.bins <= 4 * len(rows):
+            few = may is not None and spec.kind == "forest"
+            if not few and m * spec.bins <= 4 * len(rows):
                 sums = _sums_of_level(rank, rows, columns, stats, m, spec.bins, parents)
                 at, f, b, g = dense_splits(sums if m_open == m else sums[:, open_], spec, weights, may)
                 at = np.flatnonzero(open_)[at]
@@ -255,7 +267,9 @@ def grow(columns: np.ndarray, stats: np.ndarray, root: int, key: str, tree: int,
             else:
                 live = rows[open_[rank]]
                 to = (np.cumsum(open_) - 1)[rank[open_[rank]]]
-                at, f, b, g = best_splits(*cells_of(to, columns[:, live], stats[live], m_open, spec.bins), n, spec, weights, may)
+                own = columns[:, live]
+                cells = tried_cells(to, own, stats[live], spec.bins, may) if few else cells_of(to, own, stats[live], m_open, spec.bins)
+                at, f, b, g = best_splits(*cells, n, spec, weights, may)
                 at, parents = np.flatnonzero(open_)[at], None
             feature[at], cut[at], gain[at] = f, b, g
         for k, v in (("node", ids), ("feature", feature), ("bin", cut), ("gain", gain), ("stats", total.T)):
@@ -759,7 +773,7 @@ def fit_trees(df: DataFrame, features: list[str], target: str, ids: list[str], s
 
     def pack(t: pa.Table) -> pa.Table:
         t = t.sort_by("node")
-        cols = [t.column("node").to_numpy().astype(np.int64), t.column("feature").to_numpy().astype(np.int32), t.column("threshold").to_numpy().astype(np.float64), np.array(t.column("value").to_pylist(), np.float64)]
+        cols = [t.column("node").to_numpy().astype(np.int64), t.column("feature").to_numpy().astype(np.int32), t.column("threshold").to_numpy().astype(np.float64), t.column("value").combine_chunks().flatten().to_numpy()]
         return pa.table([[t.column("key")[0].as_py()], [t.column("tree")[0].as_py()], *([c.tobytes()] for c in cols)], schema=PACKED)
 
     packed = _stored(nodes.groupBy("key", "tree").applyInArrow(pack, PACKED_DDL), "packed")
