@@ -69,6 +69,13 @@ def split_date_by_fraction(df: DataFrame, frac: float = 0.8, date_col: str = "da
     return ranked.filter(F.col("_i") == idx).select(F.col(date_col).alias("split_date"))
 
 
+def date_quantile(df: DataFrame, frac: float, date_col: str = "date") -> DataFrame:
+    """One-row frame with the exact quantile of the rows' dates, to the day below."""
+    from pricelens.operators.stats import quantile_table
+    q = quantile_table(df, {"_q": (F.unix_date(date_col), frac)})
+    return q.select(F.date_from_unix_date(F.floor("_q").cast("int")).alias("split_date"))
+
+
 def chrono_split(df: DataFrame, kind: str = "date_fraction", frac: float = 0.8, date=None,
                  date_col: str = "date", keys=("commodity",)):
     """M3: (train, test) by one of the reference's split rules.
@@ -83,9 +90,7 @@ def chrono_split(df: DataFrame, kind: str = "date_fraction", frac: float = 0.8,
         return (j.filter(F.col(date_col) < F.col("split_date")).drop("split_date"),
                 j.filter(F.col(date_col) >= F.col("split_date")).drop("split_date"))
     if kind == "date_quantile":
-        q = df.agg(F.percentile(F.unix_date(date_col), F.lit(frac)).alias("_q"))
-        cut = q.select(F.date_from_unix_date(F.floor("_q").cast("int")).alias("split_date"))
-        j = attach(df, cut)
+        j = attach(df, date_quantile(df, frac, date_col))
         return (j.filter(F.col(date_col) < F.col("split_date")).drop("split_date"),
                 j.filter(F.col(date_col) >= F.col("split_date")).drop("split_date"))
     if kind == "row_fraction_per_key":

@@ -1,9 +1,9 @@
 """Statistical aggregates (A5-A26): exact quantiles, histograms, box plots,
 correlation matrices, normalisers, arg-min/max.
 
-Quantiles use ``percentile`` (exact, linear interpolation = pandas
-``quantile`` / DuckDB ``quantile_cont``).  Its buffer holds a count per distinct
-value of a group; ``exact_quantiles`` needs no such buffer.
+Quantiles are exact (linear interpolation = pandas ``quantile`` / DuckDB
+``quantile_cont``) and all go through ``exact_quantiles``: rank selection
+that counts and sorts only the values near the wanted ranks.
 """
 
 from __future__ import annotations
@@ -63,52 +63,117 @@ def distinct_count(*cols) -> Column:
     return F.count_distinct(*[col(x) for x in cols])
 
 
-def quantiles(x, qs) -> Column:
-    """Array of quantiles of ``x``."""
-    return F.percentile(col(x), F.array(*[F.lit(float(q)) for q in qs]))
+def join_groups(left: DataFrame, groups: DataFrame, keys, how: str = "left") -> DataFrame:
+    """``left`` with the columns of ``groups`` (one row per key combination); null keys match."""
+    keys = list(keys)
+    if not keys:
+        return attach(left, groups)
+    renamed = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    same = F.col(keys[0]).eqNullSafe(F.col(f"_g_{keys[0]}"))
+    for k in keys[1:]:
+        same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    return left.join(broadcast_if_small(renamed), same, how).drop(*[f"_g_{k}" for k in keys])
 
 
-def quantile(x, q: float) -> Column:
-    return F.percentile(col(x), F.lit(float(q)))
+#: Relative accuracy of the sketches that bracket a rank, and the share of the rows on each side that is sure to hold it.
+SKETCH = 10_000
+MARGIN = 5 / SKETCH
+#: Values that one task may rank; a bracket that may hold more is narrowed again.
+MOST = 5_000_000
 
 
-def five_numbers(df: DataFrame, keys, x: str) -> DataFrame:
-    """Min, q1, median, q3, max per group (box plot)."""
-    qs = quantiles(x, (0.0, 0.25, 0.5, 0.75, 1.0))
-    out = df.groupBy(*keys).agg(qs.alias("_q"), F.count(col(x)).alias("n"))
-    names = ["min", "q1", "median", "q3", "max"]
-    return out.select(*keys, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+def _counted(v: DataFrame, brackets: DataFrame, keys: list) -> DataFrame:
+    """keys, q, cell, c: how many values lie under each bracket (cell null), and how often each value inside occurs.
 
+    Partial aggregation folds the values under a bracket before the shuffle, so
+    only the few inside travel.
+    """
+    near = F.filter("_w", lambda w: F.col("_v") <= w["hi"])
+    cells = F.transform(near, lambda w: F.struct(w["q"].alias("q"), F.when(F.col("_v") >= w["lo"], F.col("_v")).alias("cell")))
+    rows = join_groups(v, brackets, keys, "inner").select(*keys, F.explode(cells).alias("_s")).select(*keys, "_s.*")
+    return rows.groupBy(*keys, "q", "cell").agg(F.count(F.lit(1)).alias("c"))
 
-def exact_quantiles(df: DataFrame, x: str, qs, keys=(), buckets: int = 1024) -> DataFrame:
-    """(keys, q, value): exact linear-interpolated quantiles without a per-group value map.
 
-    Two passes: counts per equal-width bucket of a group's range tell in which
-    bucket each wanted rank lies; only those buckets' values are counted and
-    ranked.  A bucket's distinct values are ranked by a window over (group,
-    bucket), which a further split of the range narrows where a group is huge.
+def exact_quantiles(df: DataFrame, x: str, qs, keys=(), most: int = MOST) -> DataFrame:
+    """(keys, q, value): exact linear-interpolated quantiles by rank selection.
+
+    One pass brackets every wanted rank between two values of a mergeable sketch
+    (by rank, so outliers and repeated values do no harm); a second counts what
+    lies under each bracket and the values inside, about a thousandth of a group,
+    which alone are sorted.  Where even that may be more than ``most`` values for
+    a task, the values inside are bracketed once more.  A rank that a bracket
+    were to miss raises an error.
     """
-    keys = list(keys)
+    keys, qs = list(keys), [float(q) for q in qs]
     v = df.filter(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias("_v"))
-    rng = v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    slot = F.least(F.floor(F.coalesce(safe_div((F.col("_v") - F.col("_lo")) * F.lit(float(buckets)), F.col("_hi") - F.col("_lo")), F.lit(0.0))), F.lit(buckets - 1))
-    v = attach(v, rng, keys).withColumn("_b", slot.cast("int"))
-    counts = v.groupBy(*keys, "_b", "_v", "_n").agg(F.count(F.lit(1)).alias("_c"))
-    per = counts.groupBy(*keys, "_b", "_n").agg(F.sum("_c").alias("_bc"))
-    upto = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_before", F.coalesce(F.sum("_bc").over(upto), F.lit(0)))
-    wanted = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.lit(float(q)).alias("_q")) for q in qs])
-    ranks = per.select(*keys, "_b", "_before", "_bc", "_n", F.explode(wanted).alias("_w"))
-    place = F.col("_w.q") * (F.col("_n") - 1)
-    ends = F.array_distinct(F.array(F.floor(place), F.ceil(place)))
-    ranks = ranks.select(*keys, "_b", "_before", "_bc", F.col("_w.q").alias("q"), place.alias("_place"), F.explode(ends).alias("_rank"))
-    ranks = ranks.filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_bc")))
-    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_upto", F.coalesce(F.sum("_c").over(within), F.lit(0)))
-    hit = counts.drop("_n").join(ranks, [*keys, "_b"]).filter((F.col("_rank") >= F.col("_before") + F.col("_upto")) & (F.col("_rank") < F.col("_before") + F.col("_upto") + F.col("_c")))
-    part = F.col("_place") - F.floor("_place")
-    g = hit.groupBy(*keys, "q", "_place").agg(F.min_by("_v", "_rank").alias("_a"), F.max_by("_v", "_rank").alias("_z"))
-    return g.select(*keys, "q", (F.col("_a") + (F.col("_z") - F.col("_a")) * part).alias("value"))
+    ends = sorted({min(max(q + d, 0.0), 1.0) for q in qs for d in (-MARGIN, MARGIN)})
+    sketch = F.percentile_approx("_v", F.array(*map(F.lit, ends)), SKETCH)
+    made = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), sketch.alias("_s"))
+    inf, few = float("inf"), F.col("_n") * MARGIN < 3  # a margin under three ranks: all values are inside
+
+    def bracket(q: float) -> Column:
+        lo, hi = q - MARGIN, q + MARGIN
+        place = F.lit(q) * (F.col("_n") - 1)
+        return F.struct(F.lit(q).alias("q"), place.alias("place"), (F.lit(-inf) if lo <= 0 else F.when(few, -inf).otherwise(F.get("_s", F.lit(ends.index(lo))))).alias("lo"), (F.lit(inf) if hi >= 1 else F.when(few, inf).otherwise(F.get("_s", F.lit(ends.index(hi))))).alias("hi"))
+
+    brackets = made.select(*keys, F.array(*map(bracket, qs)).alias("_w"))
+    places = brackets.select(*keys, F.inline("_w")).select(*keys, "q", "place")
+    counts = _counted(v, brackets, keys)
+    if 4 * MARGIN * _rows_at_most(df) > most:
+        counts, keys_ = _narrowed(v, counts, brackets, places, keys), [*keys, "q"]
+    else:
+        keys_ = [*keys, "q"]
+    upto = F.sum("c").over(Window.partitionBy(*keys_).orderBy(F.asc_nulls_first("cell")))
+    ranked = join_groups(counts.withColumn("_z", upto), places, keys_, "inner").filter("cell IS NOT NULL")
+    first, last = F.floor("place"), F.ceil("place")
+    at = lambda r: (F.col("_z") - F.col("c") <= r) & (r < F.col("_z"))
+    g = ranked.groupBy(*keys_, "place").agg(F.max(F.when(at(first), F.col("cell"))).alias("_a"), F.max(F.when(at(last), F.col("cell"))).alias("_b"))
+    found = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    value = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("place") - first)
+    return g.select(*keys_, F.when(found, value).otherwise(F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")).alias("value"))
+
+
+def _rows_at_most(df: DataFrame) -> float:
+    """The optimizer's estimate of the bytes, as rows of a key and a value."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) / 16
+    except Exception:  # no estimate: as many as there can be
+        return float("inf")
+
+
+#: Ranges that a bracket is cut into when it is narrowed.
+CUTS = 64
+
+
+def _narrowed(v: DataFrame, counts: DataFrame, brackets: DataFrame, places: DataFrame, keys: list) -> DataFrame:
+    """The counts of brackets that hold a few of ``CUTS`` ranges of equal depth of the values inside the given ones."""
+    own = [*keys, "q"]
+    inside = F.filter("_w", lambda w: (F.col("_v") >= w["lo"]) & (F.col("_v") <= w["hi"]))
+    v2 = join_groups(v, brackets, keys, "inner").select(*keys, "_v", F.explode(F.transform(inside, lambda w: w["q"])).alias("q")).select(*own, "_v")
+    under = counts.groupBy(*own).agg(F.coalesce(F.sum(F.when(F.col("cell").isNull(), F.col("c"))), F.lit(0)).alias("_under"))
+    grid = v2.groupBy(*own).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", F.array(*[F.lit(k / CUTS) for k in range(CUTS + 1)]), SKETCH).alias("_s"))
+    grid = join_groups(join_groups(grid, under, own, "inner"), places, own, "inner")
+    at = (F.col("place") - F.col("_under")) / F.greatest(F.col("_n") - 1, F.lit(1)) * CUTS
+    few = F.col("_n") < 4 * CUTS
+    lo, hi = F.when(few, 0).otherwise(F.floor(at) - 1), F.when(few, CUTS).otherwise(F.ceil(at) + 1)
+    w = F.struct(F.col("q"), F.when(lo <= 0, F.lit(float("-inf"))).otherwise(F.get("_s", lo.cast("int"))).alias("lo"), F.when(hi >= CUTS, F.lit(float("inf"))).otherwise(F.get("_s", hi.cast("int"))).alias("hi"))
+    tight = grid.select(*own, F.array(w).alias("_w"))
+    again = _counted(v2.withColumnRenamed("q", "_q"), tight.withColumnRenamed("q", "_q"), [*keys, "_q"]).drop("_q")
+    return again.unionByName(under.select(*own, F.lit(None).cast("double").alias("cell"), F.col("_under").alias("c"))).groupBy(*own, "cell").agg(F.sum("c").alias("c"))
+
+
+def quantile_table(df: DataFrame, wanted: dict, keys=()) -> DataFrame:
+    """One row per group with exact quantiles ``{column name: (value, q)}``; a value is a column or its name."""
+    keys, values = list(keys), []
+    for x, _ in wanted.values():
+        if not any(x is y for y in values):
+            values.append(x)
+    number = {name: next(i for i, y in enumerate(values) if y is x) for name, (x, _) in wanted.items()}
+    rows = F.array(*[F.struct(F.lit(i).alias("_c"), col(x).cast("double").alias("_x")) for i, x in enumerate(values)])
+    long = df.select(*keys, F.explode(rows).alias("_r")).select(*keys, "_r.*")
+    q = exact_quantiles(long, "_x", sorted({float(q) for _, q in wanted.values()}), [*keys, "_c"])
+    pick = [F.max(F.when((F.col("_c") == number[name]) & (F.col("q") == float(p)), F.col("value"))).alias(name) for name, (_, p) in wanted.items()]
+    return q.groupBy(*keys).agg(*pick)
 
 
 def quantile_columns(df: DataFrame, x: str, names: dict, keys=()) -> DataFrame:
@@ -117,17 +182,28 @@ def quantile_columns(df: DataFrame, x: str, names: dict, keys=()) -> DataFrame:
     return q.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == F.lit(float(v)), F.col("value"))).alias(n) for n, v in names.items()])
 
 
+def agg_with_quantiles(df: DataFrame, keys, aggs, wanted: dict) -> DataFrame:
+    """``df.groupBy(keys).agg(*aggs)`` with the columns of :func:`quantile_table`."""
+    return join_groups(df.groupBy(*keys).agg(*aggs), quantile_table(df, wanted, keys), keys)
+
+
+def five_numbers(df: DataFrame, keys, x: str) -> DataFrame:
+    """Min, q1, median, q3, max per group (box plot)."""
+    out = agg_with_quantiles(df, keys, [F.count(col(x)).alias("n"), F.min(col(x)).cast("double").alias("min"), F.max(col(x)).cast("double").alias("max")], {"q1": (x, 0.25), "median": (x, 0.5), "q3": (x, 0.75)})
+    return out.select(*keys, "n", "min", "q1", "median", "q3", "max")
+
+
 def describe(df: DataFrame, columns) -> DataFrame:
     """Count, mean, std, min, 25/50/75 %, max per column as long rows."""
-    parts = []
-    for c in columns:
-        q = quantiles(c, (0.25, 0.5, 0.75))
-        parts.append(F.struct(F.lit(c).alias("column_name"), F.count(col(c)).alias("count"),
-                              F.avg(col(c)).alias("mean"), F.stddev_samp(col(c)).alias("std"),
-                              F.min(col(c)).cast("double").alias("min"), q[0].alias("p25"),
-                              q[1].alias("p50"), q[2].alias("p75"),
-                              F.max(col(c)).cast("double").alias("max")))
-    return df.agg(F.array(*parts).alias("_d")).select(F.inline("_d"))
+    columns = list(columns)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), col(c).cast("double").alias("x")) for c in columns])
+    long = df.select(F.inline(rows))
+    stats = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")]
+    out = agg_with_quantiles(long, ["column_name"], stats, {"p25": ("x", 0.25), "p50": ("x", 0.5), "p75": ("x", 0.75)})
+    # a column of an empty table has a row of its own
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    out = join_groups(every, out, ["column_name"])
+    return out.select("column_name", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, x: str, bins: int, keys=()) -> DataFrame:

@@ -56,9 +56,9 @@ SELECT commodity, {sq4('AVG(modal_price)')} AS mean_price, {sq4('quantile_cont(m
 FROM price_panel GROUP BY 1"""))
 def q_price_mean_median_count(spark, sf_dir):
     p = price_panel(spark, sf_dir)
-    return p.groupBy("commodity").agg(q4(F.avg("modal_price")).alias("mean_price"),
-                                      q4(S.quantile("modal_price", 0.5)).alias("median_price"),
-                                      F.count("modal_price").alias("n"))
+    g = S.agg_with_quantiles(p, ["commodity"], [F.avg("modal_price").alias("mean_price"), F.count("modal_price").alias("n")],
+                             {"median_price": ("modal_price", 0.5)})
+    return _qc(g, {"mean_price", "median_price"})
 
 
 PROFILE = [("average_price", "AVG(modal_price)"), ("price_volatility", "stddev_samp(modal_price)"),

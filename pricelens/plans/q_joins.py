@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricelens.functions import q4
 from pricelens.operators.joins import code_map, unseen_categories
 from pricelens.operators.panel import join_weather
-from pricelens.operators.stats import attach, quantile
+from pricelens.operators.stats import attach, quantile_table
 from pricelens.plans.registry import register
 from pricelens.plans.sqlviews import q4 as sq4, with_views
 from pricelens.sources.adapter import daily_signal, price_panel
@@ -71,7 +71,7 @@ def q_median_imputation(spark, sf_dir):
     from pricelens.operators.panel import panel_with_weather
     p = panel_with_weather(spark, sf_dir)
     train, _ = chrono_split(p, "date_fraction")
-    med = train.agg(quantile("max_temp", 0.5).alias("_mt"), quantile("rainfall_mm", 0.5).alias("_rf"))
+    med = quantile_table(train, {"_mt": ("max_temp", 0.5), "_rf": ("rainfall_mm", 0.5)})
     j = attach(p, med)
     return j.select("commodity", "district", "date",
                     q4(F.coalesce("max_temp", "_mt")).alias("max_temp"),

@@ -360,7 +360,7 @@ SELECT CAST(to_days(CAST(floor(quantile_cont(epoch_ms(date) / 86400000, 0.8)) AS
 FROM price_panel"""))
 def q_date_quantile_split(spark, sf_dir):
     p = price_panel(spark, sf_dir)
-    return p.agg(F.date_from_unix_date(F.floor(F.percentile(F.unix_date("date"), F.lit(0.8))).cast("int")).alias("split_date"))
+    return D.date_quantile(p, 0.8)
 
 
 @register("ml_model_persistence", "S10 M12")
