@@ -15,22 +15,27 @@ Spark plan:
    independent of the group size (a hot group does not explode);
 2. ``groupBy(group, tree).applyInPandas``: keep the psi lowest-hash rows and
    grow one tree (numpy) -> flat node arrays;
-3. the forest (groups x trees x < 2 psi nodes, a size fixed by the
-   parameters) is broadcast; rows are scored in Arrow batches with
-   ``mapInPandas``, vectorised over the batch;
-4. threshold: exact per-group percentile of the score, joined back.
+3. a tree is packed into one row; the trees of a group (at most 2 psi nodes
+   each, a size fixed by the parameters) meet the group's rows chunk by chunk.
+   A chunk holds at least ``SHARE`` times the forest's bytes of rows, so the
+   copies of a forest stay a small share of the data they score;
+4. threshold: the exact quantile of a group's scores by rank selection, joined back.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pricelens.operators.stats import broadcast_if_small
+from pyspark.sql import types as T
+
+from pricelens.operators.stats import broadcast_if_small, quantile_columns
+from pricelens.session import checkpoint_dir
 
 EULER = 0.5772156649
 NODE_SCHEMA = ("grp string, tree int, node int, feature int, threshold double, left int, right int, size int")
@@ -91,42 +96,65 @@ def _build_fn(features, psi, seed):
     return build
 
 
+PACKED_DDL = "grp string, tree int, nodes int, feature binary, threshold binary, left binary, right binary, size binary"
+_PARTS = (("feature", "int32"), ("threshold", "float64"), ("left", "int32"), ("right", "int32"), ("size", "int32"))
+#: Bytes of a packed node, and of a feature value.
+NODE_BYTES, VALUE_BYTES = sum(np.dtype(d).itemsize for _, d in _PARTS), 8
+#: A chunk's feature bytes are at least so many times the bytes of its copy of the forest.
+SHARE = 4
+#: Rows that numpy walks through a tree at once.
+BATCH = 50_000
+
+
+def _pack(nodes: pd.DataFrame) -> pd.DataFrame:
+    """One row per tree."""
+    nodes = nodes.sort_values("node")
+    return pd.DataFrame({"grp": [nodes["grp"].iloc[0]], "tree": [int(nodes["tree"].iloc[0])], "nodes": [len(nodes)],
+                         **{c: [nodes[c].to_numpy().astype(d).tobytes()] for c, d in _PARTS}})
+
+
+def chunk_rows(trees: int, psi: int, features: int) -> int:
+    """Rows of a group that meet one copy of its forest."""
+    return SHARE * trees * 2 * psi * NODE_BYTES // (features * VALUE_BYTES)
+
+
+def _path_lengths(x: np.ndarray, trees: list[tuple]) -> np.ndarray:
+    total = np.zeros(len(x))
+    for feat, thr, left, right, size in trees:
+        node, depth = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+        go = np.flatnonzero(feat[node] >= 0)
+        while len(go):
+            at = node[go]
+            node[go] = np.where(x[go, feat[at]] < thr[at], left[at], right[at])
+            depth[go] += 1
+            go = go[feat[node[go]] >= 0]
+        total += depth + c_factor(size[node])
+    return total
+
+
 def _score_fn(features, psi, columns):
-    def score(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
-        x = rows[features].to_numpy(dtype="float64")
-        total, trees = np.zeros(len(x)), 0
-        for _, t in nodes.sort_values(["tree", "node"]).groupby("tree"):
-            feat, thr, left, right, size = (t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size"))
-            node, depth = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
-            active = feat[node] >= 0
-            while active.any():
-                a = np.flatnonzero(active)
-                node[a] = np.where(x[a, feat[node[a]]] < thr[node[a]], left[node[a]], right[node[a]])
-                depth[a] += 1
-                active = feat[node] >= 0
-            total += depth + c_factor(size[node])
-            trees += 1
+    def score(rows: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame([], columns=[*columns, "anomaly_score"])
+        trees = [tuple(np.frombuffer(r[c], d) for c, d in _PARTS) for r in packed.sort_values("tree").to_dict("records")]
+        x = rows[features].to_numpy(dtype="float64")
+        total = np.concatenate([_path_lengths(x[i : i + BATCH], trees) for i in range(0, len(x), BATCH)])
         n = min(psi, int(rows["_n"].iloc[0]))
-        return rows[columns].assign(anomaly_score=2.0 ** (-total / trees / c_factor(n)) if trees else np.nan)
+        return rows[columns].assign(anomaly_score=2.0 ** (-total / len(trees) / c_factor(n)) if trees else np.nan)
     return score
 
 
-#: Rows of a group that are scored in one task.
-CHUNK = 50_000
+def _rows(df: DataFrame, group: str, features, id_cols) -> tuple[DataFrame, DataFrame, Column]:
+    """Rows with all features, their number by group, and the text that names a row."""
+    base = df.withColumn("grp", F.col(group).cast("string")).na.drop(subset=list(features))
+    return base, base.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")), F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols])
 
 
-def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int = 200, psi: int = 256,
-                     contamination: float = 0.02, seed: int = 42) -> DataFrame:
-    """Adds ``anomaly_score`` (higher = more isolated), ``decision`` (threshold
-    minus score; < 0 flagged) and ``outlier_flag`` (-1 / 1) per row."""
-    spark = df.sparkSession
+def forest(df: DataFrame, group: str, features, id_cols, trees: int = 200, psi: int = 256, seed: int = 42) -> DataFrame:
+    """The packed trees of every group."""
     from pricelens.session import ship_package
-    ship_package(spark)
-    base = df.withColumn("grp", F.col(group).cast("string")).na.drop(subset=list(features))
-    n = base.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols])
+    ship_package(df.sparkSession)
+    base, n, key = _rows(df, group, features, id_cols)
     j = base.join(broadcast_if_small(n), "grp").withColumn("_p", F.least(F.lit(1.0), F.lit(3.0 * psi) / F.col("_n")))
     tree_ids = F.sequence(F.lit(0), F.lit(trees - 1))
     # a coarse number refined by a second hash, so that the share of a group of any size can be as small as it must
@@ -137,16 +165,37 @@ def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int =
     picked = picked.withColumn("_h", F.xxhash64("_key", "tree", F.lit(seed + 1)))
     nodes = (picked.select("grp", "tree", "_h", *features)
                    .groupBy("grp", "tree").applyInPandas(_build_fn(list(features), psi, seed), NODE_SCHEMA))
-    from pyspark.sql import types as T
-    columns = [f.name for f in base.schema.fields]
-    schema = T.StructType(list(base.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-    # a group's trees (a bounded number of nodes) meet its rows chunk by chunk
-    chunks = F.ceil(F.col("_n") / F.lit(CHUNK))
+    return nodes.groupBy("grp", "tree").applyInPandas(_pack, PACKED_DDL)
+
+
+def isolation_forest(df: DataFrame, group: str, features, id_cols, trees: int = 200, psi: int = 256,
+                     contamination: float = 0.02, seed: int = 42) -> DataFrame:
+    """Adds ``anomaly_score`` (higher = more isolated), ``decision`` (threshold
+    minus score; < 0 flagged) and ``outlier_flag`` (-1 / 1) per row."""
+    packed = forest(df, group, features, id_cols, trees, psi, seed)
+    base, n, key = _rows(df, group, features, id_cols)
+    columns = base.columns
+    schema = T.StructType([*base.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
+    chunks = F.ceil(F.col("_n") / F.lit(chunk_rows(trees, psi, len(list(features)))))
     rows = base.join(broadcast_if_small(n), "grp").withColumn("_chunk", F.pmod(F.xxhash64(key), chunks))
-    copies = nodes.join(broadcast_if_small(n), "grp").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))).drop("_n")
+    copies = packed.join(broadcast_if_small(n), "grp").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))).drop("_n")
     scored = (rows.groupBy("grp", "_chunk").cogroup(copies.groupBy("grp", "_chunk"))
               .applyInPandas(_score_fn(list(features), psi, columns), schema))
-    thr = scored.groupBy("grp").agg(F.percentile("anomaly_score", F.lit(1.0 - contamination)).alias("_thr"))
+    return flagged(scored, contamination).drop("grp")
+
+
+def flagged(scored: DataFrame, contamination: float) -> DataFrame:
+    """``decision`` and ``outlier_flag``: the top share of each group's scores is flagged."""
+    # the scores are read three times: for the sketch, the counts and the decision
+    scored = _written(scored)
+    thr = quantile_columns(scored, "anomaly_score", {"_thr": 1.0 - contamination}, ["grp"])
     out = scored.join(broadcast_if_small(thr), "grp")
     out = out.withColumn("decision", F.col("_thr") - F.col("anomaly_score"))
-    return out.withColumn("outlier_flag", F.when(F.col("decision") < 0, F.lit(-1)).otherwise(F.lit(1))).drop("_thr", "grp")
+    return out.withColumn("outlier_flag", F.when(F.col("decision") < 0, F.lit(-1)).otherwise(F.lit(1))).drop("_thr")
+
+
+def _written(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_scores/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -92,6 +92,37 @@ def test_isolation_forest_isolates_extreme_point(spark):
     assert top.id == 999 and top.outlier_flag == -1
 
 
+def test_isolation_forest_decisions_by_brute_force(spark):
+    """Scores walked node by node over the same trees; the threshold as pandas has it; a forest's copies stay below the data."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = [("g", float(a), float(b), i) for i, (a, b) in enumerate(rng.normal(size=(700, 2)))] + [("h", 1.0, float(i), 1000 + i) for i in range(40)]
+    df = spark.createDataFrame(rows, "grp0 string, a double, b double, id int")
+    nodes = {}
+
+    def walk(x, grp, trees):
+        total = 0.0
+        for t in range(trees):
+            own, at, depth = nodes[grp, t], 0, 0
+            while own["feature"][at] >= 0:
+                at = own["left"][at] if x[own["feature"][at]] < own["threshold"][at] else own["right"][at]
+                depth += 1
+            total += depth + float(IF.c_factor(own["size"][at]))
+        return total / trees
+    out = IF.isolation_forest(df, "grp0", ["a", "b"], ["id"], trees=20, psi=32)
+    packed = IF.forest(df, "grp0", ["a", "b"], ["id"], trees=20, psi=32)
+    for r in packed.collect():
+        nodes[r.grp, r.tree] = {c: np.frombuffer(r[c], d) for c, d in IF._PARTS}
+    got = out.toPandas()
+    for r in got.itertuples():
+        assert abs(r.anomaly_score - 2 ** (-walk((r.a, r.b), r.grp0, 20) / float(IF.c_factor(32)))) < 1e-12
+    for g, own in got.groupby("grp0"):
+        thr = own.anomaly_score.quantile(0.98)
+        assert np.allclose(own.decision, thr - own.anomaly_score) and ((own.outlier_flag == -1) == (own.decision < 0)).all(), g
+    rows_ = IF.chunk_rows(200, 256, 5)
+    assert rows_ * 5 * IF.VALUE_BYTES >= IF.SHARE * 200 * 2 * 256 * IF.NODE_BYTES - 40
+
+
 def test_seasonal_forecast_invariants(spark):
     from pricelens.ml import seasonal as SE
     p = price_panel(spark, SF_SMALL)
