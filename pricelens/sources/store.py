@@ -81,6 +81,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jp, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it does not exist."""
+    fs, jp = _fs(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(jp)) if fs.exists(jp) else []
+
+
 def _exists(spark: SparkSession, path: str, mark: str = "_SUCCESS") -> bool:
     fs, jp = _fs(spark, f"{path}/{mark}")
     return fs.exists(jp)

@@ -1 +1 @@
-from pricelens.streaming.alerts import price_alerts, run_alerts  # noqa: F401
+from pricelens.streaming.alerts import AlertStore, price_alerts, run_alerts  # noqa: F401

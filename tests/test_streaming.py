@@ -3,6 +3,7 @@ import math
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from paths import SF_SMALL
 from pricelens.operators.windows import add_change_features
@@ -49,3 +50,34 @@ def test_later_landings_correct_days_and_keep_the_previous_price(spark):
     assert abs(x.price_change_pct[2] - 100.0) < 1e-9 and x.shock_type[2] == "Price Spike"
     assert got[got.commodity == "y"].modal_price.tolist() == [10.0]
     assert len(run()) == 4  # nothing new: the same days
+
+
+def test_a_batch_reads_its_years_and_corrects_the_next_trading_day(spark):
+    """Rows read do not follow the history; a correction reaches a trading day two years on; a batch run again changes nothing."""
+    from pricelens.streaming.alerts import AlertStore
+    reads = []
+    for years in (3, 9):
+        sink = tempfile.mkdtemp(prefix="pricelens-stream-years-")
+        store = AlertStore(spark, sink)
+        frame = lambda rows: spark.createDataFrame(rows, PRICE_ROW_SCHEMA)
+        history = [("x", "d", dt.datetime(2020 - y, m, 5), 100.0 + m, 1.0) for y in range(years) for m in range(1, 13)]
+        store.merge(frame(history), 0)
+        store.merge(frame([("x", "d", dt.datetime(2020, 12, 9), 226.0, 1.0)]), 1)
+        log = spark.read.json(f"{sink}/_log").filter("batch = 1").first()
+        reads.append(log.stored_rows_read)
+        assert list(log.years) == [2020]
+        last = store.alerts().orderBy(F.desc("day")).first()
+        assert abs(last.price_change_pct - (226 / 112 - 1) * 100) < 1e-9
+    assert reads == [12, 12]
+    sink = tempfile.mkdtemp(prefix="pricelens-stream-gap-")
+    store = AlertStore(spark, sink)
+    store.merge(frame([("x", "d", dt.datetime(2018, 1, 5), 100.0, 1.0), ("y", "d", dt.datetime(2019, 6, 5), 10.0, 1.0), ("x", "d", dt.datetime(2020, 3, 5), 150.0, 1.0)]), 0)
+    late = frame([("x", "d", dt.datetime(2018, 5, 5), 120.0, 1.0)])
+    for _ in range(2):  # the second time as after a lost driver
+        store.merge(late, 1)
+        got = {(r.commodity, str(r.day)): r.price_change_pct for r in store.alerts().collect()}
+        assert len(got) == 4 and abs(got["x", "2018-05-05"] - 20) < 1e-9 and abs(got["x", "2020-03-05"] - 25) < 1e-9 and got["y", "2019-06-05"] is None
+    store.merge(frame([("y", "d", dt.datetime(2019, 7, 5), 11.0, 1.0)]), 2)
+    store.merge(frame([("y", "d", dt.datetime(2019, 8, 5), 11.0, 1.0)]), 3)
+    from pricelens.sources.store import names
+    assert names(spark, f"{sink}/year=2019") == ["v=2", "v=3"] and store.alerts().count() == 6
