@@ -169,3 +169,62 @@ def test_classifier_metrics_and_confusion(spark):
     assert int(rep.support.sum()) == test.count()
     probs = pred.select("probabilities").toPandas().probabilities
     assert all(abs(sum(p) - 1.0) < 1e-6 for p in probs)
+
+
+def test_elastic_net_equals_spark(spark):
+    """Coordinate descent on the summed Gram matrix, and Spark's elastic net over the rows of one commodity."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import LinearRegression
+
+    from pricelens.ml import seasonal as SE
+    own = price_panel(spark, SF_SMALL).filter("commodity = 'PROMO' AND modal_price > 0").groupBy("date").agg(F.avg("modal_price").alias("p")).orderBy("date").toPandas()
+    import pandas as pd
+    d = pd.to_datetime(own.date)
+    t = ((d - d.min()).dt.days / max((d.max() - d.min()).days, 1)).to_numpy()
+    x, _, _ = SE._design(t, d.dt.dayofweek.to_numpy(float), d.dt.dayofyear.to_numpy(float), np.linspace(0, 0.8, 7)[1:-1], yearly_order=2, weekly_order=1)
+    y, n = np.log1p(own.p.to_numpy()), len(own)
+    reg, alpha = 0.01, 0.5
+    l1, l2 = np.full(x.shape[1], reg * alpha * n), np.full(x.shape[1], reg * (1 - alpha) * n)
+    # Spark divides the target by its deviation: raw, its L1 term is the same and its L2 term is divided by the deviation
+    l2 /= y.std(ddof=1)
+    l1[0] = l2[0] = 0.0
+    b = SE.elastic_net(x.T @ x, x.T @ y, l1, l2)
+    rows = spark.createDataFrame([(float(v), Vectors.dense(r[1:])) for v, r in zip(y, x, strict=True)], ["label", "features"])
+    m = LinearRegression(regParam=reg, elasticNetParam=alpha, standardization=False, maxIter=5000, tol=1e-12, solver="l-bfgs").fit(rows)
+    assert np.allclose(b[1:], m.coefficients.toArray(), atol=1e-5) and abs(b[0] - m.intercept) < 1e-4
+    assert (b[1:] == 0).any() and (b[1:] != 0).any()
+    strong = SE.elastic_net(x.T @ x, x.T @ y, np.where(np.arange(x.shape[1]) > 1, 1e9, 0.0), np.zeros(x.shape[1]))
+    assert (strong[2:] == 0).all()
+
+
+def test_euclidean_silhouette_picks_the_k(spark):
+    """Equal to the definition over all pairs, whatever the blocks; a fixture where the squared form prefers another K."""
+    import numpy as np
+
+    from pricelens.ml import cluster as KM
+
+    def plain(x, c, power=1):
+        d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) ** power
+        out = []
+        for i in range(len(x)):
+            same = c == c[i]
+            a = d[i][same].sum() / max(same.sum() - 1, 1)
+            b = min(d[i][c == k].mean() for k in set(c) if k != c[i])
+            out.append(0.0 if same.sum() == 1 else (b - a) / max(a, b))
+        return float(np.mean(out))
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        x = np.concatenate([rng.normal(m, s, (int(rng.integers(2, 6)), 2)) for m, s in zip(rng.uniform(-4, 4, 4), rng.uniform(0.1, 2, 4), strict=True)])
+        labels = {k: rng.integers(0, k, len(x)) if k > 3 else (x[:, 0] > np.quantile(x[:, 0], 0.5)).astype(int) + (k == 3) * (x[:, 1] > np.quantile(x[:, 1], 0.7)) for k in (2, 3)}
+        if all(len(set(c)) > 1 for c in labels.values()):
+            flat, squared = ({k: plain(x, c, p) for k, c in labels.items()} for p in (1, 2))
+            if max(flat, key=flat.get) != max(squared, key=squared.get):
+                break
+    else:
+        raise AssertionError("no fixture found")
+    rows = spark.createDataFrame([(str(i), [float(v) for v in p], [int(labels[2][i]), int(labels[3][i])]) for i, p in enumerate(x)], "id string, x array<double>, clusters array<int>")
+    for block in (1000, 4):
+        got = {r.k: r.silhouette for r in KM.silhouettes(rows, [2, 3], block).collect()}
+        assert all(abs(got[k] - flat[k]) < 1e-9 for k in (2, 3))
+        assert max(got, key=got.get) == max(flat, key=flat.get) != max(squared, key=squared.get)
