@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from pricelens.functions import is_weekend, weekday0
 from pricelens.ml.grouped_trees import TreeModel, _scored, features_matrix, replace_frames, unpacked_trees
-from pricelens.operators.stats import broadcast_if_small
 from pricelens.session import ship_package
 
 HISTORY = 30
@@ -80,10 +79,8 @@ def recursive_forecast(model: TreeModel, panel: DataFrame, horizon: int = HORIZO
     most = model.packed.groupBy("key").agg(F.sum(F.octet_length("ids") * 4).alias("b")).agg(F.max("b")).first()[0] or 0
     if most > MODEL_BYTES:
         raise ValueError(f"a model of {most} bytes does not fit a task")
-    state = model.encoded(step_features(initial_state(panel, keys), lags)).withColumn("_key", model.key_column())
-    counts = state.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / SERIES).alias("_chunks"))
-    state = state.join(broadcast_if_small(counts), "_key").withColumn("_chunk", F.pmod(F.xxhash64(*keys), F.col("_chunks")))
-    trees = model.packed.join(broadcast_if_small(counts.withColumnRenamed("_key", "key")), "key").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1))).withColumnRenamed("key", "_key")
+    state = model.encoded(step_features(initial_state(panel, keys), lags))
+    state, trees = model.chunked(state, SERIES, *keys)
     features, width, own = model.features, model.width, replace_frames(model)
     out_schema = pa.schema([("date", pa.date32()), *((k, pa.string()) for k in keys), ("predicted_raw", pa.float64())])
 

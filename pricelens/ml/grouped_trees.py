@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelens.operators.stats import broadcast_if_small
+from pricelens.operators.stats import attach, broadcast_if_small
 from pricelens.session import checkpoint_dir, ship_package
 from pricelens.sources.store import remove
 
@@ -314,7 +314,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def binned(df: DataFrame, key: Column, features: list[str], target: str, ids: list[str], spec: TreeSpec, labels: list[str] | None = None) -> Binned:
+def binned(df: DataFrame, key: Column, features: list[str], target: str, ids: list[str], spec: TreeSpec, labels: list[str] | None = None, keyed: bool = True) -> Binned:
     """Rows as blocks of feature bins; a key's cuts are quantiles of its own rows.
 
     ``labels`` are the classes of a string target; a target outside them is left
@@ -331,8 +331,8 @@ def binned(df: DataFrame, key: Column, features: list[str], target: str, ids: li
     keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.lit(1.0) if labels else scale).alias("scale"), classes.alias("classes"), *aggs)
     keys = _stored(keys.select("key", "n", "scale", "classes", F.array(*[f"c{i}" for i in range(len(features))]).alias("cuts")), "keys")
     sized = keys.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    rows = rows.join(broadcast_if_small(sized), "key").withColumn("block", F.pmod("hash", F.col("blocks"))).drop("blocks")
-    each = keys.join(broadcast_if_small(sized), "key").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = (rows.join(broadcast_if_small(sized), "key") if keyed else attach(rows, sized.select("blocks"))).withColumn("block", F.pmod("hash", F.col("blocks"))).drop("blocks")
+    each = keys.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     n, classified = len(features), labels is not None
 
     def pack(t: pa.Table, k: pa.Table) -> pa.Table:
@@ -664,6 +664,22 @@ class TreeModel:
     def key_column(self) -> Column:
         return F.col(self.key).cast("string") if self.key else F.lit("")
 
+    def chunked(self, rows: DataFrame, most: int, *by: str) -> tuple[DataFrame, DataFrame]:
+        """``rows`` and the packed trees with ``_key`` and ``_chunk``: about ``most`` rows of a key
+        (dealt by a hash of the columns ``by``) meet one copy of the key's trees.  A null key has chunks of its own."""
+        many = F.greatest(F.ceil(F.count(F.lit(1)) / most), F.lit(1)).cast("long").alias("_chunks")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1))
+        if self.key is None:
+            counts = rows.agg(many)
+            rows, trees = attach(rows, counts).withColumn("_key", F.lit("")), attach(self.packed, counts)
+        else:
+            # a marked copy, so that the null key joins as any other
+            rows = rows.withColumn("_key", F.coalesce(F.concat(F.lit("="), self.key_column()), F.lit("")))
+            counts = rows.groupBy("_key").agg(many)
+            rows = rows.join(broadcast_if_small(counts), "_key")
+            trees = self.packed.withColumn("key", F.concat(F.lit("="), F.col("key"))).join(broadcast_if_small(counts.withColumnRenamed("_key", "key")), "key")
+        return rows.withColumn("_chunk", F.pmod(F.xxhash64(*by), F.col("_chunks"))).drop("_chunks"), trees.withColumn("_chunk", every).drop("_chunks").withColumnRenamed("key", "_key")
+
     def encoded(self, df: DataFrame) -> DataFrame:
         return self.encoder.transform(df) if self.encoder else df
 
@@ -677,11 +693,7 @@ class TreeModel:
         ship_package(spark)
         rows = self.encoded(df)
         kept = rows.schema
-        rows = rows.withColumn("_key", self.key_column())
-        counts = rows.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_chunks"))
-        rows = rows.join(broadcast_if_small(counts), rows["_key"].eqNullSafe(counts["_key"])).drop(counts["_key"])
-        rows = rows.withColumn("_chunk", F.pmod(F.xxhash64(*self.features), F.col("_chunks")))
-        trees = self.packed.join(broadcast_if_small(counts.withColumnRenamed("_key", "key")), "key").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1)))
+        rows, trees = self.chunked(rows, BLOCK, *self.features)
         features, width, labels, model = self.features, self.width, self.labels, replace_frames(self)
         added_ = [T.StructField("predicted_category", T.StringType()), T.StructField("probabilities", T.ArrayType(T.DoubleType()))] if labels else [T.StructField("prediction", T.DoubleType())]
         out = T.StructType([*kept.fields, *added_])
@@ -698,7 +710,7 @@ class TreeModel:
                 return t.append_column("probabilities", pa.array([x.tolist() if known else None for x in p], pa.list_(pa.float64())))
             return t.append_column("prediction", pa.array(p[:, 0], pa.float64()) if known else pa.nulls(len(t), pa.float64()))
 
-        scored = rows.select(*names, F.coalesce("_key", F.lit("")).alias("_key"), "_chunk").groupBy("_key", "_chunk").cogroup(trees.withColumnRenamed("key", "_key").groupBy("_key", "_chunk"))
+        scored = rows.select(*names, "_key", "_chunk").groupBy("_key", "_chunk").cogroup(trees.groupBy("_key", "_chunk"))
         return scored.applyInArrow(lambda t, k: score_rows(t, k) if len(t) else _empty(t, names, labels), out)
 
     def importance(self) -> DataFrame:
@@ -752,7 +764,7 @@ def fit_trees(df: DataFrame, features: list[str], target: str, ids: list[str], s
     ship_package(spark)
     _FIT.folder = f"fit-{uuid.uuid4().hex}"
     work = f"{checkpoint_dir(spark).rstrip('/')}/pricelens_trees/{_FIT.folder}"
-    data = binned(df, F.col(key) if key else F.lit(""), features, target, ids, spec, labels)
+    data = binned(df, F.col(key) if key else F.lit(""), features, target, ids, spec, labels, keyed=key is not None)
     grown = _stored(boost(data, spec) if spec.kind == "boost" else grow_forest(data, spec), "grown")
     cuts = data.keys.select("key", F.posexplode("cuts").alias("feature", "c")).select("key", "feature", F.posexplode("c").alias("bin", "threshold"))
     keys = data.keys.select("key", "scale", "classes")

@@ -32,7 +32,7 @@ MODEL_SPECS = {
 def fit(train: DataFrame, spec: TreeSpec, key: str | None = None) -> TreeModel:
     """Fit one model, or with ``key`` one for each of its values, all in the same jobs (M6)."""
     encoder = Pipeline(stages=indexers(handle_invalid="keep")).fit(train)
-    return fit_trees(encoder.transform(train), FEATURE_COLUMNS, TARGET, ROW, spec, key=key, encoder=encoder)
+    return fit_trees(encoder.transform(train), FEATURE_COLUMNS, TARGET, [c for c in ROW if c in train.columns], spec, key=key, encoder=encoder)
 
 
 def predict(model: TreeModel, df: DataFrame, clamp: bool = True) -> DataFrame:
@@ -100,8 +100,9 @@ def node_walk(model: TreeModel, rows: DataFrame, ids: list[str], key: str | None
     """
     nodes = model.nodes.select("key", "tree", "node", "feature", "threshold", F.get("value", F.lit(0)).alias("value"))
     own = F.col(key).cast("string") if key else F.lit("")
-    roots = nodes.filter("node = 1").withColumnRenamed("key", "_key")
-    at = rows.withColumn("_key", own).join(roots, "_key")
+    trees = F.explode(F.sequence(F.lit(-1 if model.spec.kind == "boost" else 0), F.lit(model.spec.trees - 1))).alias("tree")
+    starts = rows.select(*ids, own.alias("key"), "x", trees, F.lit(1).cast("long").alias("node"))
+    at = starts.join(nodes, ["key", "tree", "node"]).withColumnRenamed("key", "_key")
     columns = [*ids, "_key", "x", "tree", "node", "feature", "threshold", "value"]
     done = []
     for _ in range(model.spec.depth + 1):

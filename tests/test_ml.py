@@ -159,7 +159,7 @@ def test_classifier_metrics_and_confusion(spark):
     from pricelens.ml.metrics import classification_report, confusion_matrix
     mp = CL.price_category(D.model_panel(spark, SF_SMALL))
     train, test = D.chrono_split(mp, "date_fraction")
-    pred = CL.classified(CL.fit_classifiers(train, CL.TreeSpec(trees=5, depth=4)), test)
+    pred = CL.classified(CL.fit_classifiers(train, CL.TreeSpec(trees=5, depth=4)), test).cache()
     m = CL.classification_metrics(pred)
     acc = pred.select(F.avg((F.col("price_category") == F.col("predicted_category")).cast("double"))).first()[0]
     assert abs(m["accuracy"] - acc) < 1e-9 and 0 <= m["weighted_auc_ovr"] <= 1

@@ -31,8 +31,7 @@ def test_trees_take_any_number_of_categories(spark):
     rng = random.Random(5)
     rows = [tuple(f"{c}{k % 90}" for c in CATEGORICAL) + tuple(rng.random() for _ in NUMERIC) + (float(k % 90),) for k in range(400)]
     df = spark.createDataFrame(rows, ", ".join([*(f"{c} string" for c in CATEGORICAL), *(f"{c} double" for c in NUMERIC), f"{TARGET} double"]))
-    assert R.max_bins(df, CATEGORICAL) >= 92
-    model = R.fit(df, dict(kind="rf", numTrees=2, maxDepth=3))
+    model = R.fit(df, R.TreeSpec(trees=2, depth=3))
     assert R.predict(model, df).count() == 400
 
 
