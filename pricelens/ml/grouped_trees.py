@@ -431,6 +431,8 @@ def grow_forest(data: Binned, spec: TreeSpec, first: int = 0) -> DataFrame:
         own = spec.scaled(t.column("scale")[0].as_py())
         for k in range(tree, last):
             w = row_weights(hashes, spec, key, k)
+            if not w.any():  # of a handful of rows a draw may take none: the tree sees them all
+                w = np.ones_like(w)
             seen = w > 0
             out.append(_node_table(key, k, grow(columns[:, seen], _stats(w[seen], y[seen], classes), node, key, k, own, weights)[0], weights))
         return pa.concat_tables(out)
@@ -774,7 +776,7 @@ def fit_trees(df: DataFrame, features: list[str], target: str, ids: list[str], s
         there = F.size(F.filter("classes", lambda x: x > 0))
         w = F.zip_with("stats", "classes", lambda s, c: F.when(c > 0, s * rows / (there * c)).otherwise(0.0))
         total = F.aggregate(w, F.lit(0.0), lambda a, x: a + x)
-        value = F.transform(w, lambda x: F.try_divide(x, total))
+        value = F.transform(w, lambda x: F.coalesce(F.try_divide(x, total), F.lit(0.0)))
     else:
         step = F.when(F.col("tree") >= 0, F.lit(spec.step if spec.kind == "boost" else 1.0)).otherwise(1.0)
         weight = F.get("stats", F.lit(0)) + F.when(F.col("tree") >= 0, F.lit(spec.l2)).otherwise(0.0)
