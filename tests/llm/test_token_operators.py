@@ -270,7 +270,7 @@ def test_components_of_chains_and_stars(spark):
 
 def test_registered_names_and_null_columns(docs):
     from pricelens.llm.queries import QUERIES, SQL
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14)) and set(SQL) <= set(QUERIES)
     blank = docs.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema)).limit(3)
     from pricelens.llm.ngram_join import ngram_components
     from pricelens.llm.quality import quality_rules
