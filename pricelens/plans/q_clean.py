@@ -219,7 +219,7 @@ def q_missing_calendar_dates(spark, sf_dir):
     return missing_dates(price_panel(spark, sf_dir), ("commodity", "district"), "date")
 
 
-@register("csv_ingest_roundtrip", "S1 S2 S3 S4 S5 S6 P5-P8", sql=with_views(["price_panel"], f"""
+@register("csv_ingest_roundtrip", "S1 S2 S3 S4 S5 S6 P5-P8 U1", sql=with_views(["price_panel"], f"""
 SELECT state, commodity_group, commodity, date, {sq4('arrival')} AS arrival, arrival_unit,
        {sq4('modal_price')} AS modal_price, price_unit FROM clean""", CLEAN_CTES))
 def q_csv_ingest_roundtrip(spark, sf_dir):

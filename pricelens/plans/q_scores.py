@@ -272,7 +272,7 @@ _ALLD = {"predicted_price", "forecast_average_price", "forecast_min_price", "for
          "average_arrival", "district_risk_score", "best_district_forecast_average"}
 
 
-@register("baseline_forecast", "M15 (baseline) P20 U4", sql=intel_sql(_sel(FC_COLS, "forecast", _ALLD)))
+@register("baseline_forecast", "P20 U4", sql=intel_sql(_sel(FC_COLS, "forecast", _ALLD)))
 def q_baseline_forecast(spark, sf_dir):
     return _qd(_forecast(spark, sf_dir).select(*FC_COLS))
 

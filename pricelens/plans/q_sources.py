@@ -56,7 +56,7 @@ def q_pages_table_rows(spark, sf_dir):
     return RW.html_table_rows(pages, "html", ncols=3)
 
 
-@register("weather_payload_rows", "S7 U1", sql=with_views(["daily_signal"], f"""
+@register("weather_payload_rows", "S7", sql=with_views(["daily_signal"], f"""
 SELECT date, district, {sq4('max_temp')} AS max_temp, {sq4('min_temp')} AS min_temp, {sq4('rainfall_mm')} AS rainfall_mm,
        {sq4('rainfall_mm')} AS rain_mm, {sq4('wind')} AS wind FROM daily_signal"""))
 def q_weather_payload_rows(spark, sf_dir):

@@ -73,7 +73,7 @@ FROM req r ASOF LEFT JOIN hist h ON r.commodity = h.commodity AND r.district = h
       FROM price_panel WINDOW w AS (PARTITION BY commodity, district ORDER BY date)""")])
 
 
-@register("asof_history_features", "J12 M22 W1 W5 U2", sql=_ASOF_SQL)
+@register("asof_history_features", "J12 W1 W5 U2", sql=_ASOF_SQL)
 def q_asof_history_features(spark, sf_dir):
     req = price_requests(spark, sf_dir).select("date", "district", "commodity")
     # requests spread over (key, 90-day block) partitions; history state carried across blocks
@@ -164,7 +164,7 @@ def q_history_features_blocked(spark, sf_dir):
                   "price_change", "price_change_pct"})
 
 
-@register("legacy_stage_features", "W4 W8 P13 J2", sql=with_views(["price_panel"], f"""
+@register("legacy_stage_features", "W4 W8", sql=with_views(["price_panel"], f"""
 SELECT commodity, district, date, {sq4('modal_price')} AS modal_price,
   {sq4(_roll_sql('modal_price', 7, True, 7))} AS rolling_7,
   {sq4(_roll_sql('modal_price', 30, True, 30))} AS rolling_30,
