@@ -39,7 +39,7 @@ from pricelens.sources.store import remove
 #: Rows in a block of binned rows, and in a chunk that is scored at once.
 BLOCK = 50_000
 #: Trees that a task grows or counts at once.
-TREES = 20
+TREES = 5
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ class TreeSpec:
     min_gain: float = 0.0  # squared error (or weighted Gini impurity) that a split must explain
     bins: int = 64
     seed: int = 42
-    local_rows: int = 8_192  # a node with at most so many rows is grown by one task
+    local_rows: int = 32_768  # a node with at most so many rows is grown by one task
     boost_rows: int = 200_000  # a key with at most so many rows is boosted by one task
 
     def tried(self, n: int) -> int:
