@@ -3,7 +3,8 @@
 The patterns find the protected entities (email, ip, card, phone).  Over the
 distinct texts of the corpus, pointwise mutual information between an entity and
 every other word of the texts that hold it estimates how much of the entity's
-information the term discloses.  Terms above the threshold are reported as spans
+information the term discloses, weighed by how likely chance is to bring them
+together as often.  Terms above the threshold are reported as spans
 of kind ``term`` wherever a text that holds the entity has them, and generalised
 or removed with it.
 """
@@ -24,7 +25,7 @@ from pricelens.llm.words import _BYTE, Words, run_hashes, running, slices
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
-#: A term is disclosing when PMI(entity, term) is at least this share of the entity's information.
+#: A term is disclosing when its weighed PMI is at least this share of the entity's information.
 DISCLOSURE = 0.8
 #: Texts of the entity's kind, as they are on average, that are added to the entity's own.
 PRIOR = 1.0
@@ -217,6 +218,15 @@ def _term_counts(found: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def _chance(n_term: F.Column, n_both: F.Column, share: F.Column, rivals: F.Column) -> F.Column:
+    """How many of ``rivals`` terms, each in ``n_term`` texts, chance brings into an entity's
+    texts ``n_both`` times or more, when these hold ``share`` of all places a term can have:
+    Chernoff's bound of the binomial tail, exact where every text of the term is the entity's."""
+    a = n_both / n_term
+    apart = a * F.ln(a / share) + F.when(a < 1, (1 - a) * F.ln((1 - a) / (1 - share))).otherwise(0.0)
+    return F.when(share >= a, rivals.cast("double")).otherwise(rivals * F.exp(-n_term * apart))
+
+
 def disclosing_terms(found: DataFrame) -> DataFrame:
     """(digest, hashes): the terms of each text that disclose an entity of it.
 
@@ -226,31 +236,40 @@ def disclosing_terms(found: DataFrame) -> DataFrame:
     common one stays near zero.  Every pair that meets in a text is judged: p(t|e)
     backs off to the entity's kind, (n(e,t) + PRIOR p(t|kind)) / (n(e) + PRIOR),
     which weighs with an entity of one text and hardly with one of many.
+
+    Most words that stand in a single text stand in one without an entity, so
+    such a meeting says little.  The PMI is therefore weighed by 1 / (1 + E), where E is how
+    many terms as frequent as this one (the same power of two) chance would bring
+    into the entity's texts as often: the odds that this one is among them.  A
+    text's chance follows its distinct terms, so long texts prove less.
     Entities of one kind that the same texts hold have the same figures and are
     judged as one group.
     """
     e = found.filter(F.size("entities") > 0)
-    occurs = e.select("digest", F.explode("entities").alias("e")).select("digest", "e.kind", "e.entity")
-    seen = occurs.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n_entity"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("y"))
-    seen = seen.select("kind", "entity", "n_entity", F.xxhash64("kind", "n_entity", "x", "y").alias("group"))
-    groups = occurs.join(seen, ["kind", "entity"]).select("digest", "group", "kind", "n_entity").distinct()
-    groups = stored(groups.groupBy("digest").agg(F.collect_list(F.struct("group", "kind", "n_entity")).alias("groups")), "pii-groups")
+    occurs = e.select("digest", F.size("terms").alias("m"), F.explode("entities").alias("e")).select("digest", "m", "e.kind", "e.entity")
+    seen = occurs.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n_entity"), F.sum("m").alias("places"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("y"))
+    seen = seen.select("kind", "entity", "n_entity", "places", F.xxhash64("kind", "n_entity", "x", "y").alias("group"))
+    groups = occurs.join(seen, ["kind", "entity"]).select("digest", "group", "kind", "n_entity", "places").distinct()
+    groups = stored(groups.groupBy("digest").agg(F.collect_list(F.struct("group", "kind", "n_entity", "places")).alias("groups")), "pii-groups")
     held = (e.select("digest", "terms").join(groups, "digest").select("digest", "terms", F.explode("groups").alias("g"))
             .select("digest", "g.*", F.explode("terms").alias("term")))
-    pairs = held.groupBy("group", "kind", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    total = found.agg(F.count_if("filled").alias("n"))
+    pairs = held.groupBy("group", "kind", "n_entity", "places", "term").agg(F.count(F.lit(1)).alias("n_both"))
     kinds = e.select(F.array_distinct(F.transform("entities", lambda x: x["kind"])).alias("kinds"), "terms").select(F.explode("kinds").alias("kind"), "terms")
     of_kind = kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n_kind"))
+    counts = stored(_term_counts(found), "pii-term-counts").withColumn("class", F.floor(F.log2("n_term")))
+    # a row per power of two
+    classes = counts.groupBy("class").agg(F.count(F.lit(1)).alias("rivals"), F.sum("n_term").alias("held"))
+    n, m = found.agg(F.count_if("filled")).first()[0], classes.agg(F.sum("held")).first()[0] or 0
     known = (kinds.select("kind", F.explode("terms").alias("term")).groupBy("kind", "term").agg(F.count(F.lit(1)).alias("n_kind_both"))
-             .join(_term_counts(found), "term").join(F.broadcast(of_kind), "kind")
-             .select("kind", "term", "n_term", (F.col("n_kind_both") / F.col("n_kind")).alias("p_kind")))
-    scored = pairs.join(known, ["kind", "term"]).join(F.broadcast(total), F.lit(True))
-    n = F.col("n").cast("double")
+             .join(counts, "term").join(F.broadcast(of_kind), "kind").join(F.broadcast(classes.select("class", "rivals")), "class")
+             .select("kind", "term", "n_term", "rivals", (F.col("n_kind_both") / F.col("n_kind")).alias("p_kind")))
+    scored = pairs.join(known, ["kind", "term"])
     beside = (F.col("n_both") + PRIOR * F.col("p_kind")) / (F.col("n_entity") + PRIOR)
-    pmi = F.log2(beside * n / F.col("n_term"))
-    info = F.log2(n / F.col("n_entity"))
+    pmi = F.log2(beside * float(n) / F.col("n_term"))
+    info = F.log2(F.lit(float(n)) / F.col("n_entity"))
+    weighed = pmi / (1 + _chance(F.col("n_term"), F.col("n_both"), F.col("places") / F.lit(float(max(m, 1))), F.col("rivals")))
     # an entity of every text has no information to disclose
-    bad = scored.select("group", "term", pmi.alias("pmi"), info.alias("info")).filter((F.col("pmi") > 0) & (F.col("pmi") >= DISCLOSURE * F.col("info")))
+    bad = scored.select("group", "term", weighed.alias("pmi"), info.alias("info")).filter((F.col("pmi") > 0) & (F.col("pmi") >= DISCLOSURE * F.col("info")))
     # one row per (group, term) on the other side, so a hot entity can be split
     hits = held.select("digest", "group", "term").join(stored(bad.select("group", "term"), "pii-terms"), ["group", "term"], "left_semi")
     return hits.groupBy("digest").agg(F.collect_set("term").alias("hashes"))

@@ -255,22 +255,98 @@ def test_copies_do_not_hide_a_disclosing_term(spark):
     assert all("zorblax" in got[i] and not got[i] & {"writes", "now", "f3"} for i, _ in rows[:90])
 
 
-def test_rare_entities_and_small_shares_are_judged(spark):
+def test_one_text_is_no_proof_and_small_shares_are_judged(spark):
     filler = " ".join(f"f{i}" for i in range(20))
     rows = [(0, f"{filler} zorblax writes jo@x.example.com now")]
-    rows += [(1 + k, f"{filler} {'quimby' if k < 4 else ''} writes al@x.example.com now") for k in range(10)]
+    rows += [(1 + k, f"{filler} {'quimby' if k < 4 else ''} writes al@x.example.com now and{k}") for k in range(10)]
     rows += [(100 + k, f"{filler} writes now {k}") for k in range(300)]
     got = terms_by_text(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {i: t for i, t in got.items() if t} == {0: {"zorblax"}, **{1 + k: {"quimby"} for k in range(4)}}
+    # every text has a word of its own, so that of text 0 tells nothing; four meetings in four do
+    assert {i: t for i, t in got.items() if t} == {1 + k: {"quimby"} for k in range(4)}
 
 
 def test_terms_far_from_the_entity_and_glued_to_it(spark):
     filler = " ".join(f"f{i}" for i in range(30))
-    rows = [(k, f"“Zorblax” starts. {filler} é {filler} zorblax, again; quimby<jo@x.example.com>") for k in range(3)]
+    rows = [(k, f"“Zorblax” starts. {filler} é {filler} zorblax, again; quimby<jo@x.example.com> {k}") for k in range(3)]
     rows += [(100 + k, f"starts. {filler} é again; {k}") for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = terms_by_text(docs)
     assert {i: t for i, t in got.items() if t} == {k: {"zorblax", "quimby"} for k in range(3)}
     from pricelens.llm.pii import sanitise
     clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
-    assert clean[0] == f"“[TERM]” starts. {filler} é {filler} [TERM], again; [TERM]<[EMAIL]>" and clean[100] == rows[3][1]
+    assert clean[0] == f"“[TERM]” starts. {filler} é {filler} [TERM], again; [TERM]<[EMAIL]> 0" and clean[100] == rows[3][1]
+
+
+def planted_corpus(seed):
+    """Texts of Zipf-like words and words of their own; people with an address, who have a word
+    that stands beside it alone, or one that stands in other texts as well."""
+    import random
+    rng = random.Random(seed)
+    common = [f"c{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+
+    def prose(k):
+        n = rng.choice([15, 30, 60, 300])
+        return [*rng.choices(common, weights, k=n), *(f"own{k}x{i}" for i in range(n // 5)), *(f"rare{rng.randrange(900)}" for _ in range(n // 8))]
+
+    rows, planted = [], {}
+    for p in range(40):
+        for _ in range(rng.choice([2, 3, 5])):
+            k = len(rows)
+            w = [*prose(k), f"jo{p}@x.example.com", f"name{p}", f"loose{p % 7}"]
+            rng.shuffle(w)
+            rows.append((k, " ".join(w)))
+            planted[k] = {f"name{p}"}
+    for _ in range(700):
+        k = len(rows)
+        w = [*prose(k), *([f"loose{k % 7}"] if k % 3 == 0 else []), *([f"+49 30 {k:07d}"] if k % 20 == 0 else [])]
+        rng.shuffle(w)
+        rows.append((k, " ".join(w)))
+    return rows, planted
+
+
+def brute_terms(rows):
+    """The weighed PMI of every entity and term of one text, counted plainly."""
+    import math
+
+    from pricelens.llm.pii import DISCLOSURE, PRIOR
+    held, words = {}, {}
+    for i, t in rows:
+        spans = brute_spans(t)
+        held[i] = {(k, t[a:b].lower()) for a, k, b in spans}
+        for a, _, b in spans:
+            t = t[:a] + " " * (b - a) + t[b:]
+        words[i] = {w.strip(".,+") for w in t.lower().split()} - {""}
+    df = collections.Counter(w for ws in words.values() for w in ws)
+    rivals = collections.Counter(n.bit_length() for n in df.values())
+    n, places = len(rows), sum(df.values())
+    texts, of_kind = collections.defaultdict(set), collections.defaultdict(set)
+    for i, es in held.items():
+        for e in es:
+            texts[e].add(i)
+            of_kind[e[0]].add(i)
+    out = collections.defaultdict(set)
+    for (kind, _), own in texts.items():
+        near = of_kind[kind]
+        share = sum(len(words[i]) for i in own) / places
+        for w in set().union(*(words[i] for i in own)):
+            both = sum(w in words[i] for i in own)
+            a = both / df[w]
+            apart = a * math.log(a / share) + ((1 - a) * math.log((1 - a) / (1 - share)) if a < 1 else 0)
+            e = rivals[df[w].bit_length()] * (1 if share >= a else math.exp(-df[w] * apart))
+            pmi = math.log2((both + PRIOR * sum(w in words[i] for i in near) / len(near)) / (len(own) + PRIOR) * n / df[w]) / (1 + e)
+            if pmi > 0 and pmi >= DISCLOSURE * math.log2(n / len(own)):
+                for i in own:
+                    out[i] |= {w} & words[i]
+    return {i: t for i, t in out.items() if t}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_terms_equal_plain_counts_and_planted_ones_are_found(spark, seed):
+    rows, planted = planted_corpus(seed)
+    got = {i: t for i, t in terms_by_text(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).items() if t}
+    assert got == brute_terms(rows)
+    hits = sum(len(t & planted.get(i, set())) for i, t in got.items())
+    found, wanted = sum(map(len, got.values())), sum(map(len, planted.values()))
+    print(f"precision {hits / found:.3f} recall {hits / wanted:.3f}")
+    assert hits >= 0.9 * found and hits >= 0.9 * wanted
