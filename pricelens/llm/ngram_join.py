@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.batches import ASKS, ASKS_DDL, answer, answered, asks, with_batch
-from pricelens.llm.common import id_text, pieces, prepare, real_id, stored, text_bytes
+from pricelens.llm.batches import ASKS, ASKS_DDL, answer, answered, asks, once, row_key, with_batch
+from pricelens.llm.common import id_text, pieces, prepare, real_id, stored
 from pricelens.llm.components import components
 from pricelens.llm.words import SLICE, Words, slices
 
@@ -77,16 +77,16 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def set_digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest): the digest names the set; null for an empty one."""
+    """(doc_id, row, n_shingles, digest): ``row`` names id and text; the digest names the set, null for an empty one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, d = [], []
             for s in shingle_sets(b.column("text")):
                 n.append(len(s))
                 d.append(_digest(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(d, pa.binary())], names=["doc_id", "n_shingles", "digest"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(n, pa.int64()), pa.array(d, pa.binary())], names=["doc_id", "row", "n_shingles", "digest"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary")
+    return docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(run, "doc_id long, row long, n_shingles long, digest binary")
 
 
 def _own(t: pa.Table, side: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
@@ -120,10 +120,10 @@ def _frequency(group, starts, vals):
 
 def candidate_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(sid, n, shingles): representatives that can have a partner, with their sets."""
-    size = text_bytes(docs)
+    docs, size, _ = once(docs, BATCH_BYTES)
     n_batches, buckets = pieces(size, BATCH_BYTES), pieces(0.7 * size, BUCKET_BYTES)
     docs = with_batch(docs, n_batches).groupBy("batch")
-    side = reps.withColumn("batch", F.pmod(F.xxhash64("rep"), F.lit(n_batches))).select("batch", "rep", "digest")
+    side = reps.withColumn("batch", F.pmod("row", F.lit(n_batches))).select("batch", "rep", "digest")
 
     def ask(t: pa.Table, own: pa.Table) -> pa.Table:
         if not t.num_rows or not own.num_rows:
@@ -272,7 +272,7 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     docs = id_text(docs)
     digests = stored(set_digests(docs), "set-digests")
-    reps = stored(digests.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "set-classes")
+    reps = stored(digests.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("least")).select("digest", F.col("least.doc_id").alias("rep"), "least.row"), "set-classes")
     sets = stored(candidate_sets(docs, reps), "candidate-sets")
     lists = stored(inverted_lists(sets), "inverted-lists")
     leaders = stored(_leaders(lists), "leaders")

@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm.batches import ANSWERS, ANSWERS_DDL, ASKS, ASKS_DDL, asks, bucket_runs, with_batch
-from pricelens.llm.common import drop_stored, id_text, pieces, prepare, real_id, stored, text_bytes
+from pricelens.llm.batches import ANSWERS, ANSWERS_DDL, ASKS, ASKS_DDL, again, asks, bucket_runs, once, with_batch
+from pricelens.llm.common import drop_stored, id_text, pieces, prepare, real_id, stored
 from pricelens.llm.words import mixed, run_hashes, running, slices
 
 #: The mark that stands for a space.
@@ -351,8 +351,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, raw: bytes | None
             raw = f.read()
     spark = docs.sparkSession
     prepare(spark)
-    docs = id_text(docs)
-    size = text_bytes(docs)
+    docs, size, several = once(id_text(docs), BATCH_BYTES)
     n, buckets = pieces(size, BATCH_BYTES), pieces(0.15 * size, BUCKET_BYTES)
     ids = stored(unit_ids(distinct_units(docs, raw, pieces(size, FOLD_BYTES)), raw), "unit-ids")
     docs = with_batch(docs, n).groupBy("batch")
@@ -365,13 +364,14 @@ def encode_documents(docs: DataFrame, path: str | None = None, raw: bytes | None
     answers = stored(_answers(spark, questions, ids, buckets), "unit-answers")
     drop_stored(questions)
     drop_stored(ids)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int64())), ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string()), ("exact", pa.bool_())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int64())), ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string()), ("exact", pa.bool_()), ("times", pa.int64())])
 
     def run(t: pa.Table, a: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], [], []]
         if t.num_rows:
             m = model(raw)
             t = _ordered(t)
+            out[-1] = t.column("times").to_pylist()
             found = _found(t, m)
             keys = _keys(found)
             told = dict(zip(a.column("bucket").to_pylist(), a.column("answer").to_pylist(), strict=True))
@@ -388,9 +388,10 @@ def encode_documents(docs: DataFrame, path: str | None = None, raw: bytes | None
                 for i, text, f, z in zip(names, texts, bound[:-1].tolist(), bound[1:].tolist(), strict=True):
                     own = got[f:z].astype("<u4")
                     back = decode(own, m)
-                    for c, v in zip(out, (i, z - f, own.tolist() if keep_ids else None, zlib.crc32(own.tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text), strict=True):
+                    for c, v in zip(out[:-1], (i, z - f, own.tolist() if keep_ids else None, zlib.crc32(own.tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text), strict=True):
                         c.append(v)
         return pa.table([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
-    rows = docs.cogroup(answers.groupBy("batch")).applyInArrow(run, "doc_id long, n_tokens long, ids array<long>, ids_crc32 long, decoded_sha256 string, exact boolean")
+    rows = docs.cogroup(answers.groupBy("batch")).applyInArrow(run, "doc_id long, n_tokens long, ids array<long>, ids_crc32 long, decoded_sha256 string, exact boolean, times long")
+    rows = again(rows, several)
     return (rows if keep_ids else rows.drop("ids")).withColumn("doc_id", real_id(F.col("doc_id")))

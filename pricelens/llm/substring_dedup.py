@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.batches import ASKS, ASKS_DDL, answer, answered, asks, with_batch
-from pricelens.llm.common import id_text, pieces, prepare, real_id, stored, text_bytes
+from pricelens.llm.batches import ASKS, ASKS_DDL, again, answer, answered, asks, once, with_batch
+from pricelens.llm.common import id_text, pieces, prepare, real_id, stored
 from pricelens.llm.words import SLICE, Words, slices
 
 WINDOW = 50
@@ -105,7 +105,7 @@ class _Plan:
     """The batches of a corpus and the answers so far."""
 
     def __init__(self, docs: DataFrame):
-        size = text_bytes(docs)
+        docs, size, self.several = once(docs, BATCH_BYTES)
         self.batches = pieces(size, BATCH_BYTES)
         self.buckets = pieces(0.35 * size, BUCKET_BYTES)
         self.docs = with_batch(docs, self.batches)
@@ -155,7 +155,7 @@ def _cover(t: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple[np.nd
         yield ids, w, np.cumsum(cover[:-1]) > 0
 
 
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string()), ("source_digest", pa.binary())])
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string()), ("source_digest", pa.binary()), ("times", pa.int64())])
 
 
 def dedup_passages(docs: DataFrame, keep_text: bool = True, keep_source: bool = False) -> DataFrame:
@@ -174,9 +174,10 @@ def dedup_passages(docs: DataFrame, keep_text: bool = True, keep_source: bool =
     buckets = plan.buckets
 
     def run(t: pa.Table, a: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], [], []]
         if t.num_rows:
             t = _ordered(t)
+            out[-1] = t.column("times").to_pylist()
             for ids, w, gone in _cover(t, a, buckets):
                 raw = w.buf.tobytes()
                 n_gone = np.concatenate([[0], np.cumsum(gone)])
@@ -186,12 +187,13 @@ def dedup_passages(docs: DataFrame, keep_text: bool = True, keep_source: bool =
                     if removed:
                         words = [x for x, g in zip(words, gone[f:z].tolist(), strict=True) if not g]
                     kept = b" ".join(words)
-                    for c, v in zip(out, (i, z - f, removed, kept.decode() if keep_text else None, hashlib.sha256(kept).hexdigest(),
+                    for c, v in zip(out[:-1], (i, z - f, removed, kept.decode() if keep_text else None, hashlib.sha256(kept).hexdigest(),
                                          hashlib.md5(raw[w.offs[k] : w.offs[k + 1]]).digest() if keep_source else None), strict=True):
                         c.append(v)
         return pa.table([pa.array(c, f.type) for c, f in zip(out, RESULT, strict=True)], schema=RESULT)
 
-    out = plan.docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, source_digest binary")
+    out = plan.docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, source_digest binary, times long")
+    out = again(out, plan.several)
     out = out if keep_text else out.drop("kept")
     out = out if keep_source else out.drop("source_digest")
     return out.withColumn("doc_id", real_id(F.col("doc_id")))
