@@ -219,10 +219,15 @@ def distinct_units(docs: DataFrame, raw: bytes, parts: int) -> DataFrame:
 
 
 #: The bounds of segments are the bits of b; an edge has its two ends and the bounds inside as masks.
-#: Merge the best edge that joins two segments, while there is one.
+#: Merge the best edge that joins two segments, while there is one; edges that can no longer join any are let go.
 _MERGE = """
-aggregate(sequence(1, greatest(least(n - 1, size(edges) - n), 1)), shiftleft(2L, n) - 1, (b, i) -> transform(
-    array(get(filter(edges, x -> (b & x.ends) = x.ends AND bit_count(b & x.inner) = 1), 0)), x -> if(x IS NULL, b, b & ~x.inner))[0])
+aggregate(sequence(1, greatest(least(n - 1, size(edges) - n), 1)),
+  struct(shiftleft(2L, n) - 1 AS b, filter(edges, x -> x.inner <> 0) AS live),
+  (a, i) -> if(size(a.live) = 0, a, transform(
+    array(get(filter(a.live, x -> bit_count(a.b & x.all) = 3 AND (a.b & x.ends) = x.ends), 0)), best -> if(best IS NULL,
+      struct(a.b AS b, slice(a.live, 1, 0) AS live),
+      struct(a.b & ~best.inner AS b, filter(a.live, x -> (a.b & ~best.inner & x.ends) = x.ends AND (a.b & ~best.inner & x.inner) <> 0) AS live)))[0]),
+  a -> a.b)
 """
 #: Best score up to each place with where its last piece began; the bounds are then read back from the end.
 _VITERBI = """
@@ -243,28 +248,32 @@ transform(sequence(1, octet_length(substring(unit, x.s + 1, 1))),
 
 
 def unit_ids(units: DataFrame, raw: bytes) -> DataFrame:
-    """(key, ids): the lattice of each unit, folded."""
+    """(key, ids): the lattice of each unit, folded; read from a stored table."""
     spark, m = units.sparkSession, model(raw)
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GATHERED))
     # the vocabulary: its size is that of the model file
     table = spark.createDataFrame(m.pieces, "piece string, id int, score double")
     units = units.withColumn("n", F.char_length("unit"))
-    edges = units.filter(F.col("n") <= LONGEST).withColumn("s", F.explode(F.expr("sequence(0, n - 1)")))
-    edges = edges.withColumn("e", F.explode(F.expr(f"sequence(s + 1, least(n, s + {m.longest}))")))
-    edges = edges.withColumn("piece", F.expr("substring(unit, s + 1, e - s)")).join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR e = s + 1")
+    # longer units come along with one empty edge, so that the texts are cut into units once
+    fits = f"n <= {LONGEST}"
+    edges = units.withColumn("s", F.explode(F.expr(f"if({fits}, sequence(0, n - 1), array(0))")))
+    edges = edges.withColumn("e", F.explode(F.expr(f"if({fits}, sequence(s + 1, least(n, s + {m.longest})), array(0))")))
+    edges = edges.withColumn("piece", F.expr("substring(unit, s + 1, e - s)")).join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR e <= s + 1")
     edge = F.struct(F.coalesce(-F.col("score"), F.lit(UNKNOWN_PENALTY - m.least)).alias("cost"), "s", "e", F.coalesce("id", F.lit(-1)).alias("id"),
-                    F.expr("shiftleft(1L, s) | shiftleft(1L, e)").alias("ends"), F.expr("shiftleft(shiftleft(1L, e - s - 1) - 1, s + 1)").alias("inner"))
+                    F.expr("shiftleft(1L, s) | shiftleft(1L, e)").alias("ends"), F.expr("shiftleft(shiftleft(1L, e - s - 1) - 1, s + 1)").alias("inner"),
+                    F.expr("shiftleft(shiftleft(2L, e - s) - 1, s)").alias("all"))
     # no shuffle here: the rows still lie by (key, unit) from the distinct step
     lattice = edges.groupBy("key", "unit", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
     fold = lattice.withColumn("bounds", F.expr(_VITERBI if m.type == UNIGRAM else _MERGE)).withColumn("byte_ids", F.array(*map(F.lit, m.byte_ids or [m.unk])))
-    short_ids = fold.select("key", F.expr(_IDS.replace("UNKNOWN", _BYTES if m.byte_ids else f"array({m.unk})")).alias("ids"))
+    ids = F.expr(_IDS.replace("UNKNOWN", _BYTES if m.byte_ids else f"array({m.unk})"))
+    folded = stored(fold.select("key", F.when(F.expr(fits), ids).alias("ids"), F.when(~F.expr(fits), F.col("unit")).alias("unit")), "unit-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([model(raw).long_unit(u.as_py()) for u in b.column("unit")], pa.list_(pa.int32()))], names=["key", "ids"])
 
-    long = units.filter(F.col("n") > LONGEST).select("key", "unit").mapInArrow(run, "key long, ids array<int>")
-    return short_ids.unionByName(long)
+    long = folded.filter("unit IS NOT NULL").select("key", "unit").mapInArrow(run, "key long, ids array<int>")
+    return folded.filter("unit IS NULL").select("key", "ids").unionByName(long)
 
 
 def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -353,7 +362,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, raw: bytes | None
     prepare(spark)
     docs, size, several = once(id_text(docs), BATCH_BYTES)
     n, buckets = pieces(size, BATCH_BYTES), pieces(0.15 * size, BUCKET_BYTES)
-    ids = stored(unit_ids(distinct_units(docs, raw, pieces(size, FOLD_BYTES)), raw), "unit-ids")
+    ids = unit_ids(distinct_units(docs, raw, pieces(size, FOLD_BYTES)), raw)
     docs = with_batch(docs, n).groupBy("batch")
 
     def ask(t: pa.Table) -> pa.Table:
