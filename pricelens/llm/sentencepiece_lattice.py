@@ -252,13 +252,16 @@ def unit_ids(units: DataFrame, raw: bytes) -> DataFrame:
     spark, m = units.sparkSession, model(raw)
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GATHERED))
     # the vocabulary: its size is that of the model file
-    table = spark.createDataFrame(m.pieces, "piece string, id int, score double")
+    table = spark.createDataFrame(m.pieces, "piece string, id int, score double").withColumn("hash", F.xxhash64("piece"))
     units = units.withColumn("n", F.char_length("unit"))
     # longer units come along with one empty edge, so that the texts are cut into units once
     fits = f"n <= {LONGEST}"
     edges = units.withColumn("s", F.explode(F.expr(f"if({fits}, sequence(0, n - 1), array(0))")))
     edges = edges.withColumn("e", F.explode(F.expr(f"if({fits}, sequence(s + 1, least(n, s + {m.longest})), array(0))")))
-    edges = edges.withColumn("piece", F.expr("substring(unit, s + 1, e - s)")).join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR e <= s + 1")
+    # a join by number is the cheaper look-up; the strings decide
+    edges = edges.withColumn("part", F.expr("substring(unit, s + 1, e - s)"))
+    same = (F.xxhash64("part") == F.col("hash")) & (F.col("part") == F.col("piece"))
+    edges = edges.join(F.broadcast(table), same, "left").filter("id IS NOT NULL OR e <= s + 1")
     edge = F.struct(F.coalesce(-F.col("score"), F.lit(UNKNOWN_PENALTY - m.least)).alias("cost"), "s", "e", F.coalesce("id", F.lit(-1)).alias("id"),
                     F.expr("shiftleft(1L, s) | shiftleft(1L, e)").alias("ends"), F.expr("shiftleft(shiftleft(1L, e - s - 1) - 1, s + 1)").alias("inner"),
                     F.expr("shiftleft(shiftleft(2L, e - s) - 1, s)").alias("all"))
