@@ -30,7 +30,7 @@ from pricelens.llm.words import mixed, run_hashes, running, slices
 SPACE = "▁"
 #: Longer units (junk without spaces) are folded in Python, since the fold's state is a 64-bit mask.
 LONGEST = 60
-BATCH_BYTES, BUCKET_BYTES = 4_000_000, 16_000_000
+BATCH_BYTES, BUCKET_BYTES = 12_000_000, 16_000_000
 #: Text whose distinct units one task folds, about.
 FOLD_BYTES = 4_000_000
 #: Text whose units are found at once.
