@@ -196,12 +196,15 @@ class Units:
         self.hash = run_hashes(running(_char_hash()[cp]), self.start, self.end) if len(cp) else np.empty(0, np.uint64)
         self.first = np.searchsorted(self.start, self.bounds)
 
-    def fresh(self, seen: np.ndarray) -> tuple[np.ndarray, list[str]]:
-        """Distinct units whose hashes are not in ``seen``."""
+    def fresh(self, seen: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Hashes and texts of the distinct units that are not in the sorted ``seen``, and where there the hashes belong."""
         h, i = np.unique(self.hash, return_index=True)
-        new = ~np.isin(h, seen, assume_unique=True)
+        at = np.searchsorted(seen, h)
+        new = np.ones(len(h), bool)
+        inside = at < len(seen)
+        new[inside] = seen[at[inside]] != h[inside]
         i = i[new]
-        return h[new], [self.text[a:b] for a, b in zip(self.start[i].tolist(), self.end[i].tolist(), strict=True)]
+        return h[new], [self.text[a:b] for a, b in zip(self.start[i].tolist(), self.end[i].tolist(), strict=True)], at[new]
 
 
 def distinct_units(docs: DataFrame, raw: bytes, parts: int) -> DataFrame:
@@ -210,9 +213,9 @@ def distinct_units(docs: DataFrame, raw: bytes, parts: int) -> DataFrame:
         m, seen = model(raw), np.empty(0, np.uint64)
         for b in batches:
             for _, _, buf, offs in slices(b.column("text"), SLICE):
-                h, units = Units(m, buf, offs).fresh(seen)
+                h, units, at = Units(m, buf, offs).fresh(seen)
                 # a task's own units are told once; the memory of them is bounded
-                seen = np.concatenate([seen, h]) if len(seen) < 1_000_000 else h
+                seen = np.insert(seen, at, h) if len(seen) < 1_000_000 else h
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(units, pa.string())], names=["key", "unit"])
 
     return docs.select("text").mapInArrow(run, "key long, unit string").repartition(parts, "key", "unit").distinct()
