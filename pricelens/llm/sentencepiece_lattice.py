@@ -32,7 +32,7 @@ SPACE = "▁"
 LONGEST = 60
 BATCH_BYTES, BUCKET_BYTES = 12_000_000, 16_000_000
 #: Text whose distinct units one task folds, about.
-FOLD_BYTES = 4_000_000
+FOLD_BYTES = 2_000_000
 #: Text whose units are found at once.
 SLICE = 500_000
 #: Units whose edges a task gathers in memory before Spark sorts them instead.
@@ -265,11 +265,12 @@ def unit_ids(units: DataFrame, raw: bytes) -> DataFrame:
     edges = edges.withColumn("part", F.expr("substring(unit, s + 1, e - s)"))
     same = (F.xxhash64("part") == F.col("hash")) & (F.col("part") == F.col("piece"))
     edges = edges.join(F.broadcast(table), same, "left").filter("id IS NOT NULL OR e <= s + 1")
-    edge = F.struct(F.coalesce(-F.col("score"), F.lit(UNKNOWN_PENALTY - m.least)).alias("cost"), "s", "e", F.coalesce("id", F.lit(-1)).alias("id"),
-                    F.expr("shiftleft(1L, s) | shiftleft(1L, e)").alias("ends"), F.expr("shiftleft(shiftleft(1L, e - s - 1) - 1, s + 1)").alias("inner"),
-                    F.expr("shiftleft(shiftleft(2L, e - s) - 1, s)").alias("all"))
+    # in order of cost, then place; only Viterbi asks for the end itself
+    edge = F.struct(F.coalesce(-F.col("score"), F.lit(UNKNOWN_PENALTY - m.least)).alias("cost"), "s", F.expr("shiftleft(1L, s) | shiftleft(1L, e)").alias("ends"),
+                    F.expr("shiftleft(shiftleft(1L, e - s - 1) - 1, s + 1)").alias("inner"), F.expr("shiftleft(shiftleft(2L, e - s) - 1, s)").alias("all"),
+                    F.coalesce("id", F.lit(-1)).alias("id"), *(["e"] if m.type == UNIGRAM else []))
     # no shuffle here: the rows still lie by (key, unit) from the distinct step
-    lattice = edges.groupBy("key", "unit", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    lattice = edges.groupBy("key", "unit").agg(F.array_sort(F.collect_list(edge)).alias("edges")).withColumn("n", F.char_length("unit"))
     fold = lattice.withColumn("bounds", F.expr(_VITERBI if m.type == UNIGRAM else _MERGE)).withColumn("byte_ids", F.array(*map(F.lit, m.byte_ids or [m.unk])))
     ids = F.expr(_IDS.replace("UNKNOWN", _BYTES if m.byte_ids else f"array({m.unk})"))
     folded = stored(fold.select("key", F.when(F.expr(fits), ids).alias("ids"), F.when(~F.expr(fits), F.col("unit")).alias("unit")), "unit-ids")
