@@ -130,3 +130,61 @@ def test_predictions_and_reload(spark, frame, tmp_path):
     assert out.filter("cls = predicted_category").count() > 0.9 * out.count()
     assert out.filter("abs(aggregate(probabilities, 0D, (a, x) -> a + x) - 1) > 1e-9").count() == 0
     assert abs(sum(r.importance for r in model.importance().collect()) - 1) < 1e-9
+
+
+def largest_worker(spark, action):
+    """MB of its own that the largest Python worker of the session holds at most during ``action``."""
+    import re
+    import threading
+    from pathlib import Path
+    most, done = [0.0], threading.Event()
+
+    def watch():
+        while not done.wait(0.05):
+            parent = {}
+            for stat in Path("/proc").glob("[0-9]*/stat"):
+                try:
+                    parent[int(stat.parent.name)] = int(stat.read_text().rsplit(")", 1)[1].split()[1])
+                except OSError:
+                    pass
+            own = {spark.sparkContext._gateway.proc.pid}
+            for _ in range(4):
+                own |= {p for p, q in parent.items() if q in own}
+            for p in own:
+                try:
+                    if "pyspark" in Path(f"/proc/{p}/cmdline").read_text() and "java" not in Path(f"/proc/{p}/comm").read_text():
+                        most[0] = max(most[0], int(re.search(r"Pss_Anon:\s+(\d+)", Path(f"/proc/{p}/smaps_rollup").read_text())[1]) / 1024)
+                except (OSError, TypeError):
+                    pass
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        action()
+    finally:
+        done.set()
+        thread.join()
+    return most[0]
+
+
+def test_a_task_does_not_hold_a_whole_model(spark):
+    """A model of 450 MB: rows meet its trees batch by batch."""
+    import pyarrow as pa
+
+    from pricelens.ml.grouped_trees import PACKED_DDL, TreeModel, TreeSpec
+    trees, levels = 400, 15
+    m = 2 ** (levels + 1) - 1  # a full tree that splits on a at 0.5 everywhere
+
+    def packed(batches):
+        ids = np.arange(1, m + 1)
+        feature, threshold = np.where(ids < 2**levels, 0, -1).astype(np.int32), np.full(m, 0.5)
+        for b in batches:
+            for tree in b.column("id").to_pylist():
+                cols = [ids.astype(np.int64), feature, threshold, np.where(ids == 2**levels, tree, 2.0 * tree)]
+                yield pa.RecordBatch.from_pydict({"key": [""], "tree": pa.array([tree], pa.int32())} | {c: [v.tobytes()] for c, v in zip(("ids", "feature", "threshold", "value"), cols, strict=True)})
+
+    frame = spark.range(0, trees, 1, 8).mapInArrow(packed, PACKED_DDL)
+    model = TreeModel(TreeSpec(trees=trees, depth=levels), ["a"], None, None, frame, frame)
+    out = []
+    held = largest_worker(spark, lambda: out.extend(model.transform(spark.range(2).selectExpr("id", "CAST(id AS double) AS a")).collect()))
+    assert sorted((r.id, r.prediction) for r in out) == [(0, 199.5), (1, 399.0)]
+    assert held < 450

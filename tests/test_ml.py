@@ -73,6 +73,24 @@ def test_forecast_equals_steps_taken_one_by_one(spark):
     assert got == want and len(got) == 6 * mp.select("commodity", "district").distinct().count()
 
 
+def test_forecast_of_a_model_too_large_for_a_task(spark, monkeypatch):
+    """A job a day gives what one task gives, value by value, with missing prices and a key without a model too."""
+    from pricelens.ml import forecast as FC
+    rows = [(k, day, None if k == "b" and day == 58 else 100.0 + 10 * (day % 7) + day / 9 + len(k)) for k in ("a", "b", "new") for day in range(60)]
+    df = spark.createDataFrame(rows, "commodity string, n int, modal_price double").selectExpr("commodity", "date_add(DATE '2024-01-01', n) AS date", "modal_price")
+    lags = (1, 2, 3)
+    from pricelens.ml.grouped_trees import fit_trees
+    features = [f"lag_{k}" for k in lags] + ["rolling_7", "rolling_30", "month", "day", "day_of_week"]
+    rich = df.selectExpr("*", *(f"lag(modal_price, {k}) OVER (PARTITION BY commodity ORDER BY date) AS lag_{k}" for k in lags), *(f"avg(modal_price) OVER (PARTITION BY commodity ORDER BY date ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) AS rolling_{k}" for k in (7, 30)), "month(date) AS month", "day(date) AS day", "weekday(date) AS day_of_week")
+    model = fit_trees(rich.filter("commodity <> 'new'"), features, "modal_price", ["commodity", "date"], R.TreeSpec(trees=7, depth=6), key="commodity")
+
+    def forecast():
+        return sorted(map(tuple, recursive_forecast(model, df, horizon=4, keys=("commodity",), lags=lags).collect()))
+    want = forecast()
+    monkeypatch.setattr(FC, "MODEL_BYTES", 1)
+    assert forecast() == want and len(want) == 8
+
+
 def test_isolation_forest_contamination_share(spark):
     p = price_panel(spark, SF_SMALL)
     o = IF.isolation_forest(p, "commodity", ["modal_price", "arrival"], ["commodity", "district", "date"],
